@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import round_doubles
 from ..operators import align as al
-from ..operators import detect, metrics
+from ..operators import detect, evaluate, features, metrics
 from ..sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,45 @@ def q_alert_counts_by_year(spark, sf_dir):
     return detect.alert_counts_by_year(detect.cusum_alerts(long_metrics(spark, sf_dir)))
 
 
+def feature_rows(spark, sf_dir) -> DataFrame:
+    b = bars(spark, sf_dir)
+    return features.feature_frame(b, metrics.metrics_long(b))
+
+
+def folded_naive(spark, sf_dir) -> DataFrame:
+    return evaluate.naive_predictions(features.time_folds(feature_rows(spark, sf_dir)))
+
+
+def q_features_wide(spark, sf_dir):
+    return round_doubles(features.pivot_metrics(long_metrics(spark, sf_dir)))
+
+
+def q_features_lagged(spark, sf_dir):
+    return round_doubles(feature_rows(spark, sf_dir))
+
+
+def q_sample_count(spark, sf_dir):
+    return features.sample_counts(feature_rows(spark, sf_dir))
+
+
+def q_time_folds(spark, sf_dir):
+    return features.time_folds(feature_rows(spark, sf_dir)).select(
+        "symbol", "date", "row_index", "fold", "role")
+
+
+def q_class_weights(spark, sf_dir):
+    return round_doubles(features.class_weights(feature_rows(spark, sf_dir)))
+
+
+def q_mae_by_fold(spark, sf_dir):
+    return round_doubles(evaluate.mae_by_fold(folded_naive(spark, sf_dir)))
+
+
+def q_classification_report(spark, sf_dir):
+    return round_doubles(evaluate.classification_report(
+        evaluate.last_fold(folded_naive(spark, sf_dir))))
+
+
 QUERIES: dict[str, Query] = {
     "aligned_bars": q_aligned_bars,
     "forward_fill": q_forward_fill,
@@ -92,4 +131,11 @@ QUERIES: dict[str, Query] = {
     "cusum_accumulator": q_cusum_accumulator,
     "cusum_alerts": q_cusum_alerts,
     "alert_counts_by_year": q_alert_counts_by_year,
+    "features_wide": q_features_wide,
+    "features_lagged": q_features_lagged,
+    "sample_count": q_sample_count,
+    "time_folds": q_time_folds,
+    "class_weights": q_class_weights,
+    "mae_by_fold": q_mae_by_fold,
+    "classification_report": q_classification_report,
 }

@@ -162,3 +162,86 @@ SQL: dict[str, str] = {
         "SELECT CAST(year(fired_at) AS INTEGER) AS year, kind, count(*) AS n_alerts "
         "FROM alerts GROUP BY 1, 2",
 }
+
+# ---------------------------------------------------------------- features --
+PIVOT_NAMES = [f"{m}_{h}" for m in ("pearson_corr", "beta", "spread_zscore") for h in WINDOWS]
+
+FW = "fw AS (\n  SELECT symbol, date,\n    " + ",\n    ".join(
+    f"avg(CASE WHEN metric || '_' || horizon = '{c}' THEN value END) AS {c}" for c in PIVOT_NAMES
+) + "\n  FROM ml GROUP BY symbol, date)"
+
+FEAT = f"""fj AS (
+  SELECT b.symbol, b.date, b.lead_logret, b.ref_logret, {', '.join('fw.' + c for c in PIVOT_NAMES)}
+  FROM bars b JOIN fw ON b.symbol = fw.symbol AND b.date = fw.date),
+fl AS (
+  SELECT *, lag(spread_zscore_30d, 1) OVER ({WS}) AS zscore_30d_lag1,
+         lag(spread_zscore_30d, 2) OVER ({WS}) AS zscore_30d_lag2,
+         spread_zscore_30d - lag(spread_zscore_30d, 1) OVER ({WS}) AS zscore_momentum,
+         lead(spread_zscore_30d, 1) OVER ({WS}) AS target_zscore
+  FROM fj),
+feat AS (
+  SELECT *, CAST(abs(target_zscore) > 2.5 AS INTEGER) AS target_anomaly FROM fl
+  WHERE {' AND '.join(c + ' IS NOT NULL' for c in ['lead_logret', 'ref_logret', *PIVOT_NAMES, 'zscore_30d_lag1', 'zscore_30d_lag2', 'zscore_momentum', 'target_zscore'])})"""
+
+FOLDS = f"""fr AS (
+  SELECT *, CAST(row_number() OVER ({WS}) - 1 AS BIGINT) AS row_index,
+         count(*) OVER (PARTITION BY symbol) AS n_ FROM feat),
+fk AS (
+  SELECT fr.*, k.fold,
+         CASE WHEN row_index < n_ - (3 - k.fold) * (n_ // 4) THEN 'train'
+              WHEN row_index < n_ - (3 - k.fold) * (n_ // 4) + (n_ // 4) THEN 'test' END AS role
+  FROM fr, (VALUES (0), (1), (2)) k(fold)),
+folded AS (SELECT * EXCLUDE (n_) FROM fk WHERE role IS NOT NULL)"""
+
+FEATURE_CTES = (*METRIC_CTES, FW, FEAT)
+FOLD_CTES = (*FEATURE_CTES, FOLDS)
+
+FEATURE_SELECT = "symbol, date, " + ", ".join(
+    rnd(c, c) for c in ["lead_logret", "ref_logret", *PIVOT_NAMES, "zscore_30d_lag1",
+                        "zscore_30d_lag2", "zscore_momentum", "target_zscore"]) + ", target_anomaly"
+
+
+def _report_sql(pred_expr: str) -> str:
+    def ratio(a, b):
+        return f"CASE WHEN ({b}) > 0 THEN CAST({a} AS DOUBLE) / ({b}) ELSE 0.0 END"
+    rows = []
+    p0, r0, f0 = ratio("tn1", "tn1 + fn1"), ratio("tn1", "s0"), ratio("2 * tn1", "2 * tn1 + fn1 + fp1")
+    p1, r1, f1 = ratio("tp1", "tp1 + fp1"), ratio("tp1", "s1"), ratio("2 * tp1", "2 * tp1 + fp1 + fn1")
+    acc = ratio("tp1 + tn1", "s0 + s1")
+    w = lambda a, b: ratio(f"({a}) * s0 + ({b}) * s1", "s0 + s1")
+    spec = [("normal", p0, r0, f0, "s0"), ("anomalous", p1, r1, f1, "s1"),
+            ("accuracy", "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)", acc, "s0 + s1"),
+            ("macro avg", f"(({p0}) + ({p1})) / 2", f"(({r0}) + ({r1})) / 2", f"(({f0}) + ({f1})) / 2", "s0 + s1"),
+            ("weighted avg", w(p0, p1), w(r0, r1), w(f0, f1), "s0 + s1")]
+    for name, p, r, f, s in spec:
+        rows.append(f"SELECT symbol, '{name}' AS label, {rnd(p, 'precision')}, {rnd(r, 'recall')}, "
+                    f"{rnd(f, 'f1_score')}, CAST({s} AS BIGINT) AS support FROM cm")
+    return with_(*FOLD_CTES, f"""lf AS (
+  SELECT symbol, target_anomaly AS y, {pred_expr} AS p FROM folded WHERE fold = 2 AND role = 'test')""",
+        """cn AS (
+  SELECT symbol, sum(CASE WHEN y = 1 AND p = 1 THEN 1 ELSE 0 END) AS tp1,
+         sum(CASE WHEN y = 0 AND p = 1 THEN 1 ELSE 0 END) AS fp1,
+         sum(CASE WHEN y = 1 AND p = 0 THEN 1 ELSE 0 END) AS fn1,
+         sum(CASE WHEN y = 0 AND p = 0 THEN 1 ELSE 0 END) AS tn1 FROM lf GROUP BY symbol)""",
+        "cm AS (SELECT *, tp1 + fn1 AS s1, tn1 + fp1 AS s0 FROM cn)") + \
+        "\nUNION ALL ".join(rows)
+
+
+SQL.update({
+    "features_wide": with_(*METRIC_CTES, FW) + "SELECT symbol, date, " +
+        ", ".join(rnd(c, c) for c in PIVOT_NAMES) + " FROM fw",
+    "features_lagged": with_(*FEATURE_CTES) + f"SELECT {FEATURE_SELECT} FROM feat",
+    "sample_count": with_(*FEATURE_CTES) + "SELECT symbol, count(*) AS n_samples FROM feat GROUP BY symbol",
+    "time_folds": with_(*FOLD_CTES) + "SELECT symbol, date, row_index, fold, role FROM folded",
+    "class_weights": with_(*FEATURE_CTES,
+        "cc AS (SELECT symbol, target_anomaly, count(*) AS n_class FROM feat GROUP BY 1, 2)") +
+        "SELECT symbol, target_anomaly, n_class, " +
+        rnd("sum(n_class) OVER (PARTITION BY symbol) / (count(*) OVER (PARTITION BY symbol) * n_class)", "weight") +
+        " FROM cc",
+    "mae_by_fold": with_(*FOLD_CTES) +
+        "SELECT symbol, fold, count(*) AS n_test, " +
+        rnd("avg(abs(target_zscore - spread_zscore_30d))", "mae") + ", " +
+        rnd("avg(avg(abs(target_zscore - spread_zscore_30d))) OVER (PARTITION BY symbol)", "mae_mean") +
+        " FROM folded WHERE role = 'test' GROUP BY symbol, fold",
+    "classification_report": _report_sql("CAST(abs(spread_zscore_30d) > 2.5 AS INTEGER)"),
+})
