@@ -118,6 +118,38 @@ def q_classification_report(spark, sf_dir):
         evaluate.last_fold(folded_naive(spark, sf_dir))))
 
 
+def q_changepoints(spark, sf_dir):
+    from ..operators.changepoints import changepoints
+    return changepoints(long_metrics(spark, sf_dir))
+
+
+def q_changepoint_alerts(spark, sf_dir):
+    from ..operators.changepoints import changepoint_alerts
+    return changepoint_alerts(long_metrics(spark, sf_dir))
+
+
+def q_detect_alerts(spark, sf_dir):
+    return detect.detect_alerts(long_metrics(spark, sf_dir))
+
+
+def _trained(spark, sf_dir):
+    from ..operators.models import ModelParams, train_models
+    from ..session import scratch_path
+    # Fewer boosting rounds / trees than the API default keeps the check fast;
+    # the fold logic and evaluation are the same.
+    params = ModelParams(gbt_iter=10, rf_trees=20)
+    return train_models(feature_rows(spark, sf_dir), params,
+                        model_dir=scratch_path(spark, "models"))
+
+
+def q_model_regressor(spark, sf_dir):
+    return round_doubles(_trained(spark, sf_dir).mae)
+
+
+def q_model_classifier(spark, sf_dir):
+    return round_doubles(_trained(spark, sf_dir).report)
+
+
 QUERIES: dict[str, Query] = {
     "aligned_bars": q_aligned_bars,
     "forward_fill": q_forward_fill,
@@ -138,4 +170,9 @@ QUERIES: dict[str, Query] = {
     "class_weights": q_class_weights,
     "mae_by_fold": q_mae_by_fold,
     "classification_report": q_classification_report,
+    "changepoints": q_changepoints,
+    "changepoint_alerts": q_changepoint_alerts,
+    "detect_alerts": q_detect_alerts,
+    "model_regressor": q_model_regressor,
+    "model_classifier": q_model_classifier,
 }
