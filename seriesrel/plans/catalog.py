@@ -176,3 +176,11 @@ QUERIES: dict[str, Query] = {
     "model_regressor": q_model_regressor,
     "model_classifier": q_model_classifier,
 }
+
+
+def _register_more() -> None:
+    from . import ingest_queries
+    QUERIES.update(ingest_queries.QUERIES)
+
+
+_register_more()

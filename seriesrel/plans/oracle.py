@@ -245,3 +245,49 @@ SQL.update({
         " FROM folded WHERE role = 'test' GROUP BY symbol, fold",
     "classification_report": _report_sql("CAST(abs(spread_zscore_30d) > 2.5 AS INTEGER)"),
 })
+
+# ------------------------------------------------------------------ ingest --
+EV = """ev AS (
+  SELECT event_id, event_type AS instrument_id, ts AS event_time_utc,
+         ts + to_seconds(event_id % 7) AS ingest_time_utc,
+         CAST(event_id % 5 AS INTEGER) AS quality_flag, value,
+         event_id % 5 <= 3 AS is_valid FROM events)"""
+LEAD_TYPES = "('click', 'view', 'purchase')"
+
+SQL.update({
+    "envelope_decode": with_(EV) +
+        "SELECT event_id, 1 AS schema_version, 'events' AS source, instrument_id, event_time_utc, "
+        "ingest_time_utc, quality_flag, "
+        "CASE WHEN instrument_id <> 'signup' THEN round(value, 6) + 0.0 END AS price, "
+        "CASE WHEN instrument_id = 'signup' THEN round(value, 6) + 0.0 END AS rate FROM ev",
+    "envelope_validate": with_(EV) +
+        "SELECT event_id, instrument_id, is_valid, "
+        "CASE WHEN is_valid THEN '' ELSE 'quality_flag_invalid' END AS reasons FROM ev",
+    "envelope_quarantine": with_(EV) +
+        "SELECT event_id, 'quality_flag_invalid' AS reasons FROM ev WHERE NOT is_valid",
+    "route_lead": with_(EV) +
+        "SELECT event_id, event_time_utc, instrument_id, round(value, 6) + 0.0 AS price, "
+        "'events' AS source, CAST(quality_flag AS SMALLINT) AS quality_flag, ingest_time_utc "
+        f"FROM ev WHERE is_valid AND instrument_id IN {LEAD_TYPES}",
+    "route_reference": with_(EV) +
+        "SELECT event_id, event_time_utc, instrument_id, round(value, 6) + 0.0 AS rate, "
+        "'events' AS source, CAST(quality_flag AS SMALLINT) AS quality_flag, ingest_time_utc "
+        "FROM ev WHERE is_valid AND instrument_id = 'signup'",
+    "ingest_lag": with_(EV) +
+        "SELECT instrument_id, count(*) AS n_messages, "
+        "round(avg((epoch_us(ingest_time_utc) - epoch_us(event_time_utc)) / 1e6), 6) + 0.0 AS avg_lag_s, "
+        "round(max((epoch_us(ingest_time_utc) - epoch_us(event_time_utc)) / 1e6), 6) + 0.0 AS max_lag_s "
+        "FROM ev WHERE is_valid GROUP BY instrument_id",
+    "stream_ingest_lead": with_(EV) +
+        "SELECT event_time_utc, instrument_id, round(value, 6) + 0.0 AS price, "
+        "'events' AS source, CAST(quality_flag AS SMALLINT) AS quality_flag, ingest_time_utc "
+        f"FROM ev WHERE is_valid AND instrument_id IN {LEAD_TYPES}",
+    "stream_quarantine": with_(EV) +
+        "SELECT instrument_id, 'quality_flag_invalid' AS reasons, count(*) AS n_messages "
+        "FROM ev WHERE NOT is_valid GROUP BY instrument_id",
+    "insert_if_absent": SQL["aligned_bars"],
+    "partitioned_roundtrip": with_(*METRIC_CTES) +
+        "SELECT symbol, date, horizon, metric, " + rnd("value", "value") + " FROM ml "
+        "WHERE metric = 'spread_zscore' AND horizon = '30d' "
+        "AND date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'",
+})

@@ -77,3 +77,10 @@ def fixture_envelope_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_id") % 5).cast("int").alias("quality_flag"),
         F.create_map(key, F.col("value").cast("string")).alias("payload"),
     )
+
+
+def fixture_routes():
+    """Routes of the ``events`` fixture: three lead instruments, one reference."""
+    from ..streaming.ingest import Route
+    return (Route("raw_lead", FIXTURE_LEAD_INSTRUMENTS, "price", "price"),
+            Route("raw_reference", (FIXTURE_REFERENCE_INSTRUMENT,), "rate", "rate"))
