@@ -179,8 +179,9 @@ QUERIES: dict[str, Query] = {
 
 
 def _register_more() -> None:
-    from . import ingest_queries
+    from . import ingest_queries, landing_queries
     QUERIES.update(ingest_queries.QUERIES)
+    QUERIES.update(landing_queries.QUERIES)
 
 
 _register_more()

@@ -291,3 +291,34 @@ SQL.update({
         "WHERE metric = 'spread_zscore' AND horizon = '30d' "
         "AND date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'",
 })
+
+# ----------------------------------------------------------------- landing --
+HIST = "hist AS (SELECT date, rate FROM ref WHERE date <= DATE '1999-12-31')"
+UNION_FW = """u AS (
+  SELECT date, rate FROM hist
+  UNION ALL SELECT date, rate FROM recent WHERE date NOT IN (SELECT date FROM hist))"""
+
+SQL.update({
+    "landed_json_series": with_(LEAD) + "SELECT symbol, date, round(price, 6) + 0.0 AS price FROM lead",
+    "page_completeness": with_(LEAD) +
+        "SELECT symbol AS product, count(*) AS n_rows, count(*) AS announced_total FROM lead GROUP BY symbol",
+    "landed_csv_history": with_(REF, HIST) + "SELECT date, round(rate, 6) + 0.0 AS rate FROM hist",
+    "landed_xml_rates": with_(RECENT) + "SELECT date, round(rate, 6) + 0.0 AS rate FROM recent",
+    "series_union_first_wins": with_(REF, RECENT, HIST, UNION_FW) +
+        "SELECT date, round(rate, 6) + 0.0 AS rate FROM u",
+    "series_gap_range": with_(REF, RECENT, HIST) +
+        "SELECT date, round(rate, 6) + 0.0 AS rate FROM recent WHERE date > (SELECT max(date) FROM hist)",
+    "next_fetch_start": with_(REF, HIST) + "SELECT max(date) + 1 AS next_start FROM hist",
+    "missing_days": with_(REF, RECENT, HIST, UNION_FW) +
+        "SELECT CAST(d.generate_series AS DATE) AS date FROM generate_series("
+        "(SELECT min(date) FROM u)::TIMESTAMP, (SELECT max(date) FROM u)::TIMESTAMP, INTERVAL 1 DAY) d "
+        "WHERE CAST(d.generate_series AS DATE) NOT IN (SELECT date FROM u)",
+    "high_water_mark": with_(LEAD) +
+        "SELECT symbol AS product, max(date) AS latest_date, max(date) + 1 AS next_start FROM lead GROUP BY symbol",
+    "latest_day_envelopes": with_(LEAD) +
+        "SELECT symbol AS instrument_id, CAST(date AS TIMESTAMP) AS event_time_utc, "
+        "round(price, 6) + 0.0 AS price FROM lead "
+        "WHERE (symbol, date) IN (SELECT symbol, max(date) FROM lead GROUP BY symbol)",
+    "corpus_roundtrip": with_(LEAD) +
+        "SELECT symbol AS instrument_id, date, round(price, 6) + 0.0 AS price FROM lead",
+})

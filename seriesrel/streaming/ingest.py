@@ -73,7 +73,7 @@ def series_to_envelopes(series: DataFrame, *, instrument_col: str, time_col: str
         F.lit(DEFAULT_SCHEMA_VERSION).alias("schema_version"),
         F.lit(source).alias("source"),
         F.col(instrument_col).alias("instrument_id"),
-        F.col(time_col).cast("timestamp").alias("event_time"),
+        F.col(time_col).cast("timestamp_ntz").alias("event_time"),
         (ingest_time if ingest_time is not None else F.current_timestamp()).alias("ingest_time"),
         F.lit(DEFAULT_QUALITY_FLAG).alias("quality_flag"),
         F.create_map(F.lit(payload_key), F.col(value_col).cast("string")).alias("payload"),
