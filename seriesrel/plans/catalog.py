@@ -179,9 +179,10 @@ QUERIES: dict[str, Query] = {
 
 
 def _register_more() -> None:
-    from . import ingest_queries, landing_queries
+    from . import ingest_queries, landing_queries, serve_queries
     QUERIES.update(ingest_queries.QUERIES)
     QUERIES.update(landing_queries.QUERIES)
+    QUERIES.update(serve_queries.QUERIES)
 
 
 _register_more()

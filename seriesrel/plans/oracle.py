@@ -322,3 +322,37 @@ SQL.update({
     "corpus_roundtrip": with_(LEAD) +
         "SELECT symbol AS instrument_id, date, round(price, 6) + 0.0 AS price FROM lead",
 })
+
+# ------------------------------------------------------------------- serve --
+RANGE = "date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'"
+
+
+def _panel_sql(metric: str, horizon: str, alias: str) -> str:
+    return (with_(*METRIC_CTES) + f"SELECT date AS time, round(value, 6) + 0.0 AS {alias} FROM ml "
+            f"WHERE symbol = 'A' AND metric = '{metric}' AND horizon = '{horizon}' AND {RANGE}")
+
+
+SQL.update({
+    "panel_price": with_(*BAR_CTES) +
+        f"SELECT date AS time, round(lead_price, 6) + 0.0 AS lead_price FROM bars WHERE symbol = 'A' AND {RANGE}",
+    "panel_rate": with_(*BAR_CTES) +
+        f"SELECT date AS time, round(ref_rate, 6) + 0.0 AS ref_rate FROM bars WHERE symbol = 'A' AND {RANGE}",
+    "panel_corr_30d": _panel_sql("pearson_corr", "30d", "corr_30d"),
+    "panel_corr_60d": _panel_sql("pearson_corr", "60d", "corr_60d"),
+    "panel_zscore_30d": _panel_sql("spread_zscore", "30d", "zscore_30d"),
+    "panel_zscore_60d": _panel_sql("spread_zscore", "60d", "zscore_60d"),
+    "zscore_band": with_(*METRIC_CTES) +
+        "SELECT date AS time, round(value, 6) + 0.0 AS zscore_30d FROM ml WHERE symbol = 'A' "
+        f"AND metric = 'spread_zscore' AND horizon = '30d' AND {RANGE} AND abs(value) > 2.5",
+    "latest_alerts": with_(*ALERT_CTES) +
+        "SELECT fired_at, kind, severity, symbol, horizon, description FROM alerts "
+        "ORDER BY fired_at DESC, kind, symbol, horizon LIMIT 50",
+    "metric_series": with_(*METRIC_CTES) +
+        "SELECT date AS time, round(value, 6) + 0.0 AS value FROM ml "
+        "WHERE symbol = 'R' AND metric = 'spread_zscore' AND horizon = '30d'",
+    "bars_for_metrics": with_(*BAR_CTES) +
+        "SELECT date, round(lead_logret, 6) + 0.0 AS lead_logret, round(ref_logret, 6) + 0.0 AS ref_logret "
+        "FROM bars WHERE symbol = 'R' AND horizon = '1d'",
+    "metrics_for_features": with_(*METRIC_CTES) +
+        "SELECT date, metric, horizon, round(value, 6) + 0.0 AS value FROM ml WHERE symbol = 'R'",
+})
