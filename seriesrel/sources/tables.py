@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -93,10 +93,16 @@ def insert_if_absent(new: DataFrame, path: str, spec: TableSpec, *,
     existing = read_table(spark, path)
     if existing is not None:
         rows = rows.join(existing.select("chunk", *spec.key), ["chunk", *spec.key], "left_anti")
-    obs = Observation(f"written_{spec.name}")
-    rows = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
-    write_partitioned(rows, path, spec, mode="append")
-    return int(obs.get.get("rows", 0))
+    # Count from a persisted frame: observations are not delivered inside a
+    # streaming foreachBatch, and the new rows are bounded by the batch.
+    rows = rows.persist()
+    try:
+        n = rows.count()
+        if n:
+            write_partitioned(rows, path, spec, mode="append")
+        return n
+    finally:
+        rows.unpersist()
 
 
 def read_range(spark: SparkSession, path: str, spec: TableSpec, *,

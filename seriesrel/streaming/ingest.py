@@ -102,8 +102,8 @@ def validate(decoded: DataFrame) -> DataFrame:
     flag = F.coalesce(F.col("quality_flag"), F.lit(DEFAULT_QUALITY_FLAG))
     ev = F.try_to_timestamp(F.col("event_time_utc"))
     ing = F.try_to_timestamp(F.col("ingest_time_utc"))
+    malformed = F.try_parse_json(F.col("raw")).isNull()
     checks = [
-        (F.try_parse_json(F.col("raw")).isNull(), "malformed_json"),
         (_present_not_int("schema_version") | (version < MIN_SCHEMA_VERSION),
          "schema_version_invalid"),
         (F.coalesce(F.length("source"), F.lit(0)) == 0, "source_empty"),
@@ -114,8 +114,9 @@ def validate(decoded: DataFrame) -> DataFrame:
         (F.coalesce(ev > ing, F.lit(False)), "event_after_ingest"),
         (F.col("payload").isNull(), "payload_missing"),
     ]
-    reasons = F.filter(F.array(*[F.when(c, F.lit(r)) for c, r in checks]),
-                       lambda x: x.isNotNull())
+    field_reasons = F.filter(F.array(*[F.when(c, F.lit(r)) for c, r in checks]),
+                             lambda x: x.isNotNull())
+    reasons = F.when(malformed, F.array(F.lit("malformed_json"))).otherwise(field_reasons)
     keep = [c for c in decoded.columns if c not in ENVELOPE_FIELDS and c != "raw"]
     return decoded.select(
         *keep, "raw",
