@@ -81,28 +81,39 @@ def series_to_envelopes(series: DataFrame, *, instrument_col: str, time_col: str
     return encode(fields)
 
 
+# Parse schema: integer fields as text (so "present but not an integer" is
+# visible without a second parse) plus the corrupt-record column.
+_CORRUPT = "_corrupt"
+_PARSE_SCHEMA = T.StructType(
+    [T.StructField(f.name, T.StringType()) if isinstance(f.dataType, T.IntegerType) else f
+     for f in ENVELOPE_SCHEMA.fields] + [T.StructField(_CORRUPT, T.StringType())])
+
+
 def decode(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Parse the JSON text; keep the other columns and the raw text."""
+    """Parse the JSON text once; keep the other columns and the raw text.
+
+    ``inline`` of the parsed struct is a Generate node: filters on the parsed
+    fields (e.g. ``valid()``) stay above it, so Catalyst cannot push them down
+    by re-inlining ``from_json`` once per referenced field.
+    """
     raw = F.col(value_col).cast("string")
     others = [c for c in df.columns if c != value_col]
-    return df.select(*others, raw.alias("raw"),
-                     F.from_json(raw, ENVELOPE_SCHEMA).alias("_e")) \
-             .select(*others, "raw", *[F.col(f"_e.{f}").alias(f) for f in ENVELOPE_FIELDS])
+    parsed = F.from_json(F.col("raw"), _PARSE_SCHEMA, {"columnNameOfCorruptRecord": _CORRUPT})
+    return df.select(*others, raw.alias("raw")).select(*others, "raw", F.inline(F.array(parsed)))
 
 
 def _present_not_int(field: str) -> Column:
-    txt = F.get_json_object(F.col("raw"), f"$.{field}")
-    return txt.isNotNull() & F.col(field).isNull()
+    return F.col(field).isNotNull() & F.col(field).try_cast("int").isNull()
 
 
 def validate(decoded: DataFrame) -> DataFrame:
     """Typed columns plus ``reject_reasons`` (empty array = valid)."""
     lo, hi = QUALITY_FLAG_RANGE
-    version = F.coalesce(F.col("schema_version"), F.lit(DEFAULT_SCHEMA_VERSION))
-    flag = F.coalesce(F.col("quality_flag"), F.lit(DEFAULT_QUALITY_FLAG))
+    version = F.coalesce(F.col("schema_version").try_cast("int"), F.lit(DEFAULT_SCHEMA_VERSION))
+    flag = F.coalesce(F.col("quality_flag").try_cast("int"), F.lit(DEFAULT_QUALITY_FLAG))
     ev = F.try_to_timestamp(F.col("event_time_utc"))
     ing = F.try_to_timestamp(F.col("ingest_time_utc"))
-    malformed = F.try_parse_json(F.col("raw")).isNull()
+    malformed = F.col(_CORRUPT).isNotNull() | F.col("raw").isNull()
     checks = [
         (_present_not_int("schema_version") | (version < MIN_SCHEMA_VERSION),
          "schema_version_invalid"),
@@ -114,10 +125,10 @@ def validate(decoded: DataFrame) -> DataFrame:
         (F.coalesce(ev > ing, F.lit(False)), "event_after_ingest"),
         (F.col("payload").isNull(), "payload_missing"),
     ]
-    field_reasons = F.filter(F.array(*[F.when(c, F.lit(r)) for c, r in checks]),
-                             lambda x: x.isNotNull())
+    none = F.array().cast("array<string>")
+    field_reasons = F.concat(*[F.when(c, F.array(F.lit(r))).otherwise(none) for c, r in checks])
     reasons = F.when(malformed, F.array(F.lit("malformed_json"))).otherwise(field_reasons)
-    keep = [c for c in decoded.columns if c not in ENVELOPE_FIELDS and c != "raw"]
+    keep = [c for c in decoded.columns if c not in (*ENVELOPE_FIELDS, "raw", _CORRUPT)]
     return decoded.select(
         *keep, "raw",
         version.alias("schema_version"), "source", "instrument_id",
