@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..config import ANOMALY_CUT, METRICS, N_SPLITS, TARGET_CLASS, WINDOWS
 from ..functions.columns import series_window
-from .metrics import metric_column
+from .metrics import metric_column, rolling_metrics
 
 
 def pivot_metrics(long: DataFrame, windows: dict[str, int] = WINDOWS,
@@ -36,12 +36,7 @@ def pivot_metrics(long: DataFrame, windows: dict[str, int] = WINDOWS,
     return keyed.groupBy("symbol", "date").pivot("_mh", names).agg(F.avg("value"))
 
 
-def feature_frame(bars: DataFrame, long: DataFrame, *, cut: float = ANOMALY_CUT,
-                  zscore_col: str = "spread_zscore_30d") -> DataFrame:
-    """Wide feature frame with targets, complete rows only."""
-    wide = pivot_metrics(long)
-    j = bars.select("symbol", "date", "lead_logret", "ref_logret") \
-            .join(wide, ["symbol", "date"], "inner")
+def _lags_and_targets(j: DataFrame, cut: float, zscore_col: str) -> DataFrame:
     w = series_window(["symbol"], "date")
     z = F.col(zscore_col)
     f = j.select(
@@ -56,6 +51,34 @@ def feature_frame(bars: DataFrame, long: DataFrame, *, cut: float = ANOMALY_CUT,
     return f.dropna(how="any")
 
 
+def feature_frame(bars: DataFrame, long: DataFrame, *, cut: float = ANOMALY_CUT,
+                  zscore_col: str = "spread_zscore_30d") -> DataFrame:
+    """Wide feature frame with targets, complete rows only (from stored
+    bars and long metrics: pivot, then inner join on symbol and day)."""
+    wide = pivot_metrics(long)
+    j = bars.select("symbol", "date", "lead_logret", "ref_logret") \
+            .join(wide, ["symbol", "date"], "inner")
+    return _lags_and_targets(j, cut, zscore_col)
+
+
+def features_from_bars(bars: DataFrame, windows: dict[str, int] = WINDOWS, *,
+                       cut: float = ANOMALY_CUT,
+                       zscore_col: str = "spread_zscore_30d") -> DataFrame:
+    """Same frame as ``feature_frame(bars, metrics_long(bars))`` in one pass.
+
+    The pivot of the long metrics has a row for a (symbol, day) exactly when
+    at least one metric is non-null, and its cells are the wide values, so
+    the pivot + join collapse into a filter on the wide frame. Every window
+    (metrics, lags, targets) then shares one ``partitionBy(symbol)``
+    exchange and the inputs are scanned once.
+    """
+    wide = rolling_metrics(bars, windows, keep=("lead_logret", "ref_logret"))
+    names = [metric_column(m, h) for m in METRICS for h in windows]
+    j = wide.where(F.coalesce(*[F.col(c) for c in names]).isNotNull())
+    return _lags_and_targets(j.select("symbol", "date", "lead_logret", "ref_logret", *names),
+                             cut, zscore_col)
+
+
 def time_folds(features: DataFrame, n_splits: int = N_SPLITS, *,
                keys: tuple[str, ...] = ("symbol",), order: str = "date") -> DataFrame:
     """Features plus ``row_index``, ``fold`` and ``role`` ('train' / 'test').

@@ -30,11 +30,12 @@ def metric_column(metric: str, horizon: str) -> str:
 
 def rolling_metrics(bars: DataFrame, windows: dict[str, int] = WINDOWS, *,
                     keys: tuple[str, ...] = ("symbol",), order: str = "date",
-                    lead_col: str = "lead_logret", ref_col: str = "ref_logret") -> DataFrame:
-    """Wide frame: keys, order, and ``<metric>_<horizon>`` per window."""
+                    lead_col: str = "lead_logret", ref_col: str = "ref_logret",
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """Wide frame: keys, order, ``keep`` columns and ``<metric>_<horizon>``."""
     w = series_window(list(keys), order)
     spread = F.col(lead_col) - F.col(ref_col)
-    cols = [*keys, order]
+    cols = [*keys, order, *keep]
     for h, n in windows.items():
         frame = trailing(w, n)
         n_rows = F.count(F.lit(1)).over(frame)

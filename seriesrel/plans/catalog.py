@@ -80,8 +80,13 @@ def q_alert_counts_by_year(spark, sf_dir):
 
 
 def feature_rows(spark, sf_dir) -> DataFrame:
+    return features.features_from_bars(bars(spark, sf_dir))
+
+
+def q_features_joined(spark, sf_dir):
+    """The general path (pivot + join of long metrics with bars)."""
     b = bars(spark, sf_dir)
-    return features.feature_frame(b, metrics.metrics_long(b))
+    return round_doubles(features.feature_frame(b, metrics.metrics_long(b)))
 
 
 def folded_naive(spark, sf_dir) -> DataFrame:
@@ -165,6 +170,7 @@ QUERIES: dict[str, Query] = {
     "alert_counts_by_year": q_alert_counts_by_year,
     "features_wide": q_features_wide,
     "features_lagged": q_features_lagged,
+    "features_joined": q_features_joined,
     "sample_count": q_sample_count,
     "time_folds": q_time_folds,
     "class_weights": q_class_weights,

@@ -231,6 +231,7 @@ SQL.update({
     "features_wide": with_(*METRIC_CTES, FW) + "SELECT symbol, date, " +
         ", ".join(rnd(c, c) for c in PIVOT_NAMES) + " FROM fw",
     "features_lagged": with_(*FEATURE_CTES) + f"SELECT {FEATURE_SELECT} FROM feat",
+    "features_joined": with_(*FEATURE_CTES) + f"SELECT {FEATURE_SELECT} FROM feat",
     "sample_count": with_(*FEATURE_CTES) + "SELECT symbol, count(*) AS n_samples FROM feat GROUP BY symbol",
     "time_folds": with_(*FOLD_CTES) + "SELECT symbol, date, row_index, fold, role FROM folded",
     "class_weights": with_(*FEATURE_CTES,
