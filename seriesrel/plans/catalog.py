@@ -155,6 +155,33 @@ def q_model_classifier(spark, sf_dir):
     return round_doubles(_trained(spark, sf_dir).report)
 
 
+# Chunk size for the blocked forms in the catalogue: small enough that every
+# fixture series spans several chunks (it changes the plan, not the result).
+BLOCK_ROWS = 500
+
+
+def q_aligned_bars_blocked(spark, sf_dir):
+    from ..operators.blocked import align_blocked
+    return round_doubles(align_blocked(fx.lead_series(spark, sf_dir),
+                                       fx.reference_series(spark, sf_dir), chunk_rows=BLOCK_ROWS))
+
+
+def q_metrics_long_blocked(spark, sf_dir):
+    from ..operators.blocked import metrics_long_blocked
+    return round_doubles(metrics_long_blocked(bars(spark, sf_dir), chunk_rows=BLOCK_ROWS))
+
+
+def q_cusum_accumulator_blocked(spark, sf_dir):
+    from ..operators.blocked import cusum_blocked
+    acc = cusum_blocked(detect.metric_series(long_metrics(spark, sf_dir)), chunk_rows=BLOCK_ROWS)
+    return round_doubles(acc.select("symbol", "horizon", "date", "value", "cusum"))
+
+
+def q_cusum_alerts_blocked(spark, sf_dir):
+    from ..operators.blocked import cusum_alerts_blocked
+    return cusum_alerts_blocked(long_metrics(spark, sf_dir), chunk_rows=BLOCK_ROWS)
+
+
 QUERIES: dict[str, Query] = {
     "aligned_bars": q_aligned_bars,
     "forward_fill": q_forward_fill,
@@ -176,6 +203,10 @@ QUERIES: dict[str, Query] = {
     "class_weights": q_class_weights,
     "mae_by_fold": q_mae_by_fold,
     "classification_report": q_classification_report,
+    "aligned_bars_blocked": q_aligned_bars_blocked,
+    "metrics_long_blocked": q_metrics_long_blocked,
+    "cusum_accumulator_blocked": q_cusum_accumulator_blocked,
+    "cusum_alerts_blocked": q_cusum_alerts_blocked,
     "changepoints": q_changepoints,
     "changepoint_alerts": q_changepoint_alerts,
     "detect_alerts": q_detect_alerts,

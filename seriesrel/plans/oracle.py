@@ -357,3 +357,11 @@ SQL.update({
     "metrics_for_features": with_(*METRIC_CTES) +
         "SELECT date, metric, horizon, round(value, 6) + 0.0 AS value FROM ml WHERE symbol = 'R'",
 })
+
+# The blocked forms must equal the plain ones exactly.
+SQL.update({
+    "aligned_bars_blocked": SQL["aligned_bars"],
+    "metrics_long_blocked": SQL["metrics_long"],
+    "cusum_accumulator_blocked": SQL["cusum_accumulator"],
+    "cusum_alerts_blocked": SQL["cusum_alerts"],
+})
