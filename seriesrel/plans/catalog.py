@@ -182,6 +182,21 @@ def q_cusum_alerts_blocked(spark, sf_dir):
     return cusum_alerts_blocked(long_metrics(spark, sf_dir), chunk_rows=BLOCK_ROWS)
 
 
+def q_batch_alerts_table(spark, sf_dir):
+    """Run the whole batch chain into tables, twice (the rerun must write
+    nothing), and read back the CUSUM alerts."""
+    from ..session import scratch_path
+    from .batch import run_analytics
+    root = scratch_path(spark, "batch")
+    lead, ref = fx.lead_series(spark, sf_dir), fx.reference_series(spark, sf_dir)
+    run_analytics(spark, lead, ref, root)
+    again = run_analytics(spark, lead, ref, root)
+    if any(again.written.values()):
+        raise AssertionError(f"rerun wrote rows: {again.written}")
+    alerts = spark.read.parquet(again.path("alerts")).drop("chunk")
+    return alerts.where(F.col("kind") == "cusum_zscore_breach")
+
+
 QUERIES: dict[str, Query] = {
     "aligned_bars": q_aligned_bars,
     "forward_fill": q_forward_fill,
@@ -207,6 +222,7 @@ QUERIES: dict[str, Query] = {
     "metrics_long_blocked": q_metrics_long_blocked,
     "cusum_accumulator_blocked": q_cusum_accumulator_blocked,
     "cusum_alerts_blocked": q_cusum_alerts_blocked,
+    "batch_alerts_table": q_batch_alerts_table,
     "changepoints": q_changepoints,
     "changepoint_alerts": q_changepoint_alerts,
     "detect_alerts": q_detect_alerts,

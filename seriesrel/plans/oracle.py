@@ -364,4 +364,5 @@ SQL.update({
     "metrics_long_blocked": SQL["metrics_long"],
     "cusum_accumulator_blocked": SQL["cusum_accumulator"],
     "cusum_alerts_blocked": SQL["cusum_alerts"],
+    "batch_alerts_table": SQL["cusum_alerts"],
 })
