@@ -23,6 +23,7 @@ def build_session(
     app_name: str = "seriesrel",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    packages: list[str] | None = None,
 ) -> SparkSession:
     """Build (or get) a session with the settings every job here relies on.
 
@@ -46,6 +47,8 @@ def build_session(
         shuffle_partitions = 2 * (os.cpu_count() or 4)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if packages:   # e.g. f"{KAFKA_PACKAGE}:<spark version>" on a cluster with a repository
+        conf["spark.jars.packages"] = ",".join(packages)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
