@@ -107,3 +107,19 @@ def round_doubles(df, digits: int = 6):
         else:
             out.append(F.col(f.name))
     return df.select(*out)
+
+
+def keep_first(df, keys, order):
+    """One row per key: the row with the smallest ``order`` (list of columns).
+
+    Written as an aggregate (``min_by`` of the packed row), so copies of a key
+    are reduced inside every input partition before the shuffle (partial
+    aggregation): a key with a huge number of copies never lands whole in one
+    task, unlike ``row_number`` over a window partitioned by the key.
+    """
+    keys = list(keys)
+    others = [c for c in df.columns if c not in keys]
+    order = [col_(c) for c in order]
+    packed = F.min_by(F.struct(*[F.col(c) for c in others]), F.struct(*order))
+    out = df.groupBy(*keys).agg(packed.alias("_row"))
+    return out.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)

@@ -17,10 +17,12 @@ marks, and picking one day's value.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import keep_first
+
 PAGE_SCHEMA = T.StructType([
     T.StructField("response", T.StructType([
         T.StructField("total", T.StringType()),
@@ -98,8 +100,7 @@ def union_first_wins(*series: DataFrame, keys: tuple[str, ...] = ("date",)) -> D
     u = tagged[0]
     for t in tagged[1:]:
         u = u.unionByName(t)
-    w = Window.partitionBy(*keys).orderBy("_prio")
-    return u.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_prio")
+    return keep_first(u, keys, ["_prio"]).drop("_prio")
 
 
 def gap_after(hist: DataFrame, recent: DataFrame, *, time_col: str = "date",
@@ -152,8 +153,7 @@ def value_on_day(series: DataFrame, day, *, keys: tuple[str, ...] = ("instrument
                  time_col: str = "date", order: str | None = None) -> DataFrame:
     """First row of ``day`` per key (ordered by ``order`` or the time column)."""
     d = series.where(F.col(time_col).cast("date") == F.lit(day).cast("date"))
-    w = Window.partitionBy(*keys).orderBy(order or time_col)
-    return d.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    return keep_first(d, keys, [order or time_col])
 
 
 def newest_day(series: DataFrame, *, keys: tuple[str, ...] = ("instrument_id",),

@@ -17,10 +17,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from ..functions.columns import keep_first
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -79,9 +81,9 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
 
 
 def dedupe_keep_first(df: DataFrame, key: tuple[str, ...], order: list[Column]) -> DataFrame:
-    """One row per key: the first by ``order`` (deterministic, unlike dropDuplicates)."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """One row per key: the first by ``order`` (deterministic, unlike
+    dropDuplicates), reduced map-side so a hot group of copies is cheap."""
+    return keep_first(df, key, order)
 
 
 def insert_if_absent(new: DataFrame, path: str, spec: TableSpec, *,
