@@ -20,6 +20,8 @@ instead of a silent cut.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -30,6 +32,14 @@ from ..config import (KIND_REGIME, PELT_JUMP, PELT_MIN_SIZE, PELT_PENALTY,
 from ..functions.columns import utc_midnight
 from .detect import metric_series
 
+# The grouped-map function runs in Python workers: ship this module's code
+# with it (by value) so workers need no installed copy of the package.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # older cloudpickle: needs --py-files
+    pass
+
 MAX_POINTS = 8_000
 _BLOCK = 512
 
@@ -124,7 +134,12 @@ def changepoints(long: DataFrame, *, metric: str = "spread_zscore",
             "date": pdf["date"].to_numpy()[bkps] if bkps else pd.Series([], dtype="object"),
         })
 
-    return series.groupBy("symbol", "horizon").applyInPandas(detect, CHANGEPOINT_SCHEMA)
+    # Kernel search is CPU-bound per series: an explicit partition count keeps
+    # AQE from coalescing the (small) shuffle into a few tasks, so series run
+    # in parallel; the hash partitioning also satisfies the grouped map.
+    n = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = series.repartition(n, "symbol", "horizon")
+    return spread.groupBy("symbol", "horizon").applyInPandas(detect, CHANGEPOINT_SCHEMA)
 
 
 def changepoint_alerts(long: DataFrame, *, metric: str = "spread_zscore", **kw) -> DataFrame:
