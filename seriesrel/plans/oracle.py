@@ -25,7 +25,7 @@ def with_(*ctes: str) -> str:
 LEAD = """lead AS (
   SELECT l_returnflag AS symbol, CAST(l_shipdate AS DATE) AS date,
          max(l_extendedprice) AS price
-  FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY 1, 2)"""
+  FROM lineitem GROUP BY 1, 2)"""
 
 REF = """ref AS (
   SELECT CAST(o_orderdate AS DATE) AS date, max(o_totalprice) AS rate

@@ -1,7 +1,7 @@
 """Series fixtures derived from the driver's TPC-H-ish tables.
 
-* lead series: ``lineitem`` rows whose return flag is a lead symbol; the daily
-  price is ``max(l_extendedprice)`` (exact on every engine).
+* lead series: ``lineitem``, one series per return flag; the daily price is
+  ``max(l_extendedprice)`` (exact on every engine).
 * reference series: ``orders`` of one priority; the daily rate is
   ``max(o_totalprice)``.
 * envelopes: ``events`` rows re-expressed as versioned messages.
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from ..functions.columns import day_of
 
 # Fixture parameters (our choice of how to stand the series up on the tables).
-LEAD_SYMBOLS = ("A", "R")
 REFERENCE_PRIORITY = "1-URGENT"
 RECENT_PRIORITY = "2-HIGH"
 FIXTURE_SOURCE = "events"
@@ -39,11 +38,13 @@ def daily_series(df: DataFrame, time_col: str, value_col: str,
 
 
 def lead_series(spark: SparkSession, sf_dir: str,
-                symbols: tuple[str, ...] = LEAD_SYMBOLS) -> DataFrame:
-    """(symbol, date, price): one lead series per return flag."""
-    li = (table(spark, sf_dir, "lineitem")
-          .where(F.col("l_returnflag").isin(*symbols))
-          .select(F.col("l_returnflag").alias("symbol"), "l_shipdate", "l_extendedprice"))
+                symbols: tuple[str, ...] | None = None) -> DataFrame:
+    """(symbol, date, price): one lead series per return flag (all flags by
+    default, i.e. the whole table; ``symbols`` restricts to some)."""
+    li = table(spark, sf_dir, "lineitem")
+    if symbols:
+        li = li.where(F.col("l_returnflag").isin(*symbols))
+    li = li.select(F.col("l_returnflag").alias("symbol"), "l_shipdate", "l_extendedprice")
     return daily_series(li, "l_shipdate", "l_extendedprice", ("symbol",), "price")
 
 
