@@ -80,9 +80,18 @@ def cusum_alerts(long: DataFrame, *, metric: str = "spread_zscore",
 
 
 def detect_alerts(long: DataFrame, *, with_changepoints: bool = True,
-                  metric: str = "spread_zscore", **kw) -> DataFrame:
-    """Both detectors over every series of ``metric``, one alert frame."""
-    alerts = cusum_alerts(long, metric=metric)
+                  metric: str = "spread_zscore", chunk_rows: int | None = None,
+                  **kw) -> DataFrame:
+    """Both detectors over every series of ``metric``, one alert frame.
+
+    ``chunk_rows`` runs CUSUM and the latch in their blocked form (same
+    alerts) for series too long for one task.
+    """
+    if chunk_rows is None:
+        alerts = cusum_alerts(long, metric=metric)
+    else:
+        from .blocked import cusum_alerts_blocked
+        alerts = cusum_alerts_blocked(long, metric=metric, chunk_rows=chunk_rows)
     if with_changepoints:
         from .changepoints import changepoint_alerts
         alerts = alerts.unionByName(changepoint_alerts(long, metric=metric, **kw))

@@ -52,6 +52,6 @@ def run_analytics(spark: SparkSession, lead: DataFrame, ref: DataFrame, root: st
         long, res.path("relationship_metrics"), tables.METRICS)
 
     stored = spark.read.parquet(res.path("relationship_metrics")).drop("chunk")
-    alerts = detect_alerts(stored, with_changepoints=with_changepoints)
+    alerts = detect_alerts(stored, with_changepoints=with_changepoints, chunk_rows=chunk_rows)
     res.written["alerts"] = tables.insert_if_absent(alerts, res.path("alerts"), tables.ALERTS)
     return res

@@ -76,3 +76,20 @@ def test_align_blocked_equals_plain(spark, chunk_rows):
     plain = align(l, r).toPandas()
     blk = blocked.align_blocked(l, r, chunk_rows=chunk_rows).toPandas()[plain.columns]
     _same(plain.drop(columns=["horizon"]), blk.drop(columns=["horizon"]), ["symbol", "date"])
+
+
+def test_batch_run_blocked_equals_plain(spark):
+    from conftest import SF_SMALL
+    from seriesrel.plans.batch import run_analytics
+    from seriesrel.session import scratch_path
+    from seriesrel.sources import fixtures as fx
+    lead, ref = fx.lead_series(spark, SF_SMALL), fx.reference_series(spark, SF_SMALL)
+    a = run_analytics(spark, lead, ref, scratch_path(spark, "t-plain"), with_changepoints=False)
+    b = run_analytics(spark, lead, ref, scratch_path(spark, "t-blk"), with_changepoints=False,
+                      chunk_rows=300)
+    assert a.written == b.written
+    for t in ("aligned_bars", "relationship_metrics", "alerts"):
+        x = spark.read.parquet(a.path(t)).drop("chunk")
+        y = spark.read.parquet(b.path(t)).drop("chunk")
+        cols = [c for c in x.columns if c not in ("value", "lead_logret", "ref_logret")]
+        assert x.select(*cols).exceptAll(y.select(*cols)).count() == 0
