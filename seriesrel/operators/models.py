@@ -60,6 +60,8 @@ def train_models(features: DataFrame, params: ModelParams | None = None, *,
                  n_splits: int = N_SPLITS, model_dir: str | None = None,
                  refit: bool = True) -> TrainResult:
     p = params or ModelParams()
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(features.sparkSession)
     assembler = VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="features")
     folded = time_folds(features, n_splits)
     data = assembler.transform(folded)

@@ -144,6 +144,16 @@ def q_corpus_roundtrip(spark, sf_dir):
     return round_doubles(back)
 
 
+# Fixture parameter: the day the single-day pick asks for.
+PICK_DAY = "1998-06-15"
+
+
+def q_value_on_day(spark, sf_dir):
+    rows = json_rows(spark, sf_dir)
+    return round_doubles(landing.value_on_day(rows, PICK_DAY, keys=("product",))
+                         .select("product", "date", "price"))
+
+
 QUERIES = {
     "landed_json_series": q_landed_json_series,
     "page_completeness": q_page_completeness,
@@ -156,4 +166,5 @@ QUERIES = {
     "high_water_mark": q_high_water_mark,
     "latest_day_envelopes": q_latest_day_envelopes,
     "corpus_roundtrip": q_corpus_roundtrip,
+    "value_on_day": q_value_on_day,
 }

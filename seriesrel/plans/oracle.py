@@ -366,3 +366,11 @@ SQL.update({
     "cusum_alerts_blocked": SQL["cusum_alerts"],
     "batch_alerts_table": SQL["cusum_alerts"],
 })
+
+SQL.update({
+    "sql_panel_zscore_30d": SQL["panel_zscore_30d"],
+    "sql_latest_alerts": SQL["latest_alerts"],
+})
+
+SQL["value_on_day"] = (with_(LEAD) + "SELECT symbol AS product, date, round(price, 6) + 0.0 AS price "
+                       "FROM lead WHERE date = DATE '1998-06-15'")

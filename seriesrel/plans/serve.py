@@ -82,3 +82,54 @@ def metrics_for_features(long: DataFrame, symbol: str) -> DataFrame:
     """N11: every metric of one symbol in time order."""
     return (long.where(F.col("symbol") == symbol)
                 .select("date", "metric", "horizon", "value").orderBy("date"))
+
+
+# --------------------------------------------------------------- SQL route --
+# The dashboard's panel queries as Spark SQL with named parameters (no string
+# interpolation of user values). Views are registered from DataFrames or from
+# the written tables.
+PANEL_SQL = {
+    "price": "SELECT date AS time, lead_price FROM aligned_bars "
+             "WHERE symbol = :symbol AND date BETWEEN :start AND :end ORDER BY time",
+    "rate": "SELECT date AS time, ref_rate FROM aligned_bars "
+            "WHERE symbol = :symbol AND date BETWEEN :start AND :end ORDER BY time",
+    "corr_30d": "SELECT date AS time, value AS corr_30d FROM relationship_metrics "
+                "WHERE symbol = :symbol AND metric = 'pearson_corr' AND horizon = '30d' "
+                "AND date BETWEEN :start AND :end ORDER BY time",
+    "corr_60d": "SELECT date AS time, value AS corr_60d FROM relationship_metrics "
+                "WHERE symbol = :symbol AND metric = 'pearson_corr' AND horizon = '60d' "
+                "AND date BETWEEN :start AND :end ORDER BY time",
+    "zscore_30d": "SELECT date AS time, value AS zscore_30d FROM relationship_metrics "
+                  "WHERE symbol = :symbol AND metric = 'spread_zscore' AND horizon = '30d' "
+                  "AND date BETWEEN :start AND :end ORDER BY time",
+    "zscore_60d": "SELECT date AS time, value AS zscore_60d FROM relationship_metrics "
+                  "WHERE symbol = :symbol AND metric = 'spread_zscore' AND horizon = '60d' "
+                  "AND date BETWEEN :start AND :end ORDER BY time",
+    "latest_alerts": "SELECT fired_at, kind, severity, symbol, horizon, description FROM alerts "
+                     "ORDER BY fired_at DESC, kind, symbol, horizon LIMIT :limit",
+}
+
+
+def register_views(spark, *, bars: DataFrame | None = None, metrics: DataFrame | None = None,
+                   alerts: DataFrame | None = None) -> None:
+    for name, df in (("aligned_bars", bars), ("relationship_metrics", metrics), ("alerts", alerts)):
+        if df is not None:
+            df.createOrReplaceTempView(name)
+
+
+def register_tables(spark, root: str) -> None:
+    """Temp views over the tables written by ``plans.batch.run_analytics``."""
+    register_views(spark,
+                   bars=spark.read.parquet(f"{root}/aligned_bars"),
+                   metrics=spark.read.parquet(f"{root}/relationship_metrics"),
+                   alerts=spark.read.parquet(f"{root}/alerts"))
+
+
+def run_panel(spark, name: str, **params) -> DataFrame:
+    """One panel query; ``params`` are bound to the ``:name`` markers."""
+    import datetime as dt
+    args = {k: (dt.date.fromisoformat(v) if k in ("start", "end") and isinstance(v, str) else v)
+            for k, v in params.items()}
+    if name == "latest_alerts":
+        args.setdefault("limit", LATEST_ALERTS_LIMIT)
+    return spark.sql(PANEL_SQL[name], args=args)

@@ -51,6 +51,17 @@ def q_metrics_for_features(spark, sf_dir):
     return round_doubles(serve.metrics_for_features(long_metrics(spark, sf_dir), SECOND_SYMBOL))
 
 
+def q_sql_panel_zscore_30d(spark, sf_dir):
+    serve.register_views(spark, metrics=long_metrics(spark, sf_dir))
+    return round_doubles(serve.run_panel(spark, "zscore_30d", symbol=PANEL_SYMBOL,
+                                         start=START, end=END))
+
+
+def q_sql_latest_alerts(spark, sf_dir):
+    serve.register_views(spark, alerts=detect.cusum_alerts(long_metrics(spark, sf_dir)))
+    return serve.run_panel(spark, "latest_alerts")
+
+
 QUERIES = {
     "panel_price": q_panel_price,
     "panel_rate": q_panel_rate,
@@ -63,4 +74,6 @@ QUERIES = {
     "metric_series": q_metric_series,
     "bars_for_metrics": q_bars_for_metrics,
     "metrics_for_features": q_metrics_for_features,
+    "sql_panel_zscore_30d": q_sql_panel_zscore_30d,
+    "sql_latest_alerts": q_sql_latest_alerts,
 }
