@@ -26,8 +26,23 @@ FIXTURE_LEAD_INSTRUMENTS = ("click", "view", "purchase")
 FIXTURE_REFERENCE_INSTRUMENT = "signup"
 
 
+# Declared schemas of the driver tables the fixtures read (no inference job).
+SCHEMAS = {
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+              "value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def daily_series(df: DataFrame, time_col: str, value_col: str,
