@@ -9,8 +9,8 @@ time filters that serve queries use (the reference's indexes).
 
 Writes are idempotent by key: new rows are de-duplicated within the batch and
 anti-joined with the existing table on (chunk, key...). ``chunk`` is the
-partition column, so the anti-join's existing side is pruned to the chunks
-the batch touches (dynamic partition pruning) instead of scanning the table.
+partition column and the existing side is filtered to the chunks the batch
+touches, so the anti-join reads only those partitions, never the table.
 """
 
 from __future__ import annotations
@@ -88,21 +88,34 @@ def dedupe_keep_first(df: DataFrame, key: tuple[str, ...], order: list[Column])
 
 def insert_if_absent(new: DataFrame, path: str, spec: TableSpec, *,
                      order: list[Column] | None = None) -> int:
-    """Append rows whose key is not in the table yet; return rows written."""
+    """Append rows whose key is not in the table yet; return rows written.
+
+    Only the partitions (chunks) the new rows fall in are read from the
+    existing table: the distinct chunk values of the batch -- a list bounded
+    by its time span (about 53 per year), not by its size -- become a
+    partition filter, so the anti-join never scans or shuffles the rest.
+    """
     spark = new.sparkSession
     rows = with_chunk(new, spec)
-    rows = dedupe_keep_first(rows, spec.key, order or [F.col(c) for c in rows.columns])
-    existing = read_table(spark, path)
-    if existing is not None:
-        rows = rows.join(existing.select("chunk", *spec.key), ["chunk", *spec.key], "left_anti")
-    # Count from a persisted frame: observations are not delivered inside a
-    # streaming foreachBatch, and the new rows are bounded by the batch.
-    rows = rows.persist()
+    rows = dedupe_keep_first(rows, spec.key, order or [F.col(c) for c in rows.columns]).persist()
     try:
-        n = rows.count()
-        if n:
-            write_partitioned(rows, path, spec, mode="append")
-        return n
+        existing = read_table(spark, path)
+        if existing is not None:
+            chunks = [r[0] for r in rows.select("chunk").distinct().collect()]
+            touched = existing.where(F.col("chunk").isin(chunks)).select("chunk", *spec.key)
+            to_write = rows.join(touched, ["chunk", *spec.key], "left_anti")
+        else:
+            to_write = rows
+        # Count from a persisted frame: observations are not delivered inside a
+        # streaming foreachBatch, and the new rows are bounded by the batch.
+        to_write = to_write.persist()
+        try:
+            n = to_write.count()
+            if n:
+                write_partitioned(to_write, path, spec, mode="append")
+            return n
+        finally:
+            to_write.unpersist()
     finally:
         rows.unpersist()
 
