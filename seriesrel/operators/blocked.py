@@ -5,9 +5,10 @@ for daily bars (a series is bounded by the calendar), but a raw tick series
 of one hot symbol can hold a large share of all rows. The functions here give
 the *same results* as the plain windows while every task stays bounded:
 
-1. ``index_rows``: the 0-based position of each row in its series, from
-   per-(key, time bucket) counts (a small aggregate), running offsets over
-   that small table, and ``row_number`` inside each bucket.
+1. ``index_rows``: the 0-based position of each row in its series, from a
+   range partitioning on (key, time) (which splits a hot key over many
+   partitions), positions inside each sorted partition, and running offsets
+   over a small per-(key, partition) table.
 2. Rows are cut into chunks of ``chunk_rows`` consecutive positions.
 3. Row-count frames (rolling n, lag): the last ``n - 1`` rows of each chunk
    are copied into the next chunk as a halo, the window runs per
@@ -33,17 +34,36 @@ DEFAULT_CHUNK_ROWS = 1_000_000
 
 
 def index_rows(df: DataFrame, keys: tuple[str, ...], order: str,
-               bucket_unit: str = "month") -> DataFrame:
-    """Add ``_idx``: position of the row in its series ordered by ``order``."""
-    d = df.withColumn("_b", F.date_trunc(bucket_unit, F.col(order)))
-    counts = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_b",
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    rn = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(order))
-    return (d.withColumn("_rn", rn).join(offsets, [*keys, "_b"])
-             .withColumn("_idx", (F.col("_off") + F.col("_rn") - 1).cast("long"))
-             .drop("_b", "_rn", "_off"))
+               partitions: int | None = None) -> DataFrame:
+    """Add ``_idx``: position of the row in its series ordered by ``order``.
+
+    Range-partition on (keys, order) -- the range partitioner samples the
+    data, so a hot key is spread over many partitions -- and sort within
+    partitions. A row's position inside its partition is the low bits of
+    ``monotonically_increasing_id``; the numbered rows are checkpointed once,
+    then per (key, partition) counts and first positions form a small table
+    (about keys + partitions rows) whose running sums give each key's offset.
+    No window over a whole key, no second shuffle of the data.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = (df.repartitionByRange(n, *keys, order).sortWithinPartitions(*keys, order)
+           .withColumn("_pid", F.spark_partition_id())
+           .withColumn("_pos", F.monotonically_increasing_id()
+                       - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    # Partition ids and positions depend on the sampled range bounds: write
+    # them once (reliable checkpoint in the shared folder) so the two uses
+    # below, and any recomputation after a lost executor, see the same values.
+    d = d.checkpoint(eager=True)
+    parts = d.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_n"),
+                                         F.min("_pos").alias("_first"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(*keys, "_pid", "_first",
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (d.join(F.broadcast(offsets), [*keys, "_pid"])
+             .withColumn("_idx", (F.col("_off") + F.col("_pos") - F.col("_first")).cast("long"))
+             .drop("_pid", "_pos", "_first", "_off"))
 
 
 def chunk_of(chunk_rows: int) -> Column:
@@ -86,12 +106,12 @@ def carry_last(d: DataFrame, keys: tuple[str, ...], value: str, out: str) -> Dat
 
 # ----------------------------------------------------------------- align --
 def align_blocked(lead: DataFrame, ref: DataFrame, *, chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                  horizon: str = BAR_HORIZON, bucket_unit: str = "month") -> DataFrame:
+                  horizon: str = BAR_HORIZON) -> DataFrame:
     """``align`` for very long lead series (same rows and values)."""
     lead_n = lead.select("symbol", day_of("date").alias("date"),
                          F.col("price").cast("double").alias("lead_price"))
     ref_n = ref.select(day_of("date").alias("date"), F.col("rate").cast("double").alias("ref_observed"))
-    j = index_rows(lead_n.join(ref_n, "date", "left"), ("symbol",), "date", bucket_unit)
+    j = index_rows(lead_n.join(ref_n, "date", "left"), ("symbol",), "date")
     j = j.withColumn("_chunk", chunk_of(chunk_rows))
     # forward fill = last non-null up to and including the row
     j = carry_last(j, ("symbol",), "ref_observed", "_ref_prev")
@@ -114,12 +134,11 @@ def align_blocked(lead: DataFrame, ref: DataFrame, *, chunk_rows: int = DEFAULT_
 # --------------------------------------------------------------- metrics --
 def rolling_metrics_blocked(bars: DataFrame, windows: dict[str, int] = WINDOWS, *,
                             chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                            keys: tuple[str, ...] = ("symbol",), order: str = "date",
-                            bucket_unit: str = "month") -> DataFrame:
+                            keys: tuple[str, ...] = ("symbol",), order: str = "date") -> DataFrame:
     """``rolling_metrics`` via halos (same rows and values)."""
     from .metrics import rolling_metrics
     halo = max(windows.values()) - 1
-    d = with_halo(index_rows(bars, keys, order, bucket_unit), halo, chunk_rows)
+    d = with_halo(index_rows(bars, keys, order), halo, chunk_rows)
     wide = rolling_metrics(d, windows, keys=(*keys, "_chunk"), order="_idx",
                            keep=(order, "_halo"))
     return wide.where(~F.col("_halo")).drop("_halo", "_chunk", "_idx")
@@ -136,10 +155,10 @@ def metrics_long_blocked(bars: DataFrame, windows: dict[str, int] = WINDOWS, **k
 def cusum_blocked(series: DataFrame, *, threshold: float = CUSUM_THRESHOLD,
                   chunk_rows: int = DEFAULT_CHUNK_ROWS,
                   keys: tuple[str, ...] = ("symbol", "horizon"), order: str = "date",
-                  value_col: str = "value", bucket_unit: str = "month") -> DataFrame:
+                  value_col: str = "value") -> DataFrame:
     """``cusum`` via chunk summaries: a chunk maps the running sum P by its
     total S and contributes min prefix m; carries are combined over chunks."""
-    d = index_rows(series, keys, order, bucket_unit).withColumn("_chunk", chunk_of(chunk_rows))
+    d = index_rows(series, keys, order).withColumn("_chunk", chunk_of(chunk_rows))
     wc = _chunk_window(keys)
     step = F.when(F.col("_idx") == 0, F.lit(0.0)) \
             .otherwise(F.abs(F.col(value_col)) - F.lit(threshold))

@@ -93,3 +93,17 @@ def test_batch_run_blocked_equals_plain(spark):
         y = spark.read.parquet(b.path(t)).drop("chunk")
         cols = [c for c in x.columns if c not in ("value", "lead_logret", "ref_logret")]
         assert x.select(*cols).exceptAll(y.select(*cols)).count() == 0
+
+
+def test_index_rows_hot_key_spans_partitions(spark):
+    from pyspark.sql import functions as F
+    hot = spark.range(6000).select(F.lit("hot").alias("symbol"),
+                                   F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int")).alias("date"))
+    cold = spark.range(7).select(F.lit("cold").alias("symbol"),
+                                 F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int")).alias("date"))
+    ix = blocked.index_rows(hot.unionByName(cold), ("symbol",), "date", partitions=16)
+    pdf = ix.withColumn("_p", F.spark_partition_id()).toPandas()
+    assert pdf[pdf.symbol == "hot"]["_p"].nunique() > 4          # the hot key is split
+    for s, g in pdf.groupby("symbol"):
+        g = g.sort_values("date")
+        assert list(g["_idx"]) == list(range(len(g)))
