@@ -123,3 +123,9 @@ def keep_first(df, keys, order):
     packed = F.min_by(F.struct(*[F.col(c) for c in others]), F.struct(*order))
     out = df.groupBy(*keys).agg(packed.alias("_row"))
     return out.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
+
+
+def utc_wall_clock(c: str | Column) -> Column:
+    """An instant (TIMESTAMP) as its UTC wall-clock time (TIMESTAMP_NTZ),
+    whatever the session time zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), col_(c).cast("timestamp_ntz"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import round_doubles
+from ..functions.columns import round_doubles, utc_wall_clock
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import tables
@@ -19,7 +19,7 @@ def checked_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ntz(c: str):
-    return F.col(c).cast("timestamp_ntz").alias(c)
+    return utc_wall_clock(c).alias(c)
 
 
 def q_envelope_decode(spark, sf_dir):
@@ -27,8 +27,8 @@ def q_envelope_decode(spark, sf_dir):
     d = ingest.decode(enc)
     return round_doubles(d.select(
         "event_id", "schema_version", "source", "instrument_id",
-        F.try_to_timestamp("event_time_utc").cast("timestamp_ntz").alias("event_time_utc"),
-        F.try_to_timestamp("ingest_time_utc").cast("timestamp_ntz").alias("ingest_time_utc"),
+        utc_wall_clock(F.try_to_timestamp("event_time_utc")).alias("event_time_utc"),
+        utc_wall_clock(F.try_to_timestamp("ingest_time_utc")).alias("ingest_time_utc"),
         "quality_flag",
         F.col("payload")["price"].try_cast("double").alias("price"),
         F.col("payload")["rate"].try_cast("double").alias("rate")))

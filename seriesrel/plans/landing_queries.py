@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import round_doubles
+from ..functions.columns import round_doubles, utc_wall_clock
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import landing
@@ -132,7 +132,7 @@ def q_latest_day_envelopes(spark, sf_dir):
         ingest_time=F.lit("2002-01-01 00:00:00").cast("timestamp_ntz"))
     c = ingest.valid(ingest.validate(ingest.decode(env)))
     return round_doubles(c.select(
-        "instrument_id", F.col("event_time_utc").cast("timestamp_ntz").alias("event_time_utc"),
+        "instrument_id", utc_wall_clock("event_time_utc").alias("event_time_utc"),
         F.col("payload")["price"].try_cast("double").alias("price")))
 
 
