@@ -6,7 +6,7 @@ from seriesrel.operators.evaluate import classification_report
 from seriesrel.operators.features import class_weights, time_folds
 
 
-def sklearn_rule(n, n_splits=3):
+def expanding_split_rule(n, n_splits=3):
     t = n // (n_splits + 1)
     out = []
     for k in range(n_splits):
@@ -19,7 +19,7 @@ def sklearn_rule(n, n_splits=3):
 def test_time_folds_match_expanding_split(spark, n):
     pdf = pd.DataFrame({"symbol": "a", "date": pd.date_range("2020-01-01", periods=n).date, "x": 1.0})
     f = time_folds(spark.createDataFrame(pdf)).toPandas()
-    for k, (tr, te) in enumerate(sklearn_rule(n)):
+    for k, (tr, te) in enumerate(expanding_split_rule(n)):
         sub = f[f.fold == k]
         assert sorted(sub[sub.role == "train"].row_index) == tr
         assert sorted(sub[sub.role == "test"].row_index) == te

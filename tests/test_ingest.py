@@ -6,7 +6,7 @@ from seriesrel.streaming import ingest
 
 
 def env(**over):
-    base = {"schema_version": 1, "source": "eia", "instrument_id": "brent",
+    base = {"schema_version": 1, "source": "feed", "instrument_id": "brent",
             "event_time_utc": "2024-01-01T00:00:00Z", "ingest_time_utc": "2024-01-01T00:00:00Z",
             "quality_flag": 0, "payload": {"price": "82.1"}}
     base.update(over)
@@ -58,7 +58,7 @@ def test_encode_decode_roundtrip(spark):
     s = spark.createDataFrame([("brent", "2024-03-01", 82.5)], "i string, d string, p double") \
              .withColumn("d", F.to_date("d"))
     e = ingest.series_to_envelopes(s, instrument_col="i", time_col="d", value_col="p",
-                                   payload_key="price", source="eia")
+                                   payload_key="price", source="feed")
     r = ingest.validate(ingest.decode(e)).collect()[0]
     assert r["reject_reasons"] == [] and r["payload"] == {"price": "82.5"}
     assert str(r["event_time_utc"]).startswith("2024-03-01")

@@ -49,7 +49,7 @@ def test_processing_time_trigger_runs_and_stops(spark):
         q.processAllAvailable()                      # empty source: nothing written
         assert not os.path.exists(f"{root}/tables/raw_lead")
         with open(f"{root}/landing/a.json", "w") as f:
-            f.write('{"source":"eia","instrument_id":"wti","event_time_utc":"2024-01-01T00:00:00Z",'
+            f.write('{"source":"feed","instrument_id":"wti","event_time_utc":"2024-01-01T00:00:00Z",'
                     '"ingest_time_utc":"2024-01-01T00:00:01Z","payload":{"price":"70.5"}}\n')
         deadline = time.time() + 60
         while time.time() < deadline and not os.path.exists(f"{root}/tables/raw_lead"):

@@ -11,7 +11,7 @@ from seriesrel.streaming.job import IngestConfig, file_source, run_until_drained
 
 
 def env(i, instrument="brent", key="price", value="80.0", flag=0):
-    return json.dumps({"schema_version": 1, "source": "eia", "instrument_id": instrument,
+    return json.dumps({"schema_version": 1, "source": "feed", "instrument_id": instrument,
                        "event_time_utc": f"2024-01-{i:02d}T00:00:00Z",
                        "ingest_time_utc": f"2024-01-{i:02d}T01:00:00Z",
                        "quality_flag": flag, "payload": {key: value}})
