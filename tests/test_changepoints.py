@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 import pandas as pd
 
 from seriesrel.operators.changepoints import changepoint_alerts, changepoints, pelt_rbf
@@ -29,3 +30,34 @@ def test_grouped_map_over_many_series(spark):
     alerts = changepoint_alerts(long).collect()
     assert {a["kind"] for a in alerts} == {"regime_change"}
     assert any(a["description"] == "Statistical regime change detected at index 120" for a in alerts)
+
+
+def _brute_force(x, pen=3.0, min_size=2, jump=5):
+    """Optimal partition by exhaustive dynamic programming over the same
+    candidate grid, with the kernel built directly (no pruning, no sums)."""
+    n = len(x)
+    d = (x[:, None] - x[None, :]) ** 2
+    iu = np.triu_indices(n, 1)
+    med = np.median(d[iu])
+    k = np.exp(-np.clip(d / (med if med else 1.0), 1e-2, 1e2))
+    np.fill_diagonal(k, 1.0)
+
+    def cost(s, e):
+        return (e - s) - k[s:e, s:e].sum() / (e - s)
+
+    ends = [g for g in range(0, n, jump) if g >= min_size] + [n]
+    ends = sorted(set(ends))
+    best = {0: (0.0, [])}
+    for e in ends:
+        cands = [(best[s][0] + cost(s, e) + pen, best[s][1] + [e])
+                 for s in best if s < e and e - s >= min_size and s <= ((e - min_size) // jump) * jump]
+        best[e] = min(cands, key=lambda c: c[0])
+    return best[n][1][:-1], best[n][0]
+
+
+@pytest.mark.parametrize("seed,n", [(0, 60), (1, 97), (2, 143), (3, 201)])
+def test_pelt_equals_exhaustive_search(seed, n):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(0, 1, n) + np.where(np.arange(n) > n // 2, rng.uniform(1, 3), 0)
+    bkps, _ = _brute_force(x)
+    assert pelt_rbf(x) == bkps
