@@ -30,6 +30,7 @@ CUSUM_DESCRIPTION = "CUSUM accumulator reached %.2f on spread_zscore"
 REGIME_DESCRIPTION = "Statistical regime change detected at index %d"
 CLASS_LABELS = ("normal", "anomalous")
 LATEST_ALERTS_LIMIT = 50
+STREAM_TOPICS = ("raw.oil_prices", "raw.fx_rates")
 # ---------------------------------------------------------------------------
 
 # Feature frame columns (11 features, 2 targets), in model order.

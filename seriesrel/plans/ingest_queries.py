@@ -92,6 +92,25 @@ def q_stream_quarantine(spark, sf_dir):
              .agg(F.count(F.lit(1)).alias("n_messages")))
 
 
+def q_stream_lag_monitor(spark, sf_dir):
+    """Event-to-ingest lag per instrument and 1-hour ingest window, as a
+    watermarked streaming aggregation written to a Parquet file sink."""
+    from ..streaming.job import lag_monitor
+    stream_run(spark, sf_dir)                     # lands the envelopes
+    landing = _RUNS[(id(spark), sf_dir)].sink_root.rsplit("/", 1)[0] + "/landing"
+    out = scratch_path(spark, "lag")
+    # one micro-batch holds every landed file, so no row is late by file order;
+    # the following no-data batch moves the watermark and closes the windows
+    q = (lag_monitor(file_source(spark, landing, 1000), window="1 hour")
+         .writeStream.outputMode("append").format("parquet")
+         .option("path", f"{out}/table").option("checkpointLocation", f"{out}/checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    t = spark.read.parquet(f"{out}/table")
+    return round_doubles(t.select(_ntz("window_start"), _ntz("window_end"), "instrument_id",
+                                  "n_messages", "avg_lag_s", "max_lag_s"))
+
+
 def q_insert_if_absent(spark, sf_dir):
     from .catalog import bars
     b = bars(spark, sf_dir)
@@ -121,6 +140,7 @@ QUERIES = {
     "ingest_lag": q_ingest_lag,
     "stream_ingest_lead": q_stream_ingest_lead,
     "stream_quarantine": q_stream_quarantine,
+    "stream_lag_monitor": q_stream_lag_monitor,
     "insert_if_absent": q_insert_if_absent,
     "partitioned_roundtrip": q_partitioned_roundtrip,
 }

@@ -374,3 +374,15 @@ SQL.update({
 
 SQL["value_on_day"] = (with_(LEAD) + "SELECT symbol AS product, date, round(price, 6) + 0.0 AS price "
                        "FROM lead WHERE date = DATE '1998-06-15'")
+
+SQL["stream_lag_monitor"] = with_(EV, """lagged AS (
+  SELECT instrument_id, ingest_time_utc,
+         (epoch_us(ingest_time_utc) - epoch_us(event_time_utc)) / 1e6 AS lag_s,
+         time_bucket(INTERVAL 1 HOUR, ingest_time_utc) AS window_start
+  FROM ev WHERE is_valid)""") + """
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, instrument_id,
+       count(*) AS n_messages, round(avg(lag_s), 6) + 0.0 AS avg_lag_s,
+       round(max(lag_s), 6) + 0.0 AS max_lag_s
+FROM lagged GROUP BY window_start, instrument_id
+HAVING window_start + INTERVAL 1 HOUR
+       <= (SELECT max(ingest_time_utc) FROM lagged) - INTERVAL 10 MINUTE"""

@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import STREAM_MAX_OFFSETS, STREAM_TRIGGER
+from ..config import STREAM_MAX_OFFSETS, STREAM_TOPICS, STREAM_TRIGGER
 from ..sources import tables
 from . import ingest
 
-DEFAULT_TOPICS = ("raw.oil_prices", "raw.fx_rates")
+DEFAULT_TOPICS = STREAM_TOPICS
 
 
 @dataclass
@@ -116,3 +116,39 @@ def run_until_drained(spark: SparkSession, source: DataFrame, cfg: IngestConfig)
 def await_all(spark: SparkSession) -> None:
     """Block until any query stops; surfaces the first failure (T5)."""
     spark.streams.awaitAnyTermination()
+
+
+# ------------------------------------------------------------- publishing --
+def publish_files(envelopes: DataFrame, path: str, files: int | None = None) -> None:
+    """Write envelope JSON (column ``value``) as JSON-lines files into a landing
+    folder the file source reads; ``files`` sets how many files (pacing is the
+    reader's ``maxFilesPerTrigger``)."""
+    out = envelopes.select("value")
+    if files:
+        out = out.repartition(files)
+    out.write.mode("append").text(path)
+
+
+def publish_kafka(envelopes: DataFrame, servers: str, topic: str) -> None:
+    """Write envelope JSON to a Kafka topic, no key (needs the connector)."""
+    (envelopes.select("value").write.format("kafka")
+        .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
+
+
+# ------------------------------------------------------------ lag monitor --
+def lag_monitor(source: DataFrame, *, window: str = "1 minute",
+                watermark: str = "10 minutes") -> DataFrame:
+    """Streaming event-to-ingest lag per instrument and ingest-time window.
+
+    Valid envelopes only; the watermark on the ingest time bounds the state
+    kept for open windows and lets append mode emit each window once.
+    """
+    valid = ingest.valid(ingest.validate(ingest.decode(source)))
+    lag_s = (F.unix_micros("ingest_time_utc") - F.unix_micros("event_time_utc")) / F.lit(1e6)
+    return (valid.withWatermark("ingest_time_utc", watermark)
+                 .groupBy(F.window("ingest_time_utc", window), "instrument_id")
+                 .agg(F.count(F.lit(1)).alias("n_messages"),
+                      F.avg(lag_s).alias("avg_lag_s"), F.max(lag_s).alias("max_lag_s"))
+                 .select(F.col("window.start").alias("window_start"),
+                         F.col("window.end").alias("window_end"),
+                         "instrument_id", "n_messages", "avg_lag_s", "max_lag_s"))

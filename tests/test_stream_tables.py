@@ -69,3 +69,29 @@ def test_read_range_prunes_partitions(spark):
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "chunk" in plan
     assert "PushedFilters" in plan and "metric" in plan
+
+
+def test_publish_and_streaming_lag_monitor(spark):
+    from seriesrel.streaming.job import lag_monitor, publish_files
+    from seriesrel.streaming import ingest as ing
+    root = scratch_path(spark, "test-lag")
+    rows = spark.createDataFrame(
+        [("wti", f"2024-01-01 00:0{m}:00", float(m)) for m in range(6)],
+        "i string, t string, p double").withColumn("t", F.to_timestamp("t"))
+    env = ing.series_to_envelopes(rows, instrument_col="i", time_col="t", value_col="p",
+                                  payload_key="price", source="feed",
+                                  ingest_time=F.col("t") + F.expr("INTERVAL 30 SECONDS"))
+    publish_files(env, f"{root}/landing", files=2)
+    late = spark.createDataFrame([("wti", "2024-01-01 01:00:00", 1.0)], "i string, t string, p double") \
+                .withColumn("t", F.to_timestamp("t"))
+    publish_files(ing.series_to_envelopes(late, instrument_col="i", time_col="t", value_col="p",
+                                          payload_key="price", source="feed",
+                                          ingest_time=F.col("t") + F.expr("INTERVAL 90 SECONDS")),
+                  f"{root}/landing2")
+    out = lag_monitor(file_source(spark, f"{root}/landing*", 1), window="5 minutes")
+    q = (out.writeStream.outputMode("append").format("memory").queryName("lag_t")
+            .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.sql("SELECT * FROM lag_t ORDER BY window_start").collect()
+    # the later message moves the watermark past the first window, which is emitted once
+    assert [(r["n_messages"], r["avg_lag_s"], r["max_lag_s"]) for r in got][:1] == [(5, 30.0, 30.0)]
