@@ -75,3 +75,20 @@ def align(lead: DataFrame, ref: DataFrame, *, horizon: str = BAR_HORIZON,
     """
     bars = add_log_returns(fill_reference(join_reference(lead, ref, **columns)), horizon)
     return bars.where(F.col("lead_logret").isNotNull() & F.col("ref_logret").isNotNull())
+
+
+def series_from_raw(raw: DataFrame, value_col: str, *, symbol_col: str = "instrument_id",
+                    time_col: str = "event_time_utc") -> DataFrame:
+    """(symbol, date, value) from a raw tick table: the last observation of
+    each instrument and UTC calendar day (by event time).
+
+    An aggregate (``max_by``), so it is combined map-side before the shuffle;
+    this is how streamed raw tables feed ``align``.
+    """
+    from pyspark.sql import types as T
+    from ..functions.columns import utc_wall_clock
+    t = F.col(time_col)
+    if isinstance(raw.schema[time_col].dataType, T.TimestampType):
+        t = utc_wall_clock(t)
+    return (raw.groupBy(F.col(symbol_col).alias("symbol"), F.to_date(t).alias("date"))
+               .agg(F.max_by(value_col, time_col).alias(value_col)))

@@ -111,6 +111,17 @@ def q_stream_lag_monitor(spark, sf_dir):
                                   "n_messages", "avg_lag_s", "max_lag_s"))
 
 
+def q_bars_from_stream(spark, sf_dir):
+    """The streamed raw tables feed the batch analytics: daily closes of the
+    raw lead and reference tables, aligned."""
+    from ..operators.align import align, series_from_raw
+    cfg = stream_run(spark, sf_dir)
+    lead = series_from_raw(spark.read.parquet(cfg.table_path("raw_lead")), "price")
+    ref = series_from_raw(spark.read.parquet(cfg.table_path("raw_reference")), "rate") \
+        .drop("symbol")
+    return round_doubles(align(lead, ref))
+
+
 def q_insert_if_absent(spark, sf_dir):
     from .catalog import bars
     b = bars(spark, sf_dir)
@@ -141,6 +152,7 @@ QUERIES = {
     "stream_ingest_lead": q_stream_ingest_lead,
     "stream_quarantine": q_stream_quarantine,
     "stream_lag_monitor": q_stream_lag_monitor,
+    "bars_from_stream": q_bars_from_stream,
     "insert_if_absent": q_insert_if_absent,
     "partitioned_roundtrip": q_partitioned_roundtrip,
 }

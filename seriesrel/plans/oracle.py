@@ -386,3 +386,14 @@ SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, instrument_id
 FROM lagged GROUP BY window_start, instrument_id
 HAVING window_start + INTERVAL 1 HOUR
        <= (SELECT max(ingest_time_utc) FROM lagged) - INTERVAL 10 MINUTE"""
+
+# Bars from the streamed raw tables: same chain, daily closes of the events.
+LEAD_FROM_EVENTS = f"""lead AS (
+  SELECT instrument_id AS symbol, CAST(event_time_utc AS DATE) AS date,
+         arg_max(value, event_time_utc) AS price
+  FROM ev WHERE is_valid AND instrument_id IN {LEAD_TYPES} GROUP BY 1, 2)"""
+REF_FROM_EVENTS = """ref AS (
+  SELECT CAST(event_time_utc AS DATE) AS date, arg_max(value, event_time_utc) AS rate
+  FROM ev WHERE is_valid AND instrument_id = 'signup' GROUP BY 1)"""
+SQL["bars_from_stream"] = (with_(EV, LEAD_FROM_EVENTS, REF_FROM_EVENTS, FILLED, RETURNS, BARS)
+                           + f"SELECT {BAR_SELECT} FROM bars")
