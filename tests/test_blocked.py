@@ -107,3 +107,10 @@ def test_index_rows_hot_key_spans_partitions(spark):
     for s, g in pdf.groupby("symbol"):
         g = g.sort_values("date")
         assert list(g["_idx"]) == list(range(len(g)))
+
+
+def test_auto_chunking_threshold(spark):
+    bars = _frame(spark, 50, 9)
+    assert blocked.longest_series(bars) == 50
+    assert blocked.auto_chunk_rows(bars) is None
+    assert blocked.auto_chunk_rows(bars, threshold=10, chunk_rows=100) == 100
