@@ -59,3 +59,15 @@ def test_many_symbols_one_plan(spark):
     r = ref(spark, [(D(2024, 1, d), 100.0 + d) for d in range(1, 6)])
     out = align(lead(spark, rows), r)
     assert out.groupBy("symbol").count().where(F.col("count") == 4).count() == 3
+
+
+def test_series_from_raw_takes_last_tick_of_each_utc_day(spark):
+    from seriesrel.operators.align import series_from_raw
+    raw = spark.createDataFrame(
+        [("wti", "2024-01-01T09:00:00Z", 70.0), ("wti", "2024-01-01T23:59:59Z", 71.0),
+         ("wti", "2024-01-02T00:00:01Z", 72.0), ("brent", "2024-01-01T12:00:00Z", 80.0)],
+        "instrument_id string, t string, price double"
+    ).withColumn("event_time_utc", F.to_timestamp("t")).drop("t")
+    got = {(r["symbol"], r["date"]): r["price"] for r in series_from_raw(raw, "price").collect()}
+    assert got == {("wti", D(2024, 1, 1)): 71.0, ("wti", D(2024, 1, 2)): 72.0,
+                   ("brent", D(2024, 1, 1)): 80.0}
