@@ -31,6 +31,7 @@ from ..config import (BAR_HORIZON, CUSUM_THRESHOLD, CUSUM_TRIGGER, WINDOWS)
 from ..functions.columns import day_of, log_ratio, running
 
 DEFAULT_CHUNK_ROWS = 1_000_000
+OFFSETS_BROADCAST_ROWS = 500_000     # ~20 MB of (key, partition, 2 longs)
 
 
 def index_rows(df: DataFrame, keys: tuple[str, ...], order: str,
@@ -61,7 +62,13 @@ def index_rows(df: DataFrame, keys: tuple[str, ...], order: str,
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select(*keys, "_pid", "_first",
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (d.join(F.broadcast(offsets), [*keys, "_pid"])
+    # One row per (key, range partition): its size follows the number of
+    # series, so it is broadcast only after a count shows it is small;
+    # beyond that the plain join (shuffling the indexed rows) is used.
+    offsets = offsets.persist()
+    if offsets.count() <= OFFSETS_BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
+    return (d.join(offsets, [*keys, "_pid"])
              .withColumn("_idx", (F.col("_off") + F.col("_pos") - F.col("_first")).cast("long"))
              .drop("_pid", "_pos", "_first", "_off"))
 

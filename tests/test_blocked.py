@@ -101,9 +101,15 @@ def test_index_rows_hot_key_spans_partitions(spark):
                                    F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int")).alias("date"))
     cold = spark.range(7).select(F.lit("cold").alias("symbol"),
                                  F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int")).alias("date"))
-    ix = blocked.index_rows(hot.unionByName(cold), ("symbol",), "date", partitions=16)
-    pdf = ix.withColumn("_p", F.spark_partition_id()).toPandas()
-    assert pdf[pdf.symbol == "hot"]["_p"].nunique() > 4          # the hot key is split
+    rows = hot.unionByName(cold)
+    # the range partitioning index_rows starts from spreads the hot key
+    spread = rows.repartitionByRange(16, "symbol", "date").select(F.spark_partition_id().alias("p"),
+                                                                  "symbol")
+    assert spread.where("symbol = 'hot'").select("p").distinct().count() > 4
+    ix = blocked.index_rows(rows, ("symbol",), "date", partitions=16)
+    plan = ix._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan                       # small offset table, size-checked
+    pdf = ix.toPandas()
     for s, g in pdf.groupby("symbol"):
         g = g.sort_values("date")
         assert list(g["_idx"]) == list(range(len(g)))
