@@ -1,4 +1,3 @@
-import datetime as dt
 
 import numpy as np
 import pandas as pd

@@ -2,7 +2,6 @@ import datetime as dt
 import os
 import time
 
-from pyspark.sql import functions as F
 
 from seriesrel.plans import serve
 from seriesrel.session import cluster_conf, ensure_checkpoint_dir, scratch_path

@@ -1,12 +1,10 @@
 import json
 import os
-import uuid
 
 from pyspark.sql import functions as F
 
 from seriesrel.session import scratch_path
 from seriesrel.sources import tables
-from seriesrel.streaming import ingest
 from seriesrel.streaming.job import IngestConfig, file_source, run_until_drained
 
 
