@@ -5,11 +5,12 @@ for daily bars (a series is bounded by the calendar), but a raw tick series
 of one hot symbol can hold a large share of all rows. The functions here give
 the *same results* as the plain windows while every task stays bounded:
 
-1. ``index_rows``: the 0-based position of each row in its series, from a
-   range partitioning on (key, time) (which splits a hot key over many
-   partitions), positions inside each sorted partition, and running offsets
-   over a small per-(key, partition) table.
-2. Rows are cut into chunks of ``chunk_rows`` consecutive positions.
+1. ``index_rows``: the position of each row in the global (key, time)
+   order, from a range partitioning (which splits a hot key over many
+   partitions), positions inside each sorted partition, and the sizes of the
+   earlier partitions. A key's rows are contiguous in that order.
+2. Rows are cut into chunks of ``chunk_rows`` consecutive positions; every
+   window runs per (key, chunk).
 3. Row-count frames (rolling n, lag): the last ``n - 1`` rows of each chunk
    are copied into the next chunk as a halo, the window runs per
    (key, chunk), and halo rows are dropped afterwards.
@@ -31,20 +32,21 @@ from ..config import (BAR_HORIZON, CUSUM_THRESHOLD, CUSUM_TRIGGER, WINDOWS)
 from ..functions.columns import day_of, log_ratio, running
 
 DEFAULT_CHUNK_ROWS = 1_000_000
-OFFSETS_BROADCAST_ROWS = 500_000     # ~20 MB of (key, partition, 2 longs)
 
 
 def index_rows(df: DataFrame, keys: tuple[str, ...], order: str,
                partitions: int | None = None) -> DataFrame:
-    """Add ``_idx``: position of the row in its series ordered by ``order``.
+    """Add ``_idx``: the row's position in the global (keys, order) order.
 
     Range-partition on (keys, order) -- the range partitioner samples the
     data, so a hot key is spread over many partitions -- and sort within
     partitions. A row's position inside its partition is the low bits of
-    ``monotonically_increasing_id``; the numbered rows are checkpointed once,
-    then per (key, partition) counts and first positions form a small table
-    (about keys + partitions rows) whose running sums give each key's offset.
-    No window over a whole key, no second shuffle of the data.
+    ``monotonically_increasing_id``; the numbered rows are checkpointed once
+    (the numbers depend on the sampled bounds, so every later use and any
+    recomputation must see the same ones). Adding the row counts of the
+    earlier partitions -- a table with one row per partition, a proven bound,
+    broadcast -- gives global positions. The rows of one key are contiguous
+    in that order, which is all the chunked windows need.
     """
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
@@ -53,24 +55,13 @@ def index_rows(df: DataFrame, keys: tuple[str, ...], order: str,
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_pos", F.monotonically_increasing_id()
                        - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    # Partition ids and positions depend on the sampled range bounds: write
-    # them once (reliable checkpoint in the shared folder) so the two uses
-    # below, and any recomputation after a lost executor, see the same values.
     d = d.checkpoint(eager=True)
-    parts = d.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_n"),
-                                         F.min("_pos").alias("_first"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select(*keys, "_pid", "_first",
-                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # One row per (key, range partition): its size follows the number of
-    # series, so it is broadcast only after a count shows it is small;
-    # beyond that the plain join (shuffling the indexed rows) is used.
-    offsets = offsets.persist()
-    if offsets.count() <= OFFSETS_BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
-    return (d.join(offsets, [*keys, "_pid"])
-             .withColumn("_idx", (F.col("_off") + F.col("_pos") - F.col("_first")).cast("long"))
-             .drop("_pid", "_pos", "_first", "_off"))
+    sizes = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    return (d.join(F.broadcast(offsets), "_pid")
+             .withColumn("_idx", (F.col("_off") + F.col("_pos")).cast("long"))
+             .drop("_pid", "_pos", "_off"))
 
 
 def chunk_of(chunk_rows: int) -> Column:
@@ -164,25 +155,33 @@ def cusum_blocked(series: DataFrame, *, threshold: float = CUSUM_THRESHOLD,
                   keys: tuple[str, ...] = ("symbol", "horizon"), order: str = "date",
                   value_col: str = "value") -> DataFrame:
     """``cusum`` via chunk summaries: a chunk maps the running sum P by its
-    total S and contributes min prefix m; carries are combined over chunks."""
+    total S and contributes min prefix m; carries are combined over chunks.
+
+    The series' first observation counts as a zero step. Only the first
+    chunk of a key holds it, so its step x0 is taken out of that chunk's
+    prefixes afterwards (a prefix minimum shifts with the prefixes).
+    """
     d = index_rows(series, keys, order).withColumn("_chunk", chunk_of(chunk_rows))
     wc = _chunk_window(keys)
-    step = F.when(F.col("_idx") == 0, F.lit(0.0)) \
-            .otherwise(F.abs(F.col(value_col)) - F.lit(threshold))
-    d = d.withColumn("_step", step) \
+    d = d.withColumn("_step", F.abs(F.col(value_col)) - F.lit(threshold)) \
          .withColumn("_lp", F.sum("_step").over(running(wc)))
     d = d.withColumn("_lm", F.min("_lp").over(running(wc)))
-    summary = d.groupBy(*keys, "_chunk").agg(F.sum("_step").alias("_S"), F.min("_lp").alias("_m"))
+    summary = d.groupBy(*keys, "_chunk").agg(
+        F.sum("_step").alias("_S"), F.min("_lp").alias("_m"),
+        F.min_by("_step", "_idx").alias("_x0"))
     prev = Window.partitionBy(*keys).orderBy("_chunk") \
                  .rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.withColumn("_P0", F.coalesce(F.sum("_S").over(prev), F.lit(0.0)))
-    carry = carry.withColumn("_M0", F.min(F.col("_P0") + F.col("_m")).over(prev)) \
-                 .select(*keys, "_chunk", "_P0", "_M0")
+    first = F.count(F.lit(1)).over(prev) == 0
+    carry = summary.withColumn("_c", F.when(first, F.col("_x0")).otherwise(F.lit(0.0)))
+    carry = carry.withColumn("_P0", F.coalesce(F.sum(F.col("_S") - F.col("_c")).over(prev),
+                                               F.lit(0.0)))
+    carry = carry.withColumn("_M0", F.min(F.col("_P0") + F.col("_m") - F.col("_c")).over(prev)) \
+                 .select(*keys, "_chunk", "_c", "_P0", "_M0")
     out = d.join(carry, [*keys, "_chunk"])
-    p = F.col("_P0") + F.col("_lp")
-    m = F.least(F.col("_M0"), F.col("_P0") + F.col("_lm"))   # least() skips NULL
+    p = F.col("_P0") + F.col("_lp") - F.col("_c")
+    m = F.least(F.col("_M0"), F.col("_P0") + F.col("_lm") - F.col("_c"))   # least() skips NULL
     return (out.withColumn("cusum", p - F.least(F.lit(0.0), m))
-               .drop("_step", "_lp", "_lm", "_P0", "_M0"))
+               .drop("_step", "_lp", "_lm", "_c", "_P0", "_M0"))
 
 
 def hysteresis_fires_blocked(acc: DataFrame, *, trigger: float = CUSUM_TRIGGER,
