@@ -85,29 +85,30 @@ def pelt_rbf(values, pen: float = PELT_PENALTY, min_size: int = PELT_MIN_SIZE,
     if n < 2 * min_size:
         return []
     grid = np.array(_grid(n, jump, min_size))
-    pos = {int(g): i for i, g in enumerate(grid)}
     S = _grid_block_sums(x, grid)
-
-    def cost(s: int, e: int) -> float:
-        a, b = pos[s], pos[e]
-        inner = S[b, b] - S[a, b] - S[b, a] + S[a, a]
-        return (e - s) - inner / (e - s)
-
-    best = {0: (0.0, [])}
-    admissible: list[int] = []
-    for end in [int(g) for g in grid[1:]]:
+    diag = np.diag(S)
+    index = {int(g): i for i, g in enumerate(grid)}
+    total = np.full(len(grid), np.inf)      # best penalised cost of [0, grid[i])
+    back = np.zeros(len(grid), dtype=int)   # grid index of the last breakpoint before
+    total[0] = 0.0
+    admissible = np.empty(0, dtype=int)     # grid indices of candidate starts, in order
+    for b in range(1, len(grid)):
+        end = int(grid[b])
         start_pt = ((end - min_size) // jump) * jump
-        admissible.append(start_pt)
-        cands = []
-        for t in admissible:
-            if t not in best:
-                continue
-            total = best[t][0] + cost(t, end) + pen
-            cands.append((t, total))
-        t_best, f_best = min(cands, key=lambda c: c[1])
-        best[end] = (f_best, [*best[t_best][1], end])
-        admissible = [t for t, tot in cands if tot <= f_best + pen]
-    return best[n][1][:-1]
+        if start_pt in index:                # off-grid starts (min_size > jump) are skipped
+            admissible = np.append(admissible, index[start_pt])
+        a = admissible
+        length = grid[b] - grid[a]
+        inner = S[b, b] - S[a, b] - S[b, a] + diag[a]
+        cand = total[a] + (length - inner / length) + pen
+        k = int(np.argmin(cand))             # first minimum, as in a left-to-right scan
+        total[b], back[b] = cand[k], a[k]
+        admissible = a[cand <= cand[k] + pen]
+    bkps, b = [], len(grid) - 1
+    while b > 0:
+        bkps.append(int(grid[b]))
+        b = back[b]
+    return sorted(bkps)[:-1]
 
 
 CHANGEPOINT_SCHEMA = "symbol string, horizon string, bkp_index long, date date"
