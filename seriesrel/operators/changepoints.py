@@ -62,18 +62,20 @@ def _grid_block_sums(x: np.ndarray, grid: np.ndarray) -> np.ndarray:
     med = float(np.median(cond, overwrite_input=True)) if len(cond) else 0.0
     del cond
     gamma = 1.0 / med if med != 0 else 1.0
-    # col_acc[i, b] = sum_{j < grid[b]} K[i, j], built per row block.
-    col_acc = np.empty((n, len(grid)))
+    # col_acc[i, b] = sum_{j < grid[b]} K[i, j], built per row block from the
+    # sums over the grid intervals (one pass over each kernel block).
+    g = len(grid)
+    col_acc = np.empty((n, g))
     for lo in range(0, n, _BLOCK):
         hi = min(n, lo + _BLOCK)
         blk = (x[lo:hi, None] - x[None, :]) ** 2 * gamma
         np.clip(blk, 1e-2, 1e2, out=blk)
-        k = np.exp(-blk)
+        np.exp(-blk, out=blk)
         rows = np.arange(lo, hi)
-        k[rows - lo, rows] = 1.0
-        cum = np.concatenate([np.zeros((hi - lo, 1)), np.cumsum(k, axis=1)], axis=1)
-        col_acc[lo:hi] = cum[:, grid]
-    row_cum = np.concatenate([np.zeros((1, len(grid))), np.cumsum(col_acc, axis=0)], axis=0)
+        blk[rows - lo, rows] = 1.0
+        col_acc[lo:hi, 0] = 0.0
+        np.cumsum(np.add.reduceat(blk, grid[:-1], axis=1), axis=1, out=col_acc[lo:hi, 1:])
+    row_cum = np.concatenate([np.zeros((1, g)), np.cumsum(col_acc, axis=0)], axis=0)
     return row_cum[grid]
 
 
