@@ -61,6 +61,7 @@ def q_ingest_lag(spark, sf_dir):
 
 
 _RUNS: dict[tuple[int, str], IngestConfig] = {}
+_LANDINGS: dict[tuple[int, str], str] = {}
 
 
 def stream_run(spark: SparkSession, sf_dir: str) -> IngestConfig:
@@ -74,6 +75,7 @@ def stream_run(spark: SparkSession, sf_dir: str) -> IngestConfig:
                            routes=fx.fixture_routes(), trigger=None)
         run_until_drained(spark, file_source(spark, f"{root}/landing", 2), cfg)
         _RUNS[key] = cfg
+        _LANDINGS[key] = f"{root}/landing"
     return _RUNS[key]
 
 
@@ -97,7 +99,7 @@ def q_stream_lag_monitor(spark, sf_dir):
     watermarked streaming aggregation written to a Parquet file sink."""
     from ..streaming.job import lag_monitor
     stream_run(spark, sf_dir)                     # lands the envelopes
-    landing = _RUNS[(id(spark), sf_dir)].sink_root.rsplit("/", 1)[0] + "/landing"
+    landing = _LANDINGS[(id(spark), sf_dir)]
     out = scratch_path(spark, "lag")
     # one micro-batch holds every landed file, so no row is late by file order;
     # the following no-data batch moves the watermark and closes the windows
