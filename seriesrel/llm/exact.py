@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from seriesrel.session import scratch_path
 
 PREFIX_CHARS = 64
+SALTS = 32
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -36,9 +37,15 @@ def content_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def surviving(keys: DataFrame, by: list[str]) -> DataFrame:
-    """The rows whose ``by`` values occur more than once; counts combine before the exchange."""
-    many = keys.groupBy(*by).count().where("count > 1").select(*by)
-    return keys.join(many, by, "left_semi")
+    """The rows whose ``by`` values occur more than once.
+
+    Counts combine before the exchange; the rows of one value are salted by id for the
+    join, and the few repeated values are copied to each salt.
+    """
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))
+    many = keys.groupBy(*by).count().where("count > 1").select(
+        *by, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("salt"))
+    return keys.withColumn("salt", salt).join(many, [*by, "salt"], "left_semi").drop("salt")
 
 
 def exact_groups(keys: DataFrame) -> DataFrame:
