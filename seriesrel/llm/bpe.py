@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 # characters that stand for themselves; the other bytes follow from U+0100 on.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 
 
 def byte_characters() -> dict[int, str]:

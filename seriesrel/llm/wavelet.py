@@ -9,7 +9,7 @@ n-th occurrence) without unpacking the ids.
 
 Files are Parquet written and read by Spark itself, so any shared store will do:
 one row per shard with its documents' ids and ends, the counts of zeros, and the
-planes (zlib). Documents are dealt out by ranges of ``doc_id`` and sorted, so the
+planes (zstd). Documents are dealt out by ranges of ``doc_id`` and sorted, so the
 shards follow each other in ascending id order; a shard is closed at
 ``SHARD_TOKENS`` so that memory stays flat.
 
@@ -19,18 +19,23 @@ rows follow each other; an empty table makes no shard.
 
 from __future__ import annotations
 
-import re
+import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from seriesrel.llm.bpe import byte_characters
+
 END = 1
 SHARD_TOKENS = 1 << 20
-REMEMBERED = 150_000
+REMEMBERED = 400_000
+_CODEC = pa.Codec("zstd", 1)
 BLOCK = 512                          # bits between two entries of a rank directory
 
 
@@ -39,7 +44,7 @@ class WaveletMatrix:
 
     def __init__(self, n: int, zeros: list[int], planes: list[bytes]):
         self.n, self.zeros = n, zeros
-        self.bits = [np.frombuffer(zlib.decompress(p), np.uint8) for p in planes]
+        self.bits = [np.frombuffer(_CODEC.decompress(p, (n + 7) // 8, asbytes=True), np.uint8) for p in planes]
         self.ranks = []
         for b in self.bits:
             per = np.bitwise_count(np.pad(b, (0, -len(b) % (BLOCK // 8)))).reshape(-1, BLOCK // 8).sum(1, dtype=np.int64)
@@ -50,21 +55,23 @@ class WaveletMatrix:
         width = max(1, int(ids.max()).bit_length()) if len(ids) else 1
         x = ids.astype(np.uint16 if width <= 16 else np.uint32)
         zeros, planes = [], []
+        one = x.dtype.type(1)
         for k in range(width - 1, -1, -1):
-            bit = (x >> k & 1).astype(bool)
-            planes.append(zlib.compress(np.packbits(bit).tobytes(), 1))
-            x = np.concatenate((x[~bit], x[bit]))
-            zeros.append(len(x) - int(bit.sum()))
+            bit = (x >> x.dtype.type(k) & one).astype(np.uint8).view(bool)
+            planes.append(_CODEC.compress(np.packbits(bit).tobytes(), asbytes=True))
+            x = np.concatenate((low := np.compress(~bit, x), np.compress(bit, x)))
+            zeros.append(len(low))
         return zeros, planes
 
     def unpack(self) -> np.ndarray:
         """All ids in order."""
         x = np.zeros(self.n, np.uint32 if len(self.bits) > 16 else np.uint16)
         for k, (packed, z) in enumerate(zip(reversed(self.bits), reversed(self.zeros), strict=True)):
-            bit = np.unpackbits(packed, count=self.n).astype(bool)
+            bit = np.unpackbits(packed, count=self.n).view(bool)
+            place = np.concatenate((np.flatnonzero(~bit), np.flatnonzero(bit)))
+            x[z:] |= x.dtype.type(1 << k)
             y = np.empty_like(x)
-            y[~bit] = x[:z]
-            y[bit] = x[z:] | x.dtype.type(1 << k)
+            y[place] = x
             x = y
         return x
 
@@ -104,10 +111,19 @@ class WaveletMatrix:
         return lo
 
 
+# Fixed value: the tokenizer file's pattern of pieces.
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
+
+_SIGNS = set(".,;:!?")
+
+
 class Encoder:
-    """The library's ids, unit by unit: text between blanks, tabs or line ends is encoded once and remembered.
+    """The library's ids, with each piece of a text encoded once and remembered.
 
-    The tokenizer drops white space and cuts at it, so units are independent.
+    A text is put into the file's normal form (NFC, lower case character by character)
+    and cut at blanks and by its pattern into pieces, and the library's BPE model gives
+    the ids of each piece. Texts with unprintable characters, odd white space or special strings
+    take the library's whole way.
     """
 
     def __init__(self, path: str):
@@ -116,22 +132,41 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.tokenize = self.library.model.tokenize
+        self._special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self._chars = byte_characters()
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
-        self._units = re.compile(r"[^ \t\n]+").findall
+
+    def _piece(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else "".join([self._chars[b] for b in piece.encode()])
+        return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
 
     def _new(self, unit: str) -> bytes:
+        """Ids of a run without blanks; a sign after a word is looked up apart from it."""
         ids = self._old.get(unit)
         if ids is None:
-            ids = np.array(self.library.encode(unit, add_special_tokens=False).ids, "<u4").tobytes()
+            word = unit[:-1]
+            if unit.isalpha():
+                ids = self._piece(unit)
+            elif unit[-1:] in _SIGNS and word.isalpha():
+                ids = (self._young.get(word) or self._new(word)) + (self._young.get(unit[-1]) or self._piece(unit[-1]))
+            else:
+                ids = b"".join([self._young.get(p) or self._piece(p) for p in _PIECES(unit)])
         if len(self._young) >= REMEMBERED:
             self._old, self._young = self._young, {}
         self._young[unit] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
+        flat = text.replace("\n", " ").replace("\t", " ")
+        if not flat.isprintable() or any(x in flat for x in self._special):
+            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        flat = unicodedata.normalize("NFC", flat)
+        # Only the sigma's lower case depends on its neighbours.
+        flat = "".join([c.lower() for c in flat]) if "\u03a3" in flat else flat.lower()
         known, new = self._young.get, self._new
-        return b"".join([known(u) or new(u) for u in self._units(text)])
+        return b"".join([known(u) or new(u) for u in flat.split(" ") if u])
 
 
 _loaded: dict[str, Encoder] = {}
