@@ -10,12 +10,13 @@ probability equal to the weighted Jaccard.
 
 The job: (1) signatures in one pass; texts with equal multisets collapse to the
 least id; (2) every band of registers makes buckets, whose members are verified
-against the bucket's least member by exact multiset overlap; (3) verified links
-make components; (4) members of one bucket that are still apart are compared too
-unless the triangle inequality of the Jaccard distance, their sizes or their
-register agreement (six standard deviations below the expected one) rule a link out;
-(5) components again. No group is gathered into a task, and what moves is ids,
-bands and the texts of candidate pairs.
+against the bucket's least member by exact multiset overlap; (3) buckets with a
+member that is not linked to that pivot get a second pivot, and members that are
+then still in different components are compared unless what they can have in common
+(bounded by their overlaps with the pivots and by the runs that only one text has)
+or their register agreement (six standard deviations below the expected one) rules
+a link out; (4) links make components. No group is gathered into a task, and what moves is
+ids, bands and the texts of candidate pairs.
 
 Edge cases: null and empty texts, and texts without a letter or digit, have no
 runs and are alone; null ids are treated like any id that equals itself; repeated
@@ -200,57 +201,59 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        large = large.distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v")))).where("u <> v").distinct()
         new = _written(small, "edges")
-        # Stars: no node is both a centre and a leaf, and no leaf has two centres.
-        leaves = new.groupBy("u").count()
-        done = leaves.where("count > 1").isEmpty() and new.select("v").join(leaves.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
-        if done:
+        # Done when all are stars: no leaf has two centres, no centre is a leaf.
+        ends = new.select(F.col("u").alias("x"), F.lit(1).alias("leaf")).union(
+            new.select(F.col("v").alias("x"), F.lit(0)).distinct())
+        if ends.groupBy("x").agg(F.sum("leaf").alias("leaves"), F.count("*").alias("n")).where("leaves > 0 AND n > 1").isEmpty():
             return new.select(F.col("u").alias("node"), F.col("v").alias("label"))
         edges = new
 
 
+def _elements(batches):
+    for batch in batches:
+        texts, ids = encoded(batch.column("text"), lower=True), batch.column("doc_id").to_numpy()
+        for at, to in parts(texts):
+            owner, element, weight = multisets(texts[at:to])
+            yield pa.record_batch({"element": pa.array(element.view(np.int64)), "doc_id": pa.array(ids[at + owner]),
+                                   "weight": pa.array(weight.astype(np.int64))})
+
+
+def own_weights(texts: DataFrame) -> DataFrame:
+    """``(doc_id, own)``: the weight of the runs that no other of these texts has."""
+    rows = texts.mapInArrow(_elements, "element long, doc_id long, weight long")
+    single = rows.groupBy("element").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"), F.max("weight").alias("w"))
+    return single.where("doc_id = last").groupBy("doc_id").agg(F.sum("w").alias("own"))
+
+
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, class_id)`` for each row of ``docs``; ``class_id`` is the class's least id."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = _written(plain.mapInArrow(_sign, "doc_id long, total long, n1 long, n2 long, bands array<long>, marks binary"), "signed")
     some = signed.where("total > 0 AND doc_id IS NOT NULL")
     reps = _written(some.groupBy("n1", "n2", "total").agg(F.min("doc_id").alias("rep")), "reps")
-    own = some.join(reps.select("rep").withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "n1", "n2"])
-    members = own.select("doc_id", "total", F.posexplode("bands").alias("band", "key"))
-    firsts = members.groupBy("band", "key").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
+    own = some.join(reps.select(F.col("rep").alias("doc_id"), "n1", "n2", "total"), ["doc_id", "n1", "n2", "total"], "left_semi")
+    members = own.select("doc_id", "total", F.posexplode("bands").alias("band", "key")).distinct()
+    firsts = members.groupBy("band", "key").agg(F.min_by("total", "doc_id").alias("pivot_total"), F.min("doc_id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     spots = _written(members.join(firsts.drop("n"), ["band", "key"]), "spots")
+    texts = _written(plain.join(spots.select("doc_id").distinct(), "doc_id", "left_semi").distinct(), "texts")
+
+    # Every member against its bucket's least one.
     stars = spots.where("doc_id <> pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct()
-    tested = _written(similarities(stars, plain), "tested")
-    links = tested.where(F.col("sim") >= threshold).select("a", "b")
+    tested = _written(similarities(stars, texts), "tested")
+    near = F.col("sim") >= threshold
+    seen = spots.join(tested.select(F.col("a").alias("doc_id"), F.col("b").alias("pivot"), "sim"), ["doc_id", "pivot"], "left")
+    seen = seen.select("band", "key", "doc_id", "total", "pivot_total",
+                       F.when(F.col("doc_id") == F.col("pivot"), 1.0).otherwise(F.col("sim")).alias("sim"))
+    apart = seen.where(~near).select("band", "key").distinct()
+    links = tested.where(near).select("a", "b")
+    if not apart.isEmpty():
+        links = links.unionByName(_links_of_open_buckets(seen, apart, texts, own, tested, threshold))
     labels = components(links)
-
-    # Members of one bucket that are still apart.
-    far = 1 - threshold
-    seen = (spots.join(tested.select(F.col("a").alias("doc_id"), F.col("b").alias("pivot"), "sim"), ["doc_id", "pivot"], "left")
-            .join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-            .select("band", "key", "doc_id", "total", F.coalesce("label", "doc_id").alias("label"),
-                    F.when(F.col("doc_id") == F.col("pivot"), 0.0).otherwise(1 - F.col("sim")).alias("far")))
-    open_ = seen.groupBy("band", "key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
-    seen = _written(seen.join(open_.select("band", "key"), ["band", "key"], "left_semi"), "open")
-    x, y = seen.where(F.col("far") > far).alias("x"), seen.alias("y")
-    close = ((F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
-             & (F.col("x.label") != F.col("y.label")) & (F.col("y.far") > 0)
-             & (F.abs(F.col("x.far") - F.col("y.far")) <= far + 1e-9)
-             & (F.least("x.total", "y.total") >= threshold * F.greatest("x.total", "y.total")))
-    pairs = x.join(y, close).select(F.greatest("x.doc_id", "y.doc_id").alias("a"), F.least("x.doc_id", "y.doc_id").alias("b")).distinct()
-    marks = own.select(F.col("doc_id"), "marks")
-    marked = (pairs.join(marks.withColumnRenamed("doc_id", "a"), "a")
-              .join(marks.withColumnsRenamed({"doc_id": "b", "marks": "marks_b"}), "b"))
-    likely = marked.mapInArrow(_agree, "a long, b long")
-    likely = _written(likely.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "likely")
-    if not likely.isEmpty():
-        more = similarities(likely, plain).where(F.col("sim") >= threshold).select("a", "b")
-        labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
     known = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "n1", "n2", "total", F.coalesce("label", "rep").alias("class_id"))
     return (signed.select("doc_id", "n1", "n2", "total").join(known, ["n1", "n2", "total"], "left")
@@ -258,6 +261,54 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                     .otherwise(F.coalesce("class_id", "doc_id")).alias("class_id")))
 
 
+def _links_of_open_buckets(seen, apart, texts, own, tested, threshold) -> DataFrame:
+    """Links among members of buckets in which some member is not linked to the pivot.
+
+    The weight of runs that a text alone has bounds every similarity it can reach. The
+    member with the smallest such share is a second pivot: for many variants of one text
+    it is the text itself. What is still in different components after that is compared
+    pair by pair where no bound rules the link out.
+    """
+    near = F.col("sim") >= threshold
+    names = seen.join(apart, ["band", "key"], "left_semi")
+    open_ids = names.select("doc_id").distinct()
+    alone = own_weights(texts.join(open_ids, "doc_id", "left_semi"))
+    open_ = names.join(alone, "doc_id", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    # No partner can reach the threshold if its own runs outweigh the rest.
+    open_ = _written(open_.where(F.col("total") - F.col("own") >= threshold * F.col("total")), "open")
+    best = open_.groupBy("band", "key").agg(F.min(F.struct(F.col("own") / F.col("total"), "doc_id", "total")).alias("best"))
+    members = open_.join(best.select("band", "key", F.col("best.doc_id").alias("pivot"), F.col("best.total").alias("second_total")), ["band", "key"])
+    members = members.withColumns({"a": F.greatest("doc_id", "pivot"), "b": F.least("doc_id", "pivot")})
+    stars = members.where("a <> b").select("a", "b").distinct()
+    second = _written(similarities(stars.join(tested.select("a", "b"), ["a", "b"], "left_anti"), texts), "tested")
+    done = tested.unionByName(second)
+    labels = components(done.where(near).select("a", "b"))
+    rows = (members.join(done.withColumnRenamed("sim", "second_sim"), ["a", "b"], "left")
+            .join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left"))
+    second_sim = F.when(F.col("a") == F.col("b"), 1.0).otherwise(F.col("second_sim"))
+    common = lambda sim, total: sim / (1 + sim) * (F.col("total") + F.col(total))
+    rows = rows.select("band", "key", "doc_id", "total", "own", F.coalesce("label", "doc_id").alias("label"),
+                       common(F.col("sim"), "pivot_total").alias("in1"), common(second_sim, "second_total").alias("in2"))
+    still = rows.groupBy("band", "key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("band", "key")
+    rows = _written(rows.join(still, ["band", "key"], "left_semi"), "apart")
+    x, y = rows.alias("x"), rows.alias("y")
+    # What two texts can have in common: within a pivot what the poorer one shares with it,
+    # beyond it what is not their own.
+    caps = [F.least(f"x.in{k}", f"y.in{k}") + F.least(*(F.col(f"{t}.total") - F.col(f"{t}.in{k}") - F.col(f"{t}.own") for t in "xy")) for k in (1, 2)]
+    cap = F.least(*caps, F.col("x.total") - F.col("x.own"), F.col("y.total") - F.col("y.own"))
+    possible = ((F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
+                & (F.col("x.doc_id") > F.col("y.doc_id")) & (F.col("x.label") != F.col("y.label"))
+                & (cap >= threshold * (F.col("x.total") + F.col("y.total") - cap) - 1e-6))
+    pairs = x.join(y, possible).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+    marks = own.select("doc_id", "marks").dropDuplicates(["doc_id"])
+    marked = (pairs.join(marks.withColumnRenamed("doc_id", "a"), "a")
+              .join(marks.withColumnsRenamed({"doc_id": "b", "marks": "marks_b"}), "b"))
+    likely = marked.select("a", "b", "marks", "marks_b").mapInArrow(_agree, "a long, b long")
+    likely = _written(likely.join(done.select("a", "b"), ["a", "b"], "left_anti"), "likely")
+    more = similarities(likely, texts).where(near).select("a", "b")
+    return second.where(near).select("a", "b").unionByName(more)
+
+
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each class stays: the one with the least id."""
     cols = docs.columns
