@@ -42,9 +42,9 @@ def surviving(keys: DataFrame, by: list[str]) -> DataFrame:
     Counts combine before the exchange; the rows of one value are salted by id for the
     join, and the few repeated values are copied to each salt.
     """
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS).cast("long"))
     many = keys.groupBy(*by).count().where("count > 1").select(
-        *by, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("salt"))
+        *by, F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("salt"))
     return keys.withColumn("salt", salt).join(many, [*by, "salt"], "left_semi").drop("salt")
 
 
