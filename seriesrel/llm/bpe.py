@@ -24,6 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Fixed values of the byte-level format: the pre-token pattern, and the printable
 # characters that stand for themselves; the other bytes follow from U+0100 on.
@@ -143,7 +144,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
 def decode(rows: DataFrame, path: str) -> DataFrame:
     """``rows`` with ``decoded`` from ``ids``."""
-    schema = rows.schema.add("decoded", "string")
+    schema = StructType([*rows.schema.fields, StructField("decoded", StringType())])
 
     def run(batches):
         bpe = tokenizer(path)

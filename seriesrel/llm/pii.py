@@ -43,7 +43,7 @@ PATTERNS = {
 }
 MAX_TEXTS, REACH = 2_000, 24
 LENGTH, OVERLAP = 96, 32
-HIDDEN, EMBEDDED, EPOCHS, BATCH, RATE = 12, 8, 6, 32, 0.02
+HIDDEN, EMBEDDED, STEPS, BATCH, RATE = 12, 8, 400, 32, 0.02
 _CUE = re.compile(r"[@0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
@@ -237,12 +237,12 @@ class Tagger:
             g["w" + d], g["c" + d] = dw, db
         return g
 
-    def fit(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray, epochs: int = EPOCHS) -> Tagger:
-        """Adam over shuffled batches."""
+    def fit(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray, steps: int = STEPS) -> Tagger:
+        """Adam over shuffled batches, for ``steps`` batches or the whole of the last pass."""
         m1 = {k: np.zeros_like(v) for k, v in self.p.items()}
         m2 = {k: np.zeros_like(v) for k, v in self.p.items()}
         step = 0
-        for epoch in range(epochs):
+        for epoch in range(-(-steps // -(-len(x) // BATCH))):
             order = np.random.default_rng(epoch).permutation(len(x))
             for at in range(0, len(x), BATCH):
                 some = order[at:at + BATCH]
