@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesrel.llm.text import U, encoded, mix, parts, shingles
+from seriesrel.llm.text import U, encoded, mix, shingles, small
 from seriesrel.session import scratch_path
 
 WIDTH, THRESHOLD = 5, 0.8
@@ -125,20 +125,18 @@ def signatures(texts: list[bytes]):
 
 
 def _sign(batches):
-    for batch in batches:
-        texts, ids = encoded(batch.column("text"), lower=True), batch.column("doc_id")
-        for at, to in parts(texts):
-            total, n1, n2, reg = signatures(texts[at:to])
-            bits = mix(reg.view(U))
-            bands = np.zeros((len(total), BANDS), U)
-            for j in range(ROWS):
-                bands = mix(bands * U(31) + bits[:, j::ROWS])
-            starts = np.arange(0, bands.size + 1, BANDS, dtype=np.int32)
-            yield pa.record_batch({
-                "doc_id": ids.slice(at, to - at), "total": pa.array(total),
-                "n1": pa.array(n1.view(np.int64)), "n2": pa.array(n2.view(np.int64)),
-                "bands": pa.ListArray.from_arrays(starts, bands.view(np.int64).ravel()),
-                "marks": pa.array([r.tobytes() for r in bits.astype(np.uint8)], pa.binary())})
+    for batch in small(batches):
+        total, n1, n2, reg = signatures(encoded(batch.column("text"), lower=True))
+        bits = mix(reg.view(U))
+        bands = np.zeros((len(total), BANDS), U)
+        for j in range(ROWS):
+            bands = mix(bands * U(31) + bits[:, j::ROWS])
+        starts = np.arange(0, bands.size + 1, BANDS, dtype=np.int32)
+        yield pa.record_batch({
+            "doc_id": batch.column("doc_id"), "total": pa.array(total),
+            "n1": pa.array(n1.view(np.int64)), "n2": pa.array(n2.view(np.int64)),
+            "bands": pa.ListArray.from_arrays(starts, bands.view(np.int64).ravel()),
+            "marks": pa.array([r.tobytes() for r in bits.astype(np.uint8)], pa.binary())})
 
 
 def jaccard(a: list[bytes], b: list[bytes]) -> np.ndarray:
@@ -157,12 +155,10 @@ def jaccard(a: list[bytes], b: list[bytes]) -> np.ndarray:
 
 
 def _verify(batches):
-    for batch in batches:
-        a, b = encoded(batch.column("text_a"), lower=True), encoded(batch.column("text_b"), lower=True)
-        for at, to in parts([x + y for x, y in zip(a, b, strict=True)]):
-            cut = batch.slice(at, to - at)
-            yield pa.record_batch({"a": cut.column("a"), "b": cut.column("b"),
-                                   "sim": pa.array(jaccard(a[at:to], b[at:to]))})
+    for outer in small(batches, column="text_a"):
+        for batch in small([outer], column="text_b"):
+            sim = jaccard(encoded(batch.column("text_a"), lower=True), encoded(batch.column("text_b"), lower=True))
+            yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b"), "sim": pa.array(sim)})
 
 
 def _agree(batches):
@@ -215,12 +211,11 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _elements(batches):
-    for batch in batches:
-        texts, ids = encoded(batch.column("text"), lower=True), batch.column("doc_id").to_numpy()
-        for at, to in parts(texts):
-            owner, element, weight = multisets(texts[at:to])
-            yield pa.record_batch({"element": pa.array(element.view(np.int64)), "doc_id": pa.array(ids[at + owner]),
-                                   "weight": pa.array(weight.astype(np.int64))})
+    for batch in small(batches):
+        owner, element, weight = multisets(encoded(batch.column("text"), lower=True))
+        ids = batch.column("doc_id").to_numpy()
+        yield pa.record_batch({"element": pa.array(element.view(np.int64)), "doc_id": pa.array(ids[owner]),
+                               "weight": pa.array(weight.astype(np.int64))})
 
 
 def own_weights(texts: DataFrame) -> DataFrame:

@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from seriesrel.llm.text import small
+
 # Fixed values of the byte-level format: the pre-token pattern, and the printable
 # characters that stand for themselves; the other bytes follow from U+0100 on.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -134,7 +136,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         bpe = tokenizer(path)
-        for batch in batches:
+        for batch in small(batches):
             ids = [bpe.encode(t or "") for t in batch.column("text").to_pylist()]
             yield pa.record_batch([*batch.columns, pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())],
                                   names=[*batch.schema.names, "ids", "n_tokens"])
@@ -159,7 +161,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of encoding and decoding each whole text."""
     def run(batches):
         bpe = tokenizer(path)
-        for batch in batches:
+        for batch in small(batches):
             n, a, b = [], [], []
             for text in batch.column("text").to_pylist():
                 ids = bpe.encode(text or "")
@@ -180,7 +182,7 @@ def encoded_documents(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         bpe = tokenizer(path)
-        for batch in batches:
+        for batch in small(batches):
             ids = [bpe.encode(t or "") for t in batch.column("text").to_pylist()]
             back = [hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in ids]
             yield pa.record_batch([*batch.columns[:3], pa.array([len(x) // 4 for x in ids], pa.int64()),

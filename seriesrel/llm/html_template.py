@@ -38,6 +38,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seriesrel.llm.text import small
+
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([A-Za-z_:@][\w:.@-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
@@ -255,7 +257,7 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def _tokens(batches):
-    for batch in batches:
+    for batch in small(batches, column="html"):
         rows = []
         for host, page_id, page in zip(*(batch.column(c).to_pylist() for c in ("host", "page_id", "html")), strict=True):
             if not page:
@@ -318,7 +320,7 @@ def templates(pages: DataFrame) -> DataFrame:
 def extract_main(pages: DataFrame) -> DataFrame:
     """``(page_id, url, text, n_chars)`` for each row of ``pages`` (``page_id, url, html``)."""
     def run(batches):
-        for batch in batches:
+        for batch in small(batches, column="html"):
             texts = [extract(p, json.loads(r or "[]")) for p, r in zip(batch.column("html").to_pylist(), batch.column("roots").to_pylist(), strict=True)]
             yield pa.record_batch([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                                    pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seriesrel.llm.text import small
+
 KINDS = ("email", "ip", "card", "phone")
 # The rules' patterns. The number patterns are written without backtracking
 # (a match can only begin at the start of a run of digits); e-mail addresses are read
@@ -359,7 +361,7 @@ def find_pii(docs: DataFrame, params: dict[str, np.ndarray] | None) -> DataFrame
         if name not in _ready and shared.value:
             _ready.clear()
             _ready[name] = Tagger(shared.value)
-        for batch in batches:
+        for batch in small(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             rows = []
             for base, extra in spans(texts, _ready.get(name)):

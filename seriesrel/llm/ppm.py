@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesrel.llm.text import encoded, parts
+from seriesrel.llm.text import encoded, small
 
 ORDER = 3
 MAX_ROWS = 20_000
@@ -63,17 +63,18 @@ def _codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(batches):
-    for batch in batches:
+    for batch in small(batches):
         langs = batch.column("lang").to_pylist()
         texts = encoded(batch.column("text"))
         for lang in sorted(set(langs)):
             some = [t for t, own in zip(texts, langs, strict=True) if own == lang and t]
-            for at, to in parts(some):
-                i, b = _codes(some[at:to])
-                w = b.astype(np.uint32)
-                code, n = np.unique((w[i - 3] << 24) | (w[i - 2] << 16) | (w[i - 1] << 8) | w[i], return_counts=True)
-                yield pa.record_batch({"lang": pa.array([lang] * len(code)), "code": pa.array(code.astype(np.int64)),
-                                       "n": pa.array(n.astype(np.int64))})
+            if not some:
+                continue
+            i, b = _codes(some)
+            w = b.astype(np.uint32)
+            code, n = np.unique((w[i - 3] << 24) | (w[i - 2] << 16) | (w[i - 1] << 8) | w[i], return_counts=True)
+            yield pa.record_batch({"lang": pa.array([lang] * len(code)), "code": pa.array(code.astype(np.int64)),
+                                   "n": pa.array(n.astype(np.int64))})
 
 
 def train(labelled: DataFrame, max_rows: int = MAX_ROWS) -> dict[str, tuple[np.ndarray, np.ndarray]]:
@@ -137,9 +138,8 @@ class Trees:
     def lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits per text and language."""
         out = np.zeros((len(texts), len(self.langs)))
-        full = [i for i, t in enumerate(texts) if t]
-        for at, to in parts([texts[i] for i in full], 1 << 20):
-            some = full[at:to]
+        some = [i for i, t in enumerate(texts) if t]
+        if some:
             i, b = _codes([texts[k] for k in some])
             d = self.symbol[b]
             ctx = (d[i - 3] * self.size + d[i - 2]) * self.size + d[i - 1]
@@ -161,7 +161,7 @@ def identify(docs: DataFrame, counts: dict[str, tuple[np.ndarray, np.ndarray]])
             _built.clear()
             _built[name] = Trees(shared.value)
         trees = _built.get(name)
-        for batch in batches:
+        for batch in small(batches, 1 << 20):
             strings = batch.column("text").to_pylist()
             lettered = np.array([bool(t and _LETTER.search(t)) for t in strings], bool)
             pred, score = np.full(len(strings), UNKNOWN, object), np.zeros(len(strings))

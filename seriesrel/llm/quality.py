@@ -7,7 +7,7 @@ features are the shares of its n-grams, so a score is a sparse dot product with
 the weights: the mean weight of the n-grams, put through the logistic function.
 
 Weights are learnt with follow-the-regularised-leader updates, one labelled text
-at a time, by ``SHARDS`` tasks over a bounded sample (``max_rows``) whose weights
+at a time, by ``SHARDS`` tasks over a bounded sample (``MAX_ROWS``) whose weights
 are averaged. Scoring reads whole texts.
 
 Edge cases: a null or empty text has the bias as its only feature; null labels and
@@ -22,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesrel.llm.ppm import sampled
-from seriesrel.llm.text import TOKENS, U, encoded, mix, parts, scan
+from seriesrel.llm.text import TOKENS, U, encoded, mix, scan, small
 
 BITS = 18
 SIZE = 1 << BITS                     # the weight at SIZE is the bias
 MAX_ROWS, SHARDS, EPOCHS = 24_000, 4, 3
 ALPHA, BETA, L1, L2 = 0.8, 1.0, 1e-4, 1e-4
+SLICE = 1 << 19                      # bytes of text at once
 SCALE = 8.0                          # of an n-gram share
 THRESHOLD = 0.3
 _KINDS = tuple(U(k) for k in (0x1B873593CC9E2D51, 0x85EBCA6B27D4EB2F, 0xC2B2AE35165667B1, 0x38495AB5A1B2C3D5, 0x561CCD1BE6546B64))
@@ -61,18 +61,15 @@ def ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _features(batches):
-    for batch in batches:
-        texts = encoded(batch.column("text"))
-        for at, to in parts(texts):
-            owner, feature, value = ngrams(texts[at:to])
-            key, inv = np.unique(owner * (SIZE + 1) + feature, return_inverse=True)
-            value = np.bincount(inv, weights=value, minlength=len(key)).astype(np.float32)
-            ends = np.searchsorted(key, np.arange(to - at + 1) * (SIZE + 1)).astype(np.int32)
-            cut = batch.slice(at, to - at)
-            yield pa.record_batch({
-                "doc_id": cut.column("doc_id"), "label": cut.column("label"),
-                "f": pa.ListArray.from_arrays(ends, (key % (SIZE + 1)).astype(np.int32)),
-                "v": pa.ListArray.from_arrays(ends, value)})
+    for batch in small(batches, SLICE):
+        owner, feature, value = ngrams(encoded(batch.column("text")))
+        key, inv = np.unique(owner * (SIZE + 1) + feature, return_inverse=True)
+        value = np.bincount(inv, weights=value, minlength=len(key)).astype(np.float32)
+        ends = np.searchsorted(key, np.arange(batch.num_rows + 1) * (SIZE + 1)).astype(np.int32)
+        yield pa.record_batch({
+            "doc_id": batch.column("doc_id"), "label": batch.column("label"),
+            "f": pa.ListArray.from_arrays(ends, (key % (SIZE + 1)).astype(np.int32)),
+            "v": pa.ListArray.from_arrays(ends, value)})
 
 
 class Ftrl:
@@ -113,9 +110,9 @@ def _learn(batches):
     yield pa.record_batch({"f": pa.array(at), "w": pa.array(w[at])})
 
 
-def train(labelled: DataFrame, max_rows: int = MAX_ROWS) -> np.ndarray:
-    """Weights from rows with ``doc_id``, ``text`` and ``label`` (0 or 1)."""
-    rows = sampled(labelled.where("doc_id IS NOT NULL AND label IN (0, 1)"), max_rows)
+def train(labelled: DataFrame) -> np.ndarray:
+    """Weights from rows with ``doc_id``, ``text`` and ``label`` (0 or 1); callers bound their number."""
+    rows = labelled.where("doc_id IS NOT NULL AND label IN (0, 1)")
     feats = rows.select(F.col("doc_id").cast("long"), "text", F.col("label").cast("int")).mapInArrow(
         _features, "doc_id long, label int, f array<int>, v array<float>")
     shards = feats.repartition(SHARDS, F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)))
@@ -128,12 +125,9 @@ def train(labelled: DataFrame, max_rows: int = MAX_ROWS) -> np.ndarray:
 
 
 def scores(texts: list[bytes], w: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(texts))
-    for at, to in parts(texts):
-        owner, feature, value = ngrams(texts[at:to])
-        dot = np.bincount(owner, weights=w[feature] * value, minlength=to - at) + float(w[SIZE])
-        out[at:to] = 1 / (1 + np.exp(-np.clip(dot, -35, 35)))
-    return out
+    owner, feature, value = ngrams(texts)
+    dot = np.bincount(owner, weights=w[feature] * value, minlength=len(texts)) + float(w[SIZE])
+    return 1 / (1 + np.exp(-np.clip(dot, -35, 35)))
 
 
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
@@ -141,7 +135,7 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches, SLICE):
             yield pa.record_batch({"doc_id": batch.column("doc_id"),
                                    "score": pa.array(scores(encoded(batch.column("text")), shared.value))})
 
@@ -153,7 +147,7 @@ def keep_good(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches, SLICE):
             yield batch.filter(pa.array(scores(encoded(batch.column("text")), shared.value) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

@@ -45,9 +45,14 @@ def op5_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_weights(docs: DataFrame, labels: DataFrame):
-    """Weights from the labelled rows that are not held out."""
-    some = labels.select("doc_id", F.col("quality").alias("label")).where(quality_fold() != 0)
-    return quality.train(docs.select("doc_id", "text").join(some, "doc_id"))
+    """Weights from the labelled rows that are not held out.
+
+    The labels are sampled before the join, so that their bounded sample
+    (``quality.MAX_ROWS``) goes to the documents and no text is exchanged.
+    """
+    usable = labels.select("doc_id", F.col("quality").alias("label")).where(quality_fold() > 0)
+    some = ppm.sampled(usable.where("label IN (0, 1)"), quality.MAX_ROWS)
+    return quality.train(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id"))
 
 
 def quality_fold():

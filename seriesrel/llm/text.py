@@ -12,6 +12,8 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 PIECE = 1 << 19                      # bytes scanned at once
@@ -111,8 +113,23 @@ def scan(texts: list[bytes], table: np.ndarray, shapes: bool = False):
 def encoded(column, lower: bool = False) -> list[bytes]:
     """UTF-8 bytes of an Arrow string column, null as empty."""
     if lower:
-        return [(t or "").lower().encode("utf-8", "surrogatepass") for t in column.to_pylist()]
-    return [(t or "").encode("utf-8", "surrogatepass") for t in column.to_pylist()]
+        return [(t or "").lower().encode() for t in column.to_pylist()]
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+
+
+def small(batches, limit: int = 1 << 21, column: str = "text"):
+    """The batches cut into slices of whole rows with about ``limit`` bytes of text, so that memory stays flat."""
+    for batch in batches:
+        if not batch.num_rows:
+            yield batch
+            continue
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            done = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, done + limit, "right")))
+            yield batch.slice(at, to - at)
+            at = to
 
 
 def shingles(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -140,15 +157,3 @@ def shingles(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, np.ndarray
     if not out_h:
         return np.zeros(0, U), np.zeros(0, np.int64)
     return np.concatenate(out_h), np.concatenate(out_o).astype(np.int64)
-
-
-def parts(texts: list[bytes], limit: int = 1 << 22) -> Iterator[tuple[int, int]]:
-    """Slices of whole texts of about ``limit`` bytes, so that working arrays stay bounded."""
-    at = 0
-    while at < len(texts):
-        to, size = at, 0
-        while to < len(texts) and (to == at or size + len(texts[to]) <= limit):
-            size += len(texts[to])
-            to += 1
-        yield at, to
-        at = to

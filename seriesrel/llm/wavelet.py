@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesrel.llm.bpe import byte_characters
+from seriesrel.llm.text import small
 
 END = 1
 SHARD_TOKENS = 1 << 20
@@ -198,7 +199,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, path: str) -> None:
                 "n": pa.array([len(ids)], pa.int64()), "zeros": pa.array([zeros], pa.list_(pa.int64())),
                 "planes": pa.array([planes], pa.list_(pa.binary()))})
 
-        for batch in batches:
+        for batch in small(batches):
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids = enc.encode(text or "") + end
                 names.append(doc)
