@@ -13,15 +13,17 @@ from __future__ import annotations
 import argparse
 import json
 
-from .session import build_session, scratch_path
+from .config import STREAM_TOPICS
+from .session import build_session
 
 
 def _ingest(spark, a):
     from .streaming.job import IngestConfig, await_all, file_source, kafka_source, start_ingest
     cfg = IngestConfig(sink_root=a.tables,
-                       checkpoint=a.checkpoint or scratch_path(spark, "ingest-checkpoint"),
+                       checkpoint=a.checkpoint or f"{a.tables.rstrip('/')}/_ingest_checkpoint",
                        trigger=None if a.once else a.trigger)
-    src = kafka_source(spark, a.kafka) if a.kafka else file_source(spark, a.landing, a.max_per_trigger)
+    src = (kafka_source(spark, a.kafka, a.topics.split(","), a.max_per_trigger) if a.kafka
+           else file_source(spark, a.landing, a.max_per_trigger))
     q = start_ingest(src, cfg, query_name="seriesrel-ingest")
     if a.once:
         q.awaitTermination()
@@ -62,7 +64,8 @@ def main(argv=None) -> None:
     i.add_argument("--tables", required=True)
     i.add_argument("--checkpoint")
     i.add_argument("--trigger", default="10 seconds")
-    i.add_argument("--max-per-trigger", type=int, default=1000)
+    i.add_argument("--topics", default=",".join(STREAM_TOPICS), help="Kafka topics, comma-separated")
+    i.add_argument("--max-per-trigger", type=int, help="messages (Kafka) or files a trigger; all by default")
     i.add_argument("--once", action="store_true")
     b = sub.add_parser("batch")
     b.add_argument("--lead", required=True, help="Parquet: date, price, symbol")

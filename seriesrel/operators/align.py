@@ -37,8 +37,9 @@ def join_reference(lead: DataFrame, ref: DataFrame, *,
     lead_n = lead.select(F.col(symbol_col).alias("symbol"),
                          day_of(time_col).alias("date"),
                          F.col(price_col).cast("double").alias("lead_price"))
-    ref_n = ref.select(day_of(time_col).alias("date"),
-                       F.col(rate_col).cast("double").alias("ref_observed"))
+    # One reference row a day (the day's first): a repeated day adds no bars.
+    ref_n = ref.groupBy(day_of(time_col).alias("date")).agg(
+        F.min_by(F.col(rate_col).cast("double"), F.struct(time_col, rate_col)).alias("ref_observed"))
     return lead_n.join(ref_n, "date", "left").select(
         "symbol", "date", "lead_price", "ref_observed")
 
@@ -87,8 +88,10 @@ def series_from_raw(raw: DataFrame, value_col: str, *, symbol_col: str = "instru
     """
     from pyspark.sql import types as T
     from ..functions.columns import utc_wall_clock
+    # Ties of the event time: the later ingest, then source and value, decide.
+    full = [time_col, *(c for c in ("ingest_time_utc", "source") if c in raw.columns), value_col]
     t = F.col(time_col)
     if isinstance(raw.schema[time_col].dataType, T.TimestampType):
         t = utc_wall_clock(t)
     return (raw.groupBy(F.col(symbol_col).alias("symbol"), F.to_date(t).alias("date"))
-               .agg(F.max_by(value_col, time_col).alias(value_col)))
+               .agg(F.max_by(value_col, F.struct(*full)).alias(value_col)))

@@ -35,13 +35,16 @@ def rolling_metrics(bars: DataFrame, windows: dict[str, int] = WINDOWS, *,
     """Wide frame: keys, order, ``keep`` columns and ``<metric>_<horizon>``."""
     w = series_window(list(keys), order)
     spread = F.col(lead_col) - F.col(ref_col)
+    both = F.when(spread.isNotNull(), 1)
+    lead, ref = F.when(spread.isNotNull(), F.col(lead_col)), F.when(spread.isNotNull(), F.col(ref_col))
     cols = [*keys, order, *keep]
     for h, n in windows.items():
         frame = trailing(w, n)
-        n_rows = F.count(F.lit(1)).over(frame)
+        # min_periods counts observations: rows where both sides are there.
+        n_rows = F.count(both).over(frame)
         mp = n // 2
         cols += [
-            gate(n_rows, mp, rolling_pearson(lead_col, ref_col, frame))
+            gate(n_rows, mp, rolling_pearson(lead, ref, frame))
             .alias(metric_column("pearson_corr", h)),
             gate(n_rows, mp, rolling_beta(ref_col, lead_col, frame))
             .alias(metric_column("beta", h)),

@@ -58,7 +58,8 @@ def _with_balanced_weights(df: DataFrame, label: str = TARGET_CLASS) -> DataFram
 
 def train_models(features: DataFrame, params: ModelParams | None = None, *,
                  n_splits: int = N_SPLITS, model_dir: str | None = None,
-                 refit: bool = True) -> TrainResult:
+                 refit: bool = True, regressor: bool = True, classifier: bool = True) -> TrainResult:
+    """Evaluate on every fold and, with ``refit``, fit on all rows; either model can be left out."""
     p = params or ModelParams()
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(features.sparkSession)
@@ -87,11 +88,10 @@ def train_models(features: DataFrame, params: ModelParams | None = None, *,
     def fit_fold(sym, k):
         tr = train.where((F.col("symbol") == sym) & (F.col("fold") == k))
         te = test.where((F.col("symbol") == sym) & (F.col("fold") == k))
-        reg = gbt().fit(tr)
-        out = reg.transform(te)
-        if k == n_splits - 1:
-            clf = rf().fit(tr)
-            out = clf.transform(out).withColumn("pred_anomaly", F.col("pred_class").cast("int"))
+        out = gbt().fit(tr).transform(te) if regressor else te.withColumn("pred_zscore", F.lit(None).cast("double"))
+        if classifier:
+            out = rf().fit(tr).transform(out.drop("rawPrediction", "probability"))
+            out = out.withColumn("pred_anomaly", F.col("pred_class").cast("int"))
         else:
             out = out.withColumn("pred_anomaly", F.lit(None).cast("int"))
         return out.select("symbol", "date", "fold", "role", TARGET_REGRESSION, TARGET_CLASS,

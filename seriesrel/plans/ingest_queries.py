@@ -91,26 +91,27 @@ def q_stream_quarantine(spark, sf_dir):
     q = spark.read.parquet(cfg.table_path("quarantine"))
     return (q.groupBy(F.get_json_object("raw", "$.instrument_id").alias("instrument_id"),
                       F.array_join("reject_reasons", ",").alias("reasons"))
-             .agg(F.count(F.lit(1)).alias("n_messages")))
+             .agg(F.sum("n_copies").alias("n_messages")))
+
+
+def q_stream_accounting(spark, sf_dir):
+    """Where every message went: a raw table, or the quarantine with its reason."""
+    cfg = stream_run(spark, sf_dir)
+    lead = spark.read.parquet(cfg.table_path("raw_lead")).select(F.lit("raw_lead").alias("outcome"), F.lit(1).cast("long").alias("n"))
+    ref = spark.read.parquet(cfg.table_path("raw_reference")).select(F.lit("raw_reference").alias("outcome"), F.lit(1).cast("long").alias("n"))
+    bad = spark.read.parquet(cfg.table_path("quarantine")).select(F.array_join("reject_reasons", ",").alias("outcome"), F.col("n_copies").alias("n"))
+    return lead.unionByName(ref).unionByName(bad).groupBy("outcome").agg(F.sum("n").alias("n_messages"))
 
 
 def q_stream_lag_monitor(spark, sf_dir):
-    """Event-to-ingest lag per instrument and 1-hour ingest window, as a
-    watermarked streaming aggregation written to a Parquet file sink."""
-    from ..streaming.job import lag_monitor
+    """Event-to-ingest lag per instrument and 1-hour ingest window over all landed messages."""
+    from ..streaming.job import read_lag, start_lag_monitor
     stream_run(spark, sf_dir)                     # lands the envelopes
-    landing = _LANDINGS[(id(spark), sf_dir)]
     out = scratch_path(spark, "lag")
-    # one micro-batch holds every landed file, so no row is late by file order;
-    # the following no-data batch moves the watermark and closes the windows
-    q = (lag_monitor(file_source(spark, landing, 1000), window="1 hour")
-         .writeStream.outputMode("append").format("parquet")
-         .option("path", f"{out}/table").option("checkpointLocation", f"{out}/checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    t = spark.read.parquet(f"{out}/table")
-    return round_doubles(t.select(_ntz("window_start"), _ntz("window_end"), "instrument_id",
-                                  "n_messages", "avg_lag_s", "max_lag_s"))
+    start_lag_monitor(file_source(spark, _LANDINGS[(id(spark), sf_dir)], 2), f"{out}/table", f"{out}/checkpoint",
+                      window="1 hour").awaitTermination()
+    return round_doubles(read_lag(spark, f"{out}/table").select(
+        _ntz("window_start"), _ntz("window_end"), "instrument_id", "n_messages", "avg_lag_s", "max_lag_s"))
 
 
 def q_bars_from_stream(spark, sf_dir):
@@ -153,6 +154,7 @@ QUERIES = {
     "ingest_lag": q_ingest_lag,
     "stream_ingest_lead": q_stream_ingest_lead,
     "stream_quarantine": q_stream_quarantine,
+    "stream_accounting": q_stream_accounting,
     "stream_lag_monitor": q_stream_lag_monitor,
     "bars_from_stream": q_bars_from_stream,
     "insert_if_absent": q_insert_if_absent,

@@ -18,9 +18,8 @@ from ..sources import fixtures as fx
 from ..sources import landing
 from ..streaming import ingest
 
-# Fixture parameter: the historical CSV ends here; daily XML covers a second
-# order priority over the whole span, so the two overlap and then extend.
-HISTORY_END = "1999-12-31"
+# The historical CSV holds the higher order priorities of the first part of the span;
+# daily XML holds all other orders, so the two overlap and then extend.
 XML_TEMPLATE = ("<rates><item><title> EUR </title><description>%s</description></item>"
                 "<item><title> USD </title><description>%s</description></item></rates>")
 
@@ -55,14 +54,13 @@ def land(spark: SparkSession, sf_dir: str) -> Landed:
                                              "data").alias("response"))).alias("value")) \
          .write.text(out.pages)
 
-    hist = fx.reference_series(spark, sf_dir).where(
-        F.col("date") <= F.lit(HISTORY_END).cast("date"))
+    hist = fx.history_series(spark, sf_dir)
     hist.select(F.date_format("date", "dd.MM.yyyy").alias("Date"),
                 F.col("rate").cast("string").alias("USD"),
                 F.round(F.col("rate") / 1.1, 2).cast("string").alias("EUR")) \
         .write.option("header", True).csv(out.csv)
 
-    recent = fx.reference_series(spark, sf_dir, fx.RECENT_PRIORITY)
+    recent = fx.recent_series(spark, sf_dir)
     recent.select(F.date_format("date", "dd.MM.yyyy").alias("fdate"),
                   F.format_string(XML_TEMPLATE, F.round(F.col("rate") / 1.1, 2).cast("string"),
                                   F.col("rate").cast("string")).alias("body")) \

@@ -29,11 +29,14 @@ LEAD = """lead AS (
 
 REF = """ref AS (
   SELECT CAST(o_orderdate AS DATE) AS date, max(o_totalprice) AS rate
-  FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1)"""
+  FROM orders GROUP BY 1)"""
+
+IS_HISTORY = """o_orderpriority < '4' AND CAST(o_orderdate AS DATE) <=
+    (SELECT min(CAST(o_orderdate AS DATE)) + CAST(floor(0.7 * (max(CAST(o_orderdate AS DATE)) - min(CAST(o_orderdate AS DATE)))) AS INT) FROM orders)"""
 
 RECENT = """recent AS (
   SELECT CAST(o_orderdate AS DATE) AS date, max(o_totalprice) AS rate
-  FROM orders WHERE o_orderpriority = '2-HIGH' GROUP BY 1)"""
+  FROM orders WHERE NOT (IS_HISTORY) GROUP BY 1)""".replace("IS_HISTORY", IS_HISTORY)
 
 WS = "PARTITION BY symbol ORDER BY date"
 RUN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
@@ -284,8 +287,13 @@ SQL.update({
         "'events' AS source, CAST(quality_flag AS SMALLINT) AS quality_flag, ingest_time_utc "
         f"FROM ev WHERE is_valid AND instrument_id IN {LEAD_TYPES}",
     "stream_quarantine": with_(EV) +
-        "SELECT instrument_id, 'quality_flag_invalid' AS reasons, count(*) AS n_messages "
-        "FROM ev WHERE NOT is_valid GROUP BY instrument_id",
+        "SELECT instrument_id, CASE WHEN is_valid THEN 'unrouted_instrument' ELSE 'quality_flag_invalid' END AS reasons, "
+        f"count(*) AS n_messages FROM ev WHERE NOT is_valid OR instrument_id NOT IN {LEAD_TYPES} AND instrument_id <> 'signup' "
+        "GROUP BY ALL",
+    "stream_accounting": with_(EV) +
+        "SELECT CASE WHEN NOT is_valid THEN 'quality_flag_invalid' WHEN instrument_id = 'signup' THEN 'raw_reference' "
+        f"WHEN instrument_id IN {LEAD_TYPES} THEN 'raw_lead' ELSE 'unrouted_instrument' END AS outcome, "
+        "count(*) AS n_messages FROM ev GROUP BY 1",
     "insert_if_absent": SQL["aligned_bars"],
     "partitioned_roundtrip": with_(*METRIC_CTES) +
         "SELECT symbol, date, horizon, metric, " + rnd("value", "value") + " FROM ml "
@@ -294,7 +302,9 @@ SQL.update({
 })
 
 # ----------------------------------------------------------------- landing --
-HIST = "hist AS (SELECT date, rate FROM ref WHERE date <= DATE '1999-12-31')"
+HIST = f"""hist AS (
+  SELECT CAST(o_orderdate AS DATE) AS date, max(o_totalprice) AS rate
+  FROM orders WHERE {IS_HISTORY} GROUP BY 1)"""
 UNION_FW = """u AS (
   SELECT date, rate FROM hist
   UNION ALL SELECT date, rate FROM recent WHERE date NOT IN (SELECT date FROM hist))"""
@@ -383,9 +393,7 @@ SQL["stream_lag_monitor"] = with_(EV, """lagged AS (
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, instrument_id,
        count(*) AS n_messages, round(avg(lag_s), 6) + 0.0 AS avg_lag_s,
        round(max(lag_s), 6) + 0.0 AS max_lag_s
-FROM lagged GROUP BY window_start, instrument_id
-HAVING window_start + INTERVAL 1 HOUR
-       <= (SELECT max(ingest_time_utc) FROM lagged) - INTERVAL 10 MINUTE"""
+FROM lagged GROUP BY window_start, instrument_id"""
 
 # Bars from the streamed raw tables: same chain, daily closes of the events.
 LEAD_FROM_EVENTS = f"""lead AS (

@@ -85,29 +85,10 @@ def metrics_for_features(long: DataFrame, symbol: str) -> DataFrame:
 
 
 # --------------------------------------------------------------- SQL route --
-# The dashboard's panel queries as Spark SQL with named parameters (no string
-# interpolation of user values). Views are registered from DataFrames or from
-# the written tables.
-PANEL_SQL = {
-    "price": "SELECT date AS time, lead_price FROM aligned_bars "
-             "WHERE symbol = :symbol AND date BETWEEN :start AND :end ORDER BY time",
-    "rate": "SELECT date AS time, ref_rate FROM aligned_bars "
-            "WHERE symbol = :symbol AND date BETWEEN :start AND :end ORDER BY time",
-    "corr_30d": "SELECT date AS time, value AS corr_30d FROM relationship_metrics "
-                "WHERE symbol = :symbol AND metric = 'pearson_corr' AND horizon = '30d' "
-                "AND date BETWEEN :start AND :end ORDER BY time",
-    "corr_60d": "SELECT date AS time, value AS corr_60d FROM relationship_metrics "
-                "WHERE symbol = :symbol AND metric = 'pearson_corr' AND horizon = '60d' "
-                "AND date BETWEEN :start AND :end ORDER BY time",
-    "zscore_30d": "SELECT date AS time, value AS zscore_30d FROM relationship_metrics "
-                  "WHERE symbol = :symbol AND metric = 'spread_zscore' AND horizon = '30d' "
-                  "AND date BETWEEN :start AND :end ORDER BY time",
-    "zscore_60d": "SELECT date AS time, value AS zscore_60d FROM relationship_metrics "
-                  "WHERE symbol = :symbol AND metric = 'spread_zscore' AND horizon = '60d' "
-                  "AND date BETWEEN :start AND :end ORDER BY time",
-    "latest_alerts": "SELECT fired_at, kind, severity, symbol, horizon, description FROM alerts "
-                     "ORDER BY fired_at DESC, kind, symbol, horizon LIMIT :limit",
-}
+# Any panel is one column of a stored table over time for some keys, or the newest
+# alerts. Names are identifiers and user values are bound parameters, never text.
+SERIES_SQL = "SELECT date AS time, IDENTIFIER(:column) AS value FROM IDENTIFIER(:table) WHERE {keys} AND date BETWEEN :start AND :end"
+NEWEST_SQL = "SELECT fired_at, kind, severity, symbol, horizon, description FROM alerts ORDER BY fired_at DESC, kind, symbol, horizon LIMIT :limit"
 
 
 def register_views(spark, *, bars: DataFrame | None = None, metrics: DataFrame | None = None,
@@ -125,11 +106,16 @@ def register_tables(spark, root: str) -> None:
                    alerts=spark.read.parquet(f"{root}/alerts"))
 
 
-def run_panel(spark, name: str, **params) -> DataFrame:
-    """One panel query; ``params`` are bound to the ``:name`` markers."""
+def run_series(spark, table: str, column: str, start, end, **keys) -> DataFrame:
+    """``time, value`` of one column of a registered table between two days, for equal ``keys``."""
     import datetime as dt
-    args = {k: (dt.date.fromisoformat(v) if k in ("start", "end") and isinstance(v, str) else v)
-            for k, v in params.items()}
-    if name == "latest_alerts":
-        args.setdefault("limit", LATEST_ALERTS_LIMIT)
-    return spark.sql(PANEL_SQL[name], args=args)
+    day = lambda v: dt.date.fromisoformat(v) if isinstance(v, str) else v
+    names = list(keys)
+    text = SERIES_SQL.format(keys=" AND ".join(f"IDENTIFIER(:name{i}) <=> :key{i}" for i in range(len(names))) or "true")
+    args = {"table": table, "column": column, "start": day(start), "end": day(end)}
+    args |= {f"name{i}": k for i, k in enumerate(names)} | {f"key{i}": keys[k] for i, k in enumerate(names)}
+    return spark.sql(text, args=args).orderBy("time")
+
+
+def run_newest_alerts(spark, limit: int = LATEST_ALERTS_LIMIT) -> DataFrame:
+    return spark.sql(NEWEST_SQL, args={"limit": limit})

@@ -53,13 +53,14 @@ def q_metrics_for_features(spark, sf_dir):
 
 def q_sql_panel_zscore_30d(spark, sf_dir):
     serve.register_views(spark, metrics=long_metrics(spark, sf_dir))
-    return round_doubles(serve.run_panel(spark, "zscore_30d", symbol=PANEL_SYMBOL,
-                                         start=START, end=END))
+    z = serve.run_series(spark, "relationship_metrics", "value", START, END,
+                         symbol=PANEL_SYMBOL, metric="spread_zscore", horizon="30d")
+    return round_doubles(z.withColumnRenamed("value", "zscore_30d"))
 
 
 def q_sql_latest_alerts(spark, sf_dir):
     serve.register_views(spark, alerts=detect.cusum_alerts(long_metrics(spark, sf_dir)))
-    return serve.run_panel(spark, "latest_alerts")
+    return serve.run_newest_alerts(spark)
 
 
 QUERIES = {

@@ -2,8 +2,8 @@
 
 * lead series: ``lineitem``, one series per return flag; the daily price is
   ``max(l_extendedprice)`` (exact on every engine).
-* reference series: ``orders`` of one priority; the daily rate is
-  ``max(o_totalprice)``.
+* reference series: ``orders``; the daily rate is ``max(o_totalprice)``. The
+  historical and the recent part of it overlap and together use every order.
 * envelopes: ``events`` rows re-expressed as versioned messages.
 
 The day aggregates are partial/final hash aggregates: at any scale the shuffle
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import day_of
 
 # Fixture parameters (our choice of how to stand the series up on the tables).
-REFERENCE_PRIORITY = "1-URGENT"
-RECENT_PRIORITY = "2-HIGH"
+RECENT_FROM_PRIORITY = "4"
+HISTORY_SHARE = 0.7
 FIXTURE_SOURCE = "events"
 FIXTURE_LEAD_INSTRUMENTS = ("click", "view", "purchase")
 FIXTURE_REFERENCE_INSTRUMENT = "signup"
@@ -63,13 +63,30 @@ def lead_series(spark: SparkSession, sf_dir: str,
     return daily_series(li, "l_shipdate", "l_extendedprice", ("symbol",), "price")
 
 
-def reference_series(spark: SparkSession, sf_dir: str,
-                     priority: str = REFERENCE_PRIORITY) -> DataFrame:
-    """(date, rate): the reference series from one order priority."""
-    o = (table(spark, sf_dir, "orders")
-         .where(F.col("o_orderpriority") == priority)
-         .select("o_orderdate", "o_totalprice"))
-    return daily_series(o, "o_orderdate", "o_totalprice", (), "rate")
+def reference_series(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+    """(date, rate): the daily reference series of all orders, or of those in ``where``."""
+    o = table(spark, sf_dir, "orders")
+    if where is not None:
+        o = o.where(where)
+    return daily_series(o.select("o_orderdate", "o_totalprice"), "o_orderdate", "o_totalprice", (), "rate")
+
+
+def _is_history(spark: SparkSession, sf_dir: str):
+    """Orders of the history: the higher priorities in the first part of the date span."""
+    day = day_of("o_orderdate")
+    first, last = table(spark, sf_dir, "orders").agg(F.min(day), F.max(day)).first()
+    if first is None:
+        return F.lit(True)
+    cut = F.date_add(F.lit(first), int(HISTORY_SHARE * (last - first).days))
+    return (F.col("o_orderpriority") < RECENT_FROM_PRIORITY) & (day <= cut)
+
+
+def history_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reference_series(spark, sf_dir, _is_history(spark, sf_dir))
+
+
+def recent_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reference_series(spark, sf_dir, ~F.coalesce(_is_history(spark, sf_dir), F.lit(False)))
 
 
 def fixture_envelope_fields(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,12 +100,14 @@ def read_history_csv(spark: SparkSession, path: str, *, currency: str = "USD",
 
 # ------------------------------------------------------------ bookkeeping --
 def union_first_wins(*series: DataFrame, keys: tuple[str, ...] = ("date",)) -> DataFrame:
-    """Union; for a repeated key keep the row from the earliest input."""
+    """Union; for a repeated key keep the row from the earliest input, and of several
+    rows of one input the least by their other columns, however they are partitioned."""
     tagged = [s.withColumn("_prio", F.lit(i)) for i, s in enumerate(series)]
     u = tagged[0]
     for t in tagged[1:]:
         u = u.unionByName(t)
-    return keep_first(u, keys, ["_prio"]).drop("_prio")
+    rest = [c for c in u.columns if c not in (*keys, "_prio")]
+    return keep_first(u, keys, ["_prio", *rest]).drop("_prio")
 
 
 def gap_after(hist: DataFrame, recent: DataFrame, *, time_col: str = "date",
@@ -156,9 +158,10 @@ def missing_days(observed: DataFrame, *, keys: tuple[str, ...] = (),
 
 def value_on_day(series: DataFrame, day, *, keys: tuple[str, ...] = ("instrument_id",),
                  time_col: str = "date", order: str | None = None) -> DataFrame:
-    """First row of ``day`` per key (ordered by ``order`` or the time column)."""
+    """First row of ``day`` per key (by ``order`` or the time column, then the other columns)."""
     d = series.where(F.col(time_col).cast("date") == F.lit(day).cast("date"))
-    return keep_first(d, keys, [order or time_col])
+    first = order or time_col
+    return keep_first(d, keys, [first, *(c for c in d.columns if c not in (*keys, first))])
 
 
 def newest_day(series: DataFrame, *, keys: tuple[str, ...] = ("instrument_id",),

@@ -55,13 +55,13 @@ def with_chunk(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, spec: TableSpec, *,
-                      mode: str = "append", partitions: int | None = None) -> None:
+                      mode: str = "append") -> None:
     """Write ``df`` partitioned by chunk, range-partitioned and sorted by the
-    lookup order within each chunk."""
+    lookup order within each chunk. The number of ranges is left to the
+    adaptive plan, which joins small ones, so little data makes few files."""
     d = df if "chunk" in df.columns else with_chunk(df, spec)
     order = ["chunk", *spec.lookup, spec.time_col]
-    n = partitions or int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (d.repartitionByRange(n, *order)
+    (d.repartitionByRange(*order)
       .sortWithinPartitions(*order)
       .write.mode(mode).partitionBy("chunk").parquet(path))
 
@@ -80,10 +80,9 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
         raise
 
 
-def dedupe_keep_first(df: DataFrame, key: tuple[str, ...], order: list[Column]) -> DataFrame:
-    """One row per key: the first by ``order`` (deterministic, unlike
-    dropDuplicates), reduced map-side so a hot group of copies is cheap."""
-    return keep_first(df, key, order)
+def declare(df: DataFrame, path: str) -> None:
+    """An empty file with ``df``'s schema in the oldest chunk: a table without rows can be read."""
+    df.drop("chunk").limit(0).write.mode("append").parquet(f"{path}/chunk=1970-01-01")
 
 
 def insert_if_absent(new: DataFrame, path: str, spec: TableSpec, *,
@@ -97,25 +96,22 @@ def insert_if_absent(new: DataFrame, path: str, spec: TableSpec, *,
     """
     spark = new.sparkSession
     rows = with_chunk(new, spec)
-    rows = dedupe_keep_first(rows, spec.key, order or [F.col(c) for c in rows.columns]).persist()
+    rows = keep_first(rows, spec.key, order or [F.col(c) for c in rows.columns])
+    existing = read_table(spark, path)
+    if existing is not None:
+        chunks = [r[0] for r in with_chunk(new, spec).select("chunk").distinct().collect()]
+        touched = existing.where(F.col("chunk").isin(chunks)).select("chunk", *spec.key)
+        rows = rows.join(touched, ["chunk", *spec.key], "left_anti")
+    # Count from a persisted frame: observations are not delivered inside a
+    # streaming foreachBatch, and the new rows are bounded by the batch.
+    rows = rows.persist()
     try:
-        existing = read_table(spark, path)
-        if existing is not None:
-            chunks = [r[0] for r in rows.select("chunk").distinct().collect()]
-            touched = existing.where(F.col("chunk").isin(chunks)).select("chunk", *spec.key)
-            to_write = rows.join(touched, ["chunk", *spec.key], "left_anti")
-        else:
-            to_write = rows
-        # Count from a persisted frame: observations are not delivered inside a
-        # streaming foreachBatch, and the new rows are bounded by the batch.
-        to_write = to_write.persist()
-        try:
-            n = to_write.count()
-            if n:
-                write_partitioned(to_write, path, spec, mode="append")
-            return n
-        finally:
-            to_write.unpersist()
+        n = rows.count()
+        if n:
+            write_partitioned(rows, path, spec, mode="append")
+        elif existing is None:
+            declare(rows, path)
+        return n
     finally:
         rows.unpersist()
 

@@ -7,8 +7,9 @@ once, validates it, and in ``foreachBatch``:
 
 * writes every route (lead, reference, ...) with insert-if-absent on the
   table key (de-duplicated within the batch too), so replays are no-ops;
-* writes rejected messages with their reasons to a quarantine table,
-  partitioned by batch id and overwritten per batch (idempotent on retry).
+* writes rejected messages with their reasons, and valid ones that no route
+  takes, to a quarantine table keyed by a hash of the raw text and the reasons,
+  so that neither a retry nor a run with another checkpoint loses or repeats one.
 
 Sources: Kafka when the connector is on the classpath, otherwise a folder
 of JSON-lines files; both give a ``value`` text column and a per-trigger
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import STREAM_MAX_OFFSETS, STREAM_TOPICS, STREAM_TRIGGER
+from ..config import STREAM_TOPICS, STREAM_TRIGGER
 from ..sources import tables
 from . import ingest
 
@@ -47,23 +48,24 @@ def route_spec(route: ingest.Route) -> tables.TableSpec:
 
 
 def file_source(spark: SparkSession, path: str,
-                max_files_per_trigger: int = STREAM_MAX_OFFSETS) -> DataFrame:
-    """JSON-lines files landed in ``path``, one message per line."""
-    return (spark.readStream.format("text")
-            .option("maxFilesPerTrigger", max_files_per_trigger)
-            .load(path))
+                max_files_per_trigger: int | None = None) -> DataFrame:
+    """JSON-lines files landed in ``path``, one message per line; paced only on request."""
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(path)
 
 
 def kafka_source(spark: SparkSession, servers: str, topics=DEFAULT_TOPICS,
-                 max_offsets: int = STREAM_MAX_OFFSETS) -> DataFrame:
-    """Kafka topics from the earliest offset (needs the Kafka connector jar)."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("subscribe", ",".join(topics))
-            .option("startingOffsets", "earliest")
-            .option("maxOffsetsPerTrigger", max_offsets)
-            .load()
-            .select(F.col("value").cast("string").alias("value")))
+                 max_offsets: int | None = None) -> DataFrame:
+    """Kafka topics from the earliest offset (needs the Kafka connector jar); paced only on request."""
+    reader = (spark.readStream.format("kafka")
+              .option("kafka.bootstrap.servers", servers)
+              .option("subscribe", ",".join(topics))
+              .option("startingOffsets", "earliest"))
+    if max_offsets:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
+    return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
 def process_batch(batch: DataFrame, batch_id: int, cfg: IngestConfig) -> dict[str, int]:
@@ -85,14 +87,30 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: IngestConfig) -> dict[st
         quarantine = ingest.rejected(checked).select("raw", "reject_reasons")
         for b in bad_values:
             quarantine = quarantine.unionByName(b)
-        (quarantine.withColumn("batch_id", F.lit(batch_id).cast("long"))
-                   .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                   .partitionBy("batch_id").parquet(cfg.table_path("quarantine")))
+        routed = [i for route in cfg.routes for i in route.instruments]
+        quarantine = quarantine.unionByName(good.where(~F.col("instrument_id").isin(*routed)).select(
+            "raw", F.array(F.lit("unrouted_instrument")).alias("reject_reasons")))
+        written["quarantine"] = tables.insert_if_absent(
+            quarantine_rows(quarantine), cfg.table_path("quarantine"), QUARANTINE)
         return written
     finally:
         checked.unpersist()
 
 
+#: Rejects are chunked by the message's own ingest day where it can be read, so equal
+#: messages fall in one chunk whenever they come.
+QUARANTINE = tables.TableSpec("quarantine", "reject_day", ("message_key",), (), chunk="month")
+
+
+def quarantine_rows(rejects: DataFrame) -> DataFrame:
+    """``raw, reject_reasons`` with the number of equal copies, their key and day."""
+    day = F.try_to_date(F.substring(F.get_json_object("raw", "$.ingest_time_utc"), 1, 10), "yyyy-MM-dd")
+    return (rejects.groupBy("raw", "reject_reasons").agg(F.count(F.lit(1)).alias("n_copies"))
+            .select("raw", "reject_reasons", "n_copies",
+                    F.sha2(F.concat_ws("\u0001", "raw", F.array_join("reject_reasons", ",")), 256).alias("message_key"),
+                    F.coalesce(day, F.lit("1970-01-01").cast("date")).alias("reject_day")))
+
+
 def start_ingest(source: DataFrame, cfg: IngestConfig,
                  query_name: str | None = None) -> StreamingQuery:
     w = (source.writeStream
@@ -136,19 +154,34 @@ def publish_kafka(envelopes: DataFrame, servers: str, topic: str) -> None:
 
 
 # ------------------------------------------------------------ lag monitor --
-def lag_monitor(source: DataFrame, *, window: str = "1 minute",
-                watermark: str = "10 minutes") -> DataFrame:
-    """Streaming event-to-ingest lag per instrument and ingest-time window.
+def lag_partials(batch: DataFrame, batch_id: int, path: str, window: str) -> None:
+    """Count, sum and maximum of one micro-batch's lags per instrument and window.
 
-    Valid envelopes only; the watermark on the ingest time bounds the state
-    kept for open windows and lets append mode emit each window once.
+    A retried batch overwrites its own folder; there is no watermark, so nothing is late.
     """
-    valid = ingest.valid(ingest.validate(ingest.decode(source)))
-    lag_s = (F.unix_micros("ingest_time_utc") - F.unix_micros("event_time_utc")) / F.lit(1e6)
-    return (valid.withWatermark("ingest_time_utc", watermark)
-                 .groupBy(F.window("ingest_time_utc", window), "instrument_id")
-                 .agg(F.count(F.lit(1)).alias("n_messages"),
-                      F.avg(lag_s).alias("avg_lag_s"), F.max(lag_s).alias("max_lag_s"))
-                 .select(F.col("window.start").alias("window_start"),
-                         F.col("window.end").alias("window_end"),
-                         "instrument_id", "n_messages", "avg_lag_s", "max_lag_s"))
+    good = ingest.valid(ingest.validate(ingest.decode(batch)))
+    lag_us = F.unix_micros("ingest_time_utc") - F.unix_micros("event_time_utc")
+    (good.groupBy(F.window("ingest_time_utc", window).alias("w"), "instrument_id")
+         .agg(F.count(F.lit(1)).alias("n"), F.sum(lag_us).alias("sum_us"), F.max(lag_us).alias("max_us"))
+         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                 "instrument_id", "n", "sum_us", "max_us")
+         .write.mode("overwrite").parquet(f"{path}/batch={batch_id}"))
+
+
+def start_lag_monitor(source: DataFrame, path: str, checkpoint: str, *, window: str = "1 minute",
+                      trigger: str | None = None) -> StreamingQuery:
+    """Keep partial lag sums of a stream at ``path``; the table belongs to ``checkpoint``."""
+    w = source.writeStream.foreachBatch(lambda df, i: lag_partials(df, i, path, window)).option("checkpointLocation", checkpoint)
+    return (w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)).start()
+
+
+LAG_SCHEMA = ("window_start timestamp, window_end timestamp, instrument_id string, n long, sum_us long, "
+              "max_us long, batch long")
+
+
+def read_lag(spark: SparkSession, path: str) -> DataFrame:
+    """Lag per instrument and window over all batches so far."""
+    return (spark.read.schema(LAG_SCHEMA).parquet(path)
+            .groupBy("window_start", "window_end", "instrument_id")
+            .agg(F.sum("n").alias("n_messages"), (F.sum("sum_us") / F.sum("n") / 1e6).alias("avg_lag_s"),
+                 (F.max("max_us") / 1e6).alias("max_lag_s")))

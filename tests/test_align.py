@@ -71,3 +71,22 @@ def test_series_from_raw_takes_last_tick_of_each_utc_day(spark):
     got = {(r["symbol"], r["date"]): r["price"] for r in series_from_raw(raw, "price").collect()}
     assert got == {("wti", D(2024, 1, 1)): 71.0, ("wti", D(2024, 1, 2)): 72.0,
                    ("brent", D(2024, 1, 1)): 80.0}
+
+
+def test_one_answer_however_rows_are_partitioned(spark):
+    from seriesrel.operators.align import align, series_from_raw
+    from seriesrel.sources.landing import union_first_wins, value_on_day
+    raw = spark.createDataFrame(
+        [("a", f"2024-01-0{1 + i % 3}T05:00:00", f"2024-01-0{1 + i % 3}T06:00:00", "s", float(i * 7 % 11)) for i in range(12)],
+        "instrument_id string, e string, g string, source string, price double").selectExpr(
+        "instrument_id", "CAST(e AS TIMESTAMP) AS event_time_utc", "CAST(g AS TIMESTAMP) AS ingest_time_utc", "source", "price")
+    days = raw.selectExpr("CAST(event_time_utc AS DATE) AS date", "instrument_id", "price")
+    answers = set()
+    for n in (1, 2, 3, 5, 8):
+        answers.add((tuple(sorted(map(tuple, series_from_raw(raw.repartition(n), "price").collect()))),
+                     tuple(sorted(map(tuple, union_first_wins(days.repartition(n), days, keys=("date",)).collect()))),
+                     tuple(map(tuple, value_on_day(days.repartition(n), "2024-01-02").collect()))))
+    assert len(answers) == 1
+    lead = spark.createDataFrame([("x", f"2024-01-0{d}", 80.0 + d) for d in (1, 2, 3, 4)], "symbol string, date string, price double")
+    ref = spark.createDataFrame([(f"2024-01-0{d}", 450.0 + d) for d in (1, 2, 2, 3, 4)] + [("2024-01-03", 460.0)], "date string, rate double")
+    assert align(lead, ref).count() == 3

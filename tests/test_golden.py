@@ -15,8 +15,11 @@ EXPECTED = {  # symbol: (z rows, rows with null corr, max cusum, alerts, min z,
 @pytest.fixture(scope="module")
 def frames(spark):
     from seriesrel.operators import detect, metrics
-    from seriesrel.plans.catalog import bars
-    b = bars(spark, SF_SMALL)
+    from seriesrel.operators.align import align
+    from seriesrel.sources import fixtures as fx
+    # The published numbers are those of one order priority.
+    b = align(fx.lead_series(spark, SF_SMALL),
+              fx.reference_series(spark, SF_SMALL, F.col("o_orderpriority") == "1-URGENT"))
     wide = metrics.rolling_metrics(b, {"30d": 30}).persist()
     long = metrics.to_long(wide, {"30d": 30})
     acc = detect.cusum(detect.metric_series(long)).persist()

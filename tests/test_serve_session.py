@@ -23,10 +23,11 @@ def test_sql_panels_bind_parameters(spark):
         [("a", dt.date(2024, 1, d), "30d", "spread_zscore", float(d)) for d in range(1, 11)],
         "symbol string, date date, horizon string, metric string, value double")
     serve.register_views(spark, metrics=long)
-    got = serve.run_panel(spark, "zscore_30d", symbol="a", start="2024-01-03", end="2024-01-05")
-    assert [r["zscore_30d"] for r in got.collect()] == [3.0, 4.0, 5.0]
-    none = serve.run_panel(spark, "zscore_30d", symbol="a' OR '1'='1", start="2024-01-01",
-                           end="2024-12-31")
+    got = serve.run_series(spark, "relationship_metrics", "value", "2024-01-03", "2024-01-05",
+                           symbol="a", metric="spread_zscore", horizon="30d")
+    assert [r["value"] for r in got.collect()] == [3.0, 4.0, 5.0]
+    none = serve.run_series(spark, "relationship_metrics", "value", "2024-01-01", "2024-12-31",
+                            symbol="a' OR '1'='1")
     assert none.count() == 0          # values are bound, never spliced into the SQL
 
 

@@ -39,6 +39,36 @@ def test_stream_keyed_sink_is_idempotent(spark):
     run_until_drained(spark, file_source(spark, landing, 1), cfg2)
     assert spark.read.parquet(cfg.table_path("raw_lead")).count() == 2
     assert spark.read.parquet(cfg.table_path("raw_reference")).count() == 1
+    # other messages under another checkpoint: the first run's rejects stay
+    write_lines(f"{root}/landing3", "c.json", [env(6, "gold"), env(7, flag=4), "{broken"])
+    cfg3 = IngestConfig(sink_root=cfg.sink_root, checkpoint=f"{root}/ck3", trigger=None)
+    run_until_drained(spark, file_source(spark, f"{root}/landing3"), cfg3)
+    q = spark.read.parquet(cfg.table_path("quarantine"))
+    assert sorted(",".join(r["reject_reasons"]) for r in q.collect()) == [
+        "malformed_json", "price_invalid", "quality_flag_invalid", "quality_flag_invalid", "unrouted_instrument"]
+
+
+def test_table_without_rows_can_be_read_and_filled(spark):
+    path = f"{scratch_path(spark, 'test-empty')}/alerts"
+    some = spark.createDataFrame([("2024-01-02", "k", "s", "30d")], "fired_at string, kind string, symbol string, horizon string") \
+                .withColumn("fired_at", F.to_date("fired_at"))
+    assert tables.insert_if_absent(some.limit(0), path, tables.ALERTS) == 0
+    assert spark.read.parquet(path).count() == 0
+    assert tables.insert_if_absent(some, path, tables.ALERTS) == 1
+    assert spark.read.parquet(path).drop("chunk").collect() == some.collect()
+
+
+def test_one_chunk_makes_few_files(spark):
+    path = f"{scratch_path(spark, 'test-files')}/bars"
+    df = spark.range(1000).select(F.lit("2024-01-01").cast("date").alias("date"), F.lit("1d").alias("horizon"),
+                                  F.col("id").cast("string").alias("symbol"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        tables.write_partitioned(df, path, tables.BARS)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(spark.read.parquet(path).inputFiles()) <= 4
 
 
 def test_insert_if_absent_rerun_leaves_table_unchanged(spark):
@@ -69,27 +99,20 @@ def test_read_range_prunes_partitions(spark):
     assert "PushedFilters" in plan and "metric" in plan
 
 
-def test_publish_and_streaming_lag_monitor(spark):
-    from seriesrel.streaming.job import lag_monitor, publish_files
+def test_lag_counts_every_message_however_files_arrive(spark):
+    from seriesrel.streaming.job import publish_files, read_lag, start_lag_monitor
     from seriesrel.streaming import ingest as ing
     root = scratch_path(spark, "test-lag")
     rows = spark.createDataFrame(
-        [("wti", f"2024-01-01 00:0{m}:00", float(m)) for m in range(6)],
+        [("wti", f"2024-01-0{d} {h:02d}:00:00", float(h)) for d in (1, 2) for h in range(12)],
         "i string, t string, p double").withColumn("t", F.to_timestamp("t"))
-    env = ing.series_to_envelopes(rows, instrument_col="i", time_col="t", value_col="p",
-                                  payload_key="price", source="feed",
-                                  ingest_time=F.col("t") + F.expr("INTERVAL 30 SECONDS"))
-    publish_files(env, f"{root}/landing", files=2)
-    late = spark.createDataFrame([("wti", "2024-01-01 01:00:00", 1.0)], "i string, t string, p double") \
-                .withColumn("t", F.to_timestamp("t"))
-    publish_files(ing.series_to_envelopes(late, instrument_col="i", time_col="t", value_col="p",
-                                          payload_key="price", source="feed",
-                                          ingest_time=F.col("t") + F.expr("INTERVAL 90 SECONDS")),
-                  f"{root}/landing2")
-    out = lag_monitor(file_source(spark, f"{root}/landing*", 1), window="5 minutes")
-    q = (out.writeStream.outputMode("append").format("memory").queryName("lag_t")
-            .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = spark.sql("SELECT * FROM lag_t ORDER BY window_start").collect()
-    # the later message moves the watermark past the first window, which is emitted once
-    assert [(r["n_messages"], r["avg_lag_s"], r["max_lag_s"]) for r in got][:1] == [(5, 30.0, 30.0)]
+    env_rows = ing.series_to_envelopes(rows, instrument_col="i", time_col="t", value_col="p",
+                                       payload_key="price", source="feed",
+                                       ingest_time=F.col("t") + F.expr("INTERVAL 30 SECONDS"))
+    publish_files(env_rows, f"{root}/landing", files=6)
+    seen = []
+    for files in (1, 2, None):
+        start_lag_monitor(file_source(spark, f"{root}/landing", files), f"{root}/lag{files}", f"{root}/ck{files}",
+                          window="1 day").awaitTermination()
+        seen.append(sorted((r["n_messages"], r["avg_lag_s"], r["max_lag_s"]) for r in read_lag(spark, f"{root}/lag{files}").collect()))
+    assert seen == [[(12, 30.0, 30.0)] * 2] * 3
