@@ -9,13 +9,11 @@ series in parallel. Everything else (index -> time, alert rows) is built-in.
 Kernel cost of a segment [s, e): ``(e - s) - sum(K[s:e, s:e]) / (e - s)``,
 ``K = exp(-clip(d^2 / median(d^2), 1e-2, 1e2))`` off the diagonal, 1 on it.
 Candidate breakpoints lie on a grid of step ``jump``; segments are at least
-``min_size`` long. Only block sums between grid points are ever needed, so
-they are accumulated from row blocks of K into a (grid x grid) prefix table:
-memory is O((n / jump)^2), not O(n^2).
-
-Series length is bounded by the calendar (one metric row per day), not by
-data volume; ``max_points`` guards the O(n^2) kernel work with a clear error
-instead of a silent cut.
+``min_size`` long. The search keeps one running sum of K per start that is still
+admissible and adds a stripe of ``jump`` rows of K at each step, and the median gap
+is found by counting gaps in the sorted values, so memory is O(n) and no series is
+too long. Time is quadratic in the distance back to the oldest admissible start: in
+the whole length for a series without any change.
 """
 
 from __future__ import annotations
@@ -40,43 +38,33 @@ try:
 except (ImportError, AttributeError, ValueError):  # older cloudpickle: needs --py-files
     pass
 
-MAX_POINTS = 8_000
-_BLOCK = 512
-
-
 def _grid(n: int, jump: int, min_size: int) -> list[int]:
     pts = [k for k in range(0, n, jump) if k >= min_size]
     return [0, *pts, n] if not pts or pts[-1] != n else [0, *pts]
 
 
-def _grid_block_sums(x: np.ndarray, grid: np.ndarray) -> np.ndarray:
-    """S[a, b] = sum of K[i, j] for i < grid[a], j < grid[b]."""
-    n = len(x)
-    # Median of the n(n-1)/2 pairwise squared distances, filled row by row.
-    cond = np.empty(n * (n - 1) // 2)
-    pos = 0
-    for i in range(n - 1):
-        m = n - i - 1
-        np.square(x[i + 1:] - x[i], out=cond[pos:pos + m])
-        pos += m
-    med = float(np.median(cond, overwrite_input=True)) if len(cond) else 0.0
-    del cond
-    gamma = 1.0 / med if med != 0 else 1.0
-    # col_acc[i, b] = sum_{j < grid[b]} K[i, j], built per row block from the
-    # sums over the grid intervals (one pass over each kernel block).
-    g = len(grid)
-    col_acc = np.empty((n, g))
-    for lo in range(0, n, _BLOCK):
-        hi = min(n, lo + _BLOCK)
-        blk = (x[lo:hi, None] - x[None, :]) ** 2 * gamma
-        np.clip(blk, 1e-2, 1e2, out=blk)
-        np.exp(-blk, out=blk)
-        rows = np.arange(lo, hi)
-        blk[rows - lo, rows] = 1.0
-        col_acc[lo:hi, 0] = 0.0
-        np.cumsum(np.add.reduceat(blk, grid[:-1], axis=1), axis=1, out=col_acc[lo:hi, 1:])
-    row_cum = np.concatenate([np.zeros((1, g)), np.cumsum(col_acc, axis=0)], axis=0)
-    return row_cum[grid]
+def _median_squared_gap(x: np.ndarray) -> float:
+    """Median of the n(n-1)/2 squared differences, without listing them."""
+    v = np.sort(x)
+    places = np.arange(len(v))
+    pairs = len(v) * (len(v) - 1) // 2
+    if not pairs or v[0] == v[-1]:
+        return 0.0
+
+    def smallest(k: int) -> float:
+        """The k-th smallest gap: bisection over the ordered bit patterns of doubles."""
+        low, high = 0, int(np.nextafter(v[-1] - v[0], np.inf).view(np.int64))
+        while low < high:
+            mid = (low + high) // 2
+            gap = np.int64(mid).view(np.float64)
+            if (np.searchsorted(v, v + gap, "right") - 1 - places).sum() >= k:
+                high = mid
+            else:
+                low = mid + 1
+        return float(np.int64(low).view(np.float64))
+
+    middle = {(pairs + 1) // 2, pairs // 2 + 1}
+    return float(np.mean([smallest(k) ** 2 for k in middle]))
 
 
 def pelt_rbf(values, pen: float = PELT_PENALTY, min_size: int = PELT_MIN_SIZE,
@@ -87,22 +75,31 @@ def pelt_rbf(values, pen: float = PELT_PENALTY, min_size: int = PELT_MIN_SIZE,
     if n < 2 * min_size:
         return []
     grid = np.array(_grid(n, jump, min_size))
-    S = _grid_block_sums(x, grid)
-    diag = np.diag(S)
+    gamma = 1.0 / (_median_squared_gap(x) or 1.0)
     index = {int(g): i for i, g in enumerate(grid)}
     total = np.full(len(grid), np.inf)      # best penalised cost of [0, grid[i])
     back = np.zeros(len(grid), dtype=int)   # grid index of the last breakpoint before
+    inner = np.zeros(len(grid))             # sum of K over [grid[i], end) squared
     total[0] = 0.0
     admissible = np.empty(0, dtype=int)     # grid indices of candidate starts, in order
     for b in range(1, len(grid)):
-        end = int(grid[b])
+        lo, end = int(grid[b - 1]), int(grid[b])
+        # Starts from the oldest one that is, or may still become, admissible.
+        oldest = int(admissible[0]) if len(admissible) else max(0, b - 1 - (min_size // jump + 1))
+        from_ = int(grid[oldest])
+        stripe = np.exp(-np.clip((x[lo:end, None] - x[None, from_:end]) ** 2 * gamma, 1e-2, 1e2))
+        stripe[np.arange(end - lo), np.arange(lo, end) - from_] = 1.0
+        columns = stripe.sum(0)
+        after = np.cumsum(columns[:lo - from_][::-1])[::-1] if lo > from_ else np.zeros(0)
+        starts = np.arange(oldest, b - 1)
+        inner[starts] += 2 * after[grid[starts] - from_] + columns[lo - from_:].sum()
+        inner[b - 1] = columns[lo - from_:].sum()
         start_pt = ((end - min_size) // jump) * jump
         if start_pt in index:                # off-grid starts (min_size > jump) are skipped
             admissible = np.append(admissible, index[start_pt])
         a = admissible
-        length = grid[b] - grid[a]
-        inner = S[b, b] - S[a, b] - S[b, a] + diag[a]
-        cand = total[a] + (length - inner / length) + pen
+        length = end - grid[a]
+        cand = total[a] + (length - inner[a] / length) + pen
         k = int(np.argmin(cand))             # first minimum, as in a left-to-right scan
         total[b], back[b] = cand[k], a[k]
         admissible = a[cand <= cand[k] + pen]
@@ -118,16 +115,12 @@ CHANGEPOINT_SCHEMA = "symbol string, horizon string, bkp_index long, date date"
 
 def changepoints(long: DataFrame, *, metric: str = "spread_zscore",
                  pen: float = PELT_PENALTY, min_size: int = PELT_MIN_SIZE,
-                 jump: int = PELT_JUMP, max_points: int = MAX_POINTS) -> DataFrame:
+                 jump: int = PELT_JUMP) -> DataFrame:
     """(symbol, horizon, bkp_index, date) for every series of ``metric``."""
     series = metric_series(long, metric).where(F.col("value").isNotNull())
 
     def detect(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date", kind="stable").reset_index(drop=True)
-        if len(pdf) > max_points:
-            raise ValueError(
-                f"series {pdf['symbol'].iat[0]}/{pdf['horizon'].iat[0]} has {len(pdf)} "
-                f"points; kernel changepoints are capped at {max_points} per series")
         bkps = [b for b in pelt_rbf(pdf["value"].to_numpy(), pen, min_size, jump)
                 if b < len(pdf)]
         return pd.DataFrame({

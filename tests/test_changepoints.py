@@ -61,3 +61,28 @@ def test_pelt_equals_exhaustive_search(seed, n):
     x = rng.normal(0, 1, n) + np.where(np.arange(n) > n // 2, rng.uniform(1, 3), 0)
     bkps, _ = _brute_force(x)
     assert pelt_rbf(x) == bkps
+
+
+@pytest.mark.parametrize("n", [2, 3, 10, 51, 200])
+def test_median_gap_equals_listing(n):
+    from seriesrel.operators.changepoints import _median_squared_gap
+    rng = np.random.default_rng(n)
+    for x in (rng.normal(0, 1, n), np.round(rng.normal(0, 1, n)), np.ones(n)):
+        gaps = (x[:, None] - x[None, :])[np.triu_indices(n, 1)] ** 2
+        assert np.isclose(_median_squared_gap(x), np.median(gaps), rtol=1e-12, atol=0)
+
+
+@pytest.mark.parametrize("pen,min_size,jump", [(3.0, 2, 5), (1.0, 3, 1), (0.5, 4, 2), (3.0, 7, 5)])
+def test_other_grids_equal_exhaustive_search(pen, min_size, jump):
+    rng = np.random.default_rng(11)
+    x = np.repeat(rng.normal(0, 2, 8), 13) + rng.normal(0, 0.3, 104)
+    if min_size <= jump:
+        assert pelt_rbf(x, pen, min_size, jump) == _brute_force(x, pen, min_size, jump)[0]
+    else:
+        assert all(b % jump == 0 for b in pelt_rbf(x, pen, min_size, jump))
+
+
+def test_long_series_has_no_limit():
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(6 * (k % 2), 1, 700) for k in range(30)])
+    assert pelt_rbf(x) == list(range(700, 21_000, 700))
