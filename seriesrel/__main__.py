@@ -36,9 +36,7 @@ def _batch(spark, a):
     from .sources.landing import read_series
     lead = read_series(spark, a.lead, "date date, price double, symbol string")
     ref = read_series(spark, a.reference, "date date, rate double")
-    chunk = None if a.chunk_rows == "none" else (
-        a.chunk_rows if a.chunk_rows == "auto" else int(a.chunk_rows))
-    res = run_analytics(spark, lead, ref, a.tables, chunk_rows=chunk,
+    res = run_analytics(spark, lead, ref, a.tables, chunk_rows=a.chunk_rows,
                         with_changepoints=not a.no_changepoints)
     print(json.dumps(res.written))
 
@@ -71,8 +69,7 @@ def main(argv=None) -> None:
     b.add_argument("--lead", required=True, help="Parquet: date, price, symbol")
     b.add_argument("--reference", required=True, help="Parquet: date, rate")
     b.add_argument("--tables", required=True)
-    b.add_argument("--chunk-rows", default="auto",
-                   help="rows per chunk for long series, 'auto' (default) or 'none'")
+    b.add_argument("--chunk-rows", type=int, default=1_000_000, help="rows of a series in one task")
     b.add_argument("--no-changepoints", action="store_true")
     t = sub.add_parser("train")
     t.add_argument("--tables", required=True)

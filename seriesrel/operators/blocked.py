@@ -212,21 +212,3 @@ def cusum_alerts_blocked(long: DataFrame, *, metric: str = "spread_zscore",
         "symbol", "horizon",
         F.format_string(CUSUM_DESCRIPTION, F.col("cusum")).alias("description"),
         F.lit(None).cast("string").alias("payload"))
-
-
-# Above this many rows in one series the blocked forms are used by "auto".
-AUTO_THRESHOLD_ROWS = 5_000_000
-
-
-def longest_series(df: DataFrame, keys: tuple[str, ...] = ("symbol",)) -> int:
-    """Rows in the longest series (one aggregated number to the driver)."""
-    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return int(n or 0)
-
-
-def auto_chunk_rows(df: DataFrame, keys: tuple[str, ...] = ("symbol",), *,
-                    threshold: int = AUTO_THRESHOLD_ROWS,
-                    chunk_rows: int = DEFAULT_CHUNK_ROWS) -> int | None:
-    """``chunk_rows`` when some series is longer than ``threshold`` rows,
-    else None (the plain one-task-per-series windows are cheaper)."""
-    return chunk_rows if longest_series(df, keys) > threshold else None

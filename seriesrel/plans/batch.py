@@ -33,16 +33,13 @@ class BatchResult:
 
 def run_analytics(spark: SparkSession, lead: DataFrame, ref: DataFrame, root: str, *,
                   windows: dict[str, int] = WINDOWS, with_changepoints: bool = True,
-                  chunk_rows: int | str | None = None) -> BatchResult:
+                  chunk_rows: int | None = None) -> BatchResult:
     """Align, compute metrics and detect alerts for every lead symbol.
 
     ``chunk_rows`` switches align, metrics and CUSUM to their blocked forms
-    (for series too long for one task); results are identical. ``"auto"``
-    picks them only when the longest lead series exceeds the threshold.
+    with that many rows a task; results are identical. No size switches the
+    plan: the caller chooses, and the command line always bounds its tasks.
     """
-    if chunk_rows == "auto":
-        from ..operators.blocked import auto_chunk_rows
-        chunk_rows = auto_chunk_rows(lead, ("symbol",))
     res = BatchResult(root, {})
     bars = (align(lead, ref) if chunk_rows is None
             else align_blocked(lead, ref, chunk_rows=chunk_rows))

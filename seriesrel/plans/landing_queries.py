@@ -127,7 +127,7 @@ def q_latest_day_envelopes(spark, sf_dir):
     env = ingest.series_to_envelopes(
         newest, instrument_col="product", time_col="date", value_col="price",
         payload_key="price", source="pages",
-        ingest_time=F.lit("2002-01-01 00:00:00").cast("timestamp_ntz"))
+        ingest_time=F.date_add("date", 1).cast("timestamp_ntz"))
     c = ingest.valid(ingest.validate(ingest.decode(env)))
     return round_doubles(c.select(
         "instrument_id", utc_wall_clock("event_time_utc").alias("event_time_utc"),

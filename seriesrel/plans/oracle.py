@@ -251,24 +251,31 @@ SQL.update({
 })
 
 # ------------------------------------------------------------------ ingest --
-EV = """ev AS (
-  SELECT event_id, event_type AS instrument_id, ts AS event_time_utc,
-         ts + to_seconds(event_id % 7) AS ingest_time_utc,
-         CAST(event_id % 5 AS INTEGER) AS quality_flag, value,
-         event_id % 5 <= 3 AS is_valid FROM events)"""
+EV = """fields AS (
+  SELECT event_id, event_type AS instrument_id, ts AS event_time_utc, value,
+         ts + to_seconds(CASE WHEN event_id % 11 = 3 THEN -60 ELSE event_id % 7 END) AS ingest_time_utc,
+         CASE WHEN event_id % 23 = 3 THEN NULL WHEN event_id % 17 = 2 THEN 0 ELSE 1 END AS sent_version,
+         CASE WHEN event_id % 13 = 5 THEN '' ELSE 'events' END AS source,
+         CASE WHEN event_id % 19 = 1 THEN NULL ELSE CAST(event_id % 5 AS INTEGER) END AS sent_flag FROM events),
+checked AS (
+  SELECT *, coalesce(sent_flag, 0) AS quality_flag,
+         concat_ws(',', CASE WHEN coalesce(sent_version, 1) < 1 THEN 'schema_version_invalid' END,
+                   CASE WHEN source = '' THEN 'source_empty' END,
+                   CASE WHEN coalesce(sent_flag, 0) NOT BETWEEN 0 AND 3 THEN 'quality_flag_invalid' END,
+                   CASE WHEN event_time_utc > ingest_time_utc THEN 'event_after_ingest' END) AS reasons FROM fields),
+ev AS (SELECT *, reasons = '' AS is_valid FROM checked)"""
 LEAD_TYPES = "('click', 'view', 'purchase')"
 
 SQL.update({
     "envelope_decode": with_(EV) +
-        "SELECT event_id, 1 AS schema_version, 'events' AS source, instrument_id, event_time_utc, "
-        "ingest_time_utc, quality_flag, "
+        "SELECT event_id, sent_version AS schema_version, source, instrument_id, event_time_utc, "
+        "ingest_time_utc, sent_flag AS quality_flag, "
         "CASE WHEN instrument_id <> 'signup' THEN round(value, 6) + 0.0 END AS price, "
         "CASE WHEN instrument_id = 'signup' THEN round(value, 6) + 0.0 END AS rate FROM ev",
     "envelope_validate": with_(EV) +
-        "SELECT event_id, instrument_id, is_valid, "
-        "CASE WHEN is_valid THEN '' ELSE 'quality_flag_invalid' END AS reasons FROM ev",
+        "SELECT event_id, instrument_id, is_valid, reasons FROM ev",
     "envelope_quarantine": with_(EV) +
-        "SELECT event_id, 'quality_flag_invalid' AS reasons FROM ev WHERE NOT is_valid",
+        "SELECT event_id, reasons FROM ev WHERE NOT is_valid",
     "route_lead": with_(EV) +
         "SELECT event_id, event_time_utc, instrument_id, round(value, 6) + 0.0 AS price, "
         "'events' AS source, CAST(quality_flag AS SMALLINT) AS quality_flag, ingest_time_utc "
@@ -287,11 +294,11 @@ SQL.update({
         "'events' AS source, CAST(quality_flag AS SMALLINT) AS quality_flag, ingest_time_utc "
         f"FROM ev WHERE is_valid AND instrument_id IN {LEAD_TYPES}",
     "stream_quarantine": with_(EV) +
-        "SELECT instrument_id, CASE WHEN is_valid THEN 'unrouted_instrument' ELSE 'quality_flag_invalid' END AS reasons, "
+        "SELECT instrument_id, CASE WHEN is_valid THEN 'unrouted_instrument' ELSE reasons END AS reasons, "
         f"count(*) AS n_messages FROM ev WHERE NOT is_valid OR instrument_id NOT IN {LEAD_TYPES} AND instrument_id <> 'signup' "
         "GROUP BY ALL",
     "stream_accounting": with_(EV) +
-        "SELECT CASE WHEN NOT is_valid THEN 'quality_flag_invalid' WHEN instrument_id = 'signup' THEN 'raw_reference' "
+        "SELECT CASE WHEN NOT is_valid THEN reasons WHEN instrument_id = 'signup' THEN 'raw_reference' "
         f"WHEN instrument_id IN {LEAD_TYPES} THEN 'raw_lead' ELSE 'unrouted_instrument' END AS outcome, "
         "count(*) AS n_messages FROM ev GROUP BY 1",
     "insert_if_absent": SQL["aligned_bars"],

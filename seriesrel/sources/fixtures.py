@@ -94,20 +94,25 @@ def fixture_envelope_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     instrument = event_type, event time = ts, ingest = ts + (event_id % 7) s,
     quality flag = event_id % 5 (4 is out of range on purpose), payload key
-    ``rate`` for the reference instrument and ``price`` otherwise.
+    ``rate`` for the reference instrument and ``price`` otherwise. By other remainders
+    of event_id, some messages omit the version or the flag, have version 0 or no
+    source, or are ingested a minute before their event.
     """
     ev = table(spark, sf_dir, "events")
     key = F.when(F.col("event_type") == FIXTURE_REFERENCE_INSTRUMENT, F.lit("rate")) \
            .otherwise(F.lit("price"))
     return ev.select(
         "event_id",
-        F.lit(1).alias("schema_version"),
-        F.lit(FIXTURE_SOURCE).alias("source"),
+        F.when(F.col("event_id") % 23 == 3, F.lit(None).cast("int"))
+        .when(F.col("event_id") % 17 == 2, 0).otherwise(1).alias("schema_version"),
+        F.when(F.col("event_id") % 13 == 5, "").otherwise(FIXTURE_SOURCE).alias("source"),
         F.col("event_type").alias("instrument_id"),
         F.col("ts").alias("event_time"),
-        (F.col("ts") + F.make_interval(secs=(F.col("event_id") % 7).cast("int")))
+        (F.col("ts") + F.make_interval(secs=F.when(F.col("event_id") % 11 == 3, -60)
+                                       .otherwise((F.col("event_id") % 7).cast("int"))))
         .alias("ingest_time"),
-        (F.col("event_id") % 5).cast("int").alias("quality_flag"),
+        F.when(F.col("event_id") % 19 == 1, F.lit(None).cast("int"))
+        .otherwise((F.col("event_id") % 5).cast("int")).alias("quality_flag"),
         F.create_map(key, F.col("value").cast("string")).alias("payload"),
     )
 

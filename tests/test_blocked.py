@@ -113,10 +113,3 @@ def test_index_rows_hot_key_spans_partitions(spark):
     assert list(pdf["_idx"]) == list(range(len(pdf)))       # global positions
     for s, g in pdf.groupby("symbol"):                       # contiguous per key
         assert list(g["_idx"]) == list(range(g["_idx"].min(), g["_idx"].min() + len(g)))
-
-
-def test_auto_chunking_threshold(spark):
-    bars = _frame(spark, 50, 9)
-    assert blocked.longest_series(bars) == 50
-    assert blocked.auto_chunk_rows(bars) is None
-    assert blocked.auto_chunk_rows(bars, threshold=10, chunk_rows=100) == 100
