@@ -61,20 +61,25 @@ def decided_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per distinct (id, text): ``doc_id, digest, copies, keep_id, group_size, stays``.
 
     The keys are written to the shared folder once, so the text is read once and a
-    lost executor costs a re-read of small rows.
+    lost executor costs a re-read of small rows. The groups are written too: the join
+    then has two plain exchanges, and the adaptive plan splits a digest of many copies.
     """
-    spark = docs.sparkSession
-    path = scratch_path(spark, "exact-keys")
-    content_keys(docs, id_col, text_col).write.parquet(path)
-    keys = spark.read.parquet(path)
     by = ["length", "prefix_hash", "digest"]
-    rows = keys.groupBy("doc_id", *by).agg(F.count("*").alias("copies"))
-    joined = rows.join(exact_groups(keys), by, "left")
+    keys = _written(content_keys(docs, id_col, text_col), "exact-keys")
+    groups = _written(exact_groups(keys), "exact-groups")
+    joined = keys.join(groups, by, "left")
     single = F.col("group_size").isNull()
     keep = F.when(single, F.col("doc_id")).otherwise(F.col("keep_id"))
-    return joined.select("doc_id", "digest", "copies", keep.alias("keep_id"),
-                         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-                         F.col("doc_id").eqNullSafe(keep).alias("stays"))
+    rows = joined.select("doc_id", "digest", keep.alias("keep_id"),
+                         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"))
+    return (rows.groupBy("doc_id", "digest", "keep_id", "group_size").agg(F.count("*").alias("copies"))
+            .withColumn("stays", F.col("doc_id").eqNullSafe(F.col("keep_id"))))
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -89,10 +94,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that :func:`exact_dedup` drops; all columns stay."""
-    spark, cols = docs.sparkSession, docs.columns
-    path = scratch_path(spark, "exact-decided")
-    decided_pairs(docs, id_col, text_col).write.parquet(path)
-    pairs = spark.read.parquet(path).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_sha"),
+    cols = docs.columns
+    pairs = _written(decided_pairs(docs, id_col, text_col), "exact-decided").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_sha"),
                                             "copies", "stays")
     keyed = docs.select("*", F.sha2(normalised(F.col(text_col)), 256).alias("_text_sha"))
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_text_sha") == F.col("_sha"))
