@@ -31,26 +31,21 @@ REGIME_DESCRIPTION = "Statistical regime change detected at index %d"
 CLASS_LABELS = ("normal", "anomalous")
 LATEST_ALERTS_LIMIT = 50
 STREAM_TOPICS = ("raw.oil_prices", "raw.fx_rates")
-# ---------------------------------------------------------------------------
-
-# Feature frame columns (11 features, 2 targets), in model order.
-FEATURE_COLUMNS = (
-    "lead_logret", "ref_logret",
-    "pearson_corr_30d", "pearson_corr_60d",
-    "beta_30d", "beta_60d",
-    "spread_zscore_30d", "spread_zscore_60d",
-    "zscore_30d_lag1", "zscore_30d_lag2",
-    "zscore_momentum",
-)
-TARGET_REGRESSION = "target_zscore"
-TARGET_CLASS = "target_anomaly"
-
+STREAM_TRIGGER = "10 seconds"
 # Envelope rules.
 MIN_SCHEMA_VERSION = 1
 QUALITY_FLAG_RANGE = (0, 3)
 DEFAULT_SCHEMA_VERSION = 1
 DEFAULT_QUALITY_FLAG = 0
+# ---------------------------------------------------------------------------
 
-# Stream defaults.
-STREAM_TRIGGER = "10 seconds"
-STREAM_MAX_OFFSETS = 1000
+# Feature frame columns, in model order: returns, every metric of every window, then
+# what is derived from the z-score of the shortest window.
+TARGET_REGRESSION = "target_zscore"
+TARGET_CLASS = "target_anomaly"
+FEATURE_COLUMNS = (
+    "lead_logret", "ref_logret",
+    *(f"{metric}_{window}" for metric in METRICS for window in WINDOWS),
+    *(f"zscore_{next(iter(WINDOWS))}_lag{k}" for k in (1, 2)),
+    "zscore_momentum",
+)
