@@ -25,6 +25,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -143,31 +144,51 @@ class Encoder:
         letters = piece if piece.isascii() else "".join([self._chars[b] for b in piece.encode()])
         return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
 
-    def _new(self, unit: str) -> bytes:
-        """Ids of a run without blanks; a sign after a word is looked up apart from it."""
-        ids = self._old.get(unit)
+    def _word(self, piece: str) -> bytes:
+        ids = self._young.get(piece)
         if ids is None:
-            word = unit[:-1]
-            if unit.isalpha():
-                ids = self._piece(unit)
-            elif unit[-1:] in _SIGNS and word.isalpha():
-                ids = (self._young.get(word) or self._new(word)) + (self._young.get(unit[-1]) or self._piece(unit[-1]))
-            else:
-                ids = b"".join([self._young.get(p) or self._piece(p) for p in _PIECES(unit)])
-        if len(self._young) >= REMEMBERED:
-            self._old, self._young = self._young, {}
-        self._young[unit] = ids
+            ids = self._old.get(piece) or self._piece(piece)
+            if len(self._young) >= REMEMBERED:
+                self._old, self._young = self._young, {}
+            self._young[piece] = ids
         return ids
 
+    def _unit(self, unit: str) -> bytes:
+        """Ids of a run without blanks; only its pieces are remembered."""
+        if unit.isalpha():
+            return self._word(unit)
+        word = unit[:-1]
+        if unit[-1:] in _SIGNS and word.isalpha():
+            return self._word(word) + self._word(unit[-1])
+        return b"".join([self._word(p) for p in _PIECES(unit)])
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; a run without blanks is looked up once however often these texts hold it."""
+        flats, whole = [], {}
+        for i, text in enumerate(texts):
+            flat = text.replace("\n", " ").replace("\t", " ")
+            if not flat.isprintable() or any(x in flat for x in self._special):
+                whole[i] = array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+                flats.append("")
+                continue
+            flat = unicodedata.normalize("NFC", flat)
+            # Only the sigma's lower case depends on its neighbours.
+            flats.append("".join([c.lower() for c in flat]) if "\u03a3" in flat else flat.lower())
+        parts = pc.split_pattern(pa.array(flats, pa.large_string()), " ")
+        units = parts.values.dictionary_encode()
+        each = [self._unit(u) for u in units.dictionary.to_numpy(zero_copy_only=False)]
+        ids = np.frombuffer(b"".join(each), "<u4")
+        sizes = np.array([len(x) for x in each], np.int64) // 4
+        firsts = np.cumsum(sizes) - sizes
+        unit = units.indices.to_numpy()
+        size = sizes[unit]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        flat_ids = ids[np.arange(ends[-1]) + np.repeat(firsts[unit] - ends[:-1], size)]
+        cuts = ends[parts.offsets.to_numpy()]
+        return [whole[i] if i in whole else flat_ids[a:b].tobytes() for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
+
     def encode(self, text: str) -> bytes:
-        flat = text.replace("\n", " ").replace("\t", " ")
-        if not flat.isprintable() or any(x in flat for x in self._special):
-            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        flat = unicodedata.normalize("NFC", flat)
-        # Only the sigma's lower case depends on its neighbours.
-        flat = "".join([c.lower() for c in flat]) if "\u03a3" in flat else flat.lower()
-        known, new = self._young.get, self._new
-        return b"".join([known(u) or new(u) for u in flat.split(" ") if u])
+        return self.encode_all([text])[0]
 
 
 _loaded: dict[str, Encoder] = {}
@@ -199,9 +220,10 @@ def write_shards(docs: DataFrame, tokenizer_path: str, path: str) -> None:
                 "n": pa.array([len(ids)], pa.int64()), "zeros": pa.array([zeros], pa.list_(pa.int64())),
                 "planes": pa.array([planes], pa.list_(pa.binary()))})
 
-        for batch in small(batches):
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = enc.encode(text or "") + end
+        for batch in small(batches, 1 << 22):
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), enc.encode_all(texts), strict=True):
+                ids += end
                 names.append(doc)
                 size += len(ids) // 4
                 ends.append(size)
