@@ -11,9 +11,9 @@ the *same results* as the plain windows while every task stays bounded:
    earlier partitions. A key's rows are contiguous in that order.
 2. Rows are cut into chunks of ``chunk_rows`` consecutive positions; every
    window runs per (key, chunk).
-3. Row-count frames (rolling n, lag): the last ``n - 1`` rows of each chunk
-   are copied into the next chunk as a halo, the window runs per
-   (key, chunk), and halo rows are dropped afterwards.
+3. Row-count frames (rolling n, lag, lead): the ``n - 1`` rows before a chunk
+   (for a lead, the rows after it) are copied into it as a halo, the window
+   runs per (key, chunk), and halo rows are dropped afterwards.
 4. Running state (forward fill, CUSUM, hysteresis latch): each chunk is
    summarised (last non-null value; sum and minimum prefix of the CUSUM
    steps; last latch mark), the summaries of earlier chunks are combined by a
@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import (BAR_HORIZON, CUSUM_THRESHOLD, CUSUM_TRIGGER, WINDOWS)
+from ..config import (ANOMALY_CUT, BAR_HORIZON, CUSUM_THRESHOLD, CUSUM_TRIGGER, METRICS, N_SPLITS, WINDOWS)
 from ..functions.columns import day_of, log_ratio, running
 
 DEFAULT_CHUNK_ROWS = 1_000_000
@@ -68,17 +68,14 @@ def chunk_of(chunk_rows: int) -> Column:
     return F.expr(f"_idx div {int(chunk_rows)}")
 
 
-def with_halo(indexed: DataFrame, halo: int, chunk_rows: int) -> DataFrame:
-    """Each row in its chunk (``_halo`` false) and, if it is among the last
-    ``halo`` rows of its chunk, again in the next chunk (``_halo`` true)."""
-    if halo > chunk_rows:
-        raise ValueError(f"chunk_rows ({chunk_rows}) must be >= the halo ({halo})")
-    c = chunk_of(chunk_rows)
-    own = F.struct(c.alias("_chunk"), F.lit(False).alias("_halo"))
-    nxt = F.struct((c + 1).alias("_chunk"), F.lit(True).alias("_halo"))
-    in_tail = (F.col("_idx") % chunk_rows) >= (chunk_rows - halo) if halo > 0 else F.lit(False)
-    copies = F.when(in_tail, F.array(own, nxt)).otherwise(F.array(own))
-    return indexed.select("*", F.inline(copies))
+def with_halo(indexed: DataFrame, halo: int, chunk_rows: int, ahead: int = 0) -> DataFrame:
+    """Each row in its chunk (``_halo`` false), and again (``_halo`` true) in every later
+    chunk that begins at most ``halo`` rows after it and every earlier one that ends at
+    most ``ahead`` rows before it. A halo may be longer than a chunk."""
+    first = F.expr(f"greatest(_idx - {int(ahead)}, 0L) div {int(chunk_rows)}")
+    last = F.expr(f"(_idx + {int(halo)}) div {int(chunk_rows)}")
+    copies = indexed.select("*", F.explode(F.sequence(first, last)).alias("_chunk"))
+    return copies.withColumn("_halo", F.col("_chunk") != chunk_of(chunk_rows))
 
 
 def _chunk_window(keys):
@@ -132,13 +129,14 @@ def align_blocked(lead: DataFrame, ref: DataFrame, *, chunk_rows: int = DEFAULT_
 # --------------------------------------------------------------- metrics --
 def rolling_metrics_blocked(bars: DataFrame, windows: dict[str, int] = WINDOWS, *,
                             chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                            keys: tuple[str, ...] = ("symbol",), order: str = "date") -> DataFrame:
+                            keys: tuple[str, ...] = ("symbol",), order: str = "date",
+                            keep: tuple[str, ...] = ()) -> DataFrame:
     """``rolling_metrics`` via halos (same rows and values)."""
     from .metrics import rolling_metrics
     halo = max(windows.values()) - 1
     d = with_halo(index_rows(bars, keys, order), halo, chunk_rows)
     wide = rolling_metrics(d, windows, keys=(*keys, "_chunk"), order="_idx",
-                           keep=(order, "_halo"))
+                           keep=(order, "_halo", *keep))
     return wide.where(~F.col("_halo")).drop("_halo", "_chunk", "_idx")
 
 
@@ -149,6 +147,40 @@ def metrics_long_blocked(bars: DataFrame, windows: dict[str, int] = WINDOWS, **k
                                                    if c not in ("symbol", "date")]), windows)
 
 
+# -------------------------------------------------------------- features --
+def features_from_bars_blocked(bars: DataFrame, windows: dict[str, int] = WINDOWS, *,
+                               cut: float = ANOMALY_CUT, zscore_col: str = "spread_zscore_30d",
+                               chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """``features_from_bars`` with bounded tasks (same rows and values).
+
+    Lags and the target look two rows back and one ahead among the rows that have a
+    metric, so those rows are numbered anew before their halos are added.
+    """
+    from .features import lags_and_targets
+    from .metrics import metric_column
+    returns = ("lead_logret", "ref_logret")
+    wide = rolling_metrics_blocked(bars, windows, chunk_rows=chunk_rows, keep=returns)
+    names = [metric_column(m, h) for m in METRICS for h in windows]
+    rows = wide.where(F.coalesce(*[F.col(c) for c in names]).isNotNull()).select("symbol", "date", *returns, *names)
+    d = with_halo(index_rows(rows, ("symbol",), "date"), 2, chunk_rows, ahead=1)
+    framed = lags_and_targets(d, cut, zscore_col, keys=("symbol", "_chunk"), order="_idx")
+    return framed.where(~F.col("_halo")).drop("_idx", "_chunk", "_halo")
+
+
+def time_folds_blocked(features: DataFrame, n_splits: int = N_SPLITS, *,
+                       keys: tuple[str, ...] = ("symbol",), order: str = "date",
+                       chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """``time_folds`` with bounded tasks: a series' first position and length come from
+    its per-chunk counts, and a row's index is its distance from the first position."""
+    from .features import fold_roles
+    d = index_rows(features, keys, order).withColumn("_chunk", chunk_of(chunk_rows))
+    sizes = d.groupBy(*keys, "_chunk").agg(F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*keys)
+    facts = sizes.select(*keys, "_chunk", F.min("_first").over(whole).alias("_first"), F.sum("_n").over(whole).alias("_n"))
+    base = d.join(facts, [*keys, "_chunk"]).withColumn("row_index", F.col("_idx") - F.col("_first"))
+    return fold_roles(base.drop("_idx", "_chunk", "_first"), n_splits)
+
+
 # ----------------------------------------------------------------- CUSUM --
 def cusum_blocked(series: DataFrame, *, threshold: float = CUSUM_THRESHOLD,
                   chunk_rows: int = DEFAULT_CHUNK_ROWS,

@@ -36,8 +36,10 @@ def pivot_metrics(long: DataFrame, windows: dict[str, int] = WINDOWS,
     return keyed.groupBy("symbol", "date").pivot("_mh", names).agg(F.avg("value"))
 
 
-def _lags_and_targets(j: DataFrame, cut: float, zscore_col: str) -> DataFrame:
-    w = series_window(["symbol"], "date")
+def lags_and_targets(j: DataFrame, cut: float, zscore_col: str, *,
+                     keys: tuple[str, ...] = ("symbol",), order: str = "date") -> DataFrame:
+    """``j`` with lags, momentum and next-row targets; complete rows only."""
+    w = series_window(list(keys), order)
     z = F.col(zscore_col)
     f = j.select(
         *j.columns,
@@ -58,7 +60,7 @@ def feature_frame(bars: DataFrame, long: DataFrame, *, cut: float = ANOMALY_CUT,
     wide = pivot_metrics(long)
     j = bars.select("symbol", "date", "lead_logret", "ref_logret") \
             .join(wide, ["symbol", "date"], "inner")
-    return _lags_and_targets(j, cut, zscore_col)
+    return lags_and_targets(j, cut, zscore_col)
 
 
 def features_from_bars(bars: DataFrame, windows: dict[str, int] = WINDOWS, *,
@@ -75,7 +77,7 @@ def features_from_bars(bars: DataFrame, windows: dict[str, int] = WINDOWS, *,
     wide = rolling_metrics(bars, windows, keep=("lead_logret", "ref_logret"))
     names = [metric_column(m, h) for m in METRICS for h in windows]
     j = wide.where(F.coalesce(*[F.col(c) for c in names]).isNotNull())
-    return _lags_and_targets(j.select("symbol", "date", "lead_logret", "ref_logret", *names),
+    return lags_and_targets(j.select("symbol", "date", "lead_logret", "ref_logret", *names),
                              cut, zscore_col)
 
 
@@ -88,7 +90,11 @@ def time_folds(features: DataFrame, n_splits: int = N_SPLITS, *,
     w = series_window(list(keys), order)
     idx = (F.row_number().over(w) - 1).cast("bigint")
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    base = features.select("*", idx.alias("row_index"), n.alias("_n"))
+    return fold_roles(features.select("*", idx.alias("row_index"), n.alias("_n")), n_splits)
+
+
+def fold_roles(base: DataFrame, n_splits: int) -> DataFrame:
+    """Rows with ``row_index`` and the series' length ``_n``, once per fold they take part in."""
     t = F.expr(f"_n div {n_splits + 1}")
     exploded = base.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
     start = F.col("_n") - (F.lit(n_splits) - F.col("fold")) * t

@@ -176,6 +176,21 @@ def q_cusum_alerts_blocked(spark, sf_dir):
     return cusum_alerts_blocked(long_metrics(spark, sf_dir), chunk_rows=BLOCK_ROWS)
 
 
+def blocked_feature_rows(spark, sf_dir) -> DataFrame:
+    from ..operators.blocked import features_from_bars_blocked
+    return features_from_bars_blocked(bars(spark, sf_dir), chunk_rows=BLOCK_ROWS)
+
+
+def q_features_lagged_blocked(spark, sf_dir):
+    return round_doubles(blocked_feature_rows(spark, sf_dir))
+
+
+def q_time_folds_blocked(spark, sf_dir):
+    from ..operators.blocked import time_folds_blocked
+    return time_folds_blocked(blocked_feature_rows(spark, sf_dir), chunk_rows=BLOCK_ROWS).select(
+        "symbol", "date", "row_index", "fold", "role")
+
+
 def q_batch_alerts_table(spark, sf_dir):
     """Run the whole batch chain into tables, twice (the rerun must write
     nothing), and read back the CUSUM alerts."""
@@ -216,6 +231,8 @@ QUERIES: dict[str, Query] = {
     "metrics_long_blocked": q_metrics_long_blocked,
     "cusum_accumulator_blocked": q_cusum_accumulator_blocked,
     "cusum_alerts_blocked": q_cusum_alerts_blocked,
+    "features_lagged_blocked": q_features_lagged_blocked,
+    "time_folds_blocked": q_time_folds_blocked,
     "batch_alerts_table": q_batch_alerts_table,
     "changepoints": q_changepoints,
     "changepoint_alerts": q_changepoint_alerts,

@@ -381,6 +381,8 @@ SQL.update({
     "metrics_long_blocked": SQL["metrics_long"],
     "cusum_accumulator_blocked": SQL["cusum_accumulator"],
     "cusum_alerts_blocked": SQL["cusum_alerts"],
+    "features_lagged_blocked": SQL["features_lagged"],
+    "time_folds_blocked": SQL["time_folds"],
     "batch_alerts_table": SQL["cusum_alerts"],
 })
 

@@ -5,6 +5,7 @@ import pytest
 from seriesrel.operators import blocked
 from seriesrel.operators.align import align
 from seriesrel.operators.detect import cusum, hysteresis_fires
+from seriesrel.operators.features import features_from_bars, time_folds
 from seriesrel.operators.metrics import rolling_metrics
 
 
@@ -40,9 +41,24 @@ def test_rolling_blocked_equals_plain(spark, chunk_rows):
     _same(plain, blk, ["symbol", "date"])
 
 
-def test_halo_larger_than_chunk_is_rejected(spark):
-    with pytest.raises(ValueError):
-        blocked.rolling_metrics_blocked(_frame(spark, 10, 0), chunk_rows=20)
+@pytest.mark.parametrize("chunk_rows", [1, 20])
+def test_halo_may_be_longer_than_a_chunk(spark, chunk_rows):
+    bars = _frame(spark, 90, 3)
+    plain = rolling_metrics(bars).toPandas()
+    blk = blocked.rolling_metrics_blocked(bars, chunk_rows=chunk_rows).toPandas()[plain.columns]
+    _same(plain, blk, ["symbol", "date"])
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 13, 500])
+def test_features_and_folds_blocked_equal_plain(spark, chunk_rows):
+    bars = _frame(spark, 120, chunk_rows)
+    plain = features_from_bars(bars)
+    blk = blocked.features_from_bars_blocked(bars, chunk_rows=chunk_rows)
+    assert set(blk.columns) == set(plain.columns)
+    _same(plain.toPandas(), blk.toPandas()[plain.columns], ["symbol", "date"])
+    cols = ["symbol", "date", "row_index", "fold", "role"]
+    folds = blocked.time_folds_blocked(plain, chunk_rows=chunk_rows).select(cols)
+    assert sorted(map(tuple, folds.collect())) == sorted(map(tuple, time_folds(plain).select(cols).collect()))
 
 
 @pytest.mark.parametrize("chunk_rows", [1, 7, 50])
