@@ -111,7 +111,10 @@ def run_series(spark, table: str, column: str, start, end, **keys) -> DataFrame:
     import datetime as dt
     day = lambda v: dt.date.fromisoformat(v) if isinstance(v, str) else v
     names = list(keys)
-    text = SERIES_SQL.format(keys=" AND ".join(f"IDENTIFIER(:name{i}) <=> :key{i}" for i in range(len(names))) or "true")
+    tests = [f"IDENTIFIER(:name{i}) <=> :key{i}" for i in range(len(names))]
+    if "chunk" in spark.table(table).columns:        # a stored table: read only the months of the range
+        tests.append("chunk BETWEEN CAST(date_trunc('month', :start) AS DATE) AND :end")
+    text = SERIES_SQL.format(keys=" AND ".join(tests) or "true")
     args = {"table": table, "column": column, "start": day(start), "end": day(end)}
     args |= {f"name{i}": k for i, k in enumerate(names)} | {f"key{i}": keys[k] for i, k in enumerate(names)}
     return spark.sql(text, args=args).orderBy("time")

@@ -1,11 +1,24 @@
-"""Catalogue entries for the serving queries (dashboard panels and reads)."""
+"""Catalogue entries for the serving queries (dashboard panels and reads).
+
+They read the tables that the batch run writes, by key and time range: no panel
+recomputes the chain from the raw tables.
+"""
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import KIND_CUSUM
 from ..functions.columns import round_doubles
 from ..operators import detect
+from ..session import ensure_checkpoint_dir
+from ..sources import fixtures as fx
+from ..sources import tables
 from . import serve
-from .catalog import bars, long_metrics
+from .batch import run_analytics
 
 # Panel parameters: the first lead symbol and a time range spanning the data.
 PANEL_SYMBOL = "A"
@@ -13,53 +26,82 @@ SECOND_SYMBOL = "R"
 START, END = "1995-01-01", "2001-12-31"
 
 
+def stored_root(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the tables of ``sf_dir``, under the shared folder; the batch run fills it.
+
+    The tables are built once per application and input folder. A row in ``built`` is
+    written after the run, so a run that was cut short is repeated; its writes are
+    keyed, and the repetition adds only what is missing.
+    """
+    app = spark.sparkContext.applicationId
+    name = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/seriesrel/served-{app}-{name}"
+    if tables.read_table(spark, f"{root}/built") is None:
+        run_analytics(spark, fx.lead_series(spark, sf_dir), fx.reference_series(spark, sf_dir), root)
+        spark.range(1).write.mode("overwrite").parquet(f"{root}/built")
+    return root
+
+
+def stored(spark: SparkSession, sf_dir: str, spec: tables.TableSpec, start=None, end=None, **keys) -> DataFrame:
+    """Rows of one stored table: chunks of the time range, then the keys."""
+    return tables.read_range(spark, f"{stored_root(spark, sf_dir)}/{spec.name}", spec, start=start, end=end, where=keys)
+
+
 def q_panel_price(spark, sf_dir):
-    return round_doubles(serve.panel_price(bars(spark, sf_dir), PANEL_SYMBOL, START, END))
+    return round_doubles(serve.panel_price(stored(spark, sf_dir, tables.BARS, START, END), PANEL_SYMBOL))
 
 
 def q_panel_rate(spark, sf_dir):
-    return round_doubles(serve.panel_rate(bars(spark, sf_dir), PANEL_SYMBOL, START, END))
+    return round_doubles(serve.panel_rate(stored(spark, sf_dir, tables.BARS, START, END), PANEL_SYMBOL))
 
 
 def _panel(kind: str, horizon: str):
     fn = serve.panel_corr if kind == "corr" else serve.panel_zscore
 
     def q(spark, sf_dir):
-        return round_doubles(fn(long_metrics(spark, sf_dir), PANEL_SYMBOL, horizon, START, END))
+        return round_doubles(fn(stored(spark, sf_dir, tables.METRICS, START, END), PANEL_SYMBOL, horizon))
     return q
 
 
 def q_zscore_band(spark, sf_dir):
-    return round_doubles(serve.zscore_band(long_metrics(spark, sf_dir), PANEL_SYMBOL, "30d",
-                                           start=START, end=END))
+    return round_doubles(serve.zscore_band(stored(spark, sf_dir, tables.METRICS, START, END), PANEL_SYMBOL, "30d"))
 
 
 def q_latest_alerts(spark, sf_dir):
-    return serve.latest_alerts(detect.cusum_alerts(long_metrics(spark, sf_dir)))
+    return serve.latest_alerts(stored(spark, sf_dir, tables.ALERTS, kind=KIND_CUSUM))
+
+
+def q_latest_alerts_all_kinds(spark, sf_dir):
+    """The panel over both detectors' alerts."""
+    return serve.latest_alerts(stored(spark, sf_dir, tables.ALERTS))
+
+
+def q_alert_counts_all_kinds(spark, sf_dir):
+    return detect.alert_counts_by_year(stored(spark, sf_dir, tables.ALERTS))
 
 
 def q_metric_series(spark, sf_dir):
-    return round_doubles(serve.metric_series(long_metrics(spark, sf_dir), SECOND_SYMBOL,
+    return round_doubles(serve.metric_series(stored(spark, sf_dir, tables.METRICS), SECOND_SYMBOL,
                                              "spread_zscore", "30d"))
 
 
 def q_bars_for_metrics(spark, sf_dir):
-    return round_doubles(serve.bars_for_metrics(bars(spark, sf_dir), SECOND_SYMBOL))
+    return round_doubles(serve.bars_for_metrics(stored(spark, sf_dir, tables.BARS), SECOND_SYMBOL))
 
 
 def q_metrics_for_features(spark, sf_dir):
-    return round_doubles(serve.metrics_for_features(long_metrics(spark, sf_dir), SECOND_SYMBOL))
+    return round_doubles(serve.metrics_for_features(stored(spark, sf_dir, tables.METRICS), SECOND_SYMBOL))
 
 
 def q_sql_panel_zscore_30d(spark, sf_dir):
-    serve.register_views(spark, metrics=long_metrics(spark, sf_dir))
+    serve.register_tables(spark, stored_root(spark, sf_dir))
     z = serve.run_series(spark, "relationship_metrics", "value", START, END,
                          symbol=PANEL_SYMBOL, metric="spread_zscore", horizon="30d")
     return round_doubles(z.withColumnRenamed("value", "zscore_30d"))
 
 
 def q_sql_latest_alerts(spark, sf_dir):
-    serve.register_views(spark, alerts=detect.cusum_alerts(long_metrics(spark, sf_dir)))
+    serve.register_views(spark, alerts=stored(spark, sf_dir, tables.ALERTS).where(F.col("kind") == KIND_CUSUM))
     return serve.run_newest_alerts(spark)
 
 
@@ -72,6 +114,8 @@ QUERIES = {
     "panel_zscore_60d": _panel("zscore", "60d"),
     "zscore_band": q_zscore_band,
     "latest_alerts": q_latest_alerts,
+    "latest_alerts_all_kinds": q_latest_alerts_all_kinds,
+    "alert_counts_all_kinds": q_alert_counts_all_kinds,
     "metric_series": q_metric_series,
     "bars_for_metrics": q_bars_for_metrics,
     "metrics_for_features": q_metrics_for_features,

@@ -38,9 +38,10 @@ RAW_LEAD = TableSpec("raw_lead", "event_time_utc", ("instrument_id", "event_time
                      ("instrument_id",))
 RAW_REFERENCE = TableSpec("raw_reference", "event_time_utc",
                           ("instrument_id", "event_time_utc", "source"), ("instrument_id",))
-BARS = TableSpec("aligned_bars", "date", ("date", "horizon", "symbol"), ("horizon", "symbol"))
+# Daily rows: a week of a symbol is five bars, so these tables take wider chunks than the raw ones.
+BARS = TableSpec("aligned_bars", "date", ("date", "horizon", "symbol"), ("horizon", "symbol"), chunk="month")
 METRICS = TableSpec("relationship_metrics", "date", ("date", "horizon", "symbol", "metric"),
-                    ("metric", "horizon", "symbol"))
+                    ("metric", "horizon", "symbol"), chunk="month")
 ALERTS = TableSpec("alerts", "fired_at", ("fired_at", "kind", "symbol", "horizon"), (),
                    chunk="month")
 

@@ -1,6 +1,7 @@
 """Scale properties of the physical plans (checked on sf0.001 inputs)."""
 
 import re
+from collections import Counter
 
 from conftest import SF_SMALL
 
@@ -49,3 +50,27 @@ def test_no_python_in_the_hot_path(spark):
 def test_dedupe_is_reduced_map_side(spark):
     plan = _plan(_q("series_union_first_wins", spark))
     assert "partial_min_by" in plan
+
+
+def test_panels_read_chunks_and_keys_of_stored_tables(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)      # whole filter lists
+    try:
+        for name in ("panel_price", "panel_zscore_30d", "sql_panel_zscore_30d"):
+            plan = _plan(_q(name, spark))
+            assert "lineitem.parquet" not in plan and "orders.parquet" not in plan, name
+            assert re.search(r"PartitionFilters: \[[^\]]*chunk#\d+ >= ", plan), name
+            assert re.search(r"PushedFilters: \[[^\]]*Equal(To|NullSafe)\(symbol,A\)", plan), name
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_alerts_of_both_detectors_are_served(spark):
+    kinds = Counter()
+    for r in _q("detect_alerts", spark).collect():
+        kinds[r["kind"], r["fired_at"].year] += 1
+    got = {(r["kind"], r["year"]): r["n_alerts"] for r in _q("alert_counts_all_kinds", spark).collect()}
+    assert got == kinds
+    every = sorted(_q("detect_alerts", spark).collect(), key=lambda r: (-r["fired_at"].toordinal(), r["kind"], r["symbol"], r["horizon"]))[:50]
+    newest = _q("latest_alerts_all_kinds", spark).collect()
+    assert sorted((r["fired_at"], r["kind"], r["symbol"], r["horizon"]) for r in newest) == sorted(
+        (r["fired_at"], r["kind"], r["symbol"], r["horizon"]) for r in every)
