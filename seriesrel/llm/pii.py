@@ -4,16 +4,20 @@ The rules find e-mail addresses, IP numbers, card numbers and telephone numbers
 the whole text. The tagger adds spans that the rules' exact shapes miss. It is a
 character-level bidirectional LSTM with CRF transitions, written in numpy and
 trained on labelled spans: the windows of a bounded sample (``max_texts``), labelled
-by the rules, with separators varied so that it learns contexts and shapes rather
-than one spelling.
+by the rules, and as many windows of the same texts with planted values: each kind in
+the rules' shape and in odd ones (other separators, prefixes and brackets), and dates,
+amounts, versions and impossible numbers that are none. So it learns contexts and
+shapes rather than one spelling.
 
 Every place that can hold such data has a digit or an ``@``, so the tagger reads a
 window around each of those (``REACH`` characters to both sides, joined where they
 meet). Long stretches are cut into overlapping windows; each window is decoded by
 Viterbi, a character takes its tag from the window in which it is farthest from an
-edge, and spans are read off the reconciled text. A span is added if it overlaps no
-rule span, holds enough digits or an ``@`` for its kind, and is no value that a rule saw and
-refused (a failed check sum or an impossible number).
+edge, and spans are read off the reconciled text, widened to whole runs of digits. A
+span is added if it overlaps no rule span, its numbers are possible for its kind
+(check sum, range, count of digits; an ``@`` in an e-mail address), and no rule of the
+same kind refused a value there (12 to 19 digits that fail the check sum, or four
+numbers of which one is over 255).
 
 Edge cases: null and empty texts have no spans; repeated rows get equal answers; an
 empty table works, and without labelled windows only the rules speak.
@@ -22,8 +26,10 @@ empty table works, and without labelled windows only the rules speak.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import uuid
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -44,10 +50,12 @@ PATTERNS = {
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
 MAX_TEXTS, REACH = 2_000, 24
+PLANTED = 16                         # plantings of each text of the sample
 LENGTH, OVERLAP = 96, 32
-HIDDEN, EMBEDDED, STEPS, BATCH, RATE = 12, 8, 400, 32, 0.02
+HIDDEN, EMBEDDED, STEPS, BATCH, RATE = 16, 8, 600, 32, 0.02
 _CUE = re.compile(r"[@0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_NUMBER = re.compile(r"[0-9]+")
 
 
 def luhn(digits: str) -> bool:
@@ -81,8 +89,8 @@ def _emails(text: str):
         at = text.find("@", max(at + 1, done))
 
 
-def rule_spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int]]]:
-    """``(start, end, kind)`` of the rules by start and kind, and the places they refused."""
+def rule_spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
+    """``(start, end, kind)`` of the rules by start and kind, and of whole values that they refused."""
     found, refused = [], []
     if not _CUE.search(text):
         return found, refused
@@ -91,8 +99,8 @@ def rule_spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, i
         for a, b in places:
             if _valid(kind, text[a:b]):
                 found.append((a, rank, b))
-            else:
-                refused.append((a, b))
+            elif kind == "ip" or (kind == "card" and 12 <= len(_DIGIT.findall(text[a:b])) <= 19):
+                refused.append((a, b, kind))
     found.sort()
     return [(a, b, KINDS[r]) for a, r, b in found], refused
 
@@ -264,17 +272,98 @@ def padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
+def _grouped(digits: str, sizes, sep: str) -> str:
+    parts, at = [], 0
+    for n in sizes:
+        parts.append(digits[at:at + n])
+        at += n
+    return sep.join(p for p in [*parts, digits[at:]] if p)
+
+
+def _digits(r: random.Random, n: int) -> str:
+    return str(r.randint(1, 9)) + "".join(r.choices("0123456789", k=n - 1))
+
+
+def _card(r: random.Random, good: bool = True) -> str:
+    head = _digits(r, r.choice((14, 15, 15, 15, 18)))
+    return next(head + c for c in "0123456789" if luhn(head + c) == good)
+
+
+def _word(r: random.Random) -> str:
+    return "".join(r.choices("abcdefghijklmnoprstuvwz", k=r.randint(2, 8)))
+
+
+def odd_value(kind: str, r: random.Random) -> str:
+    """A value of ``kind`` in one of many spellings, the rules' own among them."""
+    if kind == "email":
+        local = _word(r) + r.choice(("", ".", "_", "-")) + r.choice(("", _digits(r, 2), _word(r)))
+        at = r.choice(("@", "@", "@", " @ ", "[@]", "(@)"))
+        dot = r.choice((".", ".", "[.]", "(.)", " . ", "[dot]", " (dot) "))
+        host = _word(r) + r.choice(("", str(r.randint(0, 9))))
+        return local + at + (host if r.random() < 0.3 else host + dot + r.choice(("com", "org", "net", "de", "co")))
+    if kind == "ip":
+        sep = r.choice((".", "[.]", "(.)", "{.}", " . ", ". ", "[dot]", "(dot)", " dot "))
+        return sep.join(str(r.randint(0, 255)) for _ in range(4))
+    if kind == "card":
+        digits = _card(r)
+        sizes = (4, 6) if len(digits) == 15 else (4, 4, 4, 4)
+        return _grouped(digits, sizes, r.choice((" ", "-", "", ".", ".", "/", "_", ":", "  ", " - ", " . ", ", ")))
+    if r.random() < 0.3:
+        return f"+{r.randint(1, 99)} ({_digits(r, 3)}) {_digits(r, 3)}{r.choice(' -.')}{_digits(r, 4)}"
+    head = r.choice(("", "", "0", "00")) + _digits(r, r.choice((2, 3, 3, 4)))
+    rest = _digits(r, r.choice((7, 7, 8)) if len(head) > 2 else 8)
+    sep = r.choice((" ", ".", "-", "/", " - ", "."))
+    body = _grouped(rest, r.choice(((3,), (3, 2), (2, 2, 2), (4,), (3, 2, 2))), sep)
+    return (f"({head})" + r.choice((" ", "", "-")) if r.random() < 0.4 else head + r.choice((sep, sep, "/"))) + body
+
+
+def other_value(r: random.Random) -> str:
+    """A number or sign that is no personal data."""
+    n = r.randint
+    return r.choice((
+        lambda: f"{n(1, 31):02}{(c := r.choice('./-'))}{n(1, 12):02}{c}{n(1950, 2030)}",
+        lambda: f"{n(1950, 2030)}-{n(1, 12):02}-{n(1, 31):02}" + r.choice(("", f" {n(0, 23):02}:{n(0, 59):02}:{n(0, 59):02}")),
+        lambda: f"{n(0, 23)}:{n(0, 59):02}",
+        lambda: r.choice("$ #") + f"{n(1, 999)}{r.choice('.,')}{n(0, 99):02}",
+        lambda: f"{n(1, 99)},{n(0, 999):03},{n(0, 999):03}",
+        lambda: f"v{n(0, 12)}.{n(0, 30)}" + r.choice(("", f".{n(0, 30)}")),
+        lambda: _digits(r, n(1, 8)),
+        lambda: f"{n(1, 99)} x {n(1, 99)} = {n(1, 9999)}",
+        lambda: f"{n(1950, 2030)}-{n(1950, 2030)}",
+        lambda: f"{n(256, 999)}.{n(0, 999)}.{n(0, 999)}.{n(0, 999)}",
+        lambda: _grouped(_card(r, False), (4, 4, 4, 4), r.choice((" ", "-", ""))),
+        lambda: f"@{_word(r)}",
+    ))()
+
+
+def planted(text: str, r: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
+    """Pieces of ``text`` without cues with planted values between them, and the spans of these."""
+    at, out, found = r.randrange(len(text)), "", []
+    words = [w for w in text[at:at + 400].split() if not _CUE.search(w)] or ["-"]
+    for _ in range(r.randint(1, 2)):
+        out += " ".join(words[(k := r.randrange(len(words))):k + r.randint(0, 5)]) + r.choice((" ", " ", ": ", " (", ", "))
+        kind = r.choice((*KINDS, "phone", "phone", None, None))
+        value = odd_value(kind, r) if kind else other_value(r)
+        if kind:
+            found.append((len(out), len(out) + len(value), kind))
+        out += value + r.choice((" ", " ", ". ", ", ", ") "))
+    return out + " ".join(words[(k := r.randrange(len(words))):k + 5]), found
+
+
+def _windows_of(text: str, spans) -> list[tuple[np.ndarray, np.ndarray]]:
+    tags = tags_of(len(text), spans)
+    return [(codes(text[s:e]), tags[s:e]) for a, b in stretches(text) for s, e in windows(a, b)]
+
+
 def labelled_windows(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
     """Windows of a text with the rules' tags."""
-    spans, _ = rule_spans(text)
-    tags = tags_of(len(text), spans)
-    code = None
-    out = []
-    for a, b in stretches(text):
-        for s, e in windows(a, b):
-            code = codes(text[s:e])
-            out.append((code, tags[s:e]))
-    return out
+    return _windows_of(text, rule_spans(text)[0])
+
+
+def planted_windows(text: str, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Windows with planted values between words of the text, ``n`` plantings."""
+    r = random.Random(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+    return [w for _ in range(n) for w in _windows_of(*planted(text, r))]
 
 
 def train(docs: DataFrame, max_texts: int = MAX_TEXTS) -> dict[str, np.ndarray] | None:
@@ -288,6 +377,7 @@ def train(docs: DataFrame, max_texts: int = MAX_TEXTS) -> dict[str, np.ndarray]
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 own = labelled_windows(text)[:20]      # of one text, for variety
+                own += planted_windows(text, PLANTED)
                 if own:
                     yield pa.record_batch({"x": pa.array([c.tolist() for c, _ in own], pa.list_(pa.int64())),
                                            "y": pa.array([t.tolist() for _, t in own], pa.list_(pa.int64()))})
@@ -295,7 +385,7 @@ def train(docs: DataFrame, max_texts: int = MAX_TEXTS) -> dict[str, np.ndarray]
     rows = some.mapInArrow(run, "x array<long>, y array<long>").orderBy("x", "y").collect()
     if not rows:
         return None
-    keep = np.random.default_rng(1).permutation(len(rows))[:max_texts]
+    keep = np.random.default_rng(1).permutation(len(rows))[:2 * max_texts]
     x, mask = padded([np.array(rows[i]["x"]) for i in keep])
     y, _ = padded([np.array(rows[i]["y"]) for i in keep])
     return Tagger().fit(x, mask, y).p
@@ -329,12 +419,23 @@ def tagger_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int,
     return out
 
 
-_LEAST = {"ip": 4, "card": 12, "phone": 9}
+def _plausible(kind: str, s: str) -> bool:
+    """Whether the numbers of an odd shape are possible for its kind."""
+    if kind == "email":
+        return "@" in s.strip("@") and len(s) > 4
+    if kind == "ip":
+        parts = _NUMBER.findall(s)
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+    return _valid(kind, s)
 
 
-def _plausible(kind: str, s: str) -> bool:
-    digits = len(_DIGIT.findall(s))
-    return "@" in s and len(s) > 4 if kind == "email" else digits >= _LEAST[kind]
+def _whole(text: str, a: int, b: int) -> tuple[int, int]:
+    """The span widened to whole runs of digits."""
+    while a and _DIGIT.match(text[a]) and _DIGIT.match(text[a - 1]):
+        a -= 1
+    while b < len(text) and _DIGIT.match(text[b - 1]) and _DIGIT.match(text[b]):
+        b += 1
+    return a, b
 
 
 def spans(texts: list[str], tagger: Tagger | None) -> list[tuple[list, list]]:
@@ -343,8 +444,13 @@ def spans(texts: list[str], tagger: Tagger | None) -> list[tuple[list, list]]:
     more = tagger_spans(texts, tagger) if tagger else [[] for _ in texts]
     out = []
     for text, (base, refused), added in zip(texts, ruled, more, strict=True):
-        taken = [(a, b) for a, b, _ in base] + refused
-        extra = [s for s in added if _plausible(s[2], text[s[0]:s[1]]) and not any(s[0] < b and a < s[1] for a, b in taken)]
+        extra, done = [], 0
+        for a, b, kind in added:
+            a, b = _whole(text, a, b)
+            taken = any(a < d and c < b for c, d, _ in base) or any(a < d and c < b and k == kind for c, d, k in refused)
+            if a >= done and not taken and _plausible(kind, text[a:b]):
+                extra.append((a, b, kind))
+                done = b
         out.append((base, extra))
     return out
 
