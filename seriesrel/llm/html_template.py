@@ -62,6 +62,10 @@ WORDS = set("ad ads adv advert adverts advertisement advertising advertorial spo
             "pager toolbar login search form copyright disclaimer legal skip".split())
 KEPT = {"html", "body", "main", "article"}
 MAIN = {"article", "main"}
+#: Elements of running text; the main block is one around them.
+_LEAVES = HEADINGS | {"p", "li", "pre", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "table", "dd", "dt", "dl", "blockquote", "ul", "ol",
+                      "figure", "figcaption"}
+MOST = 0.9                           # share of the varying text that a main block holds at least
 #: A start tag on the left ends an open element of those on the right.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _WALLS = {"ul", "ol", "dl", "table", "article", "section", "div", "main", "aside", "nav", "body", "blockquote", "form", "header", "footer"}
@@ -215,15 +219,33 @@ def main_roots(tokens: list[dict]) -> list[str]:
         return sorted(p for p in articles if not any(p != q and _under(p, q) for q in articles))
     if not slots:
         return []
-    # The block whose children hold the most text that is no list of links.
+    # The deepest block around most of the text that is neither fixed nor a list of links ...
     mass: Counter = Counter()
-    for s in slots:
-        tag = _last_tag(s["path"])
-        mass[s["path"].rpartition("/")[0] if tag in HEADINGS | {"p", "li", "pre", "td", "dd", "dt", "blockquote", "ul", "ol"} else s["path"]] += s["chars"]
-    best = max(sorted(mass), key=lambda p: mass[p])
-    while any(_under(best, o) and o != best and mass[o] > 0.5 * mass[best] for o in mass):
-        best = next(o for o in sorted(mass, key=len) if _under(best, o) and o != best and mass[o] > 0.5 * mass[best])
-    return [best]
+    for t in slots:
+        for p in _enclosing(t["path"]):
+            mass[p] += t["chars"]
+    total = sum(t["chars"] for t in slots)
+    best = max((p for p in mass if mass[p] >= MOST * total), key=lambda p: (p.count("/"), mass[p], p))
+    # ... widened to blocks that add such text only, as a title or a lead beside the body.
+    root = best
+    while _last_tag(best := best.rpartition("/")[0]) not in {"", "body", "html"}:
+        new = [t for t in tokens if t["chars"] > 0 and _under(t["path"], best) and not _under(t["path"], root)]
+        if any(t["same"] or t["links"] > 0.5 * t["chars"] for t in new):
+            break
+        if new:
+            root = best
+    return [root]
+
+
+def _enclosing(path: str) -> list[str]:
+    """The path and those around it, without the elements of running text at its end."""
+    while _last_tag(path) in _LEAVES and "/" in path:
+        path = path.rpartition("/")[0]
+    out = [path]
+    while path:
+        path = path.rpartition("/")[0]
+        out.append(path)
+    return out
 
 
 def _own_tokens(runs: list[Run], first: dict[str, int]) -> list[dict]:

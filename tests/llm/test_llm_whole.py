@@ -1,5 +1,8 @@
+from llm_cases import by_id
+
 from conftest import SF_MID
-from seriesrel.llm import pii
+from seriesrel.llm import html_template, pii
+from seriesrel.llm.html_template import extract
 
 ODD = [("call (030) 123 45 67 today", "(030) 123 45 67", "phone"), ("paid by 4111.1111.1111.1111 then", "4111.1111.1111.1111", "card"),
        ("host 192[.]168[.]1[.]20 is down", "192[.]168[.]1[.]20", "ip"), ("write to bob.42@host please", "bob.42@host", "email")]
@@ -25,3 +28,20 @@ def test_only_whole_values_of_the_same_kind_are_refused(monkeypatch):
     monkeypatch.setattr(pii, "tagger_spans", lambda texts, tagger: [[span] for _, span, _ in cases])
     for (text, (a, b, kind), want), (base, extra) in zip(cases, pii.spans([t for t, _, _ in cases], Says())):
         assert base == [] and [(text[c:d], k) for c, d, k in extra] == ([(text[2:-2], kind)] if want else []), text
+
+
+def main_texts(spark, pages):
+    rows = [(n, f"http://a.example.org/{n}", p) for n, p in enumerate(pages)]
+    got = by_id(html_template.extract_main(spark.createDataFrame(rows, "page_id long, url string, html string")), "page_id")
+    return [got[n].text for n in range(len(rows))]
+
+
+def test_main_block_holds_all_parts(spark):
+    page = "<body><nav>Menu</nav><div class='content'><h1>Title {0}</h1><p>{1}</p><ul>{2}</ul></div><div class='box'>Same box</div></body>"
+    lead = "<body><div class='content'><div class='lead'>Lead {0}</div><div class='body'>{1}</div></div><div class='box'><a href='/'>Link {0}</a></div></body>"
+    words = [f"para {n} " * 30 for n in range(4)]
+    items = [[f"item {n} {k} of the list" for k in range(90)] for n in range(4)]
+    got = main_texts(spark, [page.format(n, words[n], "".join(f"<li>{i}</li>" for i in items[n])) for n in range(4)])
+    assert got == ["\n".join([f"Title {n}", words[n].strip(), *items[n]]) for n in range(4)]
+    assert main_texts(spark, [lead.format(n, words[n]) for n in range(4)]) == [f"Lead {n}\n{words[n].strip()}" for n in range(4)]
+    assert extract("<div>one part</div><section>two parts</section>", []) == "one part\ntwo parts"
