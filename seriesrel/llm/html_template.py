@@ -60,6 +60,9 @@ WORDS = set("ad ads adv advert adverts advertisement advertising advertorial spo
             "nav navbar navigation breadcrumb breadcrumbs footer foot colophon contentinfo header masthead topbar comment "
             "comments commentlist disqus reply replies respond related recommended recommendations widget widgets pagination "
             "pager toolbar login search form copyright disclaimer legal skip".split())
+#: Of these, words that also name parts of articles: in an article a block is left out by one of them alone
+#: only if the host's template agrees (fixed text, or links for the most part).
+AMBIGUOUS = set("side form legal search alert comment related skip".split())
 KEPT = {"html", "body", "main", "article"}
 MAIN = {"article", "main"}
 #: Elements of running text; the main block is one around them.
@@ -71,10 +74,10 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 _WALLS = {"ul", "ol", "dl", "table", "article", "section", "div", "main", "aside", "nav", "body", "blockquote", "form", "header", "footer"}
 
 
-def _furniture(tag: str, attrs: str) -> tuple[bool, str]:
-    """Whether the element is furniture, and its class and id with numbers made equal."""
+def _furniture(tag: str, attrs: str) -> tuple[bool, bool, str]:
+    """Whether the element is furniture, whether only by an ambiguous word, and its class and id with numbers made equal."""
     if not attrs.strip():
-        return tag in FURNITURE, ""
+        return tag in FURNITURE, False, ""
     named, hidden = [], False
     for key, value in _ATTR.findall(attrs):
         key, value = key.lower(), value.strip("\"'")
@@ -84,17 +87,18 @@ def _furniture(tag: str, attrs: str) -> tuple[bool, str]:
                 key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
             hidden = True
     words = {w.lower() for v in named for w in _PARTS.findall(v)}
-    bad = hidden or tag in FURNITURE or (tag not in KEPT and tag not in HEADINGS and bool(words & WORDS))
-    return bad, ".".join(re.sub(r"\d+", "0", v) for v in named)
+    sure = hidden or tag in FURNITURE
+    named_so = words & WORDS if tag not in KEPT and tag not in HEADINGS else set()
+    return sure or bool(named_so), not sure and len(named_so) == 1 and named_so <= AMBIGUOUS, ".".join(re.sub(r"[/#]", "_", re.sub(r"\d+", "0", v)) for v in named)
 
 
 class Run:
-    """The text of one block: its path, whether furniture encloses it, its characters, those in links."""
+    """The text of one block outside furniture: its path, its characters, those in links, an ambiguous block around it."""
 
-    __slots__ = ("path", "out", "bits", "links", "head")
+    __slots__ = ("path", "bits", "links", "head", "doubt")
 
-    def __init__(self, path: str, out: bool, head: bool):
-        self.path, self.out, self.bits, self.links, self.head = path, out, [], 0, head
+    def __init__(self, path: str, head: bool, doubt: str):
+        self.path, self.bits, self.links, self.head, self.doubt = path, [], 0, head, doubt
 
     def text(self) -> str:
         return " ".join(html.unescape("".join(self.bits)).split())
@@ -105,16 +109,18 @@ def blocks(page: str) -> tuple[list[Run], Counter, dict[str, int]]:
     runs: list[Run] = []
     seen: Counter = Counter()
     first: dict[str, int] = {}
-    stack: list[tuple[str, str, bool, bool]] = []      # tag, path, furniture, header of the site or article
-    state = ["", False, False]                         # path, furniture, in a header
+    stack: list[tuple[str, str, bool, bool, str]] = []      # tag, path, furniture, header of the site or article, ambiguous block
+    state = ["", False, False, ""]                          # path, furniture, in a header, outermost ambiguous block
     links, current, at, n = 0, None, 0, len(page)
 
     def add(text: str) -> None:
         nonlocal current
+        if state[1]:                                   # piece by piece: inline furniture takes no other text along
+            return
         if current is None:
             if not text.strip():
                 return
-            current = Run(state[0], state[1], state[2])
+            current = Run(state[0], state[2], state[3])
             runs.append(current)
         current.bits.append(text)
         if links:
@@ -125,7 +131,7 @@ def blocks(page: str) -> tuple[list[Run], Counter, dict[str, int]]:
         for tag, *_ in stack[to:]:
             links -= tag == "a"
         del stack[to:]
-        state[:] = [stack[-1][1], stack[-1][2], stack[-1][3]] if stack else ["", False, False]
+        state[:] = stack[-1][1:] if stack else ["", False, False, ""]
 
     while at < n:
         m = _TAG.search(page, at)
@@ -168,18 +174,20 @@ def blocks(page: str) -> tuple[list[Run], Counter, dict[str, int]]:
             end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else n
             continue
-        bad, name = _furniture(tag, m[3])
+        bad, unsure, name = _furniture(tag, m[3])
+        unsure = unsure and any(t in MAIN for t, *_ in stack)
         head = state[2] or tag == "header"
-        path, out = state[0], state[1] or bad
+        path, out, doubt = state[0], state[1] or (bad and not unsure), state[3]
         if tag in BLOCK:
             path = f"{path}/{tag}.{name}" if name else f"{path}/{tag}"
+            doubt = doubt or (path if unsure else "")
             seen[path] += 1
             first.setdefault(path, len(runs))
         if m[3].rstrip().endswith("/") and tag in ("svg", "math"):
             continue
-        stack.append((tag, path, out, head))
+        stack.append((tag, path, out, head, doubt))
         links += tag == "a"
-        state[:] = [path, out, head]
+        state[:] = [path, out, head, doubt]
     return runs, seen, first
 
 
@@ -188,9 +196,7 @@ def _last_tag(path: str) -> str:
 
 
 def _kept(run: Run) -> bool:
-    """Outside furniture; of a header, only headings inside an article."""
-    if run.out:
-        return False
+    """Of a header, only headings inside an article."""
     if run.head:
         tags = [p.partition(".")[0] for p in run.path.split("/")]
         return tags[-1] in HEADINGS and bool(MAIN & set(tags))

@@ -45,3 +45,8 @@ def test_main_block_holds_all_parts(spark):
     assert got == ["\n".join([f"Title {n}", words[n].strip(), *items[n]]) for n in range(4)]
     assert main_texts(spark, [lead.format(n, words[n]) for n in range(4)]) == [f"Lead {n}\n{words[n].strip()}" for n in range(4)]
     assert extract("<div>one part</div><section>two parts</section>", []) == "one part\ntwo parts"
+
+
+def test_inline_furniture_takes_no_other_text_along():
+    assert extract("<article><p><a class='share'>Share</a> Real text</p></article>", []) == "Real text"
+    assert extract("<article><pre><span class='hljs-comment'># x</span> code</pre><p>Text <span class='ad'>Buy</span></p></article>", []) == "# x code\nText"
