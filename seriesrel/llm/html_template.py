@@ -6,17 +6,21 @@
    equivalence class; an order-free sum over page hashes names the vector, so no
    group of pages is gathered. Classes in at least half of the host's pages are
    valid. Those that occur once a page are the template; a class that repeats within
-   a page is nested under the template token that encloses it.
+   a page is valid if one template token encloses all its members (a prefix of their
+   paths; the order of a class's members is not compared between pages).
 3. Each template token opens a slot: the text up to nested tokens. Slots in menus,
    headers, footers, sidebars, notices, adverts, forms and comments, slots of links and slots
-   whose text is the same in all pages are furniture. The main slot is the article
-   (or ``main``) of the template; without one, the enclosing block with the most
-   remaining text.
-4. Each page's text in the host's main slots is returned block by block.
+   whose text is the same in all pages are furniture; inside an article, a word that may
+   also name a part of it needs fixed text or links to make furniture. The main slot is the article
+   (or ``main``) of the template; without one, the deepest block around nine tenths of the
+   remaining text, widened to blocks that add nothing but such text.
+4. Each page's text in the host's main slots is returned block by block, without
+   text that is equal on all pages while the greater part varies: slots, and of a slot with
+   several runs the first and last three.
 
 A page that lacks its host's main slots, or whose host has too few pages to tell,
-is read by its own tokens. Repetition never removes text inside the main slot, so
-copies of an article stay whole.
+is read by its own tokens. Where the fixed text of the main slots is half or more of
+them nothing is left out, so copies of an article stay whole.
 
 Blocks are joined by one line end, white space inside a block becomes one blank,
 character references are decoded. ``br`` ends a block.
@@ -69,6 +73,7 @@ MAIN = {"article", "main"}
 _LEAVES = HEADINGS | {"p", "li", "pre", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "table", "dd", "dt", "dl", "blockquote", "ul", "ol",
                       "figure", "figcaption"}
 MOST = 0.9                           # share of the varying text that a main block holds at least
+ENDS = 3                             # runs at each end of a repeated slot whose places are compared between pages
 #: A start tag on the left ends an open element of those on the right.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _WALLS = {"ul", "ol", "dl", "table", "article", "section", "div", "main", "aside", "nav", "body", "blockquote", "form", "header", "footer"}
@@ -254,27 +259,83 @@ def _enclosing(path: str) -> list[str]:
     return out
 
 
-def _own_tokens(runs: list[Run], first: dict[str, int]) -> list[dict]:
-    chars: Counter = Counter()
-    links: Counter = Counter()
+def dropped(tokens: list[dict], roots: list[str]) -> list[str]:
+    """The paths in the main slots whose text is left out: fixed slots beside varying ones, and lists of links under ambiguous names.
+
+    A path that ends in ``#`` and a number is the run at that place of the slot, counted from
+    its end if negative. Fixed text stays where it is as much as the varying text or more, so
+    (near) copies of an article stay whole.
+    """
+    inside = [t for t in tokens if t["chars"] > 0 and any(_under(t["path"], r) for r in roots)]
+    slots = [t for t in inside if "#" not in t["path"]]
+    fixed = [t for t in slots if t["same"]]
+    whole = {t["path"] for t in fixed}
+    places: dict[tuple, dict] = {}
+    for t in inside:
+        path, _, _ = t["path"].partition("#")
+        if t["path"] != path and t["same"] and path not in whole:
+            places.setdefault((path, t["text"]), t)       # one run may be counted from both ends
+    out = []
+    if sum(t["chars"] / t["support"] for t in [*fixed, *places.values()]) * 2 < sum(t["chars"] / t["support"] for t in slots):
+        texts = set(places)
+        out += [t["path"] for t in fixed]
+        out += [t["path"] for t in inside if "#" in t["path"] and t["same"] and (t["path"].partition("#")[0], t["text"]) in texts]
+    for d in sorted({t["doubt"] for t in slots if t["doubt"]}):
+        under = [t for t in slots if _under(t["path"], d)]
+        if sum(t["links"] for t in under) > 0.5 * sum(t["chars"] for t in under):
+            out.append(d + "/*")
+    return sorted(out)
+
+
+def _slots(runs: list[Run]) -> dict[str, list]:
+    """Per path, and per place at both ends of a path with several runs: characters, those in links, hash of the text, ambiguous block."""
+    out: dict[str, list] = {}
+    of: dict[str, list[Run]] = {}
     for r in runs:
         if _kept(r):
-            chars[r.path] += sum(map(len, r.bits))
-            links[r.path] += r.links
-    return [{"path": p, "pos": first.get(p, 0), "chars": chars[p], "links": links[p], "same": False} for p in {*first, *chars}]
+            of.setdefault(r.path, []).append(r)
+    for path, own in of.items():
+        texts = [r.text() for r in own]
+        whole = 0
+        for t in texts:
+            whole = xxhash.xxh64_intdigest(t, whole)
+        out[path] = [sum(len(b) for r in own for b in r.bits), sum(r.links for r in own), whole, own[0].doubt]
+        if len(own) > 1:
+            for k in {*range(min(ENDS, len(own))), *range(-min(ENDS, len(own)), 0)}:
+                out[f"{path}#{k}"] = [sum(map(len, own[k].bits)), own[k].links, xxhash.xxh64_intdigest(texts[k]), own[k].doubt]
+    return out
 
 
-def extract(page: str | None, roots: list[str]) -> str:
-    """The main text of one page under its host's main slots."""
+def _own_tokens(runs: list[Run], first: dict[str, int]) -> list[dict]:
+    slots = _slots(runs)
+    rows = ((p, *slots.get(p, (0, 0, 0, ""))) for p in {*first, *slots})
+    return [{"path": p, "pos": first.get(p, 0), "chars": chars, "links": links, "text": text, "doubt": doubt, "support": 1, "same": False}
+            for p, chars, links, text, doubt in rows if "#" not in p]
+
+
+def extract(page: str | None, roots: list[str], drop: list[str] = ()) -> str:
+    """The main text of one page under its host's main slots, without the template's text in them."""
     if not page:
         return ""
     runs, _, first = blocks(page)
     if not any(_under(p, r) for p in first for r in roots):
-        roots = main_roots(_own_tokens(runs, first))
+        own = _own_tokens(runs, first)
+        roots = main_roots(own)
+        drop = dropped(own, roots)
     if not roots and not first:
         roots = [""]
-    texts = (r.text() for r in runs if _kept(r) and any(_under(r.path, root) for root in roots))
-    return "\n".join(t for t in texts if t)
+    drop = set(drop)
+    kept = [r for r in runs if _kept(r)]
+    count, at, out = Counter(r.path for r in kept), Counter(), []
+    for r in kept:
+        k = at[r.path]
+        at[r.path] += 1
+        if drop and (r.path in drop or (r.doubt and r.doubt + "/*" in drop)
+                     or (count[r.path] > 1 and (f"{r.path}#{k}" in drop or f"{r.path}#{k - count[r.path]}" in drop))):
+            continue
+        if any(_under(r.path, root) for root in roots):
+            out.append(r.text())
+    return "\n".join(t for t in out if t)
 
 
 _HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)"
@@ -292,20 +353,16 @@ def _tokens(batches):
                 continue
             runs, seen, first = blocks(page)
             own = xxhash.xxh64_intdigest(page)
-            rows.append((host, "", 1, 0, 0, 0, 0, 0))
-            chars, links, text = Counter(), Counter(), {}
-            for r in runs:
-                if _kept(r):
-                    chars[r.path] += sum(map(len, r.bits))
-                    links[r.path] += r.links
-                    text[r.path] = xxhash.xxh64_intdigest(r.text(), text.get(r.path, 0))
-            for path in {*seen, *chars}:
-                vector = xxhash.xxh64_intdigest(f"{own}:{seen[path]}") >> 2
-                rows.append((host, path, seen[path], vector & ((1 << 40) - 1), first.get(path, 0), chars[path], links[path],
-                             text.get(path, 0) >> 2))
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 8
-        names = ("host", "path", "times", "vector", "pos", "chars", "links", "text")
-        yield pa.record_batch([pa.array(c, pa.string() if i < 2 else pa.int64()) for i, c in enumerate(cols)], names=names)
+            rows.append((host, "", "", 1, 0, 0, 0, 0, 0))
+            slots = _slots(runs)
+            for path in {*seen, *slots}:
+                chars, links, text, doubt = slots.get(path, (0, 0, 0, ""))
+                times = seen[path] or (1 if "#" in path else 0)
+                vector = xxhash.xxh64_intdigest(f"{own}:{times}") >> 2
+                rows.append((host, path, doubt, times, vector & ((1 << 40) - 1), first.get(path, 0), chars, links, text >> 2))
+        names = ("host", "path", "doubt", "times", "vector", "pos", "chars", "links", "text")
+        cols = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+        yield pa.record_batch([pa.array(c, pa.string() if i < 3 else pa.int64()) for i, c in enumerate(cols)], names=names)
 
 
 def _deduce(batches):
@@ -315,46 +372,52 @@ def _deduce(batches):
             # Equivalence classes: equal occurrence vectors and equal counts a page.
             classes: dict[tuple, list[dict]] = {}
             for t in tokens:
-                classes.setdefault((t["vector"], t["support"], t["least"], t["most"]), []).append(t)
-            once = [t for (_, _, least, most), c in classes.items() if least == most == 1 for t in c]
-            nested = [t for (_, _, least, most), c in classes.items() if not least == most == 1 for t in c]
-            template = {t["path"] for t in once}
-            # A repeating class is nested in the slot of the template token that encloses it.
-            inner = [t for t in nested if any(_under(t["path"], p) for p in template)]
-            out.append(json.dumps(main_roots(sorted(once + inner, key=lambda t: (t["pos"], t["path"])))))
-        yield pa.record_batch({"host": batch.column("host"), "roots": pa.array(out, pa.string())})
+                if "#" not in t["path"]:
+                    classes.setdefault((t["vector"], t["support"], t["least"], t["most"]), []).append(t)
+            once = [c for (_, _, least, most), c in classes.items() if least == most == 1]
+            template = {t["path"] for c in once for t in c}
+            # A repeating class is nested in the slot of a template token that encloses all its members;
+            # members of others are text of the page, of which nothing is fixed.
+            nested = [c for (_, _, least, most), c in classes.items() if not least == most == 1]
+            valid = {t["path"] for c in once for t in c}
+            valid |= {t["path"] for c in nested if any(all(_under(t["path"], p) for t in c) for p in template) for t in c}
+            tokens = sorted((t | {"same": t["same"] and t["path"].partition("#")[0] in valid} for t in tokens),
+                            key=lambda t: (t["pos"], t["path"]))
+            roots = main_roots([t for t in tokens if "#" not in t["path"]])
+            out.append(json.dumps([roots, dropped(tokens, roots)]))
+        yield pa.record_batch({"host": batch.column("host"), "template": pa.array(out, pa.string())})
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """``(host, roots)``: the main slots of each host, as a JSON list of paths.
+    """``(host, template)``: the main slots of each host and what is left out in them, as JSON lists of paths.
 
     The tokens of a host that reach half of its pages are at most twice the tokens of a
     page, so the last grouping is bounded by the size of a page, not of a host.
     """
     tokens = with_host(pages).select("host", "page_id", "html").mapInArrow(
-        _tokens, "host string, path string, times long, vector long, pos long, chars long, links long, text long")
+        _tokens, "host string, path string, doubt string, times long, vector long, pos long, chars long, links long, text long")
     stats = tokens.groupBy("host", "path").agg(
         F.count("*").alias("support"), F.sum("vector").alias("vector"), F.min("times").alias("least"), F.max("times").alias("most"),
         F.avg("pos").alias("pos"), F.sum("chars").alias("chars"), F.sum("links").alias("links"),
-        (F.min("text") == F.max("text")).alias("same"))
+        (F.min("text") == F.max("text")).alias("same"), F.min("text").alias("text"), F.max("doubt").alias("doubt"))
     n = stats.where("path = ''").select("host", F.col("support").alias("pages"))
     valid = stats.where("path <> ''").join(n, "host").where("2 * support >= pages")
     packed = valid.groupBy("host").agg(F.collect_list(F.struct(
-        "path", "support", "vector", "least", "most", "pos", "chars", "links",
+        "path", "support", "vector", "least", "most", "pos", "chars", "links", "text", "doubt",
         (F.col("same") & (F.col("support") > 2) & (F.col("pages") > 2)).alias("same"))).alias("tokens"))
-    return packed.mapInArrow(_deduce, "host string, roots string")
+    return packed.mapInArrow(_deduce, "host string, template string")
 
 
 def extract_main(pages: DataFrame) -> DataFrame:
     """``(page_id, url, text, n_chars)`` for each row of ``pages`` (``page_id, url, html``)."""
     def run(batches):
         for batch in small(batches, column="html"):
-            texts = [extract(p, json.loads(r or "[]")) for p, r in zip(batch.column("html").to_pylist(), batch.column("roots").to_pylist(), strict=True)]
+            texts = [extract(p, *json.loads(t or "[[]]")) for p, t in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist(), strict=True)]
             yield pa.record_batch([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                                    pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     rows = with_host(pages).select(F.col("page_id").cast("long").alias("page_id"), "url", "html", "host")
-    return rows.join(templates(pages), "host", "left").select("page_id", "url", "html", "roots").mapInArrow(
+    return rows.join(templates(pages), "host", "left").select("page_id", "url", "html", "template").mapInArrow(
         run, "page_id long, url string, text string, n_chars long")
 
 

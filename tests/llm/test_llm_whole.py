@@ -36,6 +36,18 @@ def main_texts(spark, pages):
     return [got[n].text for n in range(len(rows))]
 
 
+def test_inline_furniture_takes_no_other_text_along():
+    assert extract("<article><p><a class='share'>Share</a> Real text</p></article>", []) == "Real text"
+    assert extract("<article><pre><span class='hljs-comment'># x</span> code</pre><p>Text <span class='ad'>Buy</span></p></article>", []) == "# x code\nText"
+
+
+def test_ambiguous_words_in_an_article_need_the_template(spark):
+    page = "<article><section id='legal'><p>Law {0}</p></section><div class='side-by-side'><p>Pair {0} of words</p></div><p class='form-text'>Form {0}</p>{1}</article>"
+    more = "<div class='related'><p><a href='/'>Other story {0}</a></p></div><div class='search'>Find it</div>"
+    pages = [f"<body>{page.format(n, more.format(n))}</body>" for n in range(5)]
+    assert main_texts(spark, pages) == [f"Law {n}\nPair {n} of words\nForm {n}" for n in range(5)]
+
+
 def test_main_block_holds_all_parts(spark):
     page = "<body><nav>Menu</nav><div class='content'><h1>Title {0}</h1><p>{1}</p><ul>{2}</ul></div><div class='box'>Same box</div></body>"
     lead = "<body><div class='content'><div class='lead'>Lead {0}</div><div class='body'>{1}</div></div><div class='box'><a href='/'>Link {0}</a></div></body>"
@@ -47,6 +59,9 @@ def test_main_block_holds_all_parts(spark):
     assert extract("<div>one part</div><section>two parts</section>", []) == "one part\ntwo parts"
 
 
-def test_inline_furniture_takes_no_other_text_along():
-    assert extract("<article><p><a class='share'>Share</a> Real text</p></article>", []) == "Real text"
-    assert extract("<article><pre><span class='hljs-comment'># x</span> code</pre><p>Text <span class='ad'>Buy</span></p></article>", []) == "# x code\nText"
+def test_fixed_text_in_the_main_slot_is_template(spark):
+    page = "<article><h1>Title {0}</h1><div class='x7'>Get our app</div><p>First {0} words of the story.</p>{1}<p>Read more on our site</p></article>"
+    pages = [page.format(n, "".join(f"<p>Story {n} {k} goes on</p>" for k in range(n))) for n in range(5)]
+    assert main_texts(spark, pages) == ["\n".join([f"Title {n}", f"First {n} words of the story.", *(f"Story {n} {k} goes on" for k in range(n))]) for n in range(5)]
+    near = [f"<article><h1>Same</h1><p>Same text of the story.</p><p>Same end of it.</p><p>Copy {n}</p></article>" for n in range(5)]
+    assert main_texts(spark, near) == [f"Same\nSame text of the story.\nSame end of it.\nCopy {n}" for n in range(5)]
