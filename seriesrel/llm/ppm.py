@@ -9,8 +9,10 @@ training, so code lengths are exact and the language with the shortest code for
 the whole text wins.
 
 Training counts four-byte runs on the executors over a bounded sample of labelled
-rows (``max_rows``, drawn by a hash of the id). For speed every known context gets
-a dense row of code lengths, built once per worker from the shipped counts.
+rows: of each language all rows up to ``max_rows``, or about so many drawn by a hash of
+the id, so a small language is learnt in full whatever the others hold. All counted
+contexts are kept, in sorted tables of the runs seen in any language, built once per
+worker from the shipped counts.
 
 Edge cases: null text and texts without a letter give ``und`` and score 0; ties go
 to the alphabetically first language; without training rows every text is ``und``;
@@ -30,8 +32,7 @@ from pyspark.sql import functions as F
 from seriesrel.llm.text import encoded, small
 
 ORDER = 3
-MAX_ROWS = 20_000
-MAX_CONTEXTS = 60_000                # of the longest order; a model size, not a limit on texts
+MAX_ROWS = 20_000                    # of each language
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _START = b"\n" * ORDER
@@ -50,6 +51,16 @@ def sampled(rows: DataFrame, max_rows: int, id_col: str = "doc_id") -> DataFrame
     return rows.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), F.lit(1 << 20)) < int(max_rows / n * (1 << 20)))
 
 
+def sampled_by_lang(rows: DataFrame, max_rows: int) -> DataFrame:
+    """Of each ``lang`` about ``max_rows`` rows by a hash of the id; all of them if there are fewer."""
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    large = {lang: int(max_rows / n * (1 << 20)) for lang, n in counts.items() if n > max_rows}
+    if not large:
+        return rows
+    share = F.element_at(F.create_map(*[F.lit(x) for pair in large.items() for x in pair]), F.col("lang"))
+    return rows.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(1 << 20)) < F.coalesce(share, F.lit(1 << 20)))
+
+
 def _codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Four-byte runs ending at each byte of each text, and the first run's place per text."""
     lens = np.array([len(t) for t in texts], np.int64)
@@ -79,7 +90,7 @@ def _count(batches):
 
 def train(labelled: DataFrame, max_rows: int = MAX_ROWS) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """Counts of four-byte runs per language from rows with ``doc_id``, ``text`` and ``lang``."""
-    rows = sampled(labelled.where("lang IS NOT NULL AND text IS NOT NULL"), max_rows)
+    rows = sampled_by_lang(labelled.where("lang IS NOT NULL AND text IS NOT NULL"), max_rows)
     counts = (rows.select("lang", "text").mapInArrow(_count, "lang string, code long, n long")
               .groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas())
     return {lang: (g["code"].to_numpy(np.int64), g["n"].to_numpy(np.int64))
@@ -100,31 +111,48 @@ class Trees:
             code, n = counts[lang]
             d = [self.symbol[(code >> s) & 255] for s in (24, 16, 8, 0)]
             per_lang.append(((d[0] * a + d[1]) * a + d[2], d[3], n))
-        # Contexts of the longest order that get a row, the most frequent first.
-        ctx = np.concatenate([p[0] for p in per_lang])
-        uniq, inv = np.unique(ctx, return_inverse=True)
-        mass = np.bincount(inv, weights=np.concatenate([p[2] for p in per_lang]))
-        kept = np.sort(uniq[np.lexsort((uniq, -mass))[:MAX_CONTEXTS]])
-        pairs = np.unique(np.concatenate([p[0] % (a * a) for p in per_lang]))
-        # Rows: longest contexts, then pairs, then single bytes, then the empty context.
-        self.row = np.full(a ** 3, -1, np.int32)
-        one = len(kept) + len(pairs)
-        grid = self.row.reshape(a, a, a)
-        grid[:] = (one + np.arange(a))[None, None, :]
-        pair_row = np.full(a * a, -1, np.int32)
-        pair_row[pairs] = len(kept) + np.arange(len(pairs))
-        grid[:] = np.where(pair_row.reshape(a, a) >= 0, pair_row.reshape(a, a), grid[0])[None]
-        self.row[kept] = np.arange(len(kept))
-        cost = np.empty((one + a, a, len(self.langs)), np.float32)
+        # Dense code lengths after no byte and after one, a sorted table of the runs for each longer context.
+        single = np.empty((a, a, len(self.langs)))
         for i, (c, s, n) in enumerate(per_lang):
             empty = self._level(np.zeros(len(c), np.int64), s, n, 1, np.full((1, a), 8.0))
-            single = self._level(c % a, s, n, a, np.repeat(empty, a, 0))
-            double = self._level(np.searchsorted(pairs, c % (a * a)), s, n, len(pairs), single[pairs % a])
-            known = np.isin(c, kept)
-            triple = self._level(np.searchsorted(kept, c[known]), s[known], n[known], len(kept),
-                                 double[np.searchsorted(pairs, kept % (a * a))])
-            cost[:len(kept), :, i], cost[len(kept):one, :, i], cost[one:, :, i] = triple, double, single
-        self.cost = cost.reshape(-1, len(self.langs))
+            single[:, :, i] = self._level(c % a, s, n, a, np.repeat(empty, a, 0))
+        self.single = single.reshape(-1, len(self.langs)).astype(np.float32)
+        self.tables: dict[int, tuple[np.ndarray, ...]] = {}
+        for order in range(2, ORDER + 1):
+            self.tables[order] = self._table(order, per_lang)
+
+    def _table(self, order: int, per_lang) -> tuple[np.ndarray, ...]:
+        """Runs of context and byte with their code lengths, contexts with their escapes, in all languages."""
+        a = self.size
+        runs = [np.unique(c % a ** order * a + s, return_inverse=True) for c, s, _ in per_lang]
+        keys = np.unique(np.concatenate([r for r, _ in runs]))
+        ctxs, ctx_of = np.unique(keys // a, return_inverse=True)
+        escape = np.zeros((len(ctxs), len(self.langs)), np.float32)
+        cost = self._cost(order - 1, keys % a ** order)
+        for i, ((own, inv), (_, _, n)) in enumerate(zip(runs, per_lang, strict=True)):
+            count, at = np.bincount(inv, weights=n), np.searchsorted(keys, own)
+            total = np.bincount(ctx_of[at], weights=count, minlength=len(ctxs))
+            kinds = np.bincount(ctx_of[at], minlength=len(ctxs))
+            known = total > 0
+            escape[known, i] = -np.log2(kinds[known] / (total + kinds)[known])
+            cost[:, i] += escape[ctx_of, i]
+            cost[at, i] = -np.log2(count / (total + kinds)[ctx_of[at]])
+        return keys, cost, ctxs, escape
+
+    def _cost(self, order: int, key: np.ndarray) -> np.ndarray:
+        """Bits of each run of ``order`` bytes of context and a byte, per language."""
+        if order == 1:
+            return self.single[key]
+        keys, cost, ctxs, escape = self.tables[order]
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        out = cost[at]
+        miss = np.flatnonzero(keys[at] != key)
+        if len(miss):
+            far = key[miss]
+            ctx = far // self.size
+            at = np.minimum(np.searchsorted(ctxs, ctx), len(ctxs) - 1)
+            out[miss] = self._cost(order - 1, far % self.size ** order) + np.where((ctxs[at] == ctx)[:, None], escape[at], 0)
+        return out
 
     def _level(self, ctx, symbol, n, rows, shorter):
         """Code lengths of ``rows`` contexts given those of their shorter contexts."""
@@ -142,8 +170,7 @@ class Trees:
         if some:
             i, b = _codes([texts[k] for k in some])
             d = self.symbol[b]
-            ctx = (d[i - 3] * self.size + d[i - 2]) * self.size + d[i - 1]
-            bits = self.cost[self.row[ctx].astype(np.int64) * self.size + d[i]]
+            bits = self._cost(ORDER, ((d[i - 3] * self.size + d[i - 2]) * self.size + d[i - 1]) * self.size + d[i])
             starts = np.concatenate([[0], np.cumsum([len(texts[k]) for k in some])])[:-1]
             out[some] = np.add.reduceat(bits, starts, axis=0, dtype=np.float64)
         return out

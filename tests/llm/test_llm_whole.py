@@ -1,7 +1,9 @@
-from llm_cases import by_id
+import numpy as np
+from llm_cases import by_id, documents
+from test_llm_models import brute_bits
 
 from conftest import SF_MID
-from seriesrel.llm import html_template, pii
+from seriesrel.llm import html_template, pii, ppm
 from seriesrel.llm.html_template import extract
 
 ODD = [("call (030) 123 45 67 today", "(030) 123 45 67", "phone"), ("paid by 4111.1111.1111.1111 then", "4111.1111.1111.1111", "card"),
@@ -65,3 +67,24 @@ def test_fixed_text_in_the_main_slot_is_template(spark):
     assert main_texts(spark, pages) == ["\n".join([f"Title {n}", f"First {n} words of the story.", *(f"Story {n} {k} goes on" for k in range(n))]) for n in range(5)]
     near = [f"<article><h1>Same</h1><p>Same text of the story.</p><p>Same end of it.</p><p>Copy {n}</p></article>" for n in range(5)]
     assert main_texts(spark, near) == [f"Same\nSame text of the story.\nSame end of it.\nCopy {n}" for n in range(5)]
+
+
+def test_a_small_language_is_learnt_in_full(spark):
+    rows = [(i, f"the cat sat {i}", "en") for i in range(3000)] + [(9000 + i, f"le chien {i}", "fr") for i in range(40)]
+    counts = ppm.train(documents(spark, rows), 50)
+    runs = lambda lang, text: counts[lang][1][counts[lang][0] == int.from_bytes(text, "big")].sum()
+    assert runs("fr", b"chie") == 40 and 10 <= runs("en", b"the ") <= 120
+
+
+def test_all_counted_contexts_are_kept():
+    big = np.random.default_rng(4).integers(33, 127, 100_000).astype(np.uint8).tobytes().decode("latin-1")
+    small = "zwölf boxkämpfer jagen viktor"
+    counts = {}
+    for lang, text in (("big", big), ("small", small)):
+        at, b = ppm._codes([text.encode()])
+        w = b.astype(np.int64)
+        counts[lang] = np.unique((w[at - 3] << 24) | (w[at - 2] << 16) | (w[at - 1] << 8) | w[at], return_counts=True)
+    assert len(np.unique(counts["big"][0] >> 8)) > 60_000
+    tests = [big[500:560], small[3:20], "zwei kämpfer", "Ж"]
+    want = [[brute_bits(t, [big]), brute_bits(t, [small])] for t in tests]
+    assert np.allclose(ppm.Trees(counts).lengths([t.encode() for t in tests]), want, rtol=1e-5)
