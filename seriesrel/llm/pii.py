@@ -50,7 +50,7 @@ PATTERNS = {
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
 MAX_TEXTS, REACH = 2_000, 24
-PLANTED = 16                         # plantings of each text of the sample
+PLANTED, PER_TEXT = 16, 20           # plantings and windows of each text of the sample
 LENGTH, OVERLAP = 96, 32
 HIDDEN, EMBEDDED, STEPS, BATCH, RATE = 16, 8, 600, 32, 0.02
 _CUE = re.compile(r"[@0-9]")
@@ -367,27 +367,31 @@ def planted_windows(text: str, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def train(docs: DataFrame, max_texts: int = MAX_TEXTS) -> dict[str, np.ndarray] | None:
-    """Parameters from at most about ``max_texts`` texts that have a digit or an ``@``; None if there are none."""
-    cued = docs.where(F.col("text").rlike("[@0-9]")).select("text")
-    n = cued.count()
-    share = min(1.0, max_texts / max(n, 1))
-    some = cued.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    """Parameters from at most ``max_texts`` different texts that have a digit or an ``@``; None if there are none.
+
+    The texts, their windows (``PER_TEXT`` of a text with the rules' tags at most) and the windows
+    trained on (twice ``max_texts`` at most) are drawn by hash, each copy of a text once.
+    """
+    cued = docs.where(F.col("text").rlike("[@0-9]")).select("text", F.xxhash64("text").alias("key"))
+    drawn = cued.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(max_texts)
+    some = cued.join(F.broadcast(drawn), "key").groupBy("key").agg(F.min("text").alias("text")).select("text")
 
     def run(batches):
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                own = labelled_windows(text)[:20]      # of one text, for variety
+                own = labelled_windows(text)
+                r = random.Random(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+                own = [own[i] for i in sorted(r.sample(range(len(own)), min(PER_TEXT, len(own))))]
                 own += planted_windows(text, PLANTED)
-                if own:
-                    yield pa.record_batch({"x": pa.array([c.tolist() for c, _ in own], pa.list_(pa.int64())),
-                                           "y": pa.array([t.tolist() for _, t in own], pa.list_(pa.int64()))})
+                yield pa.record_batch({"x": pa.array([c.tolist() for c, _ in own], pa.list_(pa.int64())),
+                                       "y": pa.array([t.tolist() for _, t in own], pa.list_(pa.int64()))})
 
-    rows = some.mapInArrow(run, "x array<long>, y array<long>").orderBy("x", "y").collect()
+    rows = (some.mapInArrow(run, "x array<long>, y array<long>")
+            .orderBy(F.xxhash64("x", "y"), "x", "y").limit(2 * max_texts).collect())
     if not rows:
         return None
-    keep = np.random.default_rng(1).permutation(len(rows))[:2 * max_texts]
-    x, mask = padded([np.array(rows[i]["x"]) for i in keep])
-    y, _ = padded([np.array(rows[i]["y"]) for i in keep])
+    x, mask = padded([np.array(r["x"]) for r in rows])
+    y, _ = padded([np.array(r["y"]) for r in rows])
     return Tagger().fit(x, mask, y).p
 
 

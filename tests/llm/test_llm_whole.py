@@ -88,3 +88,16 @@ def test_all_counted_contexts_are_kept():
     tests = [big[500:560], small[3:20], "zwei kämpfer", "Ж"]
     want = [[brute_bits(t, [big]), brute_bits(t, [small])] for t in tests]
     assert np.allclose(ppm.Trees(counts).lengths([t.encode() for t in tests]), want, rtol=1e-5)
+
+
+def test_copies_do_not_fill_the_taggers_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii.Tagger, "fit", lambda self, x, mask, y: seen.append((x, mask)) or self)
+    copies = [(i, "same text with the number 4567 in it") for i in range(300)]
+    others = [(1000 + i, f"text {i} by user{i}@mail.example.org and more") for i in range(30)]
+    pii.train(documents(spark, copies + others), 100)
+    x, mask = seen[0]
+    copy = pii.labelled_windows(copies[0][1])[0][0]
+    assert len(x) <= 200 and sum(mask[i].sum() == len(copy) and (x[i, :len(copy)] == copy).all() for i in range(len(x))) <= 1
+    first = pii.train(documents(spark, [(1, " word" * 30 + " 12 ")] + [(2, "".join(f" {n} " + "word " * 30 for n in range(900)))]), 2)
+    assert first is not None and len(seen[1][0]) <= 4
