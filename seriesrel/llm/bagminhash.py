@@ -12,10 +12,10 @@ The job: (1) signatures in one pass; texts with equal multisets collapse to the
 least id; (2) every band of registers makes buckets, whose members are verified
 against the bucket's least member by exact multiset overlap; (3) buckets with a
 member that is not linked to that pivot get a second pivot, and members that are
-then still in different components are compared unless what they can have in common
-(bounded by their overlaps with the pivots and by the runs that only one text has)
-or their register agreement (six standard deviations below the expected one) rules
-a link out; (4) links make components. No group is gathered into a task, and what moves is
+then still in different components are compared, once a pair, unless what they can have
+in common (bounded by their overlaps with the pivots and by the runs that only one text
+has) or their register agreement (six standard deviations below the expected one)
+rules a link out; (4) links make components. No group is gathered into a task, and what moves is
 ids, bands and the texts of candidate pairs.
 
 Edge cases: null and empty texts, and texts without a letter or digit, have no
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesrel.llm.text import U, encoded, mix, shingles, small
+from seriesrel.llm.text import U, encoded, mix, shingles, small, unused
 from seriesrel.session import scratch_path
 
 WIDTH, THRESHOLD = 5, 0.8
@@ -55,7 +55,7 @@ def multisets(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, np.nd
 
 def _cells(element: np.ndarray, weight: np.ndarray):
     """Dyadic cells that the weights reach: (row, seed, low, length)."""
-    rows, seeds, lows, lengths = [], [], [], []
+    rows, seeds, lows, lengths = ([np.zeros(0, t)] for t in (np.int64, U, np.int64, np.int64))
     idx, level, low = np.arange(len(weight)), 0, 0
     while len(idx):
         length = 1 if level == 0 else 1 << (level - 1)
@@ -234,7 +234,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     own = some.join(reps.select(F.col("rep").alias("doc_id"), "n1", "n2", "total"), ["doc_id", "n1", "n2", "total"], "left_semi")
     members = own.select("doc_id", "total", F.posexplode("bands").alias("band", "key")).distinct()
     firsts = members.groupBy("band", "key").agg(F.min_by("total", "doc_id").alias("pivot_total"), F.min("doc_id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    spots = _written(members.join(firsts.drop("n"), ["band", "key"]), "spots")
+    # Written first: with a plain exchange on either side, the adaptive plan can split a key of many members.
+    firsts = _written(firsts.drop("n"), "firsts")
+    spots = _written(members.join(firsts, ["band", "key"]), "spots")
     texts = _written(plain.join(spots.select("doc_id").distinct(), "doc_id", "left_semi").distinct(), "texts")
 
     # Every member against its bucket's least one.
@@ -244,7 +246,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     seen = spots.join(tested.select(F.col("a").alias("doc_id"), F.col("b").alias("pivot"), "sim"), ["doc_id", "pivot"], "left")
     seen = seen.select("band", "key", "doc_id", "total", "pivot_total",
                        F.when(F.col("doc_id") == F.col("pivot"), 1.0).otherwise(F.col("sim")).alias("sim"))
-    apart = seen.where(~near).select("band", "key").distinct()
+    apart = _written(seen.where(~near).select("band", "key").distinct(), "apart-keys")
     links = tested.where(near).select("a", "b")
     if not apart.isEmpty():
         links = links.unionByName(_links_of_open_buckets(seen, apart, texts, own, tested, threshold))
@@ -271,7 +273,7 @@ def _links_of_open_buckets(seen, apart, texts, own, tested, threshold) -> DataFr
     open_ = names.join(alone, "doc_id", "left").withColumn("own", F.coalesce("own", F.lit(0)))
     # No partner can reach the threshold if its own runs outweigh the rest.
     open_ = _written(open_.where(F.col("total") - F.col("own") >= threshold * F.col("total")), "open")
-    best = open_.groupBy("band", "key").agg(F.min(F.struct(F.col("own") / F.col("total"), "doc_id", "total")).alias("best"))
+    best = _written(open_.groupBy("band", "key").agg(F.min(F.struct((F.col("own") / F.col("total")).alias("share"), "doc_id", "total")).alias("best")), "best")
     members = open_.join(best.select("band", "key", F.col("best.doc_id").alias("pivot"), F.col("best.total").alias("second_total")), ["band", "key"])
     members = members.withColumns({"a": F.greatest("doc_id", "pivot"), "b": F.least("doc_id", "pivot")})
     stars = members.where("a <> b").select("a", "b").distinct()
@@ -285,15 +287,21 @@ def _links_of_open_buckets(seen, apart, texts, own, tested, threshold) -> DataFr
     rows = rows.select("band", "key", "doc_id", "total", "own", F.coalesce("label", "doc_id").alias("label"),
                        common(F.col("sim"), "pivot_total").alias("in1"), common(second_sim, "second_total").alias("in2"))
     still = rows.groupBy("band", "key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("band", "key")
-    rows = _written(rows.join(still, ["band", "key"], "left_semi"), "apart")
+    rows = rows.join(_written(still, "still"), ["band", "key"], "left_semi")
+    bands = own.select("doc_id", "bands").distinct()
+    rows = _written(rows.join(bands, "doc_id").where(F.get("bands", "band") == F.col("key")), "apart")
     x, y = rows.alias("x"), rows.alias("y")
     # What two texts can have in common: within a pivot what the poorer one shares with it,
     # beyond it what is not their own.
     caps = [F.least(f"x.in{k}", f"y.in{k}") + F.least(*(F.col(f"{t}.total") - F.col(f"{t}.in{k}") - F.col(f"{t}.own") for t in "xy")) for k in (1, 2)]
     cap = F.least(*caps, F.col("x.total") - F.col("x.own"), F.col("y.total") - F.col("y.own"))
+    # A pair is made once, in the first band in which both agree. Two texts that share a
+    # closed bucket have one label, so for the rest every band they agree in is open.
+    first = F.array_position(F.zip_with("x.bands", "y.bands", lambda a, b: a == b), True) - 1
     possible = ((F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
                 & (F.col("x.doc_id") > F.col("y.doc_id")) & (F.col("x.label") != F.col("y.label"))
-                & (cap >= threshold * (F.col("x.total") + F.col("y.total") - cap) - 1e-6))
+                & (cap >= threshold * (F.col("x.total") + F.col("y.total") - cap) - 1e-6)
+                & (first == F.col("x.band")))
     pairs = x.join(y, possible).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
     marks = own.select("doc_id", "marks").dropDuplicates(["doc_id"])
     marked = (pairs.join(marks.withColumnRenamed("doc_id", "a"), "a")
@@ -305,7 +313,11 @@ def _links_of_open_buckets(seen, apart, texts, own, tested, threshold) -> DataFr
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """One document of each class stays: the one with the least id."""
-    cols = docs.columns
-    gone = near_classes(docs).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select(*cols)
+    """One document of each class stays: the one with the least id.
+
+    The ids that go are written before the join, so that the plan knows their size and
+    moves the texts only if they are many. Any other columns stay as they are.
+    """
+    name = unused(docs, "gone")
+    gone = near_classes(docs).where("doc_id <> class_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(_written(gone, "near-gone"), F.col("doc_id") == F.col(name), "left_anti")

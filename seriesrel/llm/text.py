@@ -110,6 +110,15 @@ def scan(texts: list[bytes], table: np.ndarray, shapes: bool = False):
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
+def unused(df, stem: str) -> str:
+    """A column name that ``df`` does not have, whatever its columns are called."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{stem}"
+    while name in taken:
+        name += "_"
+    return name
+
+
 def encoded(column, lower: bool = False) -> list[bytes]:
     """UTF-8 bytes of an Arrow string column, null as empty."""
     if lower:

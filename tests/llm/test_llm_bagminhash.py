@@ -90,3 +90,29 @@ def test_components(spark):
 
 def test_empty_table(spark):
     assert B.near_classes(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_texts_without_words_alone_in_a_slice(spark):
+    total, n1, n2, reg = B.signatures([b"", b"!!!"])
+    assert not total.any() and np.isinf(reg).all()
+    docs = documents(spark, [(5, ""), (6, None), (7, "!!!"), (5, "")]).coalesce(1)
+    assert sorted((r.doc_id, r.class_id) for r in B.near_classes(docs).collect()) == [(5, 5), (5, 5), (6, 6), (7, 7)]
+    assert B.drop_near_copies(docs).count() == 4
+
+
+def test_many_variants_of_variants(spark):
+    """500 texts, most of them edits of edits: few are linked to any one pivot."""
+    words, rows = [prose(5, 120)], []
+    for k in range(500):
+        base = words[random.Random(k).randrange(len(words))] if k % 3 else words[0]
+        words.append(edited(base, 5000 + k, random.Random(k).random() * 0.04))
+        rows.append((1000 - k, " ".join(words[-1])))
+    assert {r.doc_id: r.class_id for r in B.near_classes(documents(spark, rows)).collect()} == brute_classes(rows)
+
+
+def test_clashing_columns_stay(spark):
+    from pyspark.sql import functions as F
+    base = " ".join(prose(3, 100))
+    docs = documents(spark, [(4, base), (3, base + " end")]).withColumns({"_gone": F.lit(1), "_GONE_": F.lit(2)})
+    kept = B.drop_near_copies(docs)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [3]
