@@ -135,9 +135,9 @@ SQL["op7_spaced_seeds"] = r"""
 WITH dw AS (SELECT doc_id, (string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')), ' ')) AS w FROM documents),
 iw AS (SELECT DISTINCT item_id, (string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')), ' ')) AS w FROM benchmark),
 dp AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM dw),
-ip AS (SELECT item_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS q FROM iw WHERE len(w) >= 5),
+ip AS (SELECT item_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS q FROM iw WHERE w[1] <> ''),
 m AS (SELECT doc_id, item_id, n, p - q AS diag, q FROM dp JOIN ip USING (word)),
 s AS (SELECT doc_id, item_id, n, diag, q,
              count(*) OVER (PARTITION BY doc_id, item_id, n, diag ORDER BY q RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS c FROM m)
-SELECT doc_id, item_id, max(c)::INT AS matched FROM s WHERE c >= CASE WHEN n >= 13 THEN 11 ELSE n END GROUP BY doc_id, item_id
+SELECT doc_id, item_id, max(c)::INT AS matched FROM s WHERE c >= CASE WHEN n >= 13 THEN 11 WHEN n >= 8 THEN n - 1 ELSE n END GROUP BY doc_id, item_id
 """

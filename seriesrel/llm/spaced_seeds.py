@@ -5,8 +5,9 @@ words of the item meet at least 11 equal words of the document. Two fixed masks
 that ignore some positions find every such window: whichever two of the 13 words
 are substituted, one mask fits between them (``tests/llm`` proves it by listing
 all cases). Item and document hashes of the masked words are joined, and each
-hit is verified on the words around it. Items of 5 to 12 words must occur
-whole; shorter ones are no evidence and are ignored.
+hit is verified on the words around it. Of an item of 8 to 12 words all but one must
+be there, found by a third mask in the same way; a shorter item must occur whole, found
+by a mask of its length. Words before or after the document's text are not equal.
 
 Words are runs of letters and digits in lower case. Everything is a DataFrame
 expression; the document's word hashes stay in the row, so only item seeds move
@@ -22,8 +23,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seriesrel.llm.text import unused
+from seriesrel.session import scratch_path
+
 MASKS = ("11101011", "110100111")
-WINDOW, SUBSTITUTIONS, SHORTEST = 13, 2, 5
+SHORT_MASK = "11011"                 # meets every window of 8 words or more with one substitution
+WINDOW, SUBSTITUTIONS, TOLERANT = 13, 2, 8
 BROADCAST_SEEDS = 1_000_000          # about 32 bytes each
 
 
@@ -52,13 +57,18 @@ def _positions(df: DataFrame, h: str, at: str, masks: list[str]) -> DataFrame:
 def _best_window() -> Column:
     """Most equal words in a window of the item around the hit at document ``p`` / item ``q``."""
     span = F.least(F.size("item_h"), F.lit(WINDOW))
-    first = F.greatest(F.lit(0), F.col("q") - F.col("p"), F.col("q") - WINDOW + 1)
-    last = F.least(F.size("item_h") - 1, F.col("q") - F.col("p") + F.size("h") - 1, F.col("q") + WINDOW - 1)
+    first = F.greatest(F.lit(0), F.col("q") - WINDOW + 1)
+    last = F.least(F.size("item_h") - 1, F.col("q") + WINDOW - 1)
     equal = F.transform(F.sequence(first, last),
                         lambda j: F.when(F.get("h", F.col("p") - F.col("q") + j) == F.get("item_h", j), 1).otherwise(0))
     sums = F.transform(F.sequence(F.lit(1), last - first + 2 - span),
                        lambda s: F.aggregate(F.slice(equal, s, span), F.lit(0), lambda a, x: a + x))
-    return F.when(last - first + 1 >= span, F.array_max(sums)).otherwise(F.lit(0))
+    return F.array_max(sums)
+
+
+def needed(size: Column) -> Column:
+    """Equal words that make a leak of an item of ``size`` words."""
+    return F.when(size >= WINDOW, WINDOW - SUBSTITUTIONS).when(size >= TOLERANT, size - 1).otherwise(size)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
@@ -67,16 +77,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int =
     ``matched`` is the largest number of equal words in one window.
     """
     items = benchmark.select("item_id", word_hashes(F.col("text")).alias("item_h")).distinct()
-    items = items.where(F.size("item_h") >= SHORTEST)
+    items = items.where(F.size("item_h") > 0)
     items = items.select("*", F.xxhash64("item_id", "item_h").alias("item_key"))
     size = F.size("item_h")
-    facts = items.agg(F.coalesce(F.sum(size), F.lit(0)),
-                      F.collect_set(F.when(size < WINDOW, size))).first()
-    masks = [*MASKS, *("1" * n for n in sorted(facts[1]))]
-    long_mask = (F.size("item_h") >= WINDOW) & (F.col("mask") < len(MASKS))
-    whole = F.col("mask") == F.element_at(F.create_map(*[F.lit(x) for n in range(SHORTEST, WINDOW) for x in (n, masks.index("1" * n) if "1" * n in masks else -1)]), F.size("item_h"))
-    seeds = (_positions(items, "item_h", "q", masks).where(long_mask | F.coalesce(whole, F.lit(False)))
-             .select("seed", "item_key", "q"))
+    facts = items.agg(F.coalesce(F.sum(size), F.lit(0)), F.coalesce(F.bool_or(size.between(TOLERANT, WINDOW - 1)), F.lit(False)),
+                      F.collect_set(F.when(size < TOLERANT, size))).first()
+    masks = [*MASKS, *[SHORT_MASK] * facts[1], *("1" * n for n in sorted(facts[2]))]
+    fits = (F.col("mask") < len(MASKS)) & (size >= WINDOW)
+    for k, mask in list(enumerate(masks))[len(MASKS):]:
+        own = size.between(TOLERANT, WINDOW - 1) if mask == SHORT_MASK else size == len(mask)
+        fits = fits | ((F.col("mask") == k) & own)
+    seeds = _positions(items, "item_h", "q", masks).where(fits).select("seed", "item_key", "q")
     texts = docs.select("doc_id", word_hashes(F.col("text")).alias("h"))
     words = items.select("item_key", "item_id", "item_h")
     if facts[0] * len(masks) <= broadcast_seeds:
@@ -88,12 +99,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int =
         again = texts.select(F.col("doc_id").alias("_id"), F.col("doc_key").alias("_key"), "h")
         hits = (found.join(again, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("doc_key") == F.col("_key")))
                 .join(words, "item_key"))
-    need = F.when(size >= WINDOW, WINDOW - SUBSTITUTIONS).otherwise(size)
-    leaks = hits.select("doc_id", "item_id", need.alias("need"), _best_window().alias("matched"))
+    leaks = hits.select("doc_id", "item_id", needed(size).alias("need"), _best_window().alias("matched"))
     return leaks.where("matched >= need").groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without documents that leak an item; a null id cannot be named and goes if any null id leaks."""
-    bad = decontaminate(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    """``docs`` without documents that leak an item; a null id cannot be named and goes if any null id leaks.
+
+    The ids are written before the join, so that the plan knows their size and moves the
+    texts only if they are many. Any other columns stay as they are.
+    """
+    name = unused(docs, "bad")
+    bad = decontaminate(docs, benchmark).select(F.col("doc_id").alias(name)).distinct()
+    path = scratch_path(docs.sparkSession, "leaks")
+    bad.write.parquet(path)
+    bad = docs.sparkSession.read.schema(bad.schema).parquet(path)
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")

@@ -13,6 +13,13 @@ def test_masks_meet_every_window():
                    for m in S.MASKS for o in range(S.WINDOW - len(m) + 1)), wrong
 
 
+def test_short_mask_meets_every_window_with_one_substitution():
+    m = S.SHORT_MASK
+    for n in range(S.TOLERANT, S.WINDOW):
+        for wrong in range(n):
+            assert any(all(o + i != wrong for i, c in enumerate(m) if c == "1") for o in range(n - len(m) + 1)), (n, wrong)
+
+
 def brute_leaks(docs, items):
     import re
     words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
@@ -21,17 +28,35 @@ def brute_leaks(docs, items):
         w = words(text)
         for i, item in items:
             v = words(item)
-            if len(v) < S.SHORTEST:
+            if not v:
                 continue
             span = min(len(v), S.WINDOW)
-            need = span - S.SUBSTITUTIONS if len(v) >= S.WINDOW else span
-            best = max((sum(a == b for a, b in zip(w[p:p + span], v[q:q + span]))
-                        for p in range(len(w) - span + 1) for q in range(len(v) - span + 1)), default=0)
+            need = span - S.SUBSTITUTIONS if len(v) >= S.WINDOW else span - 1 if len(v) >= S.TOLERANT else span
+            edge = [None] * span                       # words outside the document equal none
+            wide = edge + w + edge
+            best = max((sum(a == b for a, b in zip(wide[p:p + span], v[q:q + span]))
+                        for p in range(len(wide) - span + 1) for q in range(len(v) - span + 1)), default=0)
             if best >= need:
                 out[d, i] = max(best, out.get((d, i), 0))
     return out
 
 
+def test_items_of_every_length(spark):
+    """Items of 1 to 13 words: whole, with one and with two words changed, and cut by the document's end."""
+    docs, items = [], []
+    for n in range(1, 14):
+        item = prose(700 + n, n, 10**6)
+        items.append((n, " ".join(item)))
+        for k, text in enumerate((item, ["x", *item[:n // 2], "gap", *item[n // 2 + 1:], "y"], item[1:], item[:-1],
+                                  ["x", "gap", *item[1:-1], "gap", "y"], ["x", *item[::-1]])):
+            docs.append((100 * n + k, " ".join(text)))
+    want = brute_leaks(docs, items)
+    assert {n for _, n in want} == set(range(1, 14)) and (801, 8) in want and (701, 7) not in want
+    for limit in (S.BROADCAST_SEEDS, 0):
+        got = S.decontaminate(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string"), limit)
+        assert {(r.doc_id, r.item_id): r.matched for r in got.collect()} == want
+
+
 def leak_case():
     item = prose(50, 40)
     hole = lambda words, *at: [("gap" if k in at else w) for k, w in enumerate(words)]
