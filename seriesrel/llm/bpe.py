@@ -176,16 +176,19 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
 
 def encoded_documents(docs: DataFrame, path: str) -> DataFrame:
-    """``(doc_id, lang, source, n_tokens, token_ids, decoded_sha256)``: a token file's rows, checked by decoding."""
-    kept = docs.select("doc_id", "lang", "source", "text")
-    schema = docs.select("doc_id", "lang", "source").schema.add("n_tokens", "long").add("token_ids", "binary").add("decoded_sha256", "string")
+    """``(doc_id, lang, source, n_tokens, token_ids, decoded_sha256)``: a token file's rows, checked by decoding.
+
+    ``lang`` and ``source`` are carried along if ``docs`` has them; other columns are not read.
+    """
+    carried = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
+    schema = docs.select(*carried).schema.add("n_tokens", "long").add("token_ids", "binary").add("decoded_sha256", "string")
 
     def run(batches):
         bpe = tokenizer(path)
         for batch in small(batches):
             ids = [bpe.encode(t or "") for t in batch.column("text").to_pylist()]
             back = [hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in ids]
-            yield pa.record_batch([*batch.columns[:3], pa.array([len(x) // 4 for x in ids], pa.int64()),
+            yield pa.record_batch([*batch.columns[:-1], pa.array([len(x) // 4 for x in ids], pa.int64()),
                                    pa.array(ids, pa.binary()), pa.array(back, pa.string())], names=schema.names)
 
-    return kept.mapInArrow(run, schema)
+    return docs.select(*carried, "text").mapInArrow(run, schema)

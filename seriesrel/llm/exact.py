@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seriesrel.llm.text import unused
 from seriesrel.session import scratch_path
 
 PREFIX_CHARS = 64
@@ -93,15 +94,23 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that :func:`exact_dedup` drops; all columns stay."""
-    cols = docs.columns
-    pairs = _written(decided_pairs(docs, id_col, text_col), "exact-decided").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_sha"),
-                                            "copies", "stays")
-    keyed = docs.select("*", F.sha2(normalised(F.col(text_col)), 256).alias("_text_sha"))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_text_sha") == F.col("_sha"))
-    gone, twice = pairs.where(~F.col("stays")), pairs.where("stays AND copies > 1")
-    if twice.isEmpty():
-        return keyed.join(gone, same, "left_anti").select(*cols)
-    rest = keyed.join(gone.unionByName(twice), same, "left_anti")
-    ones = keyed.join(twice, same, "left_semi").dropDuplicates([id_col, "_text_sha"])
-    return rest.unionByName(ones).select(*cols)
+    """``docs`` without the rows that :func:`exact_dedup` drops; all columns stay, whatever their names.
+
+    The ids that go are written before the join, so that the plan knows their size and
+    moves the texts only if they are many. An id that names several rows does not say
+    which of them goes; such rows are told apart by their digest.
+    """
+    pairs = _written(decided_pairs(docs, id_col, text_col), "exact-decided")
+    several = _written(pairs.groupBy("doc_id").agg(F.sum("copies").alias("n")).where("n > 1").select("doc_id"), "exact-several")
+    cols, name, sha = docs.columns, unused(docs, "id"), unused(docs, "sha")
+    gone = pairs.where(~F.col("stays")).select(F.col("doc_id").alias(name)).distinct()
+    same = F.col(id_col).eqNullSafe(F.col(name))
+    if several.isEmpty():
+        return docs.join(_written(gone, "exact-gone"), same, "left_anti")
+    odd = several.select(F.col("doc_id").alias(name))
+    once = docs.join(_written(gone.join(odd, gone[name].eqNullSafe(odd[name]), "left_anti"), "exact-gone"), same, "left_anti")
+    rest = once.join(odd, same, "left_anti")
+    keyed = docs.join(odd, same, "left_semi").withColumn(sha, F.sha2(normalised(F.col(text_col)), 256))
+    stay = pairs.where("stays").select(F.col("doc_id").alias(name), F.col("digest").alias(name + "d"))
+    ones = keyed.join(stay, same & (F.col(sha) == F.col(name + "d")), "left_semi").dropDuplicates([id_col, sha])
+    return rest.unionByName(ones.select(*cols))

@@ -39,3 +39,11 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], DOCS)
     assert exact_dedup(empty).count() == 0
     assert keep_first_copies(empty).count() == 0
+
+
+def test_clashing_columns_stay(spark):
+    from pyspark.sql import functions as F
+    docs = documents(spark, ROWS).withColumns({c: F.lit(c) for c in ("_id", "_sha", "_ID_", "_idd", "digest", "copies", "stays", "_text_sha")})
+    kept = keep_first_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 7, 10, 11, 12]

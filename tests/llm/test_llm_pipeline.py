@@ -24,4 +24,23 @@ def test_stages_take_effect(spark):
 
 def test_registered():
     import __spark_entry__ as e
-    assert {q.split("_")[0] for q in e.LLM_QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 11))}
+    assert {q.split("_")[0] for q in e.LLM_QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 14))}
+
+
+def test_odd_tables(spark, tmp_path):
+    """Null ids, repeated rows, texts without words, extra columns that clash, and an empty table."""
+    from pyspark.sql import functions as F
+    odd = [(None, "", "en"), (1, None, "en"), (1, None, "en"), (2, "!!!", None), (3, "one two three", "en"), (3, "other words here", "en"), (None, "null id", "en")]
+    docs = spark.createDataFrame([(i, t, lang, "s", 0) for i, t, lang in odd], "doc_id long, text string, lang string, source string, n_chars long")
+    extra = docs.withColumns({c: F.lit(1) for c in ("_gone", "_bad", "_id", "_sha", "digest", "_doc_id", "ids", "score", "label")})
+    for name, table in (("odd", extra), ("empty", docs.limit(0))):
+        folder = f"{tmp_path}/{name}"
+        table.write.parquet(f"{folder}/documents.parquet")
+        for other in ("labels", "benchmark"):
+            spark.read.parquet(f"{SF_SMALL}/{other}.parquet").write.parquet(f"{folder}/{other}.parquet")
+        kept = spark.read.parquet(f"{folder}/documents.parquet")
+        for stage, function in corpus_pipeline.STAGES[1:-1]:
+            kept = function(spark, kept, folder).cache()
+            assert kept.columns == table.columns, stage
+        out = corpus_pipeline.encode_documents(spark, kept, folder)
+        assert out.count() == kept.count() == (0 if name == "empty" else 5)
