@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesrel.llm import bagminhash, bpe, exact, html_template, pii, ppm, quality, spaced_seeds, url_lists, wavelet
+from seriesrel.llm import (bagminhash, bpe, exact, group_prefix, html_template, pii, pivotal_grams, ppm, quality, spaced_seeds,
+                           token_links, url_lists, wavelet)
 from seriesrel.session import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -85,9 +87,23 @@ def op10_exact_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(_read(spark, sf_dir, "documents"))
 
 
+def op11_group_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_prefix.link_classes(_read(spark, sf_dir, "documents"))
+
+
+def op12_pivotal_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivotal_grams.spelling_forms(_read(spark, sf_dir, "documents"))
+
+
+def op13_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return token_links.digest(token_links.links(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECES)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_html_template, op2_bagminhash, op3_pii_tagger, op4_url_lists, op5_wavelet_tokens,
-                            op6_quality_ftrl, op7_spaced_seeds, op8_bpe_queue, op9_language_ppm, op10_exact_refinement)}
+                            op6_quality_ftrl, op7_spaced_seeds, op8_bpe_queue, op9_language_ppm, op10_exact_refinement, op11_group_prefix,
+                            op12_pivotal_grams, op13_token_links)}
 
 SQL: dict[str, str] = {}
 

@@ -141,9 +141,9 @@ def small(batches, limit: int = 1 << 21, column: str = "text"):
             at = to
 
 
-def shingles(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, np.ndarray]:
+def shingles(texts: list[bytes], width: int = 5, table: np.ndarray = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Hash and owner of every run of ``width`` words; a shorter text is one shingle of all its words."""
-    h, owner = scan(texts, WORDS)
+    h, owner = scan(texts, table)
     n = np.bincount(owner, minlength=len(texts))
     first = np.concatenate(([0], np.cumsum(n)))[:-1]
     full = len(h) - width + 1
