@@ -31,13 +31,14 @@ import os
 import re
 import uuid
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesrel.llm.bpe import byte_characters
+from seriesrel.llm.bpe import PRETOKEN, byte_characters
 from seriesrel.llm.perfect_hash import PerfectHash
 from seriesrel.llm.text import small
 from seriesrel.llm.vectors import SCHEMA, rows_of, tree_sum, written
@@ -61,6 +62,7 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(path_a)
@@ -74,8 +76,17 @@ class Aligner:
         self.bytes_a = [entries.get(i, b"") for i in range(max(entries) + 1)]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
+        merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        if any(spec["model"]["vocab"]["".join(m)] != 256 + k for k, m in enumerate(merges)):
+            raise ValueError("ids do not follow the merges: they are no ranks")
         if any(BLANK in p.lstrip(BLANK) for p in pieces):
             raise ValueError("a piece reaches over a blank: texts cannot be cut there")
+        self.ranks = tiktoken.Encoding("a", pat_str=PRETOKEN, special_tokens={},
+                                       mergeable_ranks={x: i for i, x in enumerate(self.bytes_a) if i < len(self.bytes_a) - len(special)})
+        self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
+        # Written ids: with a comma, and as the last of their kind in a group.
+        self.shown_a, self.shown_b = ([np.array([f"{i}{c}" for i in range(len(t))], object) for c in ends]
+                                      for t, ends in ((self.bytes_a, ",|"), (self.bytes_b, ",;")))
         self._young: dict[str, Aligned | None] = {}
         self._old: dict[str, Aligned | None] = {}
 
@@ -83,26 +94,60 @@ class Aligner:
         """No more id pairs than this can be linked: one token's bytes are the end of the other's."""
         return sum(map(len, self.bytes_a)) + sum(map(len, self.bytes_b))
 
-    def align(self, texts: list[str]) -> list[Aligned | None]:
-        """Alignment of each whole string; None where the bytes differ."""
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        return [self._one(t, a, b) for t, a, b in zip(texts, ids_a, self.b.encode(texts, num_threads=1), strict=True)]
-
-    def _one(self, text: str, a: list[int], b: list[int]) -> Aligned | None:
-        whole = b" " + text.encode()
-        parts_a, parts_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if not text or b"".join(parts_a) != whole or b"".join(parts_b) != whole:
-            return None
-        ends_a, ends_b = np.cumsum([len(x) for x in parts_a]), np.cumsum([len(x) for x in parts_b])
-        _, last_a, last_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-        ia, ib = np.array(a, np.int64), np.array(b, np.int64)
-        groups, pa_, pb_ = [], 0, 0
-        for i, j in zip((last_a + 1).tolist(), (last_b + 1).tolist(), strict=True):
-            groups.append(",".join(map(str, a[pa_:i])) + "|" + ",".join(map(str, b[pb_:j])))
-            pa_, pb_ = i, j
-        return Aligned(len(a), len(b), ia[last_a] << 32 | ib[last_b], ";".join(groups))
-
-    def learn(self, pieces: set[str], made=None) -> dict[str, Aligned | None]:
+    def _ids_a(self, texts: list[str]) -> list[list[int]]:
+        """A's ids of a blank and each text; ASCII texts by the ranks of the same file, which is quicker."""
+        rare = [i for i, t in enumerate(texts) if not t.isascii()]
+        quick = self.ranks.encode_ordinary
+        out = [quick(" " + t) if t.isascii() else None for t in texts]
+        for i, e in zip(rare, self.a.encode_batch_fast([" " + texts[i] for i in rare], add_special_tokens=False), strict=True):
+            out[i] = e.ids
+        return out
+
+    def align(self, texts: list[str], show: bool = True) -> list[Aligned | None]:
+        """Alignment of each whole string; None where the bytes differ. All strings go through the same arrays."""
+        wholes = [b" " + t.encode() for t in texts]
+        length, counts, flat = np.fromiter(map(len, wholes), np.int64, len(texts)), [], []
+        good = np.array([bool(t) for t in texts], bool)
+        for ids, size in ((self._ids_a(texts), self.size_a), (self.b.encode(texts, num_threads=1), self.size_b)):
+            counts.append(np.fromiter(map(len, ids), np.int64, len(texts)))
+            flat.append(np.fromiter(chain.from_iterable(ids), np.int64, int(counts[-1].sum())))
+            made = np.concatenate(([0], np.cumsum(size[flat[-1]])))[np.concatenate(([0], np.cumsum(counts[-1])))]
+            good &= np.diff(made) == length
+        for side, entries in enumerate((self.bytes_a, self.bytes_b)):
+            ids = flat[side][np.repeat(good, counts[side])].tolist()
+            joined = b"".join([entries[i] for i in ids])
+            if joined != b"".join([w for w, g in zip(wholes, good.tolist(), strict=True) if g]):
+                at = 0
+                for k in np.flatnonzero(good).tolist():
+                    good[k], at = joined[at:at + length[k]] == wholes[k], at + int(length[k])
+        a, b = (f[np.repeat(good, c)] for f, c in zip(flat, counts, strict=True))
+        if not len(a):
+            return [None] * len(texts)
+        # Both tokenizers cover the same bytes, so running byte counts of all strings together compare.
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        at = np.searchsorted(ends_b, ends_a)
+        hit = ends_b[at] == ends_a
+        last_a, last_b = np.flatnonzero(hit), at[hit]
+        codes = a[last_a] << 32 | b[last_b]
+        n_a, n_b = counts[0][good], counts[1][good]
+        cuts = np.concatenate(([0], np.cumsum(hit)))[np.concatenate(([0], np.cumsum(n_a)))].tolist()
+        strings = self._shown(a, b, hit, last_a, last_b, np.concatenate(([0], np.cumsum(n_a + n_b))).tolist()) if show else [""] * len(n_a)
+        found = iter([Aligned(x, y, codes[cuts[k]:cuts[k + 1]], strings[k])
+                      for k, (x, y) in enumerate(zip(n_a.tolist(), n_b.tolist(), strict=True))])
+        return [next(found) if g else None for g in good.tolist()]
+
+    def _shown(self, a, b, hit, last_a, last_b, stops: list[int]) -> list[str]:
+        """The written groups of each string; in them a group's B ids follow its A ids."""
+        closes = np.zeros(len(b), bool)
+        closes[last_b] = True
+        first_b = np.concatenate(([0], last_b[:-1] + 1))
+        out = np.empty(len(a) + len(b), object)
+        out[np.arange(len(a)) + first_b[np.cumsum(hit) - hit]] = np.where(hit, self.shown_a[1][a], self.shown_a[0][a])
+        out[np.arange(len(b)) + last_a[np.cumsum(closes) - closes] + 1] = np.where(closes, self.shown_b[1][b], self.shown_b[0][b])
+        ids = out.tolist()
+        return ["".join(ids[i:j])[:-1] for i, j in zip(stops, stops[1:])]
+
+    def learn(self, pieces: set[str], made=None, show: bool = True) -> dict[str, Aligned | None]:
         """Alignments of the pieces; ``made`` is called with the new ones."""
         out, new = {}, []
         for p in pieces:
@@ -113,7 +158,7 @@ class Aligner:
             else:
                 new.append(p)
         if new:
-            found = self.align(new)
+            found = self.align(new, show)
             if made:
                 made([x for x in found if x is not None])
             out.update(zip(new, found, strict=True))
@@ -137,10 +182,10 @@ def aligner(*key) -> Aligner:
 def pair_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """``(pair, n)``: how often each task linked an id pair (``a << 32 | b``); a pair comes once a task."""
     def run(batches):
-        one, pairs, counts = aligner(path_a, path_b), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        one, pairs, counts = aligner(path_a, path_b, "counts"), np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in small(batches):
             cut = [_cut(t) if t else [] for t in batch.column("text").to_pylist()]
-            known = one.learn({p for pieces in cut for p in pieces})
+            known = one.learn({p for pieces in cut for p in pieces}, show=False)
             seen: Counter[str] = Counter()
             for pieces in cut:
                 if all(known[p] is not None for p in pieces):
