@@ -12,9 +12,9 @@ is in that prefix.
 Pivots are joined with the other words' prefix bigrams under position limits. An edit is
 either behind the first pivot, which then stands equally far from the start with all up to
 it equal, or else before the second one, which stands equally far from the end with all
-behind it equal. That equal side and the length (by at most one different) are the join
-key; what meets, and has letters that differ by two at most, is verified by its edit
-distance. Only words and their sides move, in shuffles of ordinary
+behind it equal. The letter at the other end is equal too, unless the edit is there; for
+that, words are also joined on all but that letter. Equal side, end letter and length (by
+at most one different) are the join key; what meets is verified by its edit distance. Only words and their sides move, in shuffles of ordinary
 joins, which the adaptive plan splits where a side is frequent.
 
 Edge cases: null and empty texts have no words; a null id counts as an empty string in the
@@ -101,20 +101,13 @@ def prefix_and_pivots(word: str, order: dict[str, tuple[int, str]]) -> tuple[lis
     return prefix, pair[1:]
 
 
-def letters(word: str) -> int:
-    """The letters that occur, as bits; one edit changes two bits at most."""
-    bits = 0
-    for c in set(word):
-        bits |= 1 << (ord(c) & 63)
-    return bits - (1 << 64) if bits >> 63 else bits
-
-
 def sides(words: DataFrame, order: dict[str, tuple[int, str]]) -> DataFrame:
-    """``(word, n, letters, pivot, side, length)``: what is equal on one side of a bigram that an edit left intact.
+    """``(word, n, pivot, side, length)``: what is equal on one side of a bigram that an edit left intact.
 
     ``pivot`` rows are a word's pivots with its own length, the first with the side up to
     it and the second with the side from it; the others are its prefix bigrams, with both
-    sides and each length that a word at one edit can have.
+    sides and each length that a word at one edit can have. The letter at the far end follows
+    the side's sign. Rows of length 0 are for an edit at that end.
     """
     shared = words.sparkSession.sparkContext.broadcast(order)
 
@@ -124,20 +117,21 @@ def sides(words: DataFrame, order: dict[str, tuple[int, str]]) -> DataFrame:
             out: list[tuple] = []
             for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True):
                 prefix, (i, j) = prefix_and_pivots(word, order)
-                bits, size = letters(word), len(word)
-                out.append((word, n, bits, True, "<" + word[:i + GRAM], size))
-                out.append((word, n, bits, True, ">" + word[j:], size))
+                size, up, back = len(word), "<" + word[-1], ">" + word[0]
+                out.append((word, n, True, up + word[:i + GRAM], size))
+                out.append((word, n, True, back + word[j:], size))
                 for k in prefix:
-                    for side in ("<" + word[:k + GRAM], ">" + word[k:]):
-                        out += [(word, n, bits, False, side, size + d) for d in (-1, 0, 1)]
+                    for side in (up + word[:k + GRAM], back + word[k:]):
+                        out += [(word, n, False, side, size + d) for d in (-1, 0, 1)]
+                for pivot in (True, False):
+                    out += [(word, n, pivot, side, 0) for side in ("<" + word, "<" + word[:-1], ">" + word, ">" + word[1:])]
             if out:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), TYPES, strict=True)], names=NAMES)
 
-    return words.mapInArrow(run, "word string, n long, letters long, pivot boolean, side string, length int")
+    return words.mapInArrow(run, "word string, n long, pivot boolean, side string, length int")
 
 
-NAMES = ["word", "n", "letters", "pivot", "side", "length"]
-TYPES = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.int32()]
+NAMES, TYPES = ["word", "n", "pivot", "side", "length"], [pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.int32()]
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -145,10 +139,9 @@ def near_words(words: DataFrame) -> DataFrame:
     pairs = words.select(F.explode(F.expr(f"transform(sequence(1, char_length(word) - {GRAM - 1}), i -> substring(word, i, {GRAM}))")).alias("gram"))
     order = {r.gram: (r["count"], r.gram) for r in pairs.groupBy("gram").count().collect()}
     rows = written(sides(words, order), "sides")
-    x = rows.where("pivot").select("side", "length", F.col("letters").alias("l_a"), F.col("word").alias("a"), F.col("n").alias("n_a"))
-    y = rows.where("NOT pivot").select("side", "length", F.col("letters").alias("l_b"), F.col("word").alias("b"), F.col("n").alias("n_b"))
-    alike = F.bit_count(F.col("l_a").bitwiseXOR(F.col("l_b"))) <= 2
-    met = x.join(y, (x.side == y.side) & (x.length == y.length) & alike & (F.levenshtein("a", "b", 1) == 1))
+    x = rows.where("pivot").select("side", "length", F.col("word").alias("a"), F.col("n").alias("n_a"))
+    y = rows.where("NOT pivot").select("side", "length", F.col("word").alias("b"), F.col("n").alias("n_b"))
+    met = x.join(y, (x.side == y.side) & (x.length == y.length) & (F.levenshtein("a", "b", 1) == 1))
     once = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                       F.when(F.col("a") < F.col("b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
                       F.when(F.col("a") < F.col("b"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b")).distinct()

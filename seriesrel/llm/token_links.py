@@ -15,7 +15,8 @@ million here), and so the hash, the keys and the counts have a size that no corp
 Texts are cut at single blanks between two characters that are no white space. Neither
 tokenizer has a token across such a blank (checked on loading for the pieces; the other's
 pre-tokens begin there), so the pieces between are aligned on their own, and the frequent
-ones are remembered in two generations of a bounded dictionary.
+ones are remembered in two generations of a bounded dictionary. A mark that ends a piece
+after a letter is cut off too, if no entry of the pieces has that mark after a letter.
 
 Edge cases: null and empty texts, and texts whose joined token bytes differ from the
 blank and the text (the pieces' blank sign in a text, say), have no tokens: zeros and an
@@ -45,6 +46,7 @@ from seriesrel.llm.vectors import SCHEMA, rows_of, tree_sum, written
 
 BLANK = "▁"
 REMEMBERED, LONGEST = 200_000, 48     # pieces of text a generation, characters of one
+MARKS = ",.;:!?"
 _cut = re.compile(r"(?<=\S) (?=\S)").split
 
 
@@ -87,8 +89,23 @@ class Aligner:
         # Written ids: with a comma, and as the last of their kind in a group.
         self.shown_a, self.shown_b = ([np.array([f"{i}{c}" for i in range(len(t))], object) for c in ends]
                                       for t, ends in ((self.bytes_a, ",|"), (self.bytes_b, ",;")))
-        self._young: dict[str, Aligned | None] = {}
-        self._old: dict[str, Aligned | None] = {}
+        self._young: dict[str | tuple, Aligned | None] = {}
+        self._old: dict[str | tuple, Aligned | None] = {}
+        # A mark at a piece's end stands for itself: its key is a tuple, which no text can hold.
+        joined = {m for p in pieces for m in MARKS if re.search(r"[A-Za-z]" + re.escape(m), p)}
+        place = {p: i for i, p in enumerate(pieces)}
+        self.marks = {m: (m, self.bytes_a.index(m.encode()), place[m]) for m in MARKS if m not in joined and m in place}
+
+    def cut(self, text: str | None) -> list[str | tuple]:
+        """The pieces of a text that are aligned on their own."""
+        out: list[str | tuple] = []
+        for p in _cut(text) if text else ():
+            mark = self.marks.get(p[-1])
+            if mark and p[-2:-1].isascii() and p[-2:-1].isalpha():
+                out += (p[:-1], mark)
+            else:
+                out.append(p)
+        return out
 
     def most_pairs(self) -> int:
         """No more id pairs than this can be linked: one token's bytes are the end of the other's."""
@@ -147,7 +164,7 @@ class Aligner:
         ids = out.tolist()
         return ["".join(ids[i:j])[:-1] for i, j in zip(stops, stops[1:])]
 
-    def learn(self, pieces: set[str], made=None, show: bool = True) -> dict[str, Aligned | None]:
+    def learn(self, pieces: set[str | tuple], made=None, show: bool = True) -> dict[str | tuple, Aligned | None]:
         """Alignments of the pieces; ``made`` is called with the new ones."""
         out, new = {}, []
         for p in pieces:
@@ -158,7 +175,9 @@ class Aligner:
             else:
                 new.append(p)
         if new:
-            found = self.align(new, show)
+            marks = {p: Aligned(1, 1, np.array([p[1] << 32 | p[2]]), f"{p[1]}|{p[2]}") for p in new if type(p) is tuple}
+            rest = iter(self.align([p for p in new if p not in marks], show))
+            found = [marks[p] if p in marks else next(rest) for p in new]
             if made:
                 made([x for x in found if x is not None])
             out.update(zip(new, found, strict=True))
@@ -184,7 +203,7 @@ def pair_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches):
         one, pairs, counts = aligner(path_a, path_b, "counts"), np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in small(batches):
-            cut = [_cut(t) if t else [] for t in batch.column("text").to_pylist()]
+            cut = [one.cut(t) for t in batch.column("text").to_pylist()]
             known = one.learn({p for pieces in cut for p in pieces}, show=False)
             seen: Counter[str] = Counter()
             for pieces in cut:
@@ -247,7 +266,7 @@ def links(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 x.total, x.best = int(n[hi] - n[lo]), int(b[hi] - b[lo])
 
         for batch in small(batches):
-            cut = [_cut(t) if t else [] for t in batch.column("text").to_pylist()]
+            cut = [one.cut(t) for t in batch.column("text").to_pylist()]
             known = one.learn({p for pieces in cut for p in pieces}, look_up)
             rows = []
             for pieces in cut:

@@ -240,3 +240,12 @@ def test_perfect_hash(n):
     assert (table.find(keys + 1)[~np.isin(keys + 1, keys)] == -1).all()
     if len(keys):
         assert (table.keys[table.find(keys)] == keys).all()
+
+
+def test_marks_are_cut_off_only_where_no_piece_has_them():
+    one = K.aligner(A, B)
+    for text in ["one, two. three; four: five! six?", "a,b c,, d ,e f", "x9, y), é, É. z", ",", "it's, don't.", "etc., e.g. i.e., p.m.", "Mr. U.S. www. http: no: o.k."]:
+        whole, parts = one.align([text])[0], one.learn(set(one.cut(text)))
+        assert whole.shown == ";".join(parts[p].shown for p in one.cut(text)), text
+        assert list(whole.codes) == [c for p in one.cut(text) for c in parts[p].codes]
+    assert "," in one.marks
