@@ -21,11 +21,11 @@ a null id counts as not held out; repeated rows get equal answers.
 
 from __future__ import annotations
 
-import re
 import uuid
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +34,7 @@ from seriesrel.llm.text import encoded, small
 ORDER = 3
 MAX_ROWS = 20_000                    # of each language
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _START = b"\n" * ORDER
 
 

@@ -183,3 +183,9 @@ def test_pii_of_nothing(spark):
 
 def test_fixture_words_are_stable():
     assert edited(prose(1, 5), 2, 0.0) == prose(1, 5)
+
+
+def test_signs_that_are_no_letters():
+    from seriesrel.llm import ppm
+    assert not any(ppm._LETTER.search(t) for t in ("²½ ①Ⅷ", "12 + 3", "_ !", ""))
+    assert all(ppm._LETTER.search(t) for t in ("a", "1é", "中", "ʰ"))
