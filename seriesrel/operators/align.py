@@ -50,8 +50,8 @@ def fill_reference(joined: DataFrame) -> DataFrame:
     return joined.withColumn("ref_rate", forward_fill("ref_observed", w))
 
 
-def add_log_returns(filled: DataFrame, horizon: str = BAR_HORIZON) -> DataFrame:
-    """Bars with both log returns; rows are not dropped yet."""
+def add_log_returns(filled: DataFrame, horizon: str = BAR_HORIZON, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Bars (and the ``keep`` columns) with both log returns; rows are not dropped yet."""
     w = series_window(["symbol"], "date")
     return filled.select(
         "symbol", "date",
@@ -62,6 +62,7 @@ def add_log_returns(filled: DataFrame, horizon: str = BAR_HORIZON) -> DataFrame:
         F.lit(0).cast("short").alias("ref_quality"),
         log_return("lead_price", w).alias("lead_logret"),
         log_return("ref_rate", w).alias("ref_logret"),
+        *keep,
     )
 
 

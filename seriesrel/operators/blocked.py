@@ -29,7 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import (ANOMALY_CUT, BAR_HORIZON, CUSUM_THRESHOLD, CUSUM_TRIGGER, METRICS, N_SPLITS, WINDOWS)
-from ..functions.columns import day_of, log_ratio, running
+from ..functions.columns import log_ratio, running
+from .align import join_reference
 
 DEFAULT_CHUNK_ROWS = 1_000_000
 
@@ -103,10 +104,7 @@ def carry_last(d: DataFrame, keys: tuple[str, ...], value: str, out: str) -> Dat
 def align_blocked(lead: DataFrame, ref: DataFrame, *, chunk_rows: int = DEFAULT_CHUNK_ROWS,
                   horizon: str = BAR_HORIZON) -> DataFrame:
     """``align`` for very long lead series (same rows and values)."""
-    lead_n = lead.select("symbol", day_of("date").alias("date"),
-                         F.col("price").cast("double").alias("lead_price"))
-    ref_n = ref.select(day_of("date").alias("date"), F.col("rate").cast("double").alias("ref_observed"))
-    j = index_rows(lead_n.join(ref_n, "date", "left"), ("symbol",), "date")
+    j = index_rows(join_reference(lead, ref), ("symbol",), "date")
     j = j.withColumn("_chunk", chunk_of(chunk_rows))
     # forward fill = last non-null up to and including the row
     j = carry_last(j, ("symbol",), "ref_observed", "_ref_prev")

@@ -67,7 +67,11 @@ def cusum_alerts(long: DataFrame, *, metric: str = "spread_zscore",
                  trigger: float = CUSUM_TRIGGER) -> DataFrame:
     """CUSUM breach alerts over every (symbol, horizon) series of a metric."""
     acc = cusum(metric_series(long, metric), threshold=threshold)
-    fired = hysteresis_fires(acc, trigger=trigger, threshold=threshold)
+    return cusum_alert_rows(hysteresis_fires(acc, trigger=trigger, threshold=threshold))
+
+
+def cusum_alert_rows(fired: DataFrame) -> DataFrame:
+    """Alert rows of fired accumulator rows (symbol, horizon, date, cusum)."""
     return fired.select(
         utc_midnight("date").alias("fired_at"),
         F.lit(None).cast("timestamp_ntz").alias("resolved_at"),

@@ -243,10 +243,11 @@ QUERIES: dict[str, Query] = {
 
 
 def _register_more() -> None:
-    from . import ingest_queries, landing_queries, serve_queries
+    from . import incremental_queries, ingest_queries, landing_queries, serve_queries
     QUERIES.update(ingest_queries.QUERIES)
     QUERIES.update(landing_queries.QUERIES)
     QUERIES.update(serve_queries.QUERIES)
+    QUERIES.update(incremental_queries.QUERIES)
 
 
 _register_more()

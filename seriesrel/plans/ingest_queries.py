@@ -10,7 +10,7 @@ from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import tables
 from ..streaming import ingest
-from ..streaming.job import IngestConfig, file_source, run_until_drained
+from ..streaming.job import IngestConfig, file_source, read_accounting, run_until_drained
 
 
 def checked_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,13 +60,17 @@ def q_ingest_lag(spark, sf_dir):
     return round_doubles(ingest.ingest_lag(ingest.valid(checked_events(spark, sf_dir))))
 
 
-_RUNS: dict[tuple[int, str], IngestConfig] = {}
-_LANDINGS: dict[tuple[int, str], str] = {}
+_RUNS: dict[tuple[str, str], IngestConfig] = {}
+_LANDINGS: dict[tuple[str, str], str] = {}
+
+
+def _run_key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, tables.input_stamp(spark, f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def stream_run(spark: SparkSession, sf_dir: str) -> IngestConfig:
     """Land ``events`` as JSON-lines files and drain them through the stream job."""
-    key = (id(spark), sf_dir)
+    key = _run_key(spark, sf_dir)
     if key not in _RUNS:
         root = scratch_path(spark, "ingest")
         enc = ingest.encode(fx.fixture_envelope_fields(spark, sf_dir))
@@ -87,20 +91,16 @@ def q_stream_ingest_lead(spark, sf_dir):
 
 
 def q_stream_quarantine(spark, sf_dir):
+    """How many messages of each instrument were refused, and why."""
     cfg = stream_run(spark, sf_dir)
-    q = spark.read.parquet(cfg.table_path("quarantine"))
-    return (q.groupBy(F.get_json_object("raw", "$.instrument_id").alias("instrument_id"),
-                      F.array_join("reject_reasons", ",").alias("reasons"))
-             .agg(F.sum("n_copies").alias("n_messages")))
+    refused = read_accounting(spark, cfg).where(~F.col("outcome").isin([r.table for r in cfg.routes]))
+    return refused.groupBy("instrument_id", F.col("outcome").alias("reasons")).agg(F.sum("n").alias("n_messages"))
 
 
 def q_stream_accounting(spark, sf_dir):
     """Where every message went: a raw table, or the quarantine with its reason."""
     cfg = stream_run(spark, sf_dir)
-    lead = spark.read.parquet(cfg.table_path("raw_lead")).select(F.lit("raw_lead").alias("outcome"), F.lit(1).cast("long").alias("n"))
-    ref = spark.read.parquet(cfg.table_path("raw_reference")).select(F.lit("raw_reference").alias("outcome"), F.lit(1).cast("long").alias("n"))
-    bad = spark.read.parquet(cfg.table_path("quarantine")).select(F.array_join("reject_reasons", ",").alias("outcome"), F.col("n_copies").alias("n"))
-    return lead.unionByName(ref).unionByName(bad).groupBy("outcome").agg(F.sum("n").alias("n_messages"))
+    return read_accounting(spark, cfg).groupBy("outcome").agg(F.sum("n").alias("n_messages"))
 
 
 def q_stream_lag_monitor(spark, sf_dir):
@@ -108,7 +108,7 @@ def q_stream_lag_monitor(spark, sf_dir):
     from ..streaming.job import read_lag, start_lag_monitor
     stream_run(spark, sf_dir)                     # lands the envelopes
     out = scratch_path(spark, "lag")
-    start_lag_monitor(file_source(spark, _LANDINGS[(id(spark), sf_dir)], 2), f"{out}/table", f"{out}/checkpoint",
+    start_lag_monitor(file_source(spark, _LANDINGS[_run_key(spark, sf_dir)], 2), f"{out}/table", f"{out}/checkpoint",
                       window="1 hour").awaitTermination()
     return round_doubles(read_lag(spark, f"{out}/table").select(
         _ntz("window_start"), _ntz("window_end"), "instrument_id", "n_messages", "avg_lag_s", "max_lag_s"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import round_doubles, utc_wall_clock
 from ..session import scratch_path
 from ..sources import fixtures as fx
-from ..sources import landing
+from ..sources import landing, tables
 from ..streaming import ingest
 
 # The historical CSV holds the higher order priorities of the first part of the span;
@@ -31,11 +31,11 @@ class Landed:
     xml: str
 
 
-_LANDED: dict[tuple[int, str], Landed] = {}
+_LANDED: dict[tuple[str, str], Landed] = {}
 
 
 def land(spark: SparkSession, sf_dir: str) -> Landed:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, tables.input_stamp(spark, *(f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders"))))
     if key in _LANDED:
         return _LANDED[key]
     root = scratch_path(spark, "landing")
@@ -152,6 +152,11 @@ def q_value_on_day(spark, sf_dir):
                          .select("product", "date", "price"))
 
 
+def q_missing_on_newest_day(spark, sf_dir):
+    rows = json_rows(spark, sf_dir)
+    return landing.missing_on_day(rows, rows.select(F.max("date")).scalar(), keys=("product",))
+
+
 QUERIES = {
     "landed_json_series": q_landed_json_series,
     "page_completeness": q_page_completeness,
@@ -165,4 +170,5 @@ QUERIES = {
     "latest_day_envelopes": q_latest_day_envelopes,
     "corpus_roundtrip": q_corpus_roundtrip,
     "value_on_day": q_value_on_day,
+    "missing_on_newest_day": q_missing_on_newest_day,
 }

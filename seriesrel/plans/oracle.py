@@ -414,3 +414,8 @@ REF_FROM_EVENTS = """ref AS (
   FROM ev WHERE is_valid AND instrument_id = 'signup' GROUP BY 1)"""
 SQL["bars_from_stream"] = (with_(EV, LEAD_FROM_EVENTS, REF_FROM_EVENTS, FILLED, RETURNS, BARS)
                            + f"SELECT {BAR_SELECT} FROM bars")
+
+SQL |= {"incremental_bars": SQL["aligned_bars"], "incremental_metrics": SQL["metrics_long"], "incremental_alerts": SQL["cusum_alerts"]}
+
+SQL["missing_on_newest_day"] = with_(LEAD) + """SELECT symbol AS product, max(date) AS latest_date FROM lead GROUP BY symbol
+HAVING max(date) < (SELECT max(date) FROM lead)"""

@@ -6,8 +6,6 @@ recomputes the chain from the raw tables.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,12 +27,12 @@ START, END = "1995-01-01", "2001-12-31"
 def stored_root(spark: SparkSession, sf_dir: str) -> str:
     """The folder of the tables of ``sf_dir``, under the shared folder; the batch run fills it.
 
-    The tables are built once per application and input folder. A row in ``built`` is
+    The tables are built once per application and state of the input files. A row in ``built`` is
     written after the run, so a run that was cut short is repeated; its writes are
     keyed, and the repetition adds only what is missing.
     """
     app = spark.sparkContext.applicationId
-    name = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
+    name = tables.input_stamp(spark, *(f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders")))
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/seriesrel/served-{app}-{name}"
     if tables.read_table(spark, f"{root}/built") is None:
         run_analytics(spark, fx.lead_series(spark, sf_dir), fx.reference_series(spark, sf_dir), root)

@@ -112,14 +112,15 @@ def union_first_wins(*series: DataFrame, keys: tuple[str, ...] = ("date",)) -> D
 
 def gap_after(hist: DataFrame, recent: DataFrame, *, time_col: str = "date",
               keys: tuple[str, ...] = ()) -> DataFrame:
-    """Rows of ``recent`` strictly after the last ``hist`` time (per key).
+    """Rows of ``recent`` strictly after the last ``hist`` time (per key); all of them
+    where there is no history.
 
     Without keys the bound is a scalar subquery (one value, no join); with
     keys it is a join against the per-key maxima (one row per key).
     """
     if not keys:
         last = hist.select(F.max(time_col)).scalar()
-        return recent.where(F.col(time_col) > last)
+        return recent.where(last.isNull() | (F.col(time_col) > last))
     bounds = hist.groupBy(*keys).agg(F.max(time_col).alias("_last"))
     return (recent.join(bounds, list(keys), "left")
                   .where(F.col("_last").isNull() | (F.col(time_col) > F.col("_last")))
@@ -164,6 +165,14 @@ def value_on_day(series: DataFrame, day, *, keys: tuple[str, ...] = ("instrument
     return keep_first(d, keys, [first, *(c for c in d.columns if c not in (*keys, first))])
 
 
+def missing_on_day(series: DataFrame, day: Column, *, keys: tuple[str, ...] = ("instrument_id",),
+                   time_col: str = "date") -> DataFrame:
+    """Per key without a row on ``day``: its latest day. The report beside :func:`value_on_day`."""
+    seen = F.max(F.when(F.col(time_col).cast("date") == day.cast("date"), 1))
+    facts = series.groupBy(*keys).agg(F.max(time_col).alias("latest_date"), seen.alias("_seen"))
+    return facts.where(F.col("_seen").isNull()).drop("_seen")
+
+
 def newest_day(series: DataFrame, *, keys: tuple[str, ...] = ("instrument_id",),
                time_col: str = "date") -> DataFrame:
     """Rows on each key's newest day (the live producer's single poll).

@@ -15,6 +15,7 @@ touches, so the anti-join reads only those partitions, never the table.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,6 +82,17 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
         raise
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The first text line at ``path`` that looks like JSON, or None when there is no file."""
+    try:
+        rows = [r[0] for r in spark.read.text(path).head(5)]
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return None
+        raise
+    return next((x for x in rows if x.startswith("{")), None)
+
+
 def declare(df: DataFrame, path: str) -> None:
     """An empty file with ``df``'s schema in the oldest chunk: a table without rows can be read."""
     df.drop("chunk").limit(0).write.mode("append").parquet(f"{path}/chunk=1970-01-01")
@@ -97,26 +109,36 @@ def insert_if_absent(new: DataFrame, path: str, spec: TableSpec, *,
     """
     spark = new.sparkSession
     rows = with_chunk(new, spec)
-    rows = keep_first(rows, spec.key, order or [F.col(c) for c in rows.columns])
-    existing = read_table(spark, path)
-    if existing is not None:
-        chunks = [r[0] for r in with_chunk(new, spec).select("chunk").distinct().collect()]
-        touched = existing.where(F.col("chunk").isin(chunks)).select("chunk", *spec.key)
-        rows = rows.join(touched, ["chunk", *spec.key], "left_anti")
-    # Count from a persisted frame: observations are not delivered inside a
-    # streaming foreachBatch, and the new rows are bounded by the batch.
-    rows = rows.persist()
+    # The batch is computed once and kept: its chunks, the count and the write all read it.
+    # (Observed counts are not delivered inside a streaming foreachBatch.)
+    rows = keep_first(rows, spec.key, order or [F.col(c) for c in rows.columns]).persist()
+    fresh, existing = rows, read_table(spark, path)
     try:
-        n = rows.count()
+        if existing is not None:
+            chunks = [r[0] for r in rows.select("chunk").distinct().collect()]
+            touched = existing.where(F.col("chunk").isin(chunks)).select("chunk", *spec.key)
+            fresh = rows.join(touched, ["chunk", *spec.key], "left_anti").persist()
+        n = fresh.count()
         if n:
-            write_partitioned(rows, path, spec, mode="append")
+            write_partitioned(fresh, path, spec, mode="append")
         elif existing is None:
-            declare(rows, path)
+            declare(fresh, path)
         return n
     finally:
+        fresh.unpersist()
         rows.unpersist()
 
 
+def input_stamp(spark: SparkSession, *paths: str) -> str:
+    """Names the present files under the paths by their names, sizes and times; no content is read."""
+    sums = []
+    for p in paths:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(p)
+        mark = F.xxhash64("path", "length", "modificationTime")
+        sums.append(tuple(files.agg(F.count(F.lit(1)), F.bit_xor(mark)).first()))
+    return hashlib.sha256(repr(sums).encode()).hexdigest()[:12]
+
+
 def read_range(spark: SparkSession, path: str, spec: TableSpec, *,
                start=None, end=None, where: dict | None = None) -> DataFrame:
     """Table rows with ``start <= time <= end`` and column equalities.

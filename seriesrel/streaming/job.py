@@ -18,6 +18,7 @@ rate limit. The checkpoint lives under the session's shared checkpoint dir.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,7 @@ class IngestConfig:
     checkpoint: str
     routes: tuple[ingest.Route, ...] = (ingest.LEAD_ROUTE, ingest.REFERENCE_ROUTE)
     trigger: str | None = STREAM_TRIGGER     # None -> availableNow (drain, then stop)
+    source: str = "messages"                 # names what is read, for the accounting
 
     def table_path(self, name: str) -> str:
         return f"{self.sink_root.rstrip('/')}/{name}"
@@ -92,6 +94,7 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: IngestConfig) -> dict[st
             "raw", F.array(F.lit("unrouted_instrument")).alias("reject_reasons")))
         written["quarantine"] = tables.insert_if_absent(
             quarantine_rows(quarantine), cfg.table_path("quarantine"), QUARANTINE)
+        account(checked, batch_id, cfg)
         return written
     finally:
         checked.unpersist()
@@ -103,7 +106,10 @@ QUARANTINE = tables.TableSpec("quarantine", "reject_day", ("message_key",), (),
 
 
 def quarantine_rows(rejects: DataFrame) -> DataFrame:
-    """``raw, reject_reasons`` with the number of equal copies, their key and day."""
+    """``raw, reject_reasons`` with the number of equal copies in this batch, their key and day.
+
+    A message that comes again in a later batch adds no row; :func:`account` counts all.
+    """
     day = F.try_to_date(F.substring(F.get_json_object("raw", "$.ingest_time_utc"), 1, 10), "yyyy-MM-dd")
     return (rejects.groupBy("raw", "reject_reasons").agg(F.count(F.lit(1)).alias("n_copies"))
             .select("raw", "reject_reasons", "n_copies",
@@ -111,6 +117,43 @@ def quarantine_rows(rejects: DataFrame) -> DataFrame:
                     F.coalesce(day, F.lit("1970-01-01").cast("date")).alias("reject_day")))
 
 
+def outcome(routes: tuple[ingest.Route, ...]):
+    """Where a validated message goes: a route's table, or the reasons it is refused for."""
+    out = F.when(F.size("reject_reasons") > 0, F.array_join("reject_reasons", ","))
+    for r in routes:
+        mine = F.col("instrument_id").isin(*r.instruments)
+        out = out.when(mine & F.col("payload")[r.payload_key].try_cast("double").isNotNull(), r.table).when(mine, f"{r.payload_key}_invalid")
+    return out.otherwise("unrouted_instrument")
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the stream wrote into its checkpoint; a new checkpoint has a new one."""
+    if (text := tables.read_text(spark, f"{checkpoint.rstrip('/')}/metadata")) is None:
+        return "none"
+    return json.loads(text)["id"]
+
+
+def account(checked: DataFrame, batch_id: int, cfg: IngestConfig) -> None:
+    """Count one micro-batch's messages by outcome, copies included. A retried batch overwrites its own folder."""
+    path = f"{cfg.table_path('accounting')}/source={cfg.source}/run={run_of(checked.sparkSession, cfg.checkpoint)}/batch={batch_id}"
+    (checked.groupBy("instrument_id", outcome(cfg.routes).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+     .withColumn("written_at", F.current_timestamp()).write.mode("overwrite").parquet(path))
+
+
+ACCOUNTING = "instrument_id string, outcome string, n long, written_at timestamp, source string, run string, batch long"
+
+
+def read_accounting(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
+    """``(instrument_id, outcome, n, source)`` per batch: every landed message once.
+
+    A run with a new checkpoint reads its source from the start again, so of each source
+    the newest run counts.
+    """
+    rows = spark.read.schema(ACCOUNTING).parquet(cfg.table_path("accounting"))
+    newest = rows.groupBy("source").agg(F.max_by("run", "written_at").alias("run"))
+    return rows.join(newest, ["source", "run"]).select("instrument_id", "outcome", "n", "source")
+
+
 def start_ingest(source: DataFrame, cfg: IngestConfig,
                  query_name: str | None = None) -> StreamingQuery:
     w = (source.writeStream

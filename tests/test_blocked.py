@@ -129,3 +129,12 @@ def test_index_rows_hot_key_spans_partitions(spark):
     assert list(pdf["_idx"]) == list(range(len(pdf)))       # global positions
     for s, g in pdf.groupby("symbol"):                       # contiguous per key
         assert list(g["_idx"]) == list(range(g["_idx"].min(), g["_idx"].min() + len(g)))
+
+
+@pytest.mark.parametrize("chunk_rows", [3, 50])
+def test_align_blocked_with_repeated_reference_days(spark, chunk_rows):
+    rng = np.random.default_rng(chunk_rows)
+    days = pd.date_range("2020-01-01", periods=40, freq="D").date
+    lead = spark.createDataFrame([(s, d, float(p)) for s in "ab" for d, p in zip(days, rng.random(40) + 1)], "symbol string, date date, price double")
+    ref = spark.createDataFrame([(days[i], None if i % 7 == 0 else float(i + 1 + k)) for i in range(2, 40, 2) for k in range(1 + i % 3)], "date date, rate double")
+    _same(align(lead, ref).toPandas(), blocked.align_blocked(lead, ref, chunk_rows=chunk_rows).toPandas(), ["symbol", "date", "horizon"])

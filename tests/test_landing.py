@@ -62,3 +62,19 @@ def test_csv_and_json_pages(spark, tmp_path):
     assert sorted(r["price"] for r in rows.collect()) == [80.5, 81.0, 82.0]
     c = landing.page_completeness(rows).collect()[0]
     assert (c["n_rows"], c["announced_total"]) == (3, 3)
+
+
+def test_gap_after_an_empty_history(spark):
+    import datetime as dt
+    recent = spark.createDataFrame([(dt.date(2020, 1, k), float(k)) for k in range(1, 7)], "date date, rate double")
+    assert landing.gap_after(recent.limit(0), recent).count() == 6
+    assert landing.gap_after(recent.where("rate < 3"), recent).count() == 4
+    assert landing.gap_after(recent, recent).count() == 0
+
+
+def test_missing_on_day(spark):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    rows = spark.createDataFrame([("a", dt.date(2020, 1, 1)), ("a", dt.date(2020, 1, 2)), ("b", dt.date(2020, 1, 1))], "instrument_id string, date date")
+    got = landing.missing_on_day(rows, F.lit("2020-01-02"))
+    assert [tuple(r) for r in got.collect()] == [("b", dt.date(2020, 1, 1))]
