@@ -138,8 +138,10 @@ def changepoints(long: DataFrame, *, metric: str = "spread_zscore",
     return spread.groupBy("symbol", "horizon").applyInPandas(detect, CHANGEPOINT_SCHEMA)
 
 
-def changepoint_alerts(long: DataFrame, *, metric: str = "spread_zscore", **kw) -> DataFrame:
-    cps = changepoints(long, metric=metric, **kw)
+def changepoint_alerts(long: DataFrame, *, metric: str = "spread_zscore", blocked: bool = False, **kw) -> DataFrame:
+    """Alert rows of the changepoints; ``blocked`` searches chunk by chunk (same rows)."""
+    from .changepoints_blocked import changepoints_blocked
+    cps = (changepoints_blocked if blocked else changepoints)(long, metric=metric, **kw)
     return cps.select(
         utc_midnight("date").alias("fired_at"),
         F.lit(None).cast("timestamp_ntz").alias("resolved_at"),

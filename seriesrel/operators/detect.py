@@ -88,8 +88,9 @@ def detect_alerts(long: DataFrame, *, with_changepoints: bool = True,
                   **kw) -> DataFrame:
     """Both detectors over every series of ``metric``, one alert frame.
 
-    ``chunk_rows`` runs CUSUM and the latch in their blocked form (same
-    alerts) for series too long for one task.
+    ``chunk_rows`` runs CUSUM, the latch and the changepoint search in their
+    blocked forms (same alerts) for series too long for one task; the search
+    keeps its own chunk size, as its tasks grow with the square of it.
     """
     if chunk_rows is None:
         alerts = cusum_alerts(long, metric=metric)
@@ -98,7 +99,7 @@ def detect_alerts(long: DataFrame, *, with_changepoints: bool = True,
         alerts = cusum_alerts_blocked(long, metric=metric, chunk_rows=chunk_rows)
     if with_changepoints:
         from .changepoints import changepoint_alerts
-        alerts = alerts.unionByName(changepoint_alerts(long, metric=metric, **kw))
+        alerts = alerts.unionByName(changepoint_alerts(long, metric=metric, blocked=chunk_rows is not None, **kw))
     return alerts
 
 

@@ -128,6 +128,12 @@ def q_changepoints(spark, sf_dir):
     return changepoints(long_metrics(spark, sf_dir))
 
 
+def q_changepoints_blocked(spark, sf_dir):
+    """The search in chunks small enough that every fixture series spans several."""
+    from ..operators.changepoints_blocked import changepoints_blocked
+    return changepoints_blocked(long_metrics(spark, sf_dir), chunk_rows=2 * BLOCK_ROWS)
+
+
 def q_changepoint_alerts(spark, sf_dir):
     from ..operators.changepoints import changepoint_alerts
     return changepoint_alerts(long_metrics(spark, sf_dir))
@@ -235,6 +241,7 @@ QUERIES: dict[str, Query] = {
     "time_folds_blocked": q_time_folds_blocked,
     "batch_alerts_table": q_batch_alerts_table,
     "changepoints": q_changepoints,
+    "changepoints_blocked": q_changepoints_blocked,
     "changepoint_alerts": q_changepoint_alerts,
     "detect_alerts": q_detect_alerts,
     "model_regressor": q_model_regressor,
