@@ -16,7 +16,7 @@ def test_entry_runs(spark):
 def test_every_query_has_an_oracle_or_is_declared_rows_only():
     import __spark_entry__ as e
     rows_only = set(e.queries()) - set(e.oracle_sql()) - set(e.LLM_QUERIES)
-    assert rows_only == {"changepoints", "changepoint_alerts", "detect_alerts",
+    assert rows_only == {"changepoints", "changepoint_alerts", "changepoints_blocked", "detect_alerts",
                          "latest_alerts_all_kinds", "alert_counts_all_kinds",
                          "model_regressor", "model_classifier"}
 
