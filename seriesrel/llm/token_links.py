@@ -45,7 +45,7 @@ from seriesrel.llm.text import small
 from seriesrel.llm.vectors import SCHEMA, rows_of, tree_sum, written
 
 BLANK = "▁"
-REMEMBERED, LONGEST = 200_000, 48     # pieces of text a generation, characters of one
+REMEMBERED, LONGEST = 350_000, 48     # pieces of text a generation, characters of one
 MARKS = ",.;:!?"
 _cut = re.compile(r"(?<=\S) (?=\S)").split
 
@@ -85,6 +85,7 @@ class Aligner:
             raise ValueError("a piece reaches over a blank: texts cannot be cut there")
         self.ranks = tiktoken.Encoding("a", pat_str=PRETOKEN, special_tokens={},
                                        mergeable_ranks={x: i for i, x in enumerate(self.bytes_a) if i < len(self.bytes_a) - len(special)})
+        self.run = ""
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         # Written ids: with a comma, and as the last of their kind in a group.
         self.shown_a, self.shown_b = ([np.array([f"{i}{c}" for i in range(len(t))], object) for c in ends]
@@ -187,21 +188,25 @@ class Aligner:
         return out
 
 
-_loaded: dict[tuple, Aligner] = {}
+_loaded: dict[tuple[str, str], Aligner] = {}
 
 
-def aligner(*key) -> Aligner:
-    """One aligner per worker process, files and run."""
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = Aligner(*key[:2])
-    return _loaded[key]
+def aligner(path_a: str, path_b: str, run: str = "") -> Aligner:
+    """One aligner per worker process and files; another run forgets the pieces."""
+    if (path_a, path_b) not in _loaded:
+        _loaded[path_a, path_b] = Aligner(path_a, path_b)
+    one = _loaded[path_a, path_b]
+    if one.run != run:
+        one.run, one._young, one._old = run, {}, {}
+    return one
 
 
 def pair_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """``(pair, n)``: how often each task linked an id pair (``a << 32 | b``); a pair comes once a task."""
+    name = uuid.uuid4().hex
+
     def run(batches):
-        one, pairs, counts = aligner(path_a, path_b, "counts"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        one, pairs, counts = aligner(path_a, path_b, name), np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in small(batches):
             cut = [one.cut(t) for t in batch.column("text").to_pylist()]
             known = one.learn({p for pieces in cut for p in pieces}, show=False)
@@ -250,7 +255,8 @@ def links(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     b_ids = table.keys & 0xFFFFFFFF
     highest = np.zeros(int(b_ids.max()) + 1 if len(b_ids) else 1, np.int64)
     np.maximum.at(highest, b_ids, counts)
-    shared, name = docs.sparkSession.sparkContext.broadcast((table, counts, counts == highest[b_ids])), uuid.uuid4().hex
+    name = uuid.uuid4().hex
+    shared = docs.sparkSession.sparkContext.broadcast((table, counts, counts == highest[b_ids]))
 
     def run(batches):
         table, counts, best = shared.value
