@@ -128,13 +128,14 @@ def align_blocked(lead: DataFrame, ref: DataFrame, *, chunk_rows: int = DEFAULT_
 def rolling_metrics_blocked(bars: DataFrame, windows: dict[str, int] = WINDOWS, *,
                             chunk_rows: int = DEFAULT_CHUNK_ROWS,
                             keys: tuple[str, ...] = ("symbol",), order: str = "date",
-                            keep: tuple[str, ...] = ()) -> DataFrame:
-    """``rolling_metrics`` via halos (same rows and values)."""
+                            keep: tuple[str, ...] = (), rolling=None) -> DataFrame:
+    """``rolling_metrics`` via halos (same rows and values). ``rolling`` computes a chunk:
+    ``rolling_metrics``, or ``rolling_metrics_merged`` for wide windows."""
     from .metrics import rolling_metrics
     halo = max(windows.values()) - 1
     d = with_halo(index_rows(bars, keys, order), halo, chunk_rows)
-    wide = rolling_metrics(d, windows, keys=(*keys, "_chunk"), order="_idx",
-                           keep=(order, "_halo", *keep))
+    wide = (rolling or rolling_metrics)(d, windows, keys=(*keys, "_chunk"), order="_idx",
+                                        keep=(order, "_halo", *keep))
     return wide.where(~F.col("_halo")).drop("_halo", "_chunk", "_idx")
 
 

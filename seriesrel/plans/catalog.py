@@ -166,6 +166,11 @@ def q_aligned_bars_blocked(spark, sf_dir):
                                        fx.reference_series(spark, sf_dir), chunk_rows=BLOCK_ROWS))
 
 
+def q_metrics_long_merged(spark, sf_dir):
+    from ..operators.moments import metrics_long_merged
+    return round_doubles(metrics_long_merged(bars(spark, sf_dir)))
+
+
 def q_metrics_long_blocked(spark, sf_dir):
     from ..operators.blocked import metrics_long_blocked
     return round_doubles(metrics_long_blocked(bars(spark, sf_dir), chunk_rows=BLOCK_ROWS))
@@ -234,6 +239,7 @@ QUERIES: dict[str, Query] = {
     "mae_by_fold": q_mae_by_fold,
     "classification_report": q_classification_report,
     "aligned_bars_blocked": q_aligned_bars_blocked,
+    "metrics_long_merged": q_metrics_long_merged,
     "metrics_long_blocked": q_metrics_long_blocked,
     "cusum_accumulator_blocked": q_cusum_accumulator_blocked,
     "cusum_alerts_blocked": q_cusum_alerts_blocked,

@@ -379,6 +379,7 @@ SQL.update({
 SQL.update({
     "aligned_bars_blocked": SQL["aligned_bars"],
     "metrics_long_blocked": SQL["metrics_long"],
+    "metrics_long_merged": SQL["metrics_long"],
     "cusum_accumulator_blocked": SQL["cusum_accumulator"],
     "cusum_alerts_blocked": SQL["cusum_alerts"],
     "features_lagged_blocked": SQL["features_lagged"],

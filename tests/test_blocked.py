@@ -7,6 +7,7 @@ from seriesrel.operators.align import align
 from seriesrel.operators.detect import cusum, hysteresis_fires
 from seriesrel.operators.features import features_from_bars, time_folds
 from seriesrel.operators.metrics import rolling_metrics
+from seriesrel.operators.moments import rolling_metrics_merged
 
 
 def _frame(spark, n, seed, symbols=("a", "b")):
@@ -41,6 +42,13 @@ def test_rolling_blocked_equals_plain(spark, chunk_rows):
     _same(plain, blk, ["symbol", "date"])
 
 
+def test_merged_moments_in_chunks_equal_plain(spark):
+    bars = _frame(spark, 300, 5)
+    plain = rolling_metrics(bars).toPandas()
+    blk = blocked.rolling_metrics_blocked(bars, chunk_rows=70, rolling=rolling_metrics_merged).toPandas()[plain.columns]
+    _same(plain, blk, ["symbol", "date"])
+
+
 @pytest.mark.parametrize("chunk_rows", [1, 20])
 def test_halo_may_be_longer_than_a_chunk(spark, chunk_rows):
     bars = _frame(spark, 90, 3)
