@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import KIND_CUSUM
+from ..config import KIND_CUSUM, LATEST_ALERTS_LIMIT
 from ..functions.columns import round_doubles
 from ..operators import detect
 from ..session import ensure_checkpoint_dir
@@ -45,6 +45,12 @@ def stored(spark: SparkSession, sf_dir: str, spec: tables.TableSpec, start=None,
     return tables.read_range(spark, f"{stored_root(spark, sf_dir)}/{spec.name}", spec, start=start, end=end, where=keys)
 
 
+def newest_alerts(spark: SparkSession, sf_dir: str, **keys) -> DataFrame:
+    """Stored alerts of the newest chunks that hold the panel's rows."""
+    return tables.read_newest(spark, f"{stored_root(spark, sf_dir)}/{tables.ALERTS.name}", tables.ALERTS,
+                              LATEST_ALERTS_LIMIT, keys)
+
+
 def q_panel_price(spark, sf_dir):
     return round_doubles(serve.panel_price(stored(spark, sf_dir, tables.BARS, START, END), PANEL_SYMBOL))
 
@@ -66,12 +72,12 @@ def q_zscore_band(spark, sf_dir):
 
 
 def q_latest_alerts(spark, sf_dir):
-    return serve.latest_alerts(stored(spark, sf_dir, tables.ALERTS, kind=KIND_CUSUM))
+    return serve.latest_alerts(newest_alerts(spark, sf_dir, kind=KIND_CUSUM))
 
 
 def q_latest_alerts_all_kinds(spark, sf_dir):
     """The panel over both detectors' alerts."""
-    return serve.latest_alerts(stored(spark, sf_dir, tables.ALERTS))
+    return serve.latest_alerts(newest_alerts(spark, sf_dir))
 
 
 def q_alert_counts_all_kinds(spark, sf_dir):
@@ -99,7 +105,7 @@ def q_sql_panel_zscore_30d(spark, sf_dir):
 
 
 def q_sql_latest_alerts(spark, sf_dir):
-    serve.register_views(spark, alerts=stored(spark, sf_dir, tables.ALERTS).where(F.col("kind") == KIND_CUSUM))
+    serve.register_views(spark, alerts=newest_alerts(spark, sf_dir, kind=KIND_CUSUM))
     return serve.run_newest_alerts(spark)
 
 

@@ -11,6 +11,10 @@ Writes are idempotent by key: new rows are de-duplicated within the batch and
 anti-joined with the existing table on (chunk, key...). ``chunk`` is the
 partition column and the existing side is filtered to the chunks the batch
 touches, so the anti-join reads only those partitions, never the table.
+
+A table with ``counted`` columns keeps a small table beside it, ``<path>_counts``: rows
+per chunk and value of these columns, one set of rows a write. The newest rows are then
+read from the newest chunks that are known to hold enough of them (``read_newest``).
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ class TableSpec:
     key: tuple[str, ...]
     lookup: tuple[str, ...]
     chunk: str = "week"      # 'week' (7-day chunks) or 'month' (30-day chunks)
+    # Rows per chunk and value of these are kept beside the table: columns of a few fixed values.
+    counted: tuple[str, ...] | None = None
 
 
 # Intended keys: the reference declares none, so reruns duplicate there.
@@ -44,7 +50,7 @@ BARS = TableSpec("aligned_bars", "date", ("date", "horizon", "symbol"), ("horizo
 METRICS = TableSpec("relationship_metrics", "date", ("date", "horizon", "symbol", "metric"),
                     ("metric", "horizon", "symbol"), chunk="month")
 ALERTS = TableSpec("alerts", "fired_at", ("fired_at", "kind", "symbol", "horizon"), (),
-                   chunk="month")
+                   chunk="month", counted=("kind",))
 
 
 def chunk_of(time_col: str | Column, unit: str = "week") -> Column:
@@ -118,9 +124,20 @@ def insert_if_absent(new: DataFrame, path: str, spec: TableSpec, *,
             chunks = [r[0] for r in rows.select("chunk").distinct().collect()]
             touched = existing.where(F.col("chunk").isin(chunks)).select("chunk", *spec.key)
             fresh = rows.join(touched, ["chunk", *spec.key], "left_anti").persist()
-        n = fresh.count()
+        counted = spec.counted or ()
+        if counted:
+            # Taken before the write, after which Spark refreshes what is cached from this path.
+            per = fresh.groupBy("chunk", *counted).agg(F.count(F.lit(1)).alias("n_rows"))
+            noted = per.collect()
+            n = sum(r["n_rows"] for r in noted)
+        else:
+            n = fresh.count()
         if n:
             write_partitioned(fresh, path, spec, mode="append")
+            # The counts follow the rows: a write that is cut short between them leaves
+            # counts too low, which only makes readers take more chunks.
+            if counted:
+                spark.createDataFrame(noted, per.schema).coalesce(1).write.mode("append").parquet(f"{path}_counts")
         elif existing is None:
             declare(fresh, path)
         return n
@@ -129,6 +146,48 @@ def insert_if_absent(new: DataFrame, path: str, spec: TableSpec, *,
         rows.unpersist()
 
 
+def newest_chunk(spark: SparkSession, path: str, spec: TableSpec, limit: int,
+                 where: dict | None = None):
+    """The oldest chunk that is needed for the ``limit`` newest rows, or None for all of them.
+
+    ``where`` holds equal values of ``counted`` columns. The counts, summed per chunk, are a row a
+    chunk, bounded by the table's time span. Rows without a time are the oldest and have no chunk.
+    """
+    counts = read_table(spark, f"{path}_counts")
+    if counts is None:
+        return None
+    for k, v in (where or {}).items():
+        counts = counts.where(F.col(k) == F.lit(v))
+    per = (counts.where(F.col("chunk").isNotNull()).groupBy("chunk").agg(F.sum("n_rows").alias("n_rows"))
+                 .orderBy(F.col("chunk").desc()).collect())
+    have = 0
+    for r in per:
+        have += r["n_rows"]
+        if have >= limit:
+            return r["chunk"]
+    return None
+
+
+def read_newest(spark: SparkSession, path: str, spec: TableSpec, limit: int,
+                where: dict | None = None) -> DataFrame:
+    """Rows among which the ``limit`` newest with these values are: whole chunks from the newest on.
+
+    Chunks follow the time column, so every row left out is older than all of ``limit`` rows
+    that are read, and ties at the cut lie in one chunk. Rows that are not counted do no harm,
+    wherever they lie; rows are never taken out of a counted table. With fewer than ``limit``
+    known, without counts, or with other columns in ``where``, the table is read whole.
+    """
+    df = spark.read.parquet(path)
+    start = None
+    if set(where or {}) <= set(spec.counted or ()):
+        start = newest_chunk(spark, path, spec, limit, where)
+    if start is not None:
+        df = df.where(F.col("chunk") >= F.lit(start))
+    for k, v in (where or {}).items():
+        df = df.where(F.col(k) == F.lit(v))
+    return df
+
+
 def input_stamp(spark: SparkSession, *paths: str) -> str:
     """Names the present files under the paths by their names, sizes and times; no content is read."""
     sums = []

@@ -1,5 +1,7 @@
+import datetime as dt
 import json
 import os
+import random
 
 from pyspark.sql import functions as F
 
@@ -143,3 +145,48 @@ def test_accounting_counts_every_landed_message(spark):
     run_until_drained(spark, file_source(spark, f"{root}/more"), cfg3)
     assert totals(cfg3) == want | {("more", "raw_lead"): 1, ("more", "malformed_json"): 1}
     assert spark.read.parquet(cfg.table_path("raw_lead")).count() == 2
+
+
+def _alerts(spark, rows):
+    return spark.createDataFrame(
+        rows, "fired_at timestamp_ntz, kind string, severity string, symbol string, horizon string, description string")
+
+
+def test_newest_alerts_are_read_from_the_newest_chunks(spark):
+    from seriesrel.plans import serve
+    path = f"{scratch_path(spark, 'test-newest')}/alerts"
+    rng = random.Random(3)
+    day = lambda m, d: dt.datetime(2020 + m // 12, m % 12 + 1, d)
+    rows = [(day(m, rng.choice((1, 15, 28))), rng.choice("ab"), "w", f"s{i}", "30d", "x") for m in range(30) for i in range(6)]
+    rows += [(day(29, 28), "rare", "w", "late", "30d", "x"), (day(2, 1), "rare", "w", "old", "30d", "x")]
+    rng.shuffle(rows)
+    # without any counts the table is read whole
+    tables.write_partitioned(_alerts(spark, rows[:20]), path, tables.ALERTS)
+    assert tables.newest_chunk(spark, path, tables.ALERTS, 5) is None
+    # by two keyed writes that overlap, then rows whose counts were lost, in old and in new chunks
+    assert tables.insert_if_absent(_alerts(spark, rows[:100]), path, tables.ALERTS) == 80
+    assert tables.insert_if_absent(_alerts(spark, rows[60:]), path, tables.ALERTS) == len(rows) - 100
+    uncounted = [(day(m, 28), "a", "w", f"u{i}", "30d", "x") for m in (1, 31) for i in range(4)]
+    tables.write_partitioned(_alerts(spark, uncounted), path, tables.ALERTS)
+    assert tables.insert_if_absent(_alerts(spark, rows), path, tables.ALERTS) == 0
+    whole = spark.read.parquet(path)
+    assert whole.count() == len(rows) + 8
+    for where in ({}, {"kind": "a"}, {"kind": "rare"}, {"kind": "none"}, {"symbol": "s1"}):
+        for limit in (1, 2, 7, 50, 1000):
+            want = whole
+            for k, v in where.items():
+                want = want.where(F.col(k) == v)
+            got = serve.latest_alerts(tables.read_newest(spark, path, tables.ALERTS, limit, where), limit)
+            assert sorted(got.collect()) == sorted(serve.latest_alerts(want, limit).collect()), (where, limit)
+    # one filter on the partition column, and few of the files
+    few = tables.read_newest(spark, path, tables.ALERTS, 7)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "chunk" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    scanned = few.select("chunk").distinct().count()
+    assert 1 <= scanned <= 6 < whole.select("chunk").distinct().count()
+
+
+def test_newest_of_an_empty_table(spark):
+    path = f"{scratch_path(spark, 'test-newest-empty')}/alerts"
+    assert tables.insert_if_absent(_alerts(spark, []), path, tables.ALERTS) == 0
+    assert tables.read_newest(spark, path, tables.ALERTS, 5).collect() == []
