@@ -21,12 +21,12 @@ from dataclasses import dataclass, field
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FEATURE_COLUMNS, N_SPLITS, TARGET_CLASS, TARGET_REGRESSION
 from .evaluate import classification_report, last_fold, mae_by_fold
-from .features import time_folds
+from .features import class_weights, time_folds
 
 
 @dataclass
@@ -48,12 +48,11 @@ class TrainResult:
     models: dict = field(default_factory=dict)   # symbol -> (gbt, rf) fit on all rows
 
 
-def _with_balanced_weights(df: DataFrame, label: str = TARGET_CLASS) -> DataFrame:
-    w = Window.partitionBy("symbol", "fold")
-    per = Window.partitionBy("symbol", "fold", label)
-    n_c = F.count(F.lit(1)).over(per)
-    k = F.size(F.collect_set(label).over(w))
-    return df.withColumn("class_weight", F.count(F.lit(1)).over(w) / (k * n_c))
+def with_balanced_weights(df: DataFrame, keys: tuple[str, ...], label: str = TARGET_CLASS) -> DataFrame:
+    """Rows with ``class_weight`` of their label within ``keys``: a small aggregate joined back, so no
+    task holds a whole training set. Rows with a null label have no weight and are left out."""
+    weights = class_weights(df.where(F.col(label).isNotNull()), label, keys)
+    return df.join(weights.select(*keys, label, F.col("weight").alias("class_weight")), [*keys, label])
 
 
 def train_models(features: DataFrame, params: ModelParams | None = None, *,
@@ -68,7 +67,7 @@ def train_models(features: DataFrame, params: ModelParams | None = None, *,
     data = assembler.transform(folded)
     # Cut the lineage once: the fits below re-read this frame many times.
     data = data.checkpoint(eager=True)
-    train = _with_balanced_weights(data.where(F.col("role") == "train"))
+    train = with_balanced_weights(data.where(F.col("role") == "train"), ("symbol", "fold"))
     test = data.where(F.col("role") == "test")
     # The distinct symbols are the unit of model ownership (bounded by series
     # count); each fit itself is distributed.
@@ -109,10 +108,7 @@ def train_models(features: DataFrame, params: ModelParams | None = None, *,
         # The last fold's train + test rows are every row exactly once.
         base = data.where(F.col("fold") == n_splits - 1).drop("fold", "role")
         # Class weights over all rows of each symbol for the final fit.
-        wall = Window.partitionBy("symbol")
-        n_c = F.count(F.lit(1)).over(Window.partitionBy("symbol", TARGET_CLASS))
-        k = F.size(F.collect_set(TARGET_CLASS).over(wall))
-        base = base.withColumn("class_weight", F.count(F.lit(1)).over(wall) / (k * n_c))
+        base = with_balanced_weights(base, ("symbol",))
 
         def fit_all(sym):
             d = base.where(F.col("symbol") == sym)
