@@ -175,7 +175,8 @@ def run_until_drained(spark: SparkSession, source: DataFrame, cfg: IngestConfig)
 
 
 def await_all(spark: SparkSession) -> None:
-    """Block until any query stops; surfaces the first failure (T5)."""
+    """Block until any query stops; surfaces the first failure (T5). A query that stopped earlier in
+    the session counts too, until ``spark.streams.resetTerminated()``."""
     spark.streams.awaitAnyTermination()
 
 

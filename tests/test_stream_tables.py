@@ -190,3 +190,30 @@ def test_newest_of_an_empty_table(spark):
     path = f"{scratch_path(spark, 'test-newest-empty')}/alerts"
     assert tables.insert_if_absent(_alerts(spark, []), path, tables.ALERTS) == 0
     assert tables.read_newest(spark, path, tables.ALERTS, 5).collect() == []
+
+
+def test_waiting_surfaces_the_failure_of_any_query(spark):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    from seriesrel.streaming.job import await_all
+    root = scratch_path(spark, "test-await")
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+
+    def broken(df, batch_id):
+        raise ValueError("planned failure")
+
+    spark.streams.resetTerminated()
+    runs = ticks.writeStream.format("noop").option("checkpointLocation", f"{root}/runs").start()
+    fails = ticks.writeStream.foreachBatch(broken).option("checkpointLocation", f"{root}/fails").start()
+    try:
+        with pytest.raises(StreamingQueryException, match="planned failure"):
+            await_all(spark)
+        assert runs.isActive and not fails.isActive
+        # a query that is stopped without a failure ends the wait as well
+        spark.streams.resetTerminated()
+        runs.stop()
+        await_all(spark)
+    finally:
+        runs.stop()
+        fails.stop()
+        spark.streams.resetTerminated()
