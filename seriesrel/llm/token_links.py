@@ -15,7 +15,7 @@ million here), and so the hash, the keys and the counts have a size that no corp
 Texts are cut at single blanks between two characters that are no white space. Neither
 tokenizer has a token across such a blank (checked on loading for the pieces; the other's
 pre-tokens begin there), so the pieces between are aligned on their own, and the frequent
-ones are remembered in two generations of a bounded dictionary. A mark that ends a piece
+ones are remembered in two generations of a bounded dictionary, over both passes. A mark that ends a piece
 after a letter is cut off too, if no entry of the pieces has that mark after a letter.
 
 Edge cases: null and empty texts, and texts whose joined token bytes differ from the
@@ -45,7 +45,7 @@ from seriesrel.llm.text import small
 from seriesrel.llm.vectors import SCHEMA, rows_of, tree_sum, written
 
 BLANK = "▁"
-REMEMBERED, LONGEST = 350_000, 48     # pieces of text a generation, characters of one
+REMEMBERED, LONGEST = 200_000, 48     # pieces of text a generation, characters of one
 MARKS = ",.;:!?"
 _cut = re.compile(r"(?<=\S) (?=\S)").split
 
@@ -53,11 +53,22 @@ _cut = re.compile(r"(?<=\S) (?=\S)").split
 class Aligned:
     """The alignment of one piece of text: ids, links and groups."""
 
-    __slots__ = ("best", "codes", "n_a", "n_b", "shown", "total")
+    __slots__ = ("best", "counted", "n_a", "n_b", "packed", "shown", "total")
 
-    def __init__(self, n_a: int, n_b: int, codes: np.ndarray, shown: str):
-        self.n_a, self.n_b, self.codes, self.shown = n_a, n_b, codes, shown
+    def __init__(self, n_a: int, n_b: int, packed: bytes, shown: str):
+        """``packed``: the links' codes; bytes of its own, as an array's slice would keep the whole batch alive."""
+        self.n_a, self.n_b, self.packed, self.shown = n_a, n_b, packed, shown
         self.best = self.total = 0
+        self.counted = ""             # the run whose counts ``best`` and ``total`` come from
+
+    @property
+    def codes(self) -> np.ndarray:
+        return unpacked([self])
+
+
+def unpacked(found: list[Aligned]) -> np.ndarray:
+    """The links' codes of all, one after the other."""
+    return np.frombuffer(b"".join([x.packed for x in found]), np.int64)
 
 
 class Aligner:
@@ -85,7 +96,6 @@ class Aligner:
             raise ValueError("a piece reaches over a blank: texts cannot be cut there")
         self.ranks = tiktoken.Encoding("a", pat_str=PRETOKEN, special_tokens={},
                                        mergeable_ranks={x: i for i, x in enumerate(self.bytes_a) if i < len(self.bytes_a) - len(special)})
-        self.run = ""
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         # Written ids: with a comma, and as the last of their kind in a group.
         self.shown_a, self.shown_b = ([np.array([f"{i}{c}" for i in range(len(t))], object) for c in ends]
@@ -121,7 +131,7 @@ class Aligner:
             out[i] = e.ids
         return out
 
-    def align(self, texts: list[str], show: bool = True) -> list[Aligned | None]:
+    def align(self, texts: list[str]) -> list[Aligned | None]:
         """Alignment of each whole string; None where the bytes differ. All strings go through the same arrays."""
         wholes = [b" " + t.encode() for t in texts]
         length, counts, flat = np.fromiter(map(len, wholes), np.int64, len(texts)), [], []
@@ -148,9 +158,10 @@ class Aligner:
         last_a, last_b = np.flatnonzero(hit), at[hit]
         codes = a[last_a] << 32 | b[last_b]
         n_a, n_b = counts[0][good], counts[1][good]
-        cuts = np.concatenate(([0], np.cumsum(hit)))[np.concatenate(([0], np.cumsum(n_a)))].tolist()
-        strings = self._shown(a, b, hit, last_a, last_b, np.concatenate(([0], np.cumsum(n_a + n_b))).tolist()) if show else [""] * len(n_a)
-        found = iter([Aligned(x, y, codes[cuts[k]:cuts[k + 1]], strings[k])
+        cuts = (8 * np.concatenate(([0], np.cumsum(hit)))[np.concatenate(([0], np.cumsum(n_a)))]).tolist()
+        packed = codes.tobytes()
+        strings = self._shown(a, b, hit, last_a, last_b, np.concatenate(([0], np.cumsum(n_a + n_b))).tolist())
+        found = iter([Aligned(x, y, packed[cuts[k]:cuts[k + 1]], strings[k])
                       for k, (x, y) in enumerate(zip(n_a.tolist(), n_b.tolist(), strict=True))])
         return [next(found) if g else None for g in good.tolist()]
 
@@ -165,8 +176,8 @@ class Aligner:
         ids = out.tolist()
         return ["".join(ids[i:j])[:-1] for i, j in zip(stops, stops[1:])]
 
-    def learn(self, pieces: set[str | tuple], made=None, show: bool = True) -> dict[str | tuple, Aligned | None]:
-        """Alignments of the pieces; ``made`` is called with the new ones."""
+    def learn(self, pieces: set[str | tuple]) -> dict[str | tuple, Aligned | None]:
+        """Alignments of the pieces."""
         out, new = {}, []
         for p in pieces:
             if p in self._young:
@@ -176,11 +187,9 @@ class Aligner:
             else:
                 new.append(p)
         if new:
-            marks = {p: Aligned(1, 1, np.array([p[1] << 32 | p[2]]), f"{p[1]}|{p[2]}") for p in new if type(p) is tuple}
-            rest = iter(self.align([p for p in new if p not in marks], show))
+            marks = {p: Aligned(1, 1, np.int64(p[1] << 32 | p[2]).tobytes(), f"{p[1]}|{p[2]}") for p in new if type(p) is tuple}
+            rest = iter(self.align([p for p in new if p not in marks]))
             found = [marks[p] if p in marks else next(rest) for p in new]
-            if made:
-                made([x for x in found if x is not None])
             out.update(zip(new, found, strict=True))
             self._young.update((p, x) for p, x in zip(new, found, strict=True) if len(p) <= LONGEST)
         if len(self._young) >= REMEMBERED:
@@ -191,33 +200,27 @@ class Aligner:
 _loaded: dict[tuple[str, str], Aligner] = {}
 
 
-def aligner(path_a: str, path_b: str, run: str = "") -> Aligner:
-    """One aligner per worker process and files; another run forgets the pieces."""
+def aligner(path_a: str, path_b: str) -> Aligner:
+    """One aligner per worker process and files."""
     if (path_a, path_b) not in _loaded:
         _loaded[path_a, path_b] = Aligner(path_a, path_b)
-    one = _loaded[path_a, path_b]
-    if one.run != run:
-        one.run, one._young, one._old = run, {}, {}
-    return one
+    return _loaded[path_a, path_b]
 
 
 def pair_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """``(pair, n)``: how often each task linked an id pair (``a << 32 | b``); a pair comes once a task."""
-    name = uuid.uuid4().hex
-
     def run(batches):
-        one, pairs, counts = aligner(path_a, path_b, name), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        one, pairs, counts = aligner(path_a, path_b), np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in small(batches):
-            cut = [one.cut(t) for t in batch.column("text").to_pylist()]
-            known = one.learn({p for pieces in cut for p in pieces}, show=False)
-            seen: Counter[str] = Counter()
-            for pieces in cut:
-                if all(known[p] is not None for p in pieces):
-                    seen.update(pieces)
+            texts = [one.cut(t) for t in batch.column("text").to_pylist()]
+            known = one.learn(set(chain.from_iterable(texts)))
+            bad = {p for p, x in known.items() if x is None}
+            seen = Counter(chain.from_iterable(t for t in texts if bad.isdisjoint(t)) if bad else chain.from_iterable(texts))
             if not seen:
                 continue
-            codes = np.concatenate([known[p].codes for p in seen])
-            each = np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), [len(known[p].codes) for p in seen])
+            found = [known[p] for p in seen]
+            codes = unpacked(found)
+            each = np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), [len(x.packed) // 8 for x in found])
             pairs, at = np.unique(np.concatenate((pairs, codes)), return_inverse=True)
             total = np.zeros(len(pairs), np.int64)
             np.add.at(total, at, np.concatenate((counts, each)))
@@ -260,31 +263,36 @@ def links(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def run(batches):
         table, counts, best = shared.value
-        one = aligner(path_a, path_b, name)
+        one = aligner(path_a, path_b)
 
         def look_up(new: list[Aligned]) -> None:
-            at = table.find(np.concatenate([x.codes for x in new])) if new else np.zeros(0, np.int64)
+            at = table.find(unpacked(new))
             if (at < 0).any():
                 raise AssertionError("a linked pair was not counted")
-            ends = np.cumsum([0, *(len(x.codes) for x in new)])
-            n, b = np.concatenate(([0], np.cumsum(counts[at]))), np.concatenate(([0], np.cumsum(best[at])))
-            for x, lo, hi in zip(new, ends[:-1], ends[1:], strict=True):
-                x.total, x.best = int(n[hi] - n[lo]), int(b[hi] - b[lo])
+            ends = np.cumsum([0, *(len(x.packed) // 8 for x in new)])
+            n, b = (np.concatenate(([0], np.cumsum(v[at])))[ends] for v in (counts, best))
+            for x, total, most in zip(new, np.diff(n).tolist(), np.diff(b).tolist(), strict=True):
+                x.total, x.best, x.counted = total, most, name
 
         for batch in small(batches):
-            cut = [one.cut(t) for t in batch.column("text").to_pylist()]
-            known = one.learn({p for pieces in cut for p in pieces}, look_up)
-            rows = []
-            for pieces in cut:
-                got = [known[p] for p in pieces]
-                if not got or None in got:
-                    rows.append((0, 0, 0, 0, 0, ""))
-                else:
-                    rows.append((sum([x.n_a for x in got]), sum([x.n_b for x in got]), sum([len(x.codes) for x in got]),
-                                 sum([x.best for x in got]), sum([x.total for x in got]), ";".join([x.shown for x in got])))
-            n_a, n_b, n_links, n_best, count_sum, groups = zip(*rows, strict=True) if rows else [[]] * 6
-            yield pa.record_batch([batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n_a, n_b, n_links, n_links, n_best, count_sum)),
-                                   pa.array(groups, pa.string())], names=NAMES)
+            texts = [one.cut(t) for t in batch.column("text").to_pylist()]
+            known = one.learn(set(chain.from_iterable(texts)))
+            bad = {p for p, x in known.items() if x is None}
+            texts = [t if bad.isdisjoint(t) else [] for t in texts] if bad else texts
+            known = {p: x for p, x in known.items() if x is not None}
+            look_up([x for x in known.values() if x.counted != name])
+            # Sums over a text's pieces from running sums over the batch's.
+            number = dict(zip(known, range(len(known)), strict=True))
+            ends = np.cumsum([0, *map(len, texts)])
+            order = np.fromiter(map(number.__getitem__, chain.from_iterable(texts)), np.int64, int(ends[-1]))
+            columns = []
+            for fact in ([x.n_a for x in known.values()], [x.n_b for x in known.values()], [len(x.packed) // 8 for x in known.values()],
+                         [x.best for x in known.values()], [x.total for x in known.values()]):
+                columns.append(pa.array(np.diff(np.concatenate(([0], np.cumsum(np.array(fact, np.int64)[order])))[ends])))
+            n_a, n_b, n_links, n_best, count_sum = columns
+            shown = {p: x.shown for p, x in known.items()}
+            groups = pa.array([";".join(map(shown.__getitem__, t)) for t in texts], pa.string())
+            yield pa.record_batch([batch.column("doc_id"), n_a, n_b, n_links, n_links, n_best, count_sum, groups], names=NAMES)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, LINKS)
 
