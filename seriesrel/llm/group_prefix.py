@@ -13,7 +13,8 @@ fewest rarer runs before the shared one, and every member against its group's fi
 what passes the size and position filters, and then the two whole prefixes, is verified
 on the whole texts; (4) that is
 repeated with the next pivots for buckets whose groups are in different components, and
-(5) what is then still apart is joined pair by pair, expanded to members and verified.
+(5) what is then still apart is joined pair by pair, expanded to members and verified;
+a bucket that has a group of several members stays open up to there, unless all are in one component.
 Links make components. So a group of many variants costs a comparison each with a few
 pivots, not one each with all others, and no link between components is lost.
 
@@ -208,8 +209,8 @@ def link_classes(docs: DataFrame) -> DataFrame:
         if not pairs.isEmpty():
             links = written(links.unionByName(linked(pairs, plain)), "links")
             labels = components(links)
-    rest = rest_pairs(opened(posts, labels, members, PIVOTS), labels, members).join(tested, ["a", "b"], "left_anti")
-    rest = written(possible(written(rest, "pairs"), heads), "possible")
+    rest = rest_pairs(opened(posts, labels, members, PIVOTS), labels, members, heads).join(tested, ["a", "b"], "left_anti")
+    rest = written(rest, "pairs")
     if not rest.isEmpty():
         labels = components(links.unionByName(linked(rest, plain)))
     known = sets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("n", "s1", "s2", F.coalesce("label", "rep").alias("component"))
@@ -224,15 +225,16 @@ POSTING = ["run", "low", "gid", "n", "pos", "size"]
 def opened(posts: DataFrame, labels: DataFrame, members: DataFrame, done: int) -> DataFrame:
     """The postings of buckets whose groups are in different components, with the least
     and greatest label that a group's members have (``lmin``, ``lmax``). A bucket of no more
-    than one group beyond the ``done`` pivots it had has had all its pairs."""
+    than one group beyond the ``done`` pivots it had has had all its pairs, if each of its groups
+    is one set: pivots meet only the first sets of groups, and others of them may link where those do not."""
     named = labels.withColumnsRenamed({"node": "rep", "label": "l"})
     own = F.coalesce("l", "rep")
     inside = members.join(named, "rep", "left").groupBy("gid").agg(F.min(own).alias("i"), F.max(own).alias("j"))
     rows = (posts.select(*POSTING).join(named.withColumnRenamed("rep", "gid"), "gid", "left").join(written(inside, "inside"), "gid", "left")
-            .select(*POSTING, F.coalesce("i", "l", "gid").alias("lmin"), F.coalesce("j", "l", "gid").alias("lmax")))
-    still = rows.groupBy("run", "low").agg(F.min("lmin").alias("a"), F.max("lmax").alias("b"), F.count("*").alias("m"), F.bool_or(F.col("lmin") != F.col("lmax")).alias("mixed"))
-    still = still.where((F.col("a") != F.col("b")) & ((F.col("m") > done + 1) | F.col("mixed"))).select("run", "low")
-    return written(rows.join(written(still, "still"), ["run", "low"]), "open")
+            .select(*POSTING, F.coalesce("i", "l", "gid").alias("lmin"), F.coalesce("j", "l", "gid").alias("lmax"), F.col("i").isNotNull().alias("several")))
+    still = rows.groupBy("run", "low").agg(F.min("lmin").alias("a"), F.max("lmax").alias("b"), F.count("*").alias("m"), F.bool_or("several").alias("several"))
+    still = still.where((F.col("a") != F.col("b")) & ((F.col("m") > done + 1) | F.col("several"))).select("run", "low")
+    return written(rows.drop("several").join(written(still, "still"), ["run", "low"]), "open")
 
 
 def next_pivots(rows: DataFrame, labels: DataFrame, had: DataFrame | None) -> DataFrame:
@@ -253,14 +255,16 @@ def star_pairs(rows: DataFrame, pivots: DataFrame) -> DataFrame:
     return met.select(F.greatest("gid", "p_gid").alias("a"), F.least("gid", "p_gid").alias("b")).distinct()
 
 
-def rest_pairs(rows: DataFrame, labels: DataFrame, members: DataFrame) -> DataFrame:
-    """``(a, b)``: members of different components, of all group pairs that pass the filters."""
+def rest_pairs(rows: DataFrame, labels: DataFrame, members: DataFrame, heads: DataFrame) -> DataFrame:
+    """``(a, b)``: members of different components, of all group pairs that pass the filters and
+    the prefixes; a group's members have its size and prefix."""
     names = ["gid", "n", "pos", "size", "lmin", "lmax"]
     x, y = (rows.select("run", "low", *[F.col(c).alias(t + c) for c in names]) for t in ("x_", "y_"))
     one = (F.col("x_lmin") == F.col("x_lmax")) & (F.col("y_lmin") == F.col("y_lmax")) & (F.col("x_lmin") == F.col("y_lmin"))
     met = x.join(y, (x.run == y.run) & (x.low == y.low) & (F.col("x_gid") < F.col("y_gid")) & ~one
                  & (F.least("x_size", "y_size") == x.low) & _fits("x_", "y_"))
-    groups = met.select(F.col("x_gid").alias("g"), F.col("y_gid").alias("h")).distinct()
+    pairs = written(met.select(F.col("x_gid").alias("a"), F.col("y_gid").alias("b")).distinct(), "group-pairs")
+    groups = possible(pairs, heads).withColumnsRenamed({"a": "g", "b": "h"})
     groups = groups.unionByName(members.select(F.col("gid").alias("g"), F.col("gid").alias("h")).distinct())
     alone = rows.select("gid").union(members.select("gid")).distinct().select("gid", F.col("gid").alias("rep"))
     named = alone.union(members).distinct().join(labels.withColumnRenamed("node", "rep"), "rep", "left")

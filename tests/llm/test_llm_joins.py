@@ -99,6 +99,36 @@ def test_order_of_runs_does_not_matter(spark, monkeypatch):
     assert components_of(documents(spark, rows)) == want
 
 
+def outside_the_prefix(words, places, tag):
+    """``words`` with another word at each place, so that the 21 least of their 200 runs stay as they are."""
+    def prefix(w):
+        return sorted(h >> G.U(8) for h in G.run_sets([" ".join(w).encode()])[1])[:21]
+
+    for i in places:
+        words = next(w for w in ([*words[:i], f"{tag}{i}x{k}", *words[i + 1:]] for k in range(1000)) if prefix(w) == prefix(words))
+    return words
+
+
+@pytest.mark.parametrize("more", [0, 1])
+def test_members_link_where_the_first_of_their_groups_do_not(spark, more):
+    # 190 of 200 runs must be common, a word changed is three runs: three changes link, four do not.
+    base = [f"w{i}" for i in range(202)]
+    h = G.run_sets([" ".join(base).encode()])[1]
+    least = {x >> G.U(8) for x in sorted(h, key=lambda x: x >> G.U(8))[:21]}
+    held = [k for k in range(200) if G.run_sets([" ".join(base[k:k + 3]).encode()])[1][0] >> G.U(8) in least]
+    free = [i for i in range(10, 190) if not any(k in held for k in range(i - 2, i + 1))]
+    free = free[::6]
+    first, inner = outside_the_prefix(base, free[:3], "a"), next(i for i in range(10, 190) if i in held)
+    other = [*base[:inner], "inside", *base[inner + 1:]]
+    rows = [(1, " ".join(first)), (2, " ".join(base)), (3, " ".join(outside_the_prefix(other, free[4:6], "b")))]
+    if more:                                           # a second member on the other side too
+        rows.append((4, " ".join(outside_the_prefix(outside_the_prefix(other, free[4:6], "b"), free[7:8], "c"))))
+    signed = {r.doc_id: (r.n, r.g1, r.g2) for r in G.prefixes(documents(spark, rows), np.zeros(G.BUCKETS, np.uint8)).collect()}
+    assert signed[1] == signed[2] != signed[3]
+    want = brute_components(rows)
+    assert {c for *_, c in want} == {1} and components_of(documents(spark, rows)) == want
+
+
 # ------------------------------------------------------------ pivotal grams --
 def brute_words(rows):
     words = Counter()
