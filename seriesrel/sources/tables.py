@@ -104,6 +104,16 @@ def declare(df: DataFrame, path: str) -> None:
     df.drop("chunk").limit(0).write.mode("append").parquet(f"{path}/chunk=1970-01-01")
 
 
+def absent(rows: DataFrame, existing: DataFrame, chunks: list, spec: TableSpec) -> DataFrame:
+    """``rows`` whose key is not in the ``chunks`` of the table yet.
+
+    The join sorts both sides: stored keys are many times their compressed files, by whose
+    size Spark would send them whole through the driver.
+    """
+    touched = existing.where(F.col("chunk").isin(chunks)).select("chunk", *spec.key)
+    return rows.join(touched.hint("merge"), ["chunk", *spec.key], "left_anti")
+
+
 def insert_if_absent(new: DataFrame, path: str, spec: TableSpec, *,
                      order: list[Column] | None = None) -> int:
     """Append rows whose key is not in the table yet; return rows written.
@@ -122,8 +132,7 @@ def insert_if_absent(new: DataFrame, path: str, spec: TableSpec, *,
     try:
         if existing is not None:
             chunks = [r[0] for r in rows.select("chunk").distinct().collect()]
-            touched = existing.where(F.col("chunk").isin(chunks)).select("chunk", *spec.key)
-            fresh = rows.join(touched, ["chunk", *spec.key], "left_anti").persist()
+            fresh = absent(rows, existing, chunks, spec).persist()
         counted = spec.counted or ()
         if counted:
             # Taken before the write, after which Spark refreshes what is cached from this path.

@@ -217,3 +217,16 @@ def test_waiting_surfaces_the_failure_of_any_query(spark):
         runs.stop()
         fails.stop()
         spark.streams.resetTerminated()
+
+
+def test_stored_keys_are_not_broadcast(spark):
+    path = f"{scratch_path(spark, 'test-absent')}/bars"
+    df = spark.range(40).select(F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("date"), F.lit("1d").alias("horizon"),
+                                F.when(F.col("id") != 7, "a").alias("symbol"))
+    assert tables.insert_if_absent(df.where(F.col("date") < "2020-01-31"), path, tables.BARS) == 30
+    rows = tables.with_chunk(df, tables.BARS)
+    chunks = [r[0] for r in rows.select("chunk").distinct().collect()]
+    fresh = tables.absent(rows, spark.read.parquet(path), chunks, tables.BARS)
+    assert fresh.count() == 11                            # a null key is never found, as before
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
