@@ -70,7 +70,8 @@ def advance(lead: DataFrame, ref: DataFrame, state: DataFrame | None, *, windows
     new = join_reference(lead, ref).withColumn("_old", F.lit(False))
     if state is None:
         state = spark.createDataFrame([], f"symbol string, date date, lead_price double, ref_rate double, tail {TAIL}, series {SERIES}")
-    known = state.select("symbol", F.col("date").alias("_upto"))
+    # Sorted joins on the symbol: windows and sums need that order anyway, and no state goes through the driver.
+    known = state.select("symbol", F.col("date").alias("_upto")).hint("merge")
     new = new.join(known, "symbol", "left").where(F.col("_upto").isNull() | (F.col("date") > F.col("_upto"))).drop("_upto")
     old = state.select("symbol", "date", "lead_price", F.col("ref_rate").alias("ref_observed"), F.lit(True).alias("_old"))
     rows = _kept(add_log_returns(fill_reference(old.unionByName(new)), horizon, keep=("_old",)), "returns")
@@ -113,7 +114,7 @@ def _next_state(rows: DataFrame, pairs: DataFrame, acc: DataFrame, reach: int) -
         F.max_by("p", "date").alias("p"), F.max_by("m", "date").alias("m"),
         F.max(F.when(F.col("mark").isNotNull(), F.struct("date", "mark"))).getField("mark").alias("mark"))
     series = sums.groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct("horizon", "p", "m", "mark"))).alias("series"))
-    return (last.join(tails, "symbol", "left").join(series, "symbol", "left")
+    return (last.join(tails.hint("merge"), "symbol", "left").join(series.hint("merge"), "symbol", "left")
             .select("symbol", "date", "lead_price", "ref_rate", F.coalesce("tail", F.array().cast(TAIL)).alias("tail"),
                     F.coalesce("series", F.array().cast(SERIES)).alias("series")))
 

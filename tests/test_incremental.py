@@ -65,3 +65,11 @@ def test_increment_reads_new_chunks_only(spark):
     plan = inc.stored_since(spark, f"{root}/lead", inc.LEAD, state)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(chunk" in plan and "2020-04-01" in plan
     assert inc.current_version(spark, root) is None and inc.read_state(spark, root) is None
+
+
+def test_state_does_not_go_through_the_driver(spark):
+    lead, ref = series(100)
+    rows = spark.createDataFrame(lead, "symbol string, date date, price double")
+    state = inc.advance(rows, spark.createDataFrame(ref, "date date, rate double"), None, windows=WINDOWS).state
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
