@@ -4,19 +4,18 @@ A is the byte-level vocabulary on a blank and the text, B the piece model on the
 (it adds the blank). Where both have a token that ends at the same byte, the text is cut
 into groups, and the two tokens that end there are linked.
 
-The job: (1) each task aligns its texts and writes the distinct id pairs it linked with
-their counts; (2) the distinct pairs get a minimal perfect hash; every task's counts
-become a dense vector indexed by that hash, and a tree of sums adds the vectors;
-(3) a second pass aligns the texts again and looks every link's count up, each key
-verified. Linked tokens end together, so the bytes of one are the end of the other's:
+The job: (1) each task aligns its texts, once, and writes every text's groups and the codes
+of its links; (2) the distinct id pairs of the links get a minimal perfect hash; every
+task's counts become a dense vector indexed by that hash, and a tree of sums adds the
+vectors; (3) every written link's count is looked up, each key verified. Linked tokens end together, so the bytes of one are the end of the other's:
 all pairs together are no more than the bytes of both vocabularies (``most_pairs``, 0.5
 million here), and so the hash, the keys and the counts have a size that no corpus exceeds.
 
 Texts are cut at single blanks between two characters that are no white space. Neither
 tokenizer has a token across such a blank (checked on loading for the pieces; the other's
 pre-tokens begin there), so the pieces between are aligned on their own, and the frequent
-ones are remembered in two generations of a bounded dictionary, over both passes. A mark that ends a piece
-after a letter is cut off too, if no entry of the pieces has that mark after a letter.
+ones are remembered in two generations of a bounded dictionary. A mark that ends a piece
+after a letter is aligned apart from it, if no entry of the pieces has that mark after a letter.
 
 Edge cases: null and empty texts, and texts whose joined token bytes differ from the
 blank and the text (the pieces' blank sign in a text, say), have no tokens: zeros and an
@@ -26,18 +25,20 @@ through row by row; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import hashlib
+import gc
 import json
 import os
 import re
-import uuid
-from collections import Counter
+from collections.abc import Iterator
+from functools import partial
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from seriesrel.llm.bpe import PRETOKEN, byte_characters
 from seriesrel.llm.perfect_hash import PerfectHash
@@ -45,30 +46,32 @@ from seriesrel.llm.text import small
 from seriesrel.llm.vectors import SCHEMA, rows_of, tree_sum, written
 
 BLANK = "▁"
-REMEMBERED, LONGEST = 200_000, 48     # pieces of text a generation, characters of one
+REMEMBERED, LONGEST = 120_000, 48     # pieces of text a generation, characters of one
+STORED = {"compression": "zstd", "parquet.block.size": 1 << 24}    # small row groups: a task holds one in memory
 MARKS = ",.;:!?"
+CODE, SHIFT = np.dtype("<u4"), 16     # a link's code: A's id, then B's in the lower bits
 _cut = re.compile(r"(?<=\S) (?=\S)").split
 
 
+# Letters whose classes are the same in both libraries' patterns (tested one by one).
+_quick = re.compile("[\x00-\x7f\u00C0-\u024F]*").fullmatch
+
+
 class Aligned:
     """The alignment of one piece of text: ids, links and groups."""
 
-    __slots__ = ("best", "counted", "n_a", "n_b", "packed", "shown", "total")
+    __slots__ = ("n_a", "n_b", "packed", "shown")
 
     def __init__(self, n_a: int, n_b: int, packed: bytes, shown: str):
         """``packed``: the links' codes; bytes of its own, as an array's slice would keep the whole batch alive."""
         self.n_a, self.n_b, self.packed, self.shown = n_a, n_b, packed, shown
-        self.best = self.total = 0
-        self.counted = ""             # the run whose counts ``best`` and ``total`` come from
 
     @property
     def codes(self) -> np.ndarray:
-        return unpacked([self])
-
+        return np.frombuffer(self.packed, CODE)
 
-def unpacked(found: list[Aligned]) -> np.ndarray:
-    """The links' codes of all, one after the other."""
-    return np.frombuffer(b"".join([x.packed for x in found]), np.int64)
+    def __add__(self, other: Aligned) -> Aligned:
+        return Aligned(self.n_a + other.n_a, self.n_b + other.n_b, self.packed + other.packed, f"{self.shown};{other.shown}")
 
 
 class Aligner:
@@ -94,106 +97,141 @@ class Aligner:
             raise ValueError("ids do not follow the merges: they are no ranks")
         if any(BLANK in p.lstrip(BLANK) for p in pieces):
             raise ValueError("a piece reaches over a blank: texts cannot be cut there")
+        if max(len(self.bytes_a), len(self.bytes_b)) > 1 << SHIFT:
+            raise ValueError(f"ids of more than {SHIFT} bits")
         self.ranks = tiktoken.Encoding("a", pat_str=PRETOKEN, special_tokens={},
                                        mergeable_ranks={x: i for i, x in enumerate(self.bytes_a) if i < len(self.bytes_a) - len(special)})
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
-        # Written ids: with a comma, and as the last of their kind in a group.
-        self.shown_a, self.shown_b = ([np.array([f"{i}{c}" for i in range(len(t))], object) for c in ends]
+        # Written ids: with a comma (2 i), and as the last of their kind in a group (2 i + 1).
+        self.shown_a, self.shown_b = (np.array([f"{i}{c}" for i in range(len(t)) for c in ends], object)
                                       for t, ends in ((self.bytes_a, ",|"), (self.bytes_b, ",;")))
-        self._young: dict[str | tuple, Aligned | None] = {}
-        self._old: dict[str | tuple, Aligned | None] = {}
-        # A mark at a piece's end stands for itself: its key is a tuple, which no text can hold.
+        self._young: dict[str, Aligned | None] = {}
+        self._old: dict[str, Aligned | None] = {}
         joined = {m for p in pieces for m in MARKS if re.search(r"[A-Za-z]" + re.escape(m), p)}
         place = {p: i for i, p in enumerate(pieces)}
-        self.marks = {m: (m, self.bytes_a.index(m.encode()), place[m]) for m in MARKS if m not in joined and m in place}
+        self.marks = {m: self._mark(self.bytes_a.index(m.encode()), place[m]) for m in MARKS if m not in joined and m in place}
 
-    def cut(self, text: str | None) -> list[str | tuple]:
+    @staticmethod
+    def _mark(a: int, b: int) -> Aligned:
+        return Aligned(1, 1, np.array([a << SHIFT | b], CODE).tobytes(), f"{a}|{b}")
+
+    def cut(self, text: str | None) -> list[str]:
         """The pieces of a text that are aligned on their own."""
-        out: list[str | tuple] = []
-        for p in _cut(text) if text else ():
-            mark = self.marks.get(p[-1])
-            if mark and p[-2:-1].isascii() and p[-2:-1].isalpha():
-                out += (p[:-1], mark)
-            else:
-                out.append(p)
-        return out
+        return _cut(text) if text else []
 
     def most_pairs(self) -> int:
         """No more id pairs than this can be linked: one token's bytes are the end of the other's."""
         return sum(map(len, self.bytes_a)) + sum(map(len, self.bytes_b))
 
-    def _ids_a(self, texts: list[str]) -> list[list[int]]:
-        """A's ids of a blank and each text; ASCII texts by the ranks of the same file, which is quicker."""
-        rare = [i for i, t in enumerate(texts) if not t.isascii()]
-        quick = self.ranks.encode_ordinary
-        out = [quick(" " + t) if t.isascii() else None for t in texts]
-        for i, e in zip(rare, self.a.encode_batch_fast([" " + texts[i] for i in rare], add_special_tokens=False), strict=True):
-            out[i] = e.ids
-        return out
+    def _ids_a(self, texts: list[str], length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids of a blank and each text (``length`` bytes), one after the other, and each text's number of ids.
+
+        Texts of usual letters that begin and end without white space go as one text through the
+        ranks of the same file, which is quicker: pre-tokens begin at the blanks between them.
+        """
+        joint = [bool(t) and not t[0].isspace() and not t[-1].isspace() and _quick(t) is not None for t in texts]
+        quick = [t for t, j in zip(texts, joint, strict=True) if j]
+        counts, owner = np.zeros(len(texts), np.int64), np.array(joint, bool)
+        at_once, rest = np.zeros(0, np.int64), []
+        if quick:
+            at_once = self.ranks.encode_to_numpy(" " + " ".join(quick), disallowed_special=()).astype(np.int64)
+            ends, stops = (np.cumsum(x) for x in (self.size_a[at_once], length[owner]))
+            last = np.searchsorted(ends, stops)
+            if not (ends[np.minimum(last, len(ends) - 1)] == stops).all():
+                raise AssertionError("a token reaches over a blank")
+            counts[owner] = np.diff(last, prepend=-1)
+        if len(quick) < len(texts):
+            slow = [" " + t for t, j in zip(texts, joint, strict=True) if not j]
+            rest = [e.ids for e in self.a.encode_batch_fast(slow, add_special_tokens=False)]
+            counts[~owner] = [len(ids) for ids in rest]
+        owner = np.repeat(owner, counts)
+        flat = np.empty(len(owner), np.int64)
+        flat[owner] = at_once
+        flat[~owner] = np.fromiter(chain.from_iterable(rest), np.int64, len(owner) - len(at_once))
+        return flat, counts
+
+    def _ids_b(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """B's ids of all texts, one after the other, and each text's number of ids."""
+        ids = self.b.encode(texts, num_threads=1)
+        counts = np.fromiter(map(len, ids), np.int64, len(texts))
+        return np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum())), counts
 
     def align(self, texts: list[str]) -> list[Aligned | None]:
         """Alignment of each whole string; None where the bytes differ. All strings go through the same arrays."""
         wholes = [b" " + t.encode() for t in texts]
-        length, counts, flat = np.fromiter(map(len, wholes), np.int64, len(texts)), [], []
+        length = np.fromiter(map(len, wholes), np.int64, len(texts))
         good = np.array([bool(t) for t in texts], bool)
-        for ids, size in ((self._ids_a(texts), self.size_a), (self.b.encode(texts, num_threads=1), self.size_b)):
-            counts.append(np.fromiter(map(len, ids), np.int64, len(texts)))
-            flat.append(np.fromiter(chain.from_iterable(ids), np.int64, int(counts[-1].sum())))
-            made = np.concatenate(([0], np.cumsum(size[flat[-1]])))[np.concatenate(([0], np.cumsum(counts[-1])))]
+        sides = []
+        for (ids, counts), size in ((self._ids_a(texts, length), self.size_a), (self._ids_b(texts), self.size_b)):
+            made = np.concatenate(([0], np.cumsum(size[ids])))[np.concatenate(([0], np.cumsum(counts)))]
             good &= np.diff(made) == length
-        for side, entries in enumerate((self.bytes_a, self.bytes_b)):
-            ids = flat[side][np.repeat(good, counts[side])].tolist()
-            joined = b"".join([entries[i] for i in ids])
-            if joined != b"".join([w for w, g in zip(wholes, good.tolist(), strict=True) if g]):
+            sides.append((ids, counts))
+        for (ids, counts), entries in zip(sides, (self.bytes_a, self.bytes_b), strict=True):
+            kept = ids if good.all() else ids[np.repeat(good, counts)]
+            joined = b"".join(map(entries.__getitem__, kept.tolist()))
+            if joined != b"".join(wholes if good.all() else [w for w, g in zip(wholes, good.tolist(), strict=True) if g]):
                 at = 0
                 for k in np.flatnonzero(good).tolist():
                     good[k], at = joined[at:at + length[k]] == wholes[k], at + int(length[k])
-        a, b = (f[np.repeat(good, c)] for f, c in zip(flat, counts, strict=True))
+        a, b = (ids if good.all() else ids[np.repeat(good, counts)] for ids, counts in sides)
         if not len(a):
             return [None] * len(texts)
         # Both tokenizers cover the same bytes, so running byte counts of all strings together compare.
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-        at = np.searchsorted(ends_b, ends_a)
-        hit = ends_b[at] == ends_a
-        last_a, last_b = np.flatnonzero(hit), at[hit]
-        codes = a[last_a] << 32 | b[last_b]
-        n_a, n_b = counts[0][good], counts[1][good]
-        cuts = (8 * np.concatenate(([0], np.cumsum(hit)))[np.concatenate(([0], np.cumsum(n_a)))]).tolist()
+        closing = np.zeros(int(ends_a[-1]) + 1, bool)
+        closing[ends_b] = True
+        hit = closing[ends_a]
+        closing[:] = False
+        closing[ends_a] = True
+        closes = closing[ends_b]
+        codes = (a[hit] << SHIFT | b[closes]).astype(CODE)
+        n_a, n_b = (counts[good] for _, counts in sides)
+        cuts = (CODE.itemsize * np.concatenate(([0], np.cumsum(hit)))[np.concatenate(([0], np.cumsum(n_a)))]).tolist()
         packed = codes.tobytes()
-        strings = self._shown(a, b, hit, last_a, last_b, np.concatenate(([0], np.cumsum(n_a + n_b))).tolist())
-        found = iter([Aligned(x, y, packed[cuts[k]:cuts[k + 1]], strings[k])
-                      for k, (x, y) in enumerate(zip(n_a.tolist(), n_b.tolist(), strict=True))])
-        return [next(found) if g else None for g in good.tolist()]
-
-    def _shown(self, a, b, hit, last_a, last_b, stops: list[int]) -> list[str]:
+        strings = self._shown(a, b, hit, closes, np.concatenate(([0], np.cumsum(n_a + n_b))).tolist())
+        found = [Aligned(x, y, packed[i:j], shown)
+                 for x, y, i, j, shown in zip(n_a.tolist(), n_b.tolist(), cuts, cuts[1:], strings)]
+        if len(found) == len(texts):
+            return found
+        rest = iter(found)
+        return [next(rest) if g else None for g in good.tolist()]
+
+    def _shown(self, a, b, hit, closes, stops: list[int]) -> list[str]:
         """The written groups of each string; in them a group's B ids follow its A ids."""
-        closes = np.zeros(len(b), bool)
-        closes[last_b] = True
-        first_b = np.concatenate(([0], last_b[:-1] + 1))
+        last_a, first_b = np.flatnonzero(hit), np.concatenate(([0], np.flatnonzero(closes)[:-1] + 1))
         out = np.empty(len(a) + len(b), object)
-        out[np.arange(len(a)) + first_b[np.cumsum(hit) - hit]] = np.where(hit, self.shown_a[1][a], self.shown_a[0][a])
-        out[np.arange(len(b)) + last_a[np.cumsum(closes) - closes] + 1] = np.where(closes, self.shown_b[1][b], self.shown_b[0][b])
+        out[np.arange(len(a)) + first_b[np.cumsum(hit) - hit]] = self.shown_a[2 * a + hit]
+        out[np.arange(len(b)) + last_a[np.cumsum(closes) - closes] + 1] = self.shown_b[2 * b + closes]
         ids = out.tolist()
         return ["".join(ids[i:j])[:-1] for i, j in zip(stops, stops[1:])]
 
-    def learn(self, pieces: set[str | tuple]) -> dict[str | tuple, Aligned | None]:
+    def learn(self, pieces: set[str]) -> dict[str, Aligned | None]:
         """Alignments of the pieces."""
-        out, new = {}, []
+        out, new, marked, young, old = {}, [], [], self._young, self._old
         for p in pieces:
-            if p in self._young:
-                out[p] = self._young[p]
-            elif p in self._old:
-                out[p] = self._young[p] = self._old[p]
+            # A mark at a piece's end stands for itself: the piece without it is what is remembered.
+            mark = self.marks.get(p[-1]) if p else None
+            if mark and p[-2:-1].isascii() and p[-2:-1].isalpha():
+                marked.append((p, mark))
+                p = p[:-1]
+                if p in pieces:
+                    continue
+            if p in young:
+                out[p] = young[p]
+            elif p in old:
+                out[p] = young[p] = old[p]
             else:
                 new.append(p)
         if new:
-            marks = {p: Aligned(1, 1, np.int64(p[1] << 32 | p[2]).tobytes(), f"{p[1]}|{p[2]}") for p in new if type(p) is tuple}
-            rest = iter(self.align([p for p in new if p not in marks]))
-            found = [marks[p] if p in marks else next(rest) for p in new]
+            new = list(dict.fromkeys(new))
+            found = self.align(new)
             out.update(zip(new, found, strict=True))
-            self._young.update((p, x) for p, x in zip(new, found, strict=True) if len(p) <= LONGEST)
-        if len(self._young) >= REMEMBERED:
-            self._old, self._young = self._young, {}
+            young.update((p, x) for p, x in zip(new, found, strict=True) if len(p) <= LONGEST)
+        for p, mark in marked:
+            base = out[p[:-1]]
+            out[p] = base + mark if base else None
+        if len(young) >= REMEMBERED:
+            self._old, self._young = young, {}
         return out
 
 
@@ -207,98 +245,117 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return _loaded[path_a, path_b]
 
 
-def pair_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """``(pair, n)``: how often each task linked an id pair (``a << 32 | b``); a pair comes once a task."""
+def forget() -> None:
+    """Frees the worker's aligner: what follows the alignment needs its memory."""
+    _loaded.clear()
+    pa.default_memory_pool().release_unused()
+
+
+def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """Per row: ``doc_id, n_a, n_b, codes, groups``; ``codes`` holds the text's links in order (``CODE``)."""
     def run(batches):
-        one, pairs, counts = aligner(path_a, path_b), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in small(batches):
-            texts = [one.cut(t) for t in batch.column("text").to_pylist()]
-            known = one.learn(set(chain.from_iterable(texts)))
-            bad = {p for p, x in known.items() if x is None}
-            seen = Counter(chain.from_iterable(t for t in texts if bad.isdisjoint(t)) if bad else chain.from_iterable(texts))
-            if not seen:
-                continue
-            found = [known[p] for p in seen]
-            codes = unpacked(found)
-            each = np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), [len(x.packed) // 8 for x in found])
-            pairs, at = np.unique(np.concatenate((pairs, codes)), return_inverse=True)
+        one = aligner(path_a, path_b)
+        gc.disable()                  # what is made here has no cycles to look for
+        try:
+            yield from map(partial(rows, one), small(batches))
+        finally:
+            gc.enable()
+
+    def rows(one: Aligner, batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = [one.cut(t) for t in batch.column("text").to_pylist()]
+        known = one.learn(set(chain.from_iterable(texts)))
+        bad = {p for p, x in known.items() if x is None}
+        texts = [t if bad.isdisjoint(t) else [] for t in texts] if bad else texts
+        known = {p: x for p, x in known.items() if x is not None} if bad else known
+        # Sums over a text's pieces from running sums over the batch's.
+        number = dict(zip(known, range(len(known)), strict=True))
+        ends = np.cumsum([0, *map(len, texts)])
+        order = np.fromiter(map(number.__getitem__, chain.from_iterable(texts)), np.int64, int(ends[-1]))
+        n_a, n_b = (pa.array(np.diff(np.concatenate(([0], np.cumsum(np.array(fact, np.int64)[order])))[ends]))
+                    for fact in ([x.n_a for x in known.values()], [x.n_b for x in known.values()]))
+        packed, shown = [x.packed for x in known.values()], [x.shown for x in known.values()]
+        order, ends = order.tolist(), ends.tolist()
+        of = [order[i:j] for i, j in zip(ends, ends[1:])]
+        codes = pa.array([b"".join(map(packed.__getitem__, t)) for t in of], pa.binary())
+        groups = pa.array([";".join(map(shown.__getitem__, t)) for t in of], pa.string())
+        return pa.record_batch([batch.column("doc_id"), n_a, n_b, codes, groups], names=["doc_id", "n_a", "n_b", "codes", "groups"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ALIGNED)
+
+
+def codes_of(column: pa.Array) -> np.ndarray:
+    """The codes of all links of a column's rows, one after the other."""
+    return np.frombuffer(b"".join(column.to_pylist()), CODE).astype(np.int64)
+
+
+def pair_counts(table: DataFrame) -> DataFrame:
+    """``(pair, n)``: how often each task's rows link an id pair; a pair comes once a task."""
+    def run(batches):
+        forget()
+        pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in small(batches, column="codes"):
+            new, each = np.unique(codes_of(batch.column("codes")), return_counts=True)
+            pairs, at = np.unique(np.concatenate((pairs, new)), return_inverse=True)
             total = np.zeros(len(pairs), np.int64)
             np.add.at(total, at, np.concatenate((counts, each)))
             counts = total
         for i in range(0, len(pairs), 10_000):
             yield pa.record_batch({"pair": pa.array(pairs[i:i + 10_000]), "n": pa.array(counts[i:i + 10_000])})
 
-    return docs.select("text").mapInArrow(run, "pair long, n long")
+    return table.select("codes").mapInArrow(run, "pair long, n long")
 
 
-def corpus_counts(docs: DataFrame, path_a: str, path_b: str) -> tuple[PerfectHash, np.ndarray]:
-    """The hash of all linked id pairs and their corpus-wide counts, by the hash's index."""
-    parts = written(pair_counts(docs, path_a, path_b), "pair-counts")
+def corpus_counts(table: DataFrame, most: int) -> tuple[PerfectHash, np.ndarray]:
+    """The hash of all linked id pairs (``most`` at most) and their corpus-wide counts, by the hash's index."""
+    parts = written(pair_counts(table), "pair-counts")
     keys = np.array(parts.select("pair").distinct().toArrow().column("pair").to_numpy(), np.int64)
-    most = aligner(path_a, path_b).most_pairs()
     if len(keys) > most:
         raise AssertionError(f"{len(keys)} linked pairs; the vocabularies allow {most}")
-    table = PerfectHash(keys)
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    places = PerfectHash(keys)
+    shared = table.sparkSession.sparkContext.broadcast(places)
 
     def vectors(batches):
-        table, sums = shared.value, None
+        places, sums = shared.value, None
         for batch in batches:
-            sums = np.zeros(len(table), np.int64) if sums is None else sums
-            np.add.at(sums, table.find(batch.column("pair").to_numpy()), batch.column("n").to_numpy())
+            sums = np.zeros(len(places), np.int64) if sums is None else sums
+            np.add.at(sums, places.find(batch.column("pair").to_numpy()), batch.column("n").to_numpy())
         if sums is not None and len(sums):
             yield rows_of(sums)
 
-    return table, tree_sum(parts.mapInArrow(vectors, SCHEMA), len(table))
+    return places, tree_sum(parts.mapInArrow(vectors, SCHEMA), len(places))
 
 
 def links(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups``."""
-    table, counts = corpus_counts(docs, path_a, path_b)
-    b_ids = table.keys & 0xFFFFFFFF
+    table = written(aligned(docs, path_a, path_b), "alignments", **STORED)
+    places, counts = corpus_counts(table, aligner(path_a, path_b).most_pairs())
+    b_ids = places.keys & (1 << SHIFT) - 1
     highest = np.zeros(int(b_ids.max()) + 1 if len(b_ids) else 1, np.int64)
     np.maximum.at(highest, b_ids, counts)
-    name = uuid.uuid4().hex
-    shared = docs.sparkSession.sparkContext.broadcast((table, counts, counts == highest[b_ids]))
-
-    def run(batches):
-        table, counts, best = shared.value
-        one = aligner(path_a, path_b)
-
-        def look_up(new: list[Aligned]) -> None:
-            at = table.find(unpacked(new))
-            if (at < 0).any():
-                raise AssertionError("a linked pair was not counted")
-            ends = np.cumsum([0, *(len(x.packed) // 8 for x in new)])
-            n, b = (np.concatenate(([0], np.cumsum(v[at])))[ends] for v in (counts, best))
-            for x, total, most in zip(new, np.diff(n).tolist(), np.diff(b).tolist(), strict=True):
-                x.total, x.best, x.counted = total, most, name
-
-        for batch in small(batches):
-            texts = [one.cut(t) for t in batch.column("text").to_pylist()]
-            known = one.learn(set(chain.from_iterable(texts)))
-            bad = {p for p, x in known.items() if x is None}
-            texts = [t if bad.isdisjoint(t) else [] for t in texts] if bad else texts
-            known = {p: x for p, x in known.items() if x is not None}
-            look_up([x for x in known.values() if x.counted != name])
-            # Sums over a text's pieces from running sums over the batch's.
-            number = dict(zip(known, range(len(known)), strict=True))
-            ends = np.cumsum([0, *map(len, texts)])
-            order = np.fromiter(map(number.__getitem__, chain.from_iterable(texts)), np.int64, int(ends[-1]))
-            columns = []
-            for fact in ([x.n_a for x in known.values()], [x.n_b for x in known.values()], [len(x.packed) // 8 for x in known.values()],
-                         [x.best for x in known.values()], [x.total for x in known.values()]):
-                columns.append(pa.array(np.diff(np.concatenate(([0], np.cumsum(np.array(fact, np.int64)[order])))[ends])))
-            n_a, n_b, n_links, n_best, count_sum = columns
-            shown = {p: x.shown for p, x in known.items()}
-            groups = pa.array([";".join(map(shown.__getitem__, t)) for t in texts], pa.string())
-            yield pa.record_batch([batch.column("doc_id"), n_a, n_b, n_links, n_links, n_best, count_sum, groups], names=NAMES)
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, LINKS)
-
-
+    shared = docs.sparkSession.sparkContext.broadcast((places, counts, counts == highest[b_ids]))
+
+    @arrow_udf("n_best long, count_sum long")
+    def looked_up(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        forget()
+        places, counts, best = shared.value
+        for column in columns:
+            found = [np.zeros((0, 2), np.int64)]
+            for part in small([pa.record_batch([column], names=["codes"])], column="codes"):
+                at = places.find(codes_of(part.column("codes")))
+                if (at < 0).any():
+                    raise AssertionError("a linked pair was not counted")
+                ends = np.cumsum([0, *pc.binary_length(part.column("codes")).to_pylist()]) // CODE.itemsize
+                found.append(np.stack([np.diff(np.concatenate(([0], np.cumsum(v[at])))[ends]) for v in (best, counts)], 1))
+            sums = np.concatenate(found)
+            yield pa.StructArray.from_arrays([pa.array(sums[:, 0]), pa.array(sums[:, 1])], ["n_best", "count_sum"])
+
+    n_links = (F.octet_length("codes") / CODE.itemsize).cast("long")
+    return (table.withColumn("found", looked_up("codes")).withColumn("n_links", n_links).withColumn("n_groups", n_links)
+            .select("*", "found.*").select(*NAMES))
+
+
+ALIGNED = "doc_id long, n_a long, n_b long, codes binary, groups string"
 NAMES = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
-LINKS = ", ".join(f"{c} long" for c in NAMES[:-1]) + ", groups string"
 
 
 def digest(linked: DataFrame) -> DataFrame:

@@ -19,10 +19,10 @@ CHUNK, FAN = 1 << 15, 16
 SCHEMA = "branch long, chunk int, sums binary"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: what follows has no lineage before it."""
+def written(df: DataFrame, name: str, **options) -> DataFrame:
+    """``df`` as a table in the shared folder (``options`` of the writer): what follows has no lineage before it."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -256,6 +256,30 @@ def test_links_match_a_plain_alignment(spark):
     assert got.columns == [*K.NAMES[:-1], "groups_sha256"]
 
 
+def test_texts_are_aligned_once(spark):
+    rows = frame_rows(spark)[:40]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = documents(spark, rows).mapInArrow(counted, DOCS)
+    assert len(K.digest(K.links(docs, A, B)).collect()) == len(rows)
+    assert read.value == len(rows)
+
+
+def test_joined_pieces_get_the_ids_of_each_alone():
+    one, letters = K.aligner(A, B), [chr(c) for c in range(0x250)]
+    texts = [t for c in letters for t in (c, f"a{c}", f"{c}1{c}b", f"x{c}{c}.{c}", f"9{c} {c}'s{c}")] + ODD[:-3] + ["naïve,", "Œuvre", "x" * 500]
+    texts = [t for t in texts if t]
+    assert sum(K._quick(t) is not None for t in texts) > 1000
+    ids, counts = one._ids_a(texts, np.array([len(t.encode()) + 1 for t in texts]))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [
+        e.ids for e in one.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+
+
 def test_no_texts_to_align(spark):
     assert K.links(spark.createDataFrame([], DOCS), A, B).count() == 0
     none = by_id(K.digest(K.links(documents(spark, [(1, None), (2, ""), (5, "▁")]), A, B)))
