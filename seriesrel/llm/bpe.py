@@ -6,8 +6,9 @@ pre-token form a doubly linked list, all adjacent pairs with a merge wait in a
 heap by (rank, place), and entries whose symbols have changed since are skipped
 when they surface. Decoding concatenates the vocabulary's byte strings.
 
-Encoded pre-tokens are remembered in two generations of a bounded dictionary, so
-frequent words cost one look-up and memory stays flat.
+Encoded pre-tokens are remembered in two generations of a dictionary that is bounded
+by the bytes it holds, so frequent words cost one look-up and memory stays flat however
+many or long the words are.
 
 Edge cases: null text is empty and has no ids; special strings inside a text
 become their ids; bytes that are no valid UTF-8 after decoding become U+FFFD.
@@ -18,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,8 @@ from seriesrel.llm.text import small
 # characters that stand for themselves; the other bytes follow from U+0100 on.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-REMEMBERED = 250_000
+REMEMBERED, SLOT = 16 << 20, 32      # bytes of a generation: words, their ids and a dictionary's slot for each
+LARGEST = REMEMBERED // 16           # a larger entry would push out too many others
 
 
 def byte_characters() -> dict[int, str]:
@@ -60,6 +63,7 @@ class ByteBpe:
         self._cut = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")").split if longest else None
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
+        self._held = 0               # bytes of the young ones
 
     def merge_word(self, data: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -98,9 +102,13 @@ class ByteBpe:
         ids = self._old.get(word)
         if ids is None:
             ids = np.array(self.merge_word(word.encode("utf-8", "surrogatepass")), "<u4").tobytes()
-        if len(self._young) >= REMEMBERED:
-            self._old, self._young = self._young, {}
+        size = sys.getsizeof(word) + sys.getsizeof(ids) + SLOT
+        if size > LARGEST:
+            return ids
+        if self._held + size > REMEMBERED:
+            self._old, self._young, self._held = self._young, {}, 0
         self._young[word] = ids
+        self._held += size
         return ids
 
     def _plain(self, text: str) -> bytes:
@@ -179,16 +187,15 @@ def encoded_documents(docs: DataFrame, path: str) -> DataFrame:
     """``(doc_id, lang, source, n_tokens, token_ids, decoded_sha256)``: a token file's rows, checked by decoding.
 
     ``lang`` and ``source`` are carried along if ``docs`` has them; other columns are not read.
+    A plain function of the text moves a hundred rows at once, where an Arrow batch holds
+    10,000 whole texts in the executor's and the worker's memory.
     """
     carried = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
-    schema = docs.select(*carried).schema.add("n_tokens", "long").add("token_ids", "binary").add("decoded_sha256", "string")
 
-    def run(batches):
+    @F.udf("n_tokens long, token_ids binary, decoded_sha256 string", useArrow=False)
+    def encoded(text):
         bpe = tokenizer(path)
-        for batch in small(batches):
-            ids = [bpe.encode(t or "") for t in batch.column("text").to_pylist()]
-            back = [hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in ids]
-            yield pa.record_batch([*batch.columns[:-1], pa.array([len(x) // 4 for x in ids], pa.int64()),
-                                   pa.array(ids, pa.binary()), pa.array(back, pa.string())], names=schema.names)
+        ids = bpe.encode(text or "")
+        return len(ids) // 4, ids, hashlib.sha256(bpe.decode(ids).encode()).hexdigest()
 
-    return docs.select(*carried, "text").mapInArrow(run, schema)
+    return docs.select(*carried, encoded("text").alias("encoded")).select(*carried, "encoded.*")

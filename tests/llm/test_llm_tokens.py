@@ -1,11 +1,13 @@
 import hashlib
 import random
+import sys
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
 from llm_cases import DOCS, by_id, documents, prose
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from seriesrel.llm import bpe, wavelet
@@ -40,6 +42,32 @@ def test_bpe_round_trip_keeps_columns(spark):
     assert bpe.digests(spark.createDataFrame([], DOCS), path).count() == 0
 
 
+def test_remembered_words_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 60_000)
+    monkeypatch.setattr(bpe, "LARGEST", 6_000, raising=False)
+    path, r = public_tokenizers.path("byte_bpe_50k.json"), random.Random(8)
+    lib, one = Tokenizer.from_file(path), bpe.ByteBpe(path)
+    for i in range(400):
+        text = " ".join(["of", "the", "".join(r.choices("abcdeé한", k=20 + i)), "x" * 3000 * (i % 50 == 0), "of"])
+        assert np.frombuffer(one.encode(text), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
+    for kept in (one._old, one._young):
+        assert kept and sum(sys.getsizeof(w) + sys.getsizeof(ids) for w, ids in kept.items()) <= bpe.REMEMBERED
+    assert " the" in one._young
+
+
+def test_token_files_move_few_texts_at_once(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    lib, rows = Tokenizer.from_file(path), list(enumerate(texts()))
+    out = bpe.encoded_documents(documents(spark, rows).withColumn("encoded", F.lit(1)), path)
+    assert "Arrow" not in out._jdf.queryExecution().executedPlan().toString()    # a batch has 10,000 whole texts
+    assert out.columns == ["doc_id", "lang", "source", "n_tokens", "token_ids", "decoded_sha256"]
+    got = by_id(out)
+    for i, t in rows:
+        ids = lib.encode(t or "", add_special_tokens=False).ids
+        assert got[i].n_tokens == len(ids) and got[i].token_ids == np.array(ids, "<u4").tobytes()
+        assert got[i].decoded_sha256 == hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
 def test_shards_hold_the_librarys_ids_in_order(spark, tmp_path, monkeypatch):
     path = public_tokenizers.path("word_bpe_49k.json")
     lib, rows = Tokenizer.from_file(path), [(i * 37 % 1009, t) for i, t in enumerate(texts())] + [(None, "first")]
