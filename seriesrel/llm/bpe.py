@@ -34,7 +34,7 @@ from seriesrel.llm.text import small
 # characters that stand for themselves; the other bytes follow from U+0100 on.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-REMEMBERED, SLOT = 16 << 20, 32      # bytes of a generation: words, their ids and a dictionary's slot for each
+REMEMBERED, SLOT = 32 << 20, 32      # bytes of a generation: words, their ids and a dictionary's slot for each
 LARGEST = REMEMBERED // 16           # a larger entry would push out too many others
 
 
